@@ -13,12 +13,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from maskwright.session import materialise
 
 PREFIX = 4  # hex digits: 65,536 buckets
 MAX_CUTS = 1 << 17
+FEW_KEYS = 50_000
 SPLITS = ("train", "val")
 
 
@@ -67,14 +68,15 @@ def global_rank(df: DataFrame, keys: Sequence[str], seed: int, by: Sequence[str]
                 name: str = "rank") -> DataFrame:
     """Add the 0-based position of every row in seeded order, within each group of ``by``.
 
-    ``by`` must be a small set of values such as split names.
+    ``by`` must be a small set of values such as split names, without nulls. The left join only
+    spares Spark a second hash per row; every bucket has its row in the table.
     """
     hashed = _hashed(df, keys, seed)
     table = _bucket_table(hashed.select(*by, "_bucket"), by)
     inside = Window.partitionBy(*by, "_bucket").orderBy("_h", *keys)
     ranked = hashed.withColumn("_rn", F.row_number().over(inside) - 1)
     return (
-        ranked.join(F.broadcast(table.select(*by, "_bucket", "_before")), [*by, "_bucket"])
+        ranked.join(F.broadcast(table.select(*by, "_bucket", "_before")), [*by, "_bucket"], "left")
         .withColumn(name, F.col("_before") + F.col("_rn"))
         .select(*df.columns, name)
     )
@@ -99,37 +101,60 @@ def sorted_rank(df: DataFrame, order: Sequence[str], name: str = "rank") -> Data
     )
 
 
+def find_cut(df: DataFrame, keys: Sequence[str], fraction: float, seed: int) -> Row | None:
+    """The hash and keys of the first row of the tail, or None when the tail is empty.
+
+    A radix search over hash digits: count rows per 4-digit prefix, keep the prefix that holds the cut, go on
+    with its next digits until few keys are left. Every pass reads the key columns alone, sums before
+    the shuffle and returns at most 65,536 counts, so copies of one key cost nothing extra.
+    """
+    narrow = df.select(order_hash(seed, *keys).alias("_h"), *keys)
+    prefix, before, cut = "", 0, None
+    while True:
+        digits = F.substring("_h", len(prefix) + 1, PREFIX)
+        inside = narrow.filter(F.startswith("_h", F.lit(prefix))) if prefix else narrow
+        counts = sorted((r["d"], r["n"]) for r in
+                        inside.groupBy(digits.alias("d")).agg(F.count(F.lit(1)).alias("n")).collect())
+        if cut is None:
+            total = sum(n for _, n in counts)
+            cut = total - int(total * fraction)
+            if cut >= total:
+                return None
+        for step, n in counts:
+            if before + n > cut:
+                break
+            before += n
+        prefix += step
+        if n <= FEW_KEYS or len(prefix) >= 3 * PREFIX:
+            break
+    groups = narrow.filter(F.startswith("_h", F.lit(prefix))).groupBy("_h", *keys).agg(F.count(F.lit(1)).alias("_n"))
+    for row in groups.orderBy("_h", *keys).take(FEW_KEYS):
+        if before == cut:
+            return row
+        if before + row["_n"] > cut:
+            break
+        before += row["_n"]
+    raise ValueError(f"rows that share the key {keys} lie on both sides of the cut: add columns that tell them apart")
+
+
 def exact_split(df: DataFrame, keys: Sequence[str], fraction: float, seed: int,
                 names: tuple[str, str] = SPLITS) -> DataFrame:
     """Add ``split``: exactly ``int(n * fraction)`` rows, the last in seeded order, go to the second name.
 
-    Rows are compared with one cut. Only the bucket that holds the cut is ranked (1 row in
-    65,536), so the wide rows are never shuffled. A fraction that rounds to 0 rows leaves the second
-    split empty.
+    The cut is found first (narrow passes over the keys); the split is then a comparison within
+    each row, with no shuffle and no join, so filters on it and pruning below it keep working. A
+    fraction that rounds to 0 rows leaves the second split empty.
     """
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must lie in 0..1")
-    hashed = _hashed(df, keys, seed)
-    narrow = hashed.select("_bucket", "_h", *keys)
-    cut_rank = F.col("_total") - F.floor(F.col("_total") * F.lit(float(fraction)))
-    table = _bucket_table(narrow.select("_bucket"), ()).withColumn("_cut", cut_rank)
-    holds_cut = (F.col("_before") < F.col("_cut")) & (F.col("_before") + F.col("_n") > F.col("_cut"))
-    inside = Window.partitionBy("_bucket").orderBy("_h", *keys)
-    cut = (
-        narrow.join(F.broadcast(table.filter(holds_cut)), "_bucket")
-        .withColumn("_rn", F.row_number().over(inside) - 1)
-        .filter(F.col("_before") + F.col("_rn") == F.col("_cut"))
-        .select("_bucket", F.struct("_h", *keys).alias("_at"))
-    )
-    bounds = table.join(F.broadcast(cut), "_bucket", "left").select("_bucket", "_before", "_cut", "_at")
     first, second = names
-    in_second = F.when(F.col("_at").isNull(), F.col("_before") >= F.col("_cut")).otherwise(
-        F.struct("_h", *keys) >= F.col("_at"))
-    return (
-        hashed.join(F.broadcast(bounds), "_bucket")
-        .withColumn("split", F.when(in_second, F.lit(second)).otherwise(F.lit(first)))
-        .select(*df.columns, "split")
-    )
+    cut = find_cut(df, keys, fraction, seed)
+    if cut is None:
+        return df.withColumn("split", F.lit(first))
+    kinds = {f.name: f.dataType for f in df.schema}
+    here = F.struct(order_hash(seed, *keys).alias("_h"), *keys)
+    at = F.struct(F.lit(cut["_h"]).alias("_h"), *[F.lit(cut[k]).cast(kinds[k]).alias(k) for k in keys])
+    return df.withColumn("split", F.when(here >= at, F.lit(second)).otherwise(F.lit(first)))
 
 
 def bucket_split(df: DataFrame, keys: Sequence[str], fraction: float, seed: int,
@@ -188,7 +213,7 @@ def shard_layout(df: DataFrame, keys: Sequence[str], size: int, seed: int, by: s
         by, "_bucket", "_base", "_step", "_total", F.coalesce("_cuts", F.array()).alias("_cuts"))
     here = F.struct("_h", *keys)
     group = F.col("_base") - 1 + F.size(F.filter("_cuts", lambda cut: cut <= here))
-    placed = hashed.join(F.broadcast(bounds), [by, "_bucket"]).withColumn("_group", group)
+    placed = hashed.join(F.broadcast(bounds), [by, "_bucket"], "left").withColumn("_group", group)
     order = Window.partitionBy(by, "_group").orderBy("_h", *keys)
     rank = F.col("_group") * F.col("_step") + F.row_number().over(order) - 1
     shard = F.floor(F.col("_rank") / F.lit(size)).cast("int")

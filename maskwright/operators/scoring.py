@@ -19,6 +19,7 @@ from maskwright.operators.overlay import overlay
 from maskwright.operators.tensors import transformed_name
 
 MAX_MODEL_CELLS = 4_000_000
+CHUNK = 1 << 18
 
 
 def _logits(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -69,12 +70,24 @@ class CentroidModel:
 
         return score(values)
 
-    def segment(self, values: Column, height: int, width: int) -> Column:
-        """Class of every pixel."""
-        position = arrays.argmax(self.pixel_logits(values), arrays.shape_of(height, width, len(self.classes)))
-        if self.classes == tuple(range(len(self.classes))):
-            return position
-        return F.transform(position, lambda i: F.element_at(F.lit(list(self.classes)), i + 1))
+    def segment(self, values: Column) -> Column:
+        """Class of every pixel, without keeping the logits of a batch."""
+        classes, centres, width = np.array(self.classes, np.int32), np.array(self.centres), len(self.centres[0])
+
+        @F.arrow_udf("array<int>")
+        def score(images: pa.Array) -> pa.Array:
+            flat, at = _flat(images)
+            present = images.is_valid().to_numpy(zero_copy_only=False)
+            if (np.diff(at) % width).any():
+                raise ValueError(f"the model takes {width} channels per pixel")
+            vectors = flat.reshape(-1, width)
+            best = np.empty(len(vectors), np.int32)
+            for start in range(0, len(vectors), CHUNK):
+                part = vectors[start:start + CHUNK].astype(np.float64)
+                best[start:start + CHUNK] = classes[_logits(part, centres).argmax(axis=1)]
+            return _lists(best, np.diff(at) // width, present, pa.int32())
+
+        return score(values)
 
 
 def _centres(long: DataFrame) -> CentroidModel:
@@ -146,7 +159,7 @@ def score_requests(df: DataFrame, payload: str, shape: Sequence[int], size: int,
     The order is fixed: resize first, then normalise.
     """
     image = arrays.resize(decode_payload(F.col(payload)), arrays.shape_of(*shape), size, size)
-    return df.withColumn(out, model.segment(arrays.normalise(image), size, size))
+    return df.withColumn(out, model.segment(arrays.normalise(image)))
 
 
 def score_overlay(df: DataFrame, image: str, shape: str, size: int, model: CentroidModel,
@@ -154,5 +167,5 @@ def score_overlay(df: DataFrame, image: str, shape: str, size: int, model: Centr
     """Mask and its overlay for display. This view scales to 0..1, not to -1..1 as training does."""
     view = arrays.scale01(arrays.resize(F.col(image), F.col(shape), size, size))
     return (df.withColumn("_view", view)
-            .withColumn("seg_mask", model.segment(F.col("_view"), size, size))
+            .withColumn("seg_mask", model.segment(F.col("_view")))
             .withColumn(out, overlay(F.col("_view"), F.col("seg_mask"), colours)).drop("_view"))

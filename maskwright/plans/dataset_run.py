@@ -26,7 +26,6 @@ class RunConfig:
     root: str
     registry: str
     serving: str
-    size: int
     channels: int = 3
     clock: int = 0
     patterns: dict[str, str] = field(default_factory=lambda: dict(tfrecord.ALL_SHARDS))
@@ -74,11 +73,11 @@ def resolve_baseline(spark: SparkSession, path: str) -> scoring.CentroidModel |
     return load_model(spark, row["uri"]) if row else None
 
 
-def _scored(examples: DataFrame, preprocess: Callable[[DataFrame], DataFrame], model: scoring.CentroidModel,
-            config: RunConfig) -> DataFrame:
+def _scored(examples: DataFrame, preprocess: Callable[[DataFrame], DataFrame],
+            model: scoring.CentroidModel) -> DataFrame:
     """Evaluation starts from raw examples: the transform is applied here, as it would be when serving."""
     ready = preprocess(examples)
-    return ready.withColumn("pred", model.segment(F.col(transformed_name(IMAGE)), config.size, config.size))
+    return ready.withColumn("pred", model.segment(F.col(transformed_name(IMAGE))))
 
 
 def run(spark: SparkSession, config: RunConfig) -> RunResult:
@@ -104,7 +103,7 @@ def run(spark: SparkSession, config: RunConfig) -> RunResult:
     held_out = examples.filter(F.col("split") == "eval")
 
     def judge(candidate: scoring.CentroidModel, name: str) -> DataFrame:
-        rows = _scored(held_out, preprocess, candidate, config)
+        rows = _scored(held_out, preprocess, candidate)
         result = metrics.evaluate(rows, transformed_name(LABEL), "pred", [METRIC])
         path = f"{config.root}/evaluation/run={config.clock}/model={name}"
         result.write.parquet(path)

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 
@@ -19,7 +18,6 @@ FLOAT_TYPE = 1  # element type code of a serialized float32 tensor
 LANE = 256
 
 
-@lru_cache(maxsize=1)
 def _byte_table() -> np.ndarray:
     table = np.arange(256, dtype=np.uint32)
     for _ in range(8):
@@ -27,6 +25,10 @@ def _byte_table() -> np.ndarray:
     return table
 
 
+BYTES = _byte_table()
+_ADVANCE: dict[int, np.ndarray] = {}  # filled on use; a plain dict travels with the tasks
+
+
 def _apply(tables: np.ndarray, states: np.ndarray) -> np.ndarray:
     out = tables[0][states & 0xFF]
     for i in range(1, 4):
@@ -34,24 +36,25 @@ def _apply(tables: np.ndarray, states: np.ndarray) -> np.ndarray:
     return out
 
 
-@lru_cache(maxsize=64)
 def _advance(doublings: int) -> np.ndarray:
     """Four lookup tables that move a checksum over ``2 ** doublings`` zero bytes."""
-    values = (np.arange(256, dtype=np.uint32)[None, :] << np.arange(0, 32, 8, dtype=np.uint32)[:, None])
-    if doublings == 0:
-        return _byte_table()[values & 0xFF] ^ (values >> 8)
-    half = _advance(doublings - 1)
-    return _apply(half, half)
+    if doublings not in _ADVANCE:
+        if doublings == 0:
+            values = np.arange(256, dtype=np.uint32)[None, :] << np.arange(0, 32, 8, dtype=np.uint32)[:, None]
+            _ADVANCE[0] = BYTES[values & 0xFF] ^ (values >> 8)
+        else:
+            half = _advance(doublings - 1)
+            _ADVANCE[doublings] = _apply(half, half)
+    return _ADVANCE[doublings]
 
 
 def crc32c(data: bytes) -> int:
     """CRC-32C. Long input is cut into 256-byte lanes that are summed together, then merged pairwise."""
-    table = _byte_table()
     raw = np.frombuffer(data, np.uint8)
     if len(raw) < 2 * LANE:
         state = 0xFFFFFFFF
         for byte in data:
-            state = int(table[(state ^ byte) & 0xFF]) ^ (state >> 8)
+            state = int(BYTES[(state ^ byte) & 0xFF]) ^ (state >> 8)
         return state ^ 0xFFFFFFFF
     lanes = 1 << int(np.ceil(np.log2(-(-len(raw) // LANE))))
     padded = np.zeros(lanes * LANE, np.uint8)
@@ -61,7 +64,7 @@ def crc32c(data: bytes) -> int:
     steps = np.ascontiguousarray(padded.reshape(lanes, LANE).T)
     states = np.zeros(lanes, np.uint32)
     for column in steps:
-        states = table[(states ^ column) & 0xFF] ^ (states >> 8)
+        states = BYTES[(states ^ column) & 0xFF] ^ (states >> 8)
     doublings = LANE.bit_length() - 1
     while len(states) > 1:
         states = _apply(_advance(doublings), states[0::2]) ^ states[1::2]
