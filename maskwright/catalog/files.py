@@ -27,8 +27,9 @@ def image_scan(spark: SparkSession, folder: str) -> DataFrame:
     tree.write_tree(pictures.unionByName(trimaps), root)
     pairs = image_files.load_pairs(spark, f"{root}/images", f"{root}/masks", ".png", ".png")
     pairs = pairs.withColumn("vec_id", F.col("key").cast("bigint"))
-    image = long(pairs, "vec_id", "image", kind="int").withColumn("part", F.lit("image"))
-    return image.unionByName(long(pairs, "vec_id", "label", kind="int").withColumn("part", F.lit("label")))
+    parts = F.array(*[F.struct(F.lit(c).alias("part"), F.col(c).alias("values")) for c in ("image", "label")])
+    return pairs.select("vec_id", F.inline(parts)).select("vec_id", "part", F.posexplode("values").alias("i", "v")
+                                                         ).withColumn("v", F.col("v").cast("int"))
 
 
 def payload_scan(spark: SparkSession, folder: str) -> DataFrame:

@@ -48,19 +48,19 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def feature_stats(spark: SparkSession, folder: str) -> DataFrame:
-    stats = profile.feature_stats(_vectors(spark, folder), VECTOR_FEATURES)
+    stats = profile.feature_stats(_vectors(spark, folder), VECTOR_FEATURES, exact_median=True)
     return stats.withColumn("value", F.round("value", 5))
 
 
 def feature_stats_lineitem(spark: SparkSession, folder: str) -> DataFrame:
-    stats = profile.feature_stats(_lines(spark, folder), LINE_FEATURES)
+    stats = profile.feature_stats(_lines(spark, folder), LINE_FEATURES, exact_median=True)
     return stats.withColumn("value", F.round("value", 4))
 
 
 def stats_readback(spark: SparkSession, folder: str) -> DataFrame:
     """Statistics written per split, then one split read back (only its folder is opened)."""
     path = scratch_path(spark, "statistics")
-    profile.feature_stats(_vectors(spark, folder), VECTOR_FEATURES).write.partitionBy("split").parquet(path)
+    profile.feature_stats(_vectors(spark, folder), VECTOR_FEATURES, exact_median=True).write.partitionBy("split").parquet(path)
     stats = spark.read.parquet(path).filter(F.col("split") == "train")
     return stats.select("feature", "stat", F.round("value", 5).alias("value"))
 
@@ -76,7 +76,7 @@ def histogram_lineitem(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def quantiles(spark: SparkSession, folder: str) -> DataFrame:
-    rows = profile.quantile_histogram(_vectors(spark, folder), VECTOR_FEATURES)
+    rows = profile.quantile_histogram(_vectors(spark, folder), VECTOR_FEATURES, exact=True)
     return rows.withColumns({"low": F.round("low", 6), "high": F.round("high", 6)})
 
 
@@ -115,7 +115,7 @@ def schema_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def split_skew(spark: SparkSession, folder: str) -> DataFrame:
-    rows = compare.split_skew(_vectors(spark, folder), VECTOR_FEATURES)
+    rows = compare.split_skew(_vectors(spark, folder), VECTOR_FEATURES, exact_median=True)
     return rows.select("feature", "stat", *[F.round(c, 5).alias(c)
                                             for c in ("left_value", "right_value", "difference")])
 

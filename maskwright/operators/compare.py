@@ -28,9 +28,9 @@ def histogram_distance(histograms: DataFrame, left: str = "eval", right: str = "
 
 
 def split_skew(df: DataFrame, features: Sequence[str], split: str = "split", left: str = "eval",
-               right: str = "train", buckets: int = 10) -> DataFrame:
+               right: str = "train", buckets: int = 10, exact_median: bool = False) -> DataFrame:
     """Statistics side by side, plus the histogram distance as a statistic named ``linf``."""
-    table = stats_side_by_side(feature_stats(df, features, split), left, right)
+    table = stats_side_by_side(feature_stats(df, features, split, exact_median), left, right)
     distance = histogram_distance(histogram(df, features, split, buckets, shared_range=True), left, right)
     extra = distance.select(
         "feature", F.lit("linf").alias("stat"), F.lit(None).cast("double").alias("left_value"),

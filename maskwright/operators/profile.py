@@ -8,9 +8,11 @@ have one row per split and feature, so joins back to them are broadcast.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+SEARCH_BUCKETS = 4096
 STATS = ["num_rows", "num_missing", "num_values", "min_size", "max_size", "avg_size", "mean", "std_dev",
          "num_zeros", "min", "median", "max"]
 
@@ -29,19 +31,65 @@ def _melt(df: DataFrame, features: Sequence[str], split: str | None) -> DataFram
     return df.select(group.alias("split"), F.inline(pairs))
 
 
+def _values(df: DataFrame, features: Sequence[str], split: str | None) -> DataFrame:
+    """(split, feature, v) rows, one per value."""
+    return _melt(df, features, split).select("split", "feature", F.explode("list").alias("v"))
+
+
+def exact_quantiles(long: DataFrame, ranks: Sequence[float]) -> DataFrame:
+    """Order statistics of ``(split, feature, v)`` rows: ``(split, feature, rank, value)``.
+
+    The value at a rank is the one ``ceil(rank * n)`` places up the sorted values. It is searched for: count the
+    values in equal-width buckets, go on inside the bucket that holds the rank, narrowed to its
+    own smallest and largest value, until one value is left. Every pass returns one row per
+    wanted quantile; copies of a value and far outliers cost no memory. A few passes over the data,
+    where ``percentile`` would hold all distinct values of a feature in one task.
+    """
+    spark = long.sparkSession
+    values = long.filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    ends = values.groupBy("split", "feature").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+    # (split, feature, rank) -> (place within the interval, interval): one entry per wanted quantile
+    wanted = {(e["split"], e["feature"], r): (max(ceil(r * e["n"]), 1), e["lo"], e["hi"])
+              for e in ends for r in ranks}
+    while open_ones := {k: w for k, w in wanted.items() if w[1] != w[2]}:
+        intervals = spark.createDataFrame(sorted({(k[0], k[1], lo, hi) for k, (_, lo, hi) in open_ones.items()}),
+                                          "split string, feature string, lo double, hi double")
+        # Halved so that the width of a very wide interval stays finite.
+        share = (F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+        bucket = F.least(F.floor(share * F.lit(float(SEARCH_BUCKETS))), F.lit(SEARCH_BUCKETS - 1)).cast("int")
+        counts = (
+            values.join(F.broadcast(intervals), ["split", "feature"])
+            .filter(F.col("v").between(F.col("lo"), F.col("hi")))
+            .groupBy("split", "feature", "lo", "hi", bucket.alias("bucket"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most")))
+        places = spark.createDataFrame([(*k, *w) for k, w in open_ones.items()],
+                                       "split string, feature string, rank double, place bigint, lo double, hi double")
+        interval = ["split", "feature", "lo", "hi"]
+        running = Window.partitionBy(*interval).orderBy("bucket")
+        summed = counts.withColumn("upto", F.sum("n").over(running))
+        hits = summed.join(F.broadcast(places), interval).filter(
+            (F.col("place") <= F.col("upto")) & (F.col("place") > F.col("upto") - F.col("n")))
+        for row in hits.collect():
+            place = row["place"] - (row["upto"] - row["n"])
+            wanted[row["split"], row["feature"], row["rank"]] = (place, row["least"], row["most"])
+    return spark.createDataFrame([(*k, lo) for k, (_, lo, _) in wanted.items()],
+                                 "split string, feature string, rank double, value double")
+
+
 def feature_stats_wide(df: DataFrame, features: Sequence[str], split: str | None = "split",
-                       median_accuracy: int = 1_000_000) -> DataFrame:
+                       exact_median: bool = False, accuracy: int = 100_000) -> DataFrame:
     """Numeric statistics, one row per split and feature.
 
-    The median is an order statistic with a rank error of at most 1 in ``median_accuracy`` of the
-    values; its sketch has a bounded size, which an exact percentile has not.
+    By default everything comes from one scan and the median has a rank error of at most 1 in
+    ``accuracy`` of the values. ``exact_median`` searches for it with further scans.
     """
     melted = _melt(df, features, split).withColumn("size", F.size("list"))
     long = melted.select("split", "feature", F.when(F.col("list").isNotNull(), F.col("size")).alias("size"),
                          F.posexplode_outer("list").alias("at", "v"))
     first = F.coalesce(F.col("at"), F.lit(0)) == 0
     row_size = F.when(first, F.col("size"))
-    return long.groupBy("split", "feature").agg(
+    sums = [
         F.count_if(first).alias("num_rows"),
         F.count_if(F.col("size").isNull()).alias("num_missing"),
         F.count("v").alias("num_values"),
@@ -52,8 +100,13 @@ def feature_stats_wide(df: DataFrame, features: Sequence[str], split: str | None
         F.stddev_pop("v").alias("std_dev"),
         F.count_if(F.col("v") == 0).alias("num_zeros"),
         F.min("v").alias("min"),
-        F.percentile_approx("v", F.lit(0.5), F.lit(median_accuracy)).alias("median"),
-        F.max("v").alias("max"))
+        F.max("v").alias("max")]
+    if not exact_median:
+        sums.append(F.percentile_approx("v", F.lit(0.5), F.lit(accuracy)).alias("median"))
+        return long.groupBy("split", "feature").agg(*sums)
+    medians = exact_quantiles(_values(df, features, split), [0.5]).select(
+        "split", "feature", F.col("value").alias("median"))
+    return long.groupBy("split", "feature").agg(*sums).join(F.broadcast(medians), ["split", "feature"], "left")
 
 
 def to_long(stats: DataFrame, names: Sequence[str] = STATS) -> DataFrame:
@@ -62,8 +115,9 @@ def to_long(stats: DataFrame, names: Sequence[str] = STATS) -> DataFrame:
     return stats.select("split", "feature", F.inline(pairs)).filter(F.col("value").isNotNull())
 
 
-def feature_stats(df: DataFrame, features: Sequence[str], split: str | None = "split") -> DataFrame:
-    return to_long(feature_stats_wide(df, features, split))
+def feature_stats(df: DataFrame, features: Sequence[str], split: str | None = "split",
+                  exact_median: bool = False) -> DataFrame:
+    return to_long(feature_stats_wide(df, features, split, exact_median))
 
 
 def histogram(df: DataFrame, features: Sequence[str], split: str | None = "split", buckets: int = 10,
@@ -73,8 +127,7 @@ def histogram(df: DataFrame, features: Sequence[str], split: str | None = "split
     The range is that of the split, or of all splits with ``shared_range``. The last bucket
     includes the maximum; a feature with one value has everything in bucket 0.
     """
-    long = _melt(df, features, split).select("split", "feature", F.explode("list").alias("v")).filter(
-        F.col("v").isNotNull())
+    long = _values(df, features, split).filter(F.col("v").isNotNull())
     keys = ["feature"] if shared_range else ["split", "feature"]
     ranges = long.groupBy(*keys).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     at = F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(float(buckets)))
@@ -89,12 +142,17 @@ def histogram(df: DataFrame, features: Sequence[str], split: str | None = "split
 
 
 def quantile_histogram(df: DataFrame, features: Sequence[str], split: str | None = "split", buckets: int = 10,
-                       accuracy: int = 1_000_000) -> DataFrame:
+                       exact: bool = False, accuracy: int = 100_000) -> DataFrame:
     """Bucket edges at equal ranks: ``(split, feature, bucket, low, high)``."""
-    long = _melt(df, features, split).select("split", "feature", F.explode("list").alias("v"))
+    long = _values(df, features, split)
     ranks = [i / buckets for i in range(buckets + 1)]
-    edges = long.groupBy("split", "feature").agg(
-        F.percentile_approx("v", F.lit(ranks), F.lit(accuracy)).alias("e"))
+    if exact:
+        found = F.sort_array(F.collect_list(F.struct("rank", "value")))
+        edges = exact_quantiles(long, ranks).groupBy("split", "feature").agg(
+            F.transform(found, lambda pair: pair["value"]).alias("e"))
+    else:
+        edges = long.groupBy("split", "feature").agg(
+            F.percentile_approx("v", F.lit(ranks), F.lit(accuracy)).alias("e"))
     cuts = F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), lambda i: F.struct(
         i.alias("bucket"), F.get("e", i).alias("low"), F.get("e", i + 1).alias("high")))
     return edges.select("split", "feature", F.inline(cuts))

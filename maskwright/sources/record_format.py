@@ -15,7 +15,8 @@ import numpy as np
 POLYNOMIAL = 0x82F63B78
 MASK_DELTA = 0xA282EAD8
 FLOAT_TYPE = 1  # element type code of a serialized float32 tensor
-LANE = 256
+LANE = 64
+GROUP_BYTES = 4 << 20
 
 
 def _byte_table() -> np.ndarray:
@@ -30,17 +31,15 @@ _ADVANCE: dict[int, np.ndarray] = {}  # filled on use; a plain dict travels with
 
 
 def _apply(tables: np.ndarray, states: np.ndarray) -> np.ndarray:
-    out = tables[0][states & 0xFF]
-    for i in range(1, 4):
-        out = out ^ tables[i][(states >> (8 * i)) & 0xFF]
-    return out
+    return np.take(tables[0], states & 0xFFFF) ^ np.take(tables[1], states >> 16)
 
 
 def _advance(doublings: int) -> np.ndarray:
-    """Four lookup tables that move a checksum over ``2 ** doublings`` zero bytes."""
+    """Lookup tables, by low and high half, that move a checksum over ``2 ** doublings`` zero bytes."""
     if doublings not in _ADVANCE:
         if doublings == 0:
-            values = np.arange(256, dtype=np.uint32)[None, :] << np.arange(0, 32, 8, dtype=np.uint32)[:, None]
+            halves = np.arange(1 << 16, dtype=np.uint32)
+            values = np.stack([halves, halves << 16])
             _ADVANCE[0] = BYTES[values & 0xFF] ^ (values >> 8)
         else:
             half = _advance(doublings - 1)
@@ -48,55 +47,86 @@ def _advance(doublings: int) -> np.ndarray:
     return _ADVANCE[doublings]
 
 
-def crc32c(data: bytes) -> int:
-    """CRC-32C. Long input is cut into 256-byte lanes that are summed together, then merged pairwise."""
-    raw = np.frombuffer(data, np.uint8)
-    if len(raw) < 2 * LANE:
-        state = 0xFFFFFFFF
-        for byte in data:
-            state = int(BYTES[(state ^ byte) & 0xFF]) ^ (state >> 8)
-        return state ^ 0xFFFFFFFF
-    lanes = 1 << int(np.ceil(np.log2(-(-len(raw) // LANE))))
-    padded = np.zeros(lanes * LANE, np.uint8)
-    padded[-len(raw):] = raw  # leading zeros do not change a checksum that starts at 0
-    start = len(padded) - len(raw)
-    padded[start:start + 4] ^= 0xFF  # the same as starting at all ones
-    steps = np.ascontiguousarray(padded.reshape(lanes, LANE).T)
-    states = np.zeros(lanes, np.uint32)
-    for column in steps:
-        states = BYTES[(states ^ column) & 0xFF] ^ (states >> 8)
+def _checksums(messages: list[bytes], lanes: int) -> np.ndarray:
+    """CRC-32C of messages that fit ``lanes`` lanes, a power of two."""
+    padded = np.zeros((len(messages), lanes * LANE), np.uint8)
+    for row, message in zip(padded, messages):
+        start = len(row) - len(message)
+        row[start:] = np.frombuffer(message, np.uint8)  # leading zeros do not change a sum that starts at 0
+        row[start:start + 4] ^= 0xFF  # the same as starting at all ones
+    words = np.ascontiguousarray(padded.view("<u4").reshape(-1, LANE // 4).T)
+    states = np.zeros(words.shape[1], np.uint32)
+    for column in words:
+        states = _apply(_advance(2), states ^ column)
+    states = states.reshape(len(messages), lanes)
     doublings = LANE.bit_length() - 1
-    while len(states) > 1:
-        states = _apply(_advance(doublings), states[0::2]) ^ states[1::2]
+    while states.shape[1] > 1:
+        states = _apply(_advance(doublings), states[:, 0::2]) ^ states[:, 1::2]
         doublings += 1
-    return int(states[0]) ^ 0xFFFFFFFF
+    return states[:, 0] ^ np.uint32(0xFFFFFFFF)
+
+
+def crc32c(messages: list[bytes]) -> np.ndarray:
+    """CRC-32C of each message, of 4 bytes at least.
+
+    A message is cut into 64-byte lanes; all lanes of all messages are summed together, four bytes
+    a step, and then merged pairwise.
+    """
+    out = np.empty(len(messages), np.uint32)
+    groups: dict[int, list[int]] = {}
+    for i, message in enumerate(messages):
+        if len(message) < 4:
+            state = 0xFFFFFFFF
+            for byte in message:
+                state = int(BYTES[(state ^ byte) & 0xFF]) ^ (state >> 8)
+            out[i] = state ^ 0xFFFFFFFF
+        else:
+            groups.setdefault(1 << ((len(message) - 1) // LANE).bit_length(), []).append(i)
+    for lanes, members in groups.items():
+        out[members] = _checksums([messages[i] for i in members], lanes)
+    return out
 
 
-def masked_crc(data: bytes) -> int:
-    crc = crc32c(data)
-    return (((crc >> 15) | (crc << 17)) + MASK_DELTA) & 0xFFFFFFFF
+def masked_crc(messages: list[bytes]) -> np.ndarray:
+    crc = crc32c(messages)
+    return ((crc >> 15) | (crc << 17)) + np.uint32(MASK_DELTA)
 
 
-def frame(message: bytes) -> bytes:
-    length = struct.pack("<Q", len(message))
-    return b"".join([length, struct.pack("<I", masked_crc(length)), message, struct.pack("<I", masked_crc(message))])
+def frame(messages: list[bytes]) -> bytes:
+    """The records of a few messages; give many at a time, checksums are computed together."""
+    lengths = [struct.pack("<Q", len(m)) for m in messages]
+    checks = masked_crc(lengths + messages).astype("<u4")
+    heads, tails = checks[:len(messages)], checks[len(messages):]
+    return b"".join(part for length, head, message, tail in zip(lengths, heads, messages, tails)
+                    for part in (length, head.tobytes(), message, tail.tobytes()))
+
+
+def _verified(heads: list[bytes], bodies: list[bytes], verify: bool) -> Iterator[bytes]:
+    messages = [body[:-4] for body in bodies]
+    if verify:
+        stored = np.frombuffer(b"".join([h[8:] for h in heads] + [b[-4:] for b in bodies]), "<u4")
+        if (masked_crc([h[:8] for h in heads] + messages) != stored).any():
+            raise ValueError("record fails its checksum")
+    yield from messages
 
 
 def read_frames(stream, verify: bool = True) -> Iterator[bytes]:
-    """Messages of one open file, one at a time."""
+    """Messages of one open file. A few megabytes are read and checked at a time."""
+    heads, bodies, held = [], [], 0
     while head := stream.read(12):
         if len(head) < 12:
             raise ValueError("record file ends inside a record")
-        size, check = struct.unpack("<QI", head)
-        if verify and masked_crc(head[:8]) != check:
-            raise ValueError("record length fails its checksum")
+        size = struct.unpack("<Q", head[:8])[0]
         body = stream.read(size + 4)
         if len(body) < size + 4:
             raise ValueError("record file ends inside a record")
-        message = body[:size]
-        if verify and masked_crc(message) != struct.unpack("<I", body[size:])[0]:
-            raise ValueError("record fails its checksum")
-        yield message
+        heads.append(head)
+        bodies.append(body)
+        held += len(body)
+        if held >= GROUP_BYTES:
+            yield from _verified(heads, bodies, verify)
+            heads, bodies, held = [], [], 0
+    yield from _verified(heads, bodies, verify)
 
 
 def _varint(value: int) -> bytes:

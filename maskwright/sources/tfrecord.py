@@ -175,11 +175,16 @@ class RecordWriter(DataSourceArrowWriter):
             if (split, shard) in done:
                 raise ValueError(f"rows of shard {split}-{shard} do not lie together: use shard_layout")
             done.add((split, shard))
-            count, item = 0, first
+            count, item, waiting, held = 0, first, [], 0
             with replacing(self.path, f"{split}-{shard:02d}-{size}.tfrec") as stream:
                 while item is not None and item[0] == key:
-                    stream.write(fmt.frame(self._example(item[1], item[2])))
+                    waiting.append(self._example(item[1], item[2]))
+                    held += len(waiting[-1])
+                    if held >= fmt.GROUP_BYTES:
+                        stream.write(fmt.frame(waiting))
+                        waiting, held = [], 0
                     count, item = count + 1, next(rest, None)
+                stream.write(fmt.frame(waiting))
                 if count != size:
                     raise ValueError(f"shard {split}-{shard} holds {count} records, not {size}")
             return item, count
