@@ -40,7 +40,8 @@ def anomalies(df: DataFrame, features: list[Feature], split: str | None = "split
     rows = F.count(F.lit(1))
     for f in features:
         if f.name not in df.columns:
-            checks.append((f.name, "missing", "column", rows, F.lit(True)))
+            if f.min_fraction > 0:
+                checks.append((f.name, "missing", "column", rows, F.lit(True)))
             continue
         kind = df.schema[f.name].dataType
         x = F.col(f.name)
@@ -65,6 +66,8 @@ def anomalies(df: DataFrame, features: list[Feature], split: str | None = "split
             length = F.size(x) if is_list else F.lit(1)
             bad = F.count_if(x.isNotNull() & (length != F.lit(prod(f.shape))))
             checks.append((f.name, "shape", "x".join(map(str, f.shape)), bad, bad > 0))
+    if not checks:
+        raise ValueError("the schema declares nothing to check")
     found = F.array(*[
         F.struct(F.lit(name).alias("feature"), F.lit(rule).alias("rule"), F.lit(expected).alias("expected"),
                  bad.cast("bigint").alias("n_bad"), broken.alias("broken"))

@@ -6,7 +6,8 @@ count rows per bucket, cumulate the counts on that small table, and rank only in
 The result equals the window form. The bucket table has at most 65,536 rows per split, which is
 what makes broadcasting it safe at any data size.
 
-Keys must identify rows (an image path, an id). Pass several columns where one is not enough.
+Keys must identify rows (an image path, an id); pass several columns where one is not enough. Ranks
+of rows that share a key would be arbitrary, so such input fails instead of being ranked.
 """
 
 from __future__ import annotations
@@ -64,6 +65,14 @@ def _bucket_table(hashed: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
+def _next_place(order, *keys: str) -> Column:
+    """0-based position in a window; two neighbours with the same key fail the job."""
+    here = F.struct("_h", *keys)
+    message = F.concat(F.lit("rows share the key "), F.to_json(F.struct(*keys)), F.lit(": add columns to the keys"))
+    return F.when(F.lag(here).over(order) == here, F.raise_error(message).cast("int")).otherwise(
+        F.row_number().over(order) - 1)
+
+
 def global_rank(df: DataFrame, keys: Sequence[str], seed: int, by: Sequence[str] = (),
                 name: str = "rank") -> DataFrame:
     """Add the 0-based position of every row in seeded order, within each group of ``by``.
@@ -74,7 +83,7 @@ def global_rank(df: DataFrame, keys: Sequence[str], seed: int, by: Sequence[str]
     hashed = _hashed(df, keys, seed)
     table = _bucket_table(hashed.select(*by, "_bucket"), by)
     inside = Window.partitionBy(*by, "_bucket").orderBy("_h", *keys)
-    ranked = hashed.withColumn("_rn", F.row_number().over(inside) - 1)
+    ranked = hashed.withColumn("_rn", _next_place(inside, *keys))
     return (
         ranked.join(F.broadcast(table.select(*by, "_bucket", "_before")), [*by, "_bucket"], "left")
         .withColumn(name, F.col("_before") + F.col("_rn"))
@@ -215,7 +224,7 @@ def shard_layout(df: DataFrame, keys: Sequence[str], size: int, seed: int, by: s
     group = F.col("_base") - 1 + F.size(F.filter("_cuts", lambda cut: cut <= here))
     placed = hashed.join(F.broadcast(bounds), [by, "_bucket"], "left").withColumn("_group", group)
     order = Window.partitionBy(by, "_group").orderBy("_h", *keys)
-    rank = F.col("_group") * F.col("_step") + F.row_number().over(order) - 1
+    rank = F.col("_group") * F.col("_step") + _next_place(order, *keys)
     shard = F.floor(F.col("_rank") / F.lit(size)).cast("int")
     return (
         placed.withColumn("_rank", rank)

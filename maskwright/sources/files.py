@@ -1,4 +1,7 @@
-"""File trees on shared storage: read as rows, written by tasks with ``format("filetree")``."""
+"""File trees on shared storage, read and written by tasks with ``format("filetree")``: one row is one file.
+
+Spark's own binary file source leaves out empty and hidden files, which a copy of a tree must keep.
+"""
 
 from __future__ import annotations
 
@@ -6,10 +9,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import (
+    DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage)
 
-from maskwright.sources.storage import replacing
+from maskwright.sources.storage import open_path, pack, replacing, walk
 
 
 @dataclass
@@ -35,11 +39,38 @@ class TreeWriter(DataSourceArrowWriter):
         return FilesWritten(count)
 
 
-class TreeSink(DataSource):
+@dataclass
+class FileGroup(InputPartition):
+    paths: list[str]
+
+
+class TreeReader(DataSourceReader):
+    def __init__(self, options) -> None:
+        self.root = options["path"].rstrip("/")
+        self.pack = int(options.get("maxPartitionBytes", 32 << 20))
+
+    def partitions(self) -> list[FileGroup]:
+        return [FileGroup(paths) for paths in pack(walk(self.root), self.pack)] or [FileGroup([])]
+
+    def read(self, partition: FileGroup) -> Iterator[pa.RecordBatch]:
+        for path in partition.paths:
+            system, inner = open_path(f"{self.root}/{path}")
+            with system.open_input_stream(inner) as stream:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([path], pa.string()), pa.array([stream.read()], pa.binary())], ["path", "content"])
+
+
+class TreeSource(DataSource):
     @classmethod
     def name(cls) -> str:
         return "filetree"
 
+    def schema(self) -> str:
+        return "path string, content binary"
+
+    def reader(self, schema) -> DataSourceReader:
+        return TreeReader(self.options)
+
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
         if overwrite:
             raise ValueError("a file tree is written with mode('append') to a new folder")
@@ -50,16 +81,14 @@ class TreeSink(DataSource):
 
 def write_tree(df: DataFrame, root: str) -> None:
     """One file per row, named by the relative ``path``."""
-    df.sparkSession.dataSource.register(TreeSink)
+    df.sparkSession.dataSource.register(TreeSource)
     df.select("path", "content").write.format("filetree").mode("append").save(root)
 
 
 def read_tree(spark: SparkSession, root: str) -> DataFrame:
     """All files below ``root`` as ``(path, content)``, paths relative to it."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    inner = root.split(":", 1)[-1].strip("/")
-    relative = F.split_part("path", F.lit(f"{inner}/"), F.lit(2))
-    return files.select(relative.alias("path"), "content")
+    spark.dataSource.register(TreeSource)
+    return spark.read.format("filetree").load(root)
 
 
 def list_folder(spark: SparkSession, folder: str, suffix: str) -> DataFrame:

@@ -40,6 +40,26 @@ def list_files(path: str) -> list[tuple[str, int]]:
                   and not f.base_name.startswith((".", "_")))
 
 
+def walk(root: str) -> list[tuple[str, int]]:
+    """Every file below ``root``, hidden and empty ones too: (path relative to it, bytes), sorted."""
+    system, inner = open_path(root)
+    inner = inner.rstrip("/")
+    found = system.get_file_info(fs.FileSelector(inner, recursive=True))
+    return sorted((f.path[len(inner) + 1:], f.size) for f in found if f.type == fs.FileType.File)
+
+
+def pack(sizes: list[tuple[str, int]], target: int) -> list[list[str]]:
+    """Neighbouring files put together up to ``target`` bytes, so that small files share a task."""
+    groups, held = [], target
+    for path, size in sizes:
+        if held + size > target:
+            groups.append([])
+            held = 0
+        groups[-1].append(path)
+        held += size
+    return groups
+
+
 @contextmanager
 def replacing(folder: str, name: str):
     """Write ``folder/name`` whole or not at all: a hidden file is moved in place at the end.

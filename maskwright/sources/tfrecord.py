@@ -28,7 +28,7 @@ from maskwright.operators.ordering import check_split, shard_layout
 from maskwright.operators.tensors import IMAGE, IMAGE_SHAPE, LABEL, LABEL_SHAPE
 from maskwright.sources import record_format as fmt
 from maskwright.sources.schema_text import Feature, struct_type
-from maskwright.sources.storage import list_files, open_path, replacing
+from maskwright.sources.storage import list_files, open_path, pack, replacing
 
 DEFAULT_SCHEMA = ("split string, shard int, image array<float>, image_shape array<bigint>, "
                   "label array<float>, label_shape array<bigint>")
@@ -71,17 +71,9 @@ class RecordReader(DataSourceReader):
         return {"split": match[1], "shard": int(match[2])} if match else {"split": None, "shard": None}
 
     def partitions(self) -> Sequence[InputPartition]:
-        groups, size = [], self.pack
-        for path, length in list_files(self.path):
-            place = self._place(path)
-            if any(place[c] not in values for c, values in self.keep.items()):
-                continue
-            if size + length > self.pack:
-                groups.append(ShardGroup([]))
-                size = 0
-            groups[-1].files.append(path)
-            size += length
-        return groups or [ShardGroup([])]
+        kept = [(path, size) for path, size in list_files(self.path)
+                if all(self._place(path)[c] in values for c, values in self.keep.items())]
+        return [ShardGroup(files) for files in pack(kept, self.pack)] or [ShardGroup([])]
 
     def _rows(self, files: list[str]) -> Iterator[dict[str, object]]:
         names = [f.name for f in self.schema if f.name not in PLACE]
