@@ -1,112 +1,159 @@
 """Feature statistics, histograms and top values, per split.
 
-All features of a table are profiled in one scan: a row is unrolled to (feature, list of values)
-and then to values, and everything is summed per (split, feature) before the shuffle. Results
-have one row per split and feature, so joins back to them are broadcast.
+A tensor feature is unrolled to values and summed per split in the same stage (generated code, nothing
+is shuffled but a few sums per task). Each feature is its own branch that reads its own column
+only. Results have one row per split and feature; they are small enough to steer the next pass
+from the driver, and their number is checked.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 SEARCH_BUCKETS = 4096
+MAX_GROUPS = 100_000
 STATS = ["num_rows", "num_missing", "num_values", "min_size", "max_size", "avg_size", "mean", "std_dev",
          "num_zeros", "min", "median", "max"]
+Group = tuple[str | None, str]  # split, feature
 
 
-def _as_list(df: DataFrame, feature: str) -> Column:
-    kind = df.schema[feature].dataType
-    if isinstance(kind, T.ArrayType):
-        return F.col(feature).cast("array<double>")
-    return F.when(F.col(feature).isNotNull(), F.array(F.col(feature).cast("double")))
+def _group(split: str | None) -> Column:
+    return (F.col(split).cast("string") if split else F.lit("all")).alias("split")
 
 
-def _melt(df: DataFrame, features: Sequence[str], split: str | None) -> DataFrame:
-    """(split, feature, list) rows, one per row and feature."""
-    group = F.col(split) if split else F.lit("all")
-    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), _as_list(df, f).alias("list")) for f in features])
-    return df.select(group.alias("split"), F.inline(pairs))
+def _is_list(df: DataFrame, feature: str) -> bool:
+    return isinstance(df.schema[feature].dataType, T.ArrayType)
 
 
-def _values(df: DataFrame, features: Sequence[str], split: str | None) -> DataFrame:
-    """(split, feature, v) rows, one per value."""
-    return _melt(df, features, split).select("split", "feature", F.explode("list").alias("v"))
+def _values(df: DataFrame, feature: str, split: str | None) -> DataFrame:
+    """(split, v) rows, one per value; missing values and NaN are left out."""
+    value = F.explode(feature) if _is_list(df, feature) else F.col(feature)
+    rows = df.select(_group(split), value.alias("v")).select("split", F.col("v").cast("double").alias("v"))
+    return rows.filter(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
-def exact_quantiles(long: DataFrame, ranks: Sequence[float]) -> DataFrame:
-    """Order statistics of ``(split, feature, v)`` rows: ``(split, feature, rank, value)``.
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _few(df: DataFrame) -> list:
+    rows = df.take(MAX_GROUPS + 1)
+    if len(rows) > MAX_GROUPS:
+        raise ValueError("too many splits to profile: is this a split column?")
+    return rows
+
+
+def _named(parts: list[DataFrame], features: Sequence[str]) -> DataFrame:
+    return _union([part.withColumn("feature", F.lit(f)) for f, part in zip(features, parts)])
+
+
+def _moments(df: DataFrame, feature: str, split: str | None) -> DataFrame:
+    if _is_list(df, feature):
+        sized = df.select(_group(split), F.when(F.col(feature).isNotNull(), F.size(feature)).alias("size"),
+                          F.posexplode_outer(feature).alias("at", "x"))
+        first = F.coalesce(F.col("at"), F.lit(0)) == 0
+    else:
+        present = F.when(F.col(feature).isNotNull(), F.lit(1))
+        sized = df.select(_group(split), present.alias("size"), F.col(feature).alias("x"))
+        first = F.lit(True)
+    row_size, v = F.when(first, F.col("size")), F.col("x").cast("double")
+    number = F.when(~F.isnan(v), v)
+    return sized.groupBy("split").agg(
+        F.count_if(first).alias("num_rows"),
+        F.count_if(first & F.col("size").isNull()).alias("num_missing"),
+        F.count(v).alias("num_values"),
+        F.count(number).alias("n"),
+        F.min(row_size).alias("min_size"),
+        F.max(row_size).alias("max_size"),
+        F.avg(row_size).alias("avg_size"),
+        F.avg(number).alias("mean"),
+        F.stddev_pop(number).alias("std_dev"),
+        F.count_if(v == 0).alias("num_zeros"),
+        F.min(number).alias("min"),
+        F.max(number).alias("max"))
+
+
+def _ranges(df: DataFrame, features: Sequence[str], split: str | None) -> dict[Group, tuple[int, float, float]]:
+    """Number of values, smallest and largest, per split and feature."""
+    parts = [_values(df, f, split).groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")) for f in features]
+    return {(r["split"], r["feature"]): (r["n"], r["lo"], r["hi"]) for r in _few(_named(parts, features))}
+
+
+def _pick(intervals: list[tuple[str | None, float, float]]) -> Column:
+    """The number of the interval a value lies in, or null."""
+    return reduce(lambda rest, item: F.when(
+        F.col("split").eqNullSafe(F.lit(item[1][0])) & F.col("v").between(F.lit(item[1][1]), F.lit(item[1][2])),
+        F.lit(item[0])).otherwise(rest), list(enumerate(intervals)), F.lit(None).cast("int"))
+
+
+def search_quantiles(df: DataFrame, features: Sequence[str], split: str | None, ranks: Sequence[float],
+                     ranges: dict[Group, tuple[int, float, float]] | None = None) -> dict[Group, list[float]]:
+    """Exact order statistics per split and feature.
 
     The value at a rank is the one ``ceil(rank * n)`` places up the sorted values. It is searched for: count the
-    values in equal-width buckets, go on inside the bucket that holds the rank, narrowed to its
-    own smallest and largest value, until one value is left. Every pass returns one row per
-    wanted quantile; copies of a value and far outliers cost no memory. A few passes over the data,
-    where ``percentile`` would hold all distinct values of a feature in one task.
+    values in 4,096 equal buckets, go on inside the bucket that holds the rank, narrowed to its own smallest
+    and largest value, until one value is left. A pass returns one row per wanted quantile.
+    Copies of a value and far outliers cost no memory, where ``percentile`` would hold every
+    distinct value of a feature in one task. Whole-numbered pixels need one pass, measurements two or three.
     """
-    spark = long.sparkSession
-    values = long.filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    ends = values.groupBy("split", "feature").agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
-    # (split, feature, rank) -> (place within the interval, interval): one entry per wanted quantile
-    wanted = {(e["split"], e["feature"], r): (max(ceil(r * e["n"]), 1), e["lo"], e["hi"])
-              for e in ends for r in ranks}
-    while open_ones := {k: w for k, w in wanted.items() if w[1] != w[2]}:
-        intervals = spark.createDataFrame(sorted({(k[0], k[1], lo, hi) for k, (_, lo, hi) in open_ones.items()}),
-                                          "split string, feature string, lo double, hi double")
-        # Halved so that the width of a very wide interval stays finite.
-        share = (F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
-        bucket = F.least(F.floor(share * F.lit(float(SEARCH_BUCKETS))), F.lit(SEARCH_BUCKETS - 1)).cast("int")
-        counts = (
-            values.join(F.broadcast(intervals), ["split", "feature"])
-            .filter(F.col("v").between(F.col("lo"), F.col("hi")))
-            .groupBy("split", "feature", "lo", "hi", bucket.alias("bucket"))
-            .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most")))
-        places = spark.createDataFrame([(*k, *w) for k, w in open_ones.items()],
-                                       "split string, feature string, rank double, place bigint, lo double, hi double")
-        interval = ["split", "feature", "lo", "hi"]
-        running = Window.partitionBy(*interval).orderBy("bucket")
-        summed = counts.withColumn("upto", F.sum("n").over(running))
-        hits = summed.join(F.broadcast(places), interval).filter(
+    ranges = _ranges(df, features, split) if ranges is None else ranges
+    # (split, feature, rank) -> place within the interval, and the interval
+    wanted = {(*group, r): (max(ceil(r * n), 1), lo, hi) for group, (n, lo, hi) in ranges.items() if n for r in ranks}
+    while any(lo != hi for _, lo, hi in wanted.values()):
+        passes, intervals = [], {}
+        for f in features:
+            here = sorted({(k[0], lo, hi) for k, (_, lo, hi) in wanted.items() if k[1] == f and lo != hi},
+                          key=lambda i: (i[0] is None, str(i[0]), i[1]))
+            if not here:
+                continue
+            intervals[f] = here
+            lo, hi = (F.get(F.array(*[F.lit(i[side]) for i in here]), F.col("interval")) for side in (1, 2))
+            # Halved so that the width of a very wide interval stays finite.
+            share = (F.col("v") / 2 - lo / 2) / (hi / 2 - lo / 2)
+            bucket = F.least(F.floor(share * F.lit(float(SEARCH_BUCKETS))), F.lit(SEARCH_BUCKETS - 1)).cast("int")
+            inside = _values(df, f, split).withColumn("interval", _pick(here)).filter(F.col("interval").isNotNull())
+            passes.append(inside.groupBy("interval", bucket.alias("bucket")).agg(
+                F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most"))
+                .withColumn("feature", F.lit(f)))
+        running = Window.partitionBy("feature", "interval").orderBy("bucket")
+        summed = _union(passes).withColumn("upto", F.sum("n").over(running))
+        places = [(k[1], intervals[k[1]].index((k[0], lo, hi)), place, i)
+                  for i, (k, (place, lo, hi)) in enumerate(wanted.items()) if lo != hi]
+        table = df.sparkSession.createDataFrame(places, "feature string, interval int, place bigint, i int")
+        hits = summed.join(F.broadcast(table), ["feature", "interval"]).filter(
             (F.col("place") <= F.col("upto")) & (F.col("place") > F.col("upto") - F.col("n")))
-        for row in hits.collect():
-            place = row["place"] - (row["upto"] - row["n"])
-            wanted[row["split"], row["feature"], row["rank"]] = (place, row["least"], row["most"])
-    return spark.createDataFrame([(*k, lo) for k, (_, lo, _) in wanted.items()],
-                                 "split string, feature string, rank double, value double")
+        keys = list(wanted)
+        for row in hits.collect():  # one row per open quantile
+            wanted[keys[row["i"]]] = (row["place"] - (row["upto"] - row["n"]), row["least"], row["most"])
+    found: dict[Group, list[float]] = {}
+    for (where, feature, _), (_, lo, _) in wanted.items():
+        found.setdefault((where, feature), []).append(lo)
+    return found
+
+
+def _stats_type() -> str:
+    whole = ("num_rows", "num_missing", "num_values", "num_zeros")
+    kinds = {c: "bigint" if c in whole else "int" if c in ("min_size", "max_size") else "double" for c in STATS}
+    return "split string, feature string, " + ", ".join(f"`{c}` {kind}" for c, kind in kinds.items())
 
 
 def feature_stats_wide(df: DataFrame, features: Sequence[str], split: str | None = "split",
-                       exact_median: bool = False, accuracy: int = 100_000) -> DataFrame:
-    """Numeric statistics, one row per split and feature.
+                       median: bool = True) -> DataFrame:
+    """Numeric statistics, one row per split and feature, computed when called.
 
-    By default everything comes from one scan and the median has a rank error of at most 1 in
-    ``accuracy`` of the values. ``exact_median`` searches for it with further scans.
+    One pass over each feature gives all but the median; that one takes further passes and can be left out.
     """
-    melted = _melt(df, features, split).withColumn("size", F.size("list"))
-    long = melted.select("split", "feature", F.when(F.col("list").isNotNull(), F.col("size")).alias("size"),
-                         F.posexplode_outer("list").alias("at", "v"))
-    first = F.coalesce(F.col("at"), F.lit(0)) == 0
-    row_size = F.when(first, F.col("size"))
-    sums = [
-        F.count_if(first).alias("num_rows"),
-        F.count_if(F.col("size").isNull()).alias("num_missing"),
-        F.count("v").alias("num_values"),
-        F.min(row_size).alias("min_size"),
-        F.max(row_size).alias("max_size"),
-        F.avg(row_size).alias("avg_size"),
-        F.avg("v").alias("mean"),
-        F.stddev_pop("v").alias("std_dev"),
-        F.count_if(F.col("v") == 0).alias("num_zeros"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max")]
-    if not exact_median:
-        sums.append(F.percentile_approx("v", F.lit(0.5), F.lit(accuracy)).alias("median"))
-        return long.groupBy("split", "feature").agg(*sums)
-    medians = exact_quantiles(_values(df, features, split), [0.5]).select(
-        "split", "feature", F.col("value").alias("median"))
-    return long.groupBy("split", "feature").agg(*sums).join(F.broadcast(medians), ["split", "feature"], "left")
+    rows = _few(_named([_moments(df, f, split) for f in features], features))
+    ranges = {(r["split"], r["feature"]): (r["n"], r["min"], r["max"]) for r in rows}
+    medians = search_quantiles(df, features, split, [0.5], ranges) if median else {}
+    table = [(r["split"], r["feature"], *[
+        medians.get((r["split"], r["feature"]), [None])[0] if c == "median" else r[c] for c in STATS]) for r in rows]
+    return df.sparkSession.createDataFrame(table, _stats_type())
 
 
 def to_long(stats: DataFrame, names: Sequence[str] = STATS) -> DataFrame:
@@ -116,8 +163,8 @@ def to_long(stats: DataFrame, names: Sequence[str] = STATS) -> DataFrame:
 
 
 def feature_stats(df: DataFrame, features: Sequence[str], split: str | None = "split",
-                  exact_median: bool = False) -> DataFrame:
-    return to_long(feature_stats_wide(df, features, split, exact_median))
+                  median: bool = True) -> DataFrame:
+    return to_long(feature_stats_wide(df, features, split, median))
 
 
 def histogram(df: DataFrame, features: Sequence[str], split: str | None = "split", buckets: int = 10,
@@ -127,35 +174,37 @@ def histogram(df: DataFrame, features: Sequence[str], split: str | None = "split
     The range is that of the split, or of all splits with ``shared_range``. The last bucket
     includes the maximum; a feature with one value has everything in bucket 0.
     """
-    long = _values(df, features, split).filter(F.col("v").isNotNull())
-    keys = ["feature"] if shared_range else ["split", "feature"]
-    ranges = long.groupBy(*keys).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    at = F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(float(buckets)))
-    bucket = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
-        F.least(F.greatest(at, F.lit(0)), F.lit(buckets - 1))).cast("int")
-    placed = long.join(F.broadcast(ranges), keys).withColumn("bucket", bucket)
-    width = (F.col("hi") - F.col("lo")) / F.lit(float(buckets))
-    return (
-        placed.groupBy("split", "feature", "bucket", "lo", "hi").agg(F.count(F.lit(1)).alias("n"))
-        .select("split", "feature", "bucket", (F.col("lo") + width * F.col("bucket")).alias("low"),
-                (F.col("lo") + width * (F.col("bucket") + 1)).alias("high"), "n"))
-
-
-def quantile_histogram(df: DataFrame, features: Sequence[str], split: str | None = "split", buckets: int = 10,
-                       exact: bool = False, accuracy: int = 100_000) -> DataFrame:
-    """Bucket edges at equal ranks: ``(split, feature, bucket, low, high)``."""
-    long = _values(df, features, split)
-    ranks = [i / buckets for i in range(buckets + 1)]
-    if exact:
-        found = F.sort_array(F.collect_list(F.struct("rank", "value")))
-        edges = exact_quantiles(long, ranks).groupBy("split", "feature").agg(
-            F.transform(found, lambda pair: pair["value"]).alias("e"))
-    else:
-        edges = long.groupBy("split", "feature").agg(
-            F.percentile_approx("v", F.lit(ranks), F.lit(accuracy)).alias("e"))
-    cuts = F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), lambda i: F.struct(
-        i.alias("bucket"), F.get("e", i).alias("low"), F.get("e", i + 1).alias("high")))
-    return edges.select("split", "feature", F.inline(cuts))
+    ranges = _ranges(df, features, split)
+    parts = []
+    for f in features:
+        here = {where: (lo, hi) for (where, feature), (_, lo, hi) in ranges.items() if feature == f}
+        if shared_range and here:
+            ends = min(lo for lo, _ in here.values()), max(hi for _, hi in here.values())
+            here = dict.fromkeys(here, ends)
+
+        def end(side: int) -> Column:
+            return reduce(lambda rest, item: F.when(F.col("split").eqNullSafe(F.lit(item[0])), F.lit(item[1][side]))
+                          .otherwise(rest), here.items(), F.lit(None).cast("double"))
+
+        lo, hi = end(0), end(1)
+        at = F.floor((F.col("v") - lo) / (hi - lo) * F.lit(float(buckets)))
+        bucket = F.when(hi == lo, F.lit(0)).otherwise(F.least(F.greatest(at, F.lit(0)), F.lit(buckets - 1)))
+        counts = _values(df, f, split).groupBy("split", bucket.cast("int").alias("bucket")).agg(
+            F.count(F.lit(1)).alias("n"))
+        width = (hi - lo) / F.lit(float(buckets))
+        parts.append(counts.select("split", F.lit(f).alias("feature"), "bucket",
+                                   (lo + width * F.col("bucket")).alias("low"),
+                                   (lo + width * (F.col("bucket") + 1)).alias("high"), "n"))
+    return _union(parts)
+
+
+def quantile_histogram(df: DataFrame, features: Sequence[str], split: str | None = "split",
+                       buckets: int = 10) -> DataFrame:
+    """Bucket edges at equal ranks: ``(split, feature, bucket, low, high)``, computed when called."""
+    edges = search_quantiles(df, features, split, [i / buckets for i in range(buckets + 1)])
+    rows = [(*group, i, e[i], e[i + 1]) for group, e in edges.items() for i in range(buckets)]
+    return df.sparkSession.createDataFrame(
+        rows, "split string, feature string, bucket int, low double, high double")
 
 
 def top_values(df: DataFrame, features: Sequence[str], k: int, split: str | None = "split") -> DataFrame:
@@ -164,10 +213,9 @@ def top_values(df: DataFrame, features: Sequence[str], k: int, split: str | None
     Counts are summed per value first and Spark cuts each partition to ``k`` rows before the ranking
     shuffle, so a feature with millions of distinct values does not land in one task.
     """
-    group = F.col(split) if split else F.lit("all")
     pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("value"))
                       for f in features])
-    long = df.select(group.alias("split"), F.inline(pairs)).filter(F.col("value").isNotNull())
+    long = df.select(_group(split), F.inline(pairs)).filter(F.col("value").isNotNull())
     counts = long.groupBy("split", "feature", "value").agg(F.count(F.lit(1)).alias("n"))
     distinct = counts.groupBy("split", "feature").agg(F.count(F.lit(1)).alias("n_distinct"))
     order = Window.partitionBy("split", "feature").orderBy(F.desc("n"), "value")

@@ -74,14 +74,27 @@ def test_missing_column_is_reported_when_required(spark):
 def test_statistics_of_lists_and_scalars(spark):
     df = spark.createDataFrame([("train", [1.0, 3.0], 5, ""), ("train", None, None, ""), ("train", [], 0, ""),
                                 ("train", [0.0, 0.0, 2.0], 7, "")], FRAME)
-    for exact in (False, True):
-        got = {r["feature"]: r for r in
-               profile.feature_stats_wide(df, ["image", "label"], exact_median=exact).collect()}
+    for median in (False, True):
+        got = {r["feature"]: r for r in profile.feature_stats_wide(df, ["image", "label"], median=median).collect()}
         image, label = got["image"], got["label"]
         assert (image["num_rows"], image["num_missing"], image["num_values"]) == (4, 1, 5)
         assert (image["min_size"], image["max_size"], image["avg_size"]) == (0, 3, 5 / 3)
-        assert (image["num_zeros"], image["min"], image["median"], image["max"]) == (2, 0.0, 1.0, 3.0)
-        assert (label["num_rows"], label["num_missing"], label["median"]) == (4, 1, 5.0)
+        assert (image["num_zeros"], image["min"], image["max"]) == (2, 0.0, 3.0)
+        assert image["median"] == (1.0 if median else None) and label["median"] == (5.0 if median else None)
+        assert (label["num_rows"], label["num_missing"]) == (4, 1)
+
+
+def test_nan_is_counted_but_not_averaged(spark):
+    df = spark.createDataFrame([("a", [1.0, float("nan"), 3.0], 0, "")], FRAME)
+    row = profile.feature_stats_wide(df, ["image"]).first()
+    assert (row["num_values"], row["mean"], row["max"], row["median"]) == (3, 2.0, 3.0, 1.0)
+
+
+def test_a_split_column_with_many_values_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(profile, "MAX_GROUPS", 5)
+    df = spark.range(10).withColumn("x", F.col("id"))
+    with pytest.raises(ValueError, match="too many splits"):
+        profile.feature_stats(df, ["x"], "id")
 
 
 @pytest.mark.parametrize("values", [
@@ -90,11 +103,12 @@ def test_statistics_of_lists_and_scalars(spark):
 ])
 def test_exact_quantiles_match_sorting(spark, values):
     ranks = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    long = spark.createDataFrame([("s", "f", v) for v in values] + [("s", "f", None)],
-                                 "split string, feature string, v double")
-    got = {r["rank"]: r["value"] for r in profile.exact_quantiles(long, ranks).collect()}
+    df = spark.createDataFrame([("s", v) for v in values] + [("s", None), (None, 1.0), (None, 2.0)],
+                               "split string, f double")
+    got = profile.search_quantiles(df, ["f"], "split", ranks)
     ordered = sorted(values)
-    assert got == {p: ordered[max(ceil(p * len(values)), 1) - 1] for p in ranks}
+    assert got == {("s", "f"): [ordered[max(ceil(p * len(values)), 1) - 1] for p in ranks],
+                   (None, "f"): [1.0, 1.0, 1.0, 1.0, 2.0, 2.0]}
 
 
 def test_histogram_counts_everything_once(spark):
