@@ -84,6 +84,10 @@ def cell_index(position: Column, *dims: int) -> list[Column]:
 
 # --- Arrow functions ---
 
+CHUNK_BYTES = 1 << 20
+_ELEMENTS = {"float": (np.float32, pa.float32()), "int": (np.int32, pa.int32()), "double": (np.float64, pa.float64())}
+
+
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The values of a list array and the offsets into them; a null row has length 0."""
     lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
@@ -126,16 +130,18 @@ def _stacks(values: pa.Array, shapes: pa.Array):
 
 def tensor_function(step: Callable[[np.ndarray], np.ndarray], element: str = "float"):
     """An Arrow function ``(values, shape) -> values`` from a numpy step over a stack of tensors."""
-    dtype, kind = {"float": (np.float32, pa.float32()), "int": (np.int32, pa.int32()),
-                   "double": (np.float64, pa.float64())}[element]
+    dtype, kind = _ELEMENTS[element]
 
     @F.arrow_udf(f"array<{element}>")
     def apply(values: pa.Array, shapes: pa.Array) -> pa.Array:
         out: list[np.ndarray | None] = [None] * len(values)
         for rows, _, stack in _stacks(values, shapes):
-            result = np.ascontiguousarray(step(stack), dtype=dtype).reshape(len(rows), -1)
-            for row, line in zip(rows, result):
-                out[row] = line
+            some = max(1, CHUNK_BYTES // max(1, stack[0].nbytes))  # a chunk stays in the processor cache
+            for start in range(0, len(rows), some):
+                part = rows[start:start + some]
+                result = np.ascontiguousarray(step(stack[start:start + some]), dtype=dtype).reshape(len(part), -1)
+                for row, line in zip(part, result):
+                    out[row] = line
         valid = np.array([line is not None for line in out], dtype=bool)
         lines = [line for line in out if line is not None]
         flat = np.concatenate(lines) if lines else np.empty(0, dtype)
@@ -145,6 +151,22 @@ def tensor_function(step: Callable[[np.ndarray], np.ndarray], element: str = "fl
     return apply
 
 
+def flat_function(step: Callable[[np.ndarray], np.ndarray], element: str = "float"):
+    """An Arrow function from a numpy step that maps the joined values of many rows one by one.
+
+    The step must keep the number of values; rows must hold whole pixels if it looks at channels.
+    """
+    dtype, kind = _ELEMENTS[element]
+
+    @F.arrow_udf(f"array<{element}>")
+    def apply(values: pa.Array) -> pa.Array:
+        flat, offsets = _flat(values)
+        present = values.is_valid().to_numpy(zero_copy_only=False)
+        return _lists(step(flat).astype(dtype, copy=False).ravel(), np.diff(offsets), present, kind)
+
+    return apply
+
+
 def _axis_weights(size: int, target: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Half-pixel centres: the two source lines of every target line and the blend between them."""
     scale = np.float32(size) / np.float32(target)

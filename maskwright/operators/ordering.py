@@ -12,7 +12,7 @@ of rows that share a key would be arbitrary, so such input fails instead of bein
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
@@ -20,6 +20,7 @@ from maskwright.session import materialise
 
 PREFIX = 4  # hex digits: 65,536 buckets
 MAX_CUTS = 1 << 17
+MAX_SPLITS = 16
 FEW_KEYS = 50_000
 SPLITS = ("train", "val")
 
@@ -77,15 +78,16 @@ def global_rank(df: DataFrame, keys: Sequence[str], seed: int, by: Sequence[str]
                 name: str = "rank") -> DataFrame:
     """Add the 0-based position of every row in seeded order, within each group of ``by``.
 
-    ``by`` must be a small set of values such as split names, without nulls. The left join only
-    spares Spark a second hash per row; every bucket has its row in the table.
+    ``by`` must not hold nulls. The ranking shuffles rows by bucket once; the table of bucket
+    offsets is joined on the same columns, so the ranked rows stay where they are. (The join is a
+    left join only to spare Spark a second hash per row; every bucket has its row in the table.)
     """
     hashed = _hashed(df, keys, seed)
     table = _bucket_table(hashed.select(*by, "_bucket"), by)
     inside = Window.partitionBy(*by, "_bucket").orderBy("_h", *keys)
     ranked = hashed.withColumn("_rn", _next_place(inside, *keys))
     return (
-        ranked.join(F.broadcast(table.select(*by, "_bucket", "_before")), [*by, "_bucket"], "left")
+        ranked.join(table.select(*by, "_bucket", "_before"), [*by, "_bucket"], "left")
         .withColumn(name, F.col("_before") + F.col("_rn"))
         .select(*df.columns, name)
     )
@@ -110,8 +112,10 @@ def sorted_rank(df: DataFrame, order: Sequence[str], name: str = "rank") -> Data
     )
 
 
-def find_cut(df: DataFrame, keys: Sequence[str], fraction: float, seed: int) -> Row | None:
-    """The hash and keys of the first row of the tail, or None when the tail is empty.
+def find_cut(df: DataFrame, keys: Sequence[str], seed: int, place: Callable[[int], int]) -> tuple[Row | None, int]:
+    """The hash and keys of the row at a position in seeded order, and the number of rows.
+
+    ``place`` gives the position for a row count; the row is None when the position is at or beyond the end.
 
     A radix search over hash digits: count rows per 4-digit prefix, keep the prefix that holds the cut, go on
     with its next digits until few keys are left. Every pass reads the key columns alone, sums before
@@ -126,9 +130,9 @@ def find_cut(df: DataFrame, keys: Sequence[str], fraction: float, seed: int) ->
                         inside.groupBy(digits.alias("d")).agg(F.count(F.lit(1)).alias("n")).collect())
         if cut is None:
             total = sum(n for _, n in counts)
-            cut = total - int(total * fraction)
+            cut = place(total)
             if cut >= total:
-                return None
+                return None, total
         for step, n in counts:
             if before + n > cut:
                 break
@@ -139,13 +143,21 @@ def find_cut(df: DataFrame, keys: Sequence[str], fraction: float, seed: int) ->
     groups = narrow.filter(F.startswith("_h", F.lit(prefix))).groupBy("_h", *keys).agg(F.count(F.lit(1)).alias("_n"))
     for row in groups.orderBy("_h", *keys).take(FEW_KEYS):
         if before == cut:
-            return row
+            return row, total
         if before + row["_n"] > cut:
             break
         before += row["_n"]
     raise ValueError(f"rows that share the key {keys} lie on both sides of the cut: add columns that tell them apart")
 
 
+def _before(df: DataFrame, keys: Sequence[str], seed: int, cut: Row) -> Column:
+    """True for rows ahead of the cut row in seeded order."""
+    kinds = {f.name: f.dataType for f in df.schema}
+    here = F.struct(order_hash(seed, *keys).alias("_h"), *keys)
+    at = F.struct(F.lit(cut["_h"]).alias("_h"), *[F.lit(cut[k]).cast(kinds[k]).alias(k) for k in keys])
+    return here < at
+
+
 def exact_split(df: DataFrame, keys: Sequence[str], fraction: float, seed: int,
                 names: tuple[str, str] = SPLITS) -> DataFrame:
     """Add ``split``: exactly ``int(n * fraction)`` rows, the last in seeded order, go to the second name.
@@ -157,13 +169,10 @@ def exact_split(df: DataFrame, keys: Sequence[str], fraction: float, seed: int,
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must lie in 0..1")
     first, second = names
-    cut = find_cut(df, keys, fraction, seed)
+    cut, _ = find_cut(df, keys, seed, lambda total: total - int(total * fraction))
     if cut is None:
         return df.withColumn("split", F.lit(first))
-    kinds = {f.name: f.dataType for f in df.schema}
-    here = F.struct(order_hash(seed, *keys).alias("_h"), *keys)
-    at = F.struct(F.lit(cut["_h"]).alias("_h"), *[F.lit(cut[k]).cast(kinds[k]).alias(k) for k in keys])
-    return df.withColumn("split", F.when(here >= at, F.lit(second)).otherwise(F.lit(first)))
+    return df.withColumn("split", F.when(_before(df, keys, seed, cut), F.lit(first)).otherwise(F.lit(second)))
 
 
 def bucket_split(df: DataFrame, keys: Sequence[str], fraction: float, seed: int,
@@ -195,14 +204,20 @@ def shard_plan(df: DataFrame, keys: Sequence[str], size: int, seed: int) -> Data
 
 
 def shard_layout(df: DataFrame, keys: Sequence[str], size: int, seed: int, by: str = "split",
-                 shards_per_task: int = 16) -> DataFrame:
+                 shards_per_task: int = 16, keep: Sequence[str] = ()) -> DataFrame:
     """Rows placed for a shard writer: add ``shard``, ``shard_size`` and ``position`` in the shard.
 
+    Rows come out partitioned by ``by`` and ``_group`` (name it in ``keep`` to go on grouping without a shuffle).
+
     Wide rows are shuffled once. A narrow pass over (split, hash) finds the hashes at which
     groups of whole shards begin; rows find their group by comparing hashes, and each group is
     ranked and later written by one task. A group holds ``size * shards_per_task`` records, more
-    only where that would make over 131,072 groups, so the broadcast table of cuts stays bounded.
+    only where that would make over 131,072 groups per split; with the check on the number of splits that
+    bounds the broadcast tables whatever the data size.
     """
+    splits = df.select(by).distinct().limit(MAX_SPLITS + 1).count()
+    if splits > MAX_SPLITS:
+        raise ValueError(f"column {by} holds more than {MAX_SPLITS} values: is it a split?")
     hashed = _hashed(df, keys, seed)
     narrow = hashed.select(by, "_bucket", "_h", *keys)
     table = _bucket_table(narrow.select(by, "_bucket"), [by])
@@ -231,7 +246,7 @@ def shard_layout(df: DataFrame, keys: Sequence[str], size: int, seed: int, by: s
         .withColumn("shard", shard)
         .withColumn("shard_size", F.least(F.lit(size), F.col("_total") - F.col("shard") * F.lit(size)).cast("int"))
         .withColumn("position", (F.col("_rank") % F.lit(size)).cast("int"))
-        .select(*df.columns, "shard", "shard_size", "position")
+        .select(*df.columns, "shard", "shard_size", "position", *keep)
     )
 
 
@@ -246,18 +261,18 @@ def epochs(df: DataFrame, keys: Sequence[str], count: int, batch: int, seed: int
     return shard_ids(repeated, order, batch, seed, by=("epoch",), name="batch_id")
 
 
-def step_feed(df: DataFrame, keys: Sequence[str], steps: int, batch: int, seed: int,
-              total: int | None = None) -> DataFrame:
+def step_feed(df: DataFrame, keys: Sequence[str], steps: int, batch: int, seed: int) -> DataFrame:
     """Exactly ``steps`` full batches: the first rows in seeded order, repeated when data run short.
 
-    ``total`` is the row count, counted here when not given; it fixes the number of passes.
+    Long data are cut by hash before anything is ranked, so only the rows of the feed are shuffled.
     """
     wanted = steps * batch
-    total = df.count() if total is None else total
+    cut, total = find_cut(df, keys, seed, lambda _: wanted)
     if total == 0:
         raise ValueError("cannot feed from an empty dataset")
+    chosen = df if cut is None else df.filter(_before(df, keys, seed, cut))
     passes = -(-wanted // total)
-    ranked = global_rank(df, keys, seed, name="_rank").filter(F.col("_rank") < F.lit(wanted))
+    ranked = global_rank(chosen, keys, seed, name="_rank")
     repeated = ranked.withColumn("_pass", F.explode(F.sequence(F.lit(0), F.lit(passes - 1))))
     place = F.col("_pass") * F.lit(total) + F.col("_rank")
     return (

@@ -7,23 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from maskwright.functions import base64url
-from maskwright.operators.ordering import global_rank
+from maskwright.operators.ordering import shard_layout
 
 
 def build_requests(df: DataFrame, keys: Sequence[str], payload: str, size: int, seed: int,
                    field: str = "string_input") -> DataFrame:
     """One request per batch of ``size`` rows in seeded order: ``{"instances": [{field: base64}]}``.
 
-    A group is a batch, so at most ``size`` payloads are gathered.
+    Payloads are shuffled once, to the task that ranks them; a batch lies within it, so at most
+    ``size`` payloads are gathered at a time and no second shuffle follows.
     """
-    ranked = global_rank(df.select(*keys, payload), keys, seed, name="_rank")
+    rows = df.select(*keys, payload).withColumn("split", F.lit("all"))
+    placed = shard_layout(rows, keys, size, seed, keep=["_group"])
     instance = F.struct(base64url.encode(F.col(payload)).alias(field))
-    batched = ranked.select(
-        F.floor(F.col("_rank") / F.lit(size)).cast("int").alias("batch_id"),
-        F.struct(F.col("_rank"), instance.alias("instance")).alias("_item"))
-    grouped = batched.groupBy("batch_id").agg(F.sort_array(F.collect_list("_item")).alias("_items"))
+    grouped = placed.groupBy("split", "_group", "shard").agg(
+        F.sort_array(F.collect_list(F.struct("position", instance.alias("instance")))).alias("_items"))
     body = F.struct(F.transform("_items", lambda item: item["instance"]).alias("instances"))
-    return grouped.select("batch_id", F.size("_items").alias("n"), F.to_json(body).alias("request"))
+    return grouped.select(F.col("shard").alias("batch_id"), F.size("_items").alias("n"),
+                          F.to_json(body).alias("request"))
 
 
 def explode_requests(requests: DataFrame, body: str = "request", field: str = "string_input") -> DataFrame:

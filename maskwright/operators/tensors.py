@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from importlib import import_module
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from maskwright.functions import arrays
@@ -83,20 +84,17 @@ def channel_moments(df: DataFrame, values: str, channels: int, by: Sequence[str]
 def standardise_dataset(df: DataFrame, values: str, channels: int, epsilon: float = 1e-3) -> DataFrame:
     """Standardise each channel by its mean and variance over the whole dataset.
 
-    Moments are one row per channel. They are folded into a single row of two arrays and joined
-    on a constant, so the tensors stay one row each and are not shuffled.
+    The moments (one row per channel) are computed when called; applying them then touches each
+    row alone, so the tensors are neither joined nor shuffled.
     """
-    moments = channel_moments(df, values, channels).agg(
-        F.sort_array(F.collect_list(F.struct("c", "mean", "variance"))).alias("_moments")
-    ).withColumn("_one", F.lit(1))
-    joined = df.withColumn("_one", F.lit(1)).join(F.broadcast(moments), "_one")
-    mean = F.transform("_moments", lambda m: m["mean"])
-    deviation = F.transform("_moments", lambda m: F.sqrt(m["variance"] + F.lit(epsilon)))
-    standard = joined.withColumns({"_mean": mean, "_dev": deviation}).withColumn(
-        values,
-        F.transform(values, lambda x, i: (x.cast("double") - F.get("_mean", i % channels))
-                    / F.get("_dev", i % channels)))
-    return standard.select(*df.columns)
+    rows = channel_moments(df, values, channels).orderBy("c").collect()
+    if not rows:
+        return df.withColumn(values, F.col(values).cast("array<double>"))
+    mean = np.array([r["mean"] for r in rows])
+    deviation = np.sqrt(np.array([r["variance"] for r in rows]) + epsilon)
+    apply = arrays.flat_function(lambda flat: (flat.reshape(-1, channels).astype(np.float64) - mean) / deviation,
+                                 "double")
+    return df.withColumn(values, apply(F.col(values)))
 
 
 def concat_tensors(left: DataFrame, right: DataFrame, key: str, values: str, shape: str) -> DataFrame:

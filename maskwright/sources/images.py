@@ -58,13 +58,15 @@ def scan_images(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
 def load_pairs(spark: SparkSession, image_folder: str, mask_folder: str, image_suffix: str = ".jpg",
                mask_suffix: str = ".png") -> DataFrame:
     """Images joined with their masks by file stem, as flat float tensors with shapes."""
-    images = scan_images(spark, image_folder, image_suffix).select(
+    images = scan_images(spark, image_folder, image_suffix)
+    masks = scan_images(spark, mask_folder, mask_suffix).withColumnRenamed("image", "mask")
+    # Joined as 8-bit pixels, a quarter of the size of the float tensors.
+    pairs = pair_by_key(images, masks, "key")
+    return pairs.select(
         "key", to_rgb(F.col("image")).alias(IMAGE),
-        shape_of(F.col("image.height"), F.col("image.width"), 3).alias(IMAGE_SHAPE))
-    masks = scan_images(spark, mask_folder, mask_suffix).select(
-        "key", to_grey(F.col("image")).alias(LABEL),
-        shape_of(F.col("image.height"), F.col("image.width")).alias(LABEL_SHAPE))
-    return pair_by_key(images, masks, "key")
+        shape_of(F.col("image.height"), F.col("image.width"), 3).alias(IMAGE_SHAPE),
+        to_grey(F.col("mask")).alias(LABEL),
+        shape_of(F.col("mask.height"), F.col("mask.width")).alias(LABEL_SHAPE))
 
 
 def scan_payloads(spark: SparkSession, path: str, image: str = "pixel_values", label: str = "label",

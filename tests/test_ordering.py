@@ -113,7 +113,8 @@ def test_step_feed_repeats_short_data_and_cuts_long_data(spark):
     rows = ordering.step_feed(spark.range(10), ["id"], 4, 8, 1).collect()
     assert len(rows) == 32 and set(Counter(r["id"] for r in rows).values()) == {3, 4}
     assert len({(r["step"], r["position"]) for r in rows}) == 32
-    assert ordering.step_feed(spark.range(1000), ["id"], 4, 8, 1).count() == 32
+    long = ordering.step_feed(spark.range(1000), ["id"], 4, 8, 1).collect()
+    assert {r["id"]: r["step"] * 8 + r["position"] for r in long} == {k: i for i, k in enumerate(order(1, 1000)[:32])}
     with pytest.raises(ValueError):
         ordering.step_feed(spark.range(0), ["id"], 1, 1, 1)
 
@@ -158,3 +159,14 @@ def test_rows_that_share_a_key_are_refused(spark):
         ordering.global_rank(twice, ["id"], 1).collect()
     with pytest.raises(Exception, match="rows share the key"):
         ordering.shard_layout(twice, ["id"], 8, 1, shards_per_task=1).collect()
+
+
+def test_ranked_rows_are_shuffled_once(spark):
+    plan = ordering.global_rank(spark.range(10**6).withColumn("wide", F.repeat(F.lit("x"), 100)), ["id"], 1
+                                )._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("wide") and plan.count("Exchange hashpartitioning(_bucket") == 2  # rows, and bucket counts
+
+
+def test_layout_needs_few_splits(spark):
+    with pytest.raises(ValueError, match="is it a split"):
+        ordering.shard_layout(spark.range(100).withColumn("split", F.col("id").cast("string")), ["id"], 8, 1)
