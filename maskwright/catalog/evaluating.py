@@ -9,6 +9,7 @@ from maskwright.operators import gate, metrics
 from maskwright.operators.pairing import pair_by_key
 from maskwright.operators.tensors import to_cells
 from maskwright.session import scratch_path
+from maskwright.sources import tables
 
 METRIC = "SparseCategoricalAccuracy"
 XENT = "SparseCategoricalCrossentropy"
@@ -57,9 +58,9 @@ def pixel_accuracy(spark: SparkSession, folder: str) -> DataFrame:
 def eval_readback(spark: SparkSession, folder: str) -> DataFrame:
     """The evaluation written as a table and read back."""
     path = scratch_path(spark, "evaluation")
-    metrics.evaluate(_judged(spark, folder), "truth", "candidate", [METRIC], [(), ("lang",), ("truth", "lang")]
-                     ).write.partitionBy("slice_key").parquet(path)
-    return spark.read.parquet(path).select(
+    slices = [(), ("lang",), ("truth", "lang")]
+    tables.append_run(metrics.evaluate(_judged(spark, folder), "truth", "candidate", [METRIC], slices), path, 1)
+    return tables.read_run(spark, path).select(
         "slice_key", "slice_value", "metric", F.round("value", 6).alias("value"), "n")
 
 

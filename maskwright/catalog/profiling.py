@@ -8,6 +8,7 @@ from maskwright.catalog.views import SEED, embeddings, sql_split, table
 from maskwright.operators import compare, constraints, profile
 from maskwright.operators.ordering import bucket_split
 from maskwright.session import scratch_path
+from maskwright.sources import tables
 from maskwright.sources.schema_text import constraint_table, parse_schema
 
 VECTORS = """
@@ -60,9 +61,8 @@ def feature_stats_lineitem(spark: SparkSession, folder: str) -> DataFrame:
 def stats_readback(spark: SparkSession, folder: str) -> DataFrame:
     """Statistics written per split, then one split read back (only its folder is opened)."""
     path = scratch_path(spark, "statistics")
-    profile.feature_stats(_vectors(spark, folder), VECTOR_FEATURES).write.partitionBy("split").parquet(path)
-    stats = spark.read.parquet(path).filter(F.col("split") == "train")
-    return stats.select("feature", "stat", F.round("value", 5).alias("value"))
+    tables.append_run(profile.feature_stats(_vectors(spark, folder), VECTOR_FEATURES), path, 1, "split")
+    return tables.read_stats(spark, path, "train").select("feature", "stat", F.round("value", 5).alias("value"))
 
 
 def histogram(spark: SparkSession, folder: str) -> DataFrame:

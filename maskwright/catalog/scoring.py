@@ -10,6 +10,7 @@ from maskwright.functions import arrays
 from maskwright.operators import compare, requests, scoring, tensors
 from maskwright.operators.ordering import bucket_split
 from maskwright.session import scratch_path
+from maskwright.sources import tables
 from maskwright.sources.palettes import PETS
 from maskwright.streaming.score import read_stream, score_stream
 
@@ -32,10 +33,10 @@ def centroid_fit_score(spark: SparkSession, folder: str) -> DataFrame:
 def transform_view(spark: SparkSession, folder: str) -> DataFrame:
     """Transform only, stored per split and read back as features and label."""
     path = scratch_path(spark, "transformed")
-    tensors.preprocess(_examples(spark, folder)).write.partitionBy("split").parquet(path)
-    rows = spark.read.parquet(path).filter(F.col("split") == "eval")
-    return rows.select("vec_id", "label_xf", F.posexplode("image_xf").alias("i", "v")).withColumn(
-        "v", F.col("v").cast("double"))
+    tables.write_transformed(tensors.preprocess(_examples(spark, folder)), path)
+    rows = tables.read_transformed(spark, path, "eval")
+    return rows.select("features.vec_id", F.col("label").alias("label_xf"),
+                       F.posexplode("features.image_xf").alias("i", "v")).withColumn("v", F.col("v").cast("double"))
 
 
 def mllib_fit_score(spark: SparkSession, folder: str) -> DataFrame:

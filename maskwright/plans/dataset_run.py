@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from maskwright.operators import constraints, gate, metrics, profile, registry, scoring, tensors
-from maskwright.sources import schema_text, tfrecord
+from maskwright.sources import schema_text, tables, tfrecord
 from maskwright.operators.tensors import IMAGE, LABEL, transformed_name
 
 MODEL, BLESSING, PUSHED = "Model", "ModelBlessing", "PushedModel"
@@ -87,12 +87,11 @@ def run(spark: SparkSession, config: RunConfig) -> RunResult:
     examples = tfrecord.import_splits(spark, config.records, config.patterns)
 
     numeric = [f.name for f in features if f.type != "BYTES"]
-    stats = f"{config.root}/statistics/run={config.clock}"
-    profile.feature_stats(examples, numeric).write.partitionBy("split").parquet(stats)
+    tables.append_run(profile.feature_stats(examples, numeric), f"{config.root}/statistics", config.clock, "split")
     found = constraints.anomalies(examples, features)
 
     transformed = f"{config.root}/transformed/run={config.clock}"
-    preprocess(examples).write.partitionBy("split").parquet(transformed)
+    tables.write_transformed(preprocess(examples), transformed)
     train = spark.read.parquet(transformed).filter(F.col("split") == "train")
 
     model = fit(train, config)
@@ -105,9 +104,9 @@ def run(spark: SparkSession, config: RunConfig) -> RunResult:
     def judge(candidate: scoring.CentroidModel, name: str) -> DataFrame:
         rows = _scored(held_out, preprocess, candidate)
         result = metrics.evaluate(rows, transformed_name(LABEL), "pred", [METRIC])
-        path = f"{config.root}/evaluation/run={config.clock}/model={name}"
-        result.write.parquet(path)
-        return spark.read.parquet(path)
+        path = f"{config.root}/evaluation/model={name}"
+        tables.append_run(result, path, config.clock)
+        return tables.read_run(spark, path, config.clock)
 
     values = judge(model, "candidate")
     checks = gate.check(gate.compare(values, judge(baseline, "baseline") if baseline else None),

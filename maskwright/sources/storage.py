@@ -50,9 +50,9 @@ def walk(root: str) -> list[tuple[str, int]]:
 
 def pack(sizes: list[tuple[str, int]], target: int) -> list[list[str]]:
     """Neighbouring files put together up to ``target`` bytes, so that small files share a task."""
-    groups, held = [], target
+    groups, held = [], 0
     for path, size in sizes:
-        if held + size > target:
+        if not groups or held + size > target:
             groups.append([])
             held = 0
         groups[-1].append(path)

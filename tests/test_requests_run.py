@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from maskwright.functions import base64url, names
 from maskwright.operators import gate, ordering, registry, requests, scoring, tensors
-from maskwright.plans import dataset_run
+from maskwright.plans import dataset_run, publish_run
 from maskwright.session import scratch_path
-from maskwright.sources import tfrecord
+from maskwright.sources import tables, tfrecord
 from maskwright.streaming.score import read_stream, score_stream
 
 
@@ -199,3 +199,60 @@ def test_preprocess_drops_shapes_and_keeps_keys(spark):
                                "label_shape array<bigint>")
     assert tensors.preprocess(df).first().asDict() == {"k": 7, "image_xf": [1.0], "label_xf": [2.0]}
     assert tensors.preprocess(df.drop("label")).columns == ["k", "image_xf"]
+
+
+def test_publishing_an_application(spark, tmp_path):
+    app = tmp_path / "apps" / "demo"
+    (app / "sub").mkdir(parents=True)
+    (app / "app.py").write_text('MODEL = "$MODEL_REPO_ID@$MODEL_VERSION"  # $MODEL_REPO_URL')
+    (app / "sub" / "data.bin").write_bytes(b"$MODEL_VERSION\xff")
+    (app / "empty.txt").write_text("")
+    settings = publish_run.parse_settings("{'app_path': 'apps.demo'}")
+    path = spark.range(1).select(names.dotted_to_path(F.lit(settings["app_path"]))).first()[0]
+    base = dict(owner="me", name="seg", prefix="https://models.example/", destination=str(tmp_path / "out"),
+                registry=str(tmp_path / "registry"))
+    config = publish_run.PublishConfig(app=str(tmp_path / path), **base)
+    first = publish_run.publish_version(spark, spark.range(3), None, config, 1)
+    assert first["repo_id"] == "me/seg" and first["pushed_version"] == "v1"
+    out = tmp_path / "out" / "app" / "version=v1"
+    assert (out / "app.py").read_text() == 'MODEL = "me/seg@v1"  # https://models.example/me/seg'
+    assert (out / "sub" / "data.bin").read_bytes() == b"$MODEL_VERSION\xff"
+    assert (out / "empty.txt").read_bytes() == b""
+
+    (out / ".gitattributes").write_text("kept")
+    (app / "app.py").unlink()
+    config = publish_run.PublishConfig(app=str(tmp_path / path), previous_app=str(out), **base)
+    publish_run.publish_version(spark, spark.range(3), None, config, 2)
+    second = tmp_path / "out" / "app" / "version=v2"
+    assert {str(p.relative_to(second)) for p in second.rglob("*") if p.is_file()} == {
+        ".gitattributes", "empty.txt", "sub/data.bin"}
+
+    refused = spark.createDataFrame([(False,)], "blessed boolean")
+    assert publish_run.publish_version(spark, spark.range(3), refused, config, 3) == {"pushed": "0"}
+    assert not (tmp_path / "out" / "app" / "version=v3").exists()
+    pushed = registry.by_type(registry.read_registry(spark, base["registry"]), "PushedModel").orderBy("seq").collect()
+    assert [r["properties"]["pushed"] for r in pushed] == ["1", "1", "0"]
+    assert pushed[0]["uri"] == "https://models.example/me/seg"
+
+
+def test_settings():
+    assert publish_run.parse_settings(None) is None
+    with pytest.raises(RuntimeError, match="app_path"):
+        publish_run.parse_settings("{'space_sdk': 'x'}")
+
+
+def test_run_tables(spark, tmp_path):
+    path = str(tmp_path / "stats")
+    for clock, value in ((1, 10.0), (2, 20.0)):
+        tables.append_run(spark.createDataFrame([("train", "x", value), ("eval", "x", -value)],
+                                                "split string, feature string, value double"), path, clock, "split")
+    assert tables.read_stats(spark, path, "train").first()["value"] == 20.0
+    assert tables.read_stats(spark, path, "eval", 1).first()["value"] == -10.0
+    with pytest.raises(Exception, match="already exists"):
+        tables.append_run(spark.range(1), path, 2)
+    tables.write_transformed(spark.createDataFrame([("train", 1, [0.5], [1.0]), ("eval", 2, [0.1], [0.0])],
+                                                   "split string, id int, image_xf array<float>, label_xf array<float>"),
+                             str(tmp_path / "t"))
+    row = tables.read_transformed(spark, str(tmp_path / "t"), "train").first()
+    assert row["features"]["id"] == 1 and row["label"] == [1.0]
+    assert tables.read_shuffled(spark, str(tmp_path / "t"), "eval", ["id"], 1).first()["id"] == 2
