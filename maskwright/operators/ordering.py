@@ -3,8 +3,7 @@
 A plain ``row_number`` over a whole dataset runs in one task. Here rows are ordered by a seeded
 md5 of their key, so a hash prefix cuts them into even buckets whatever the data look like:
 count rows per bucket, cumulate the counts on that small table, and rank only inside a bucket.
-The result equals the window form. The bucket table has at most 65,536 rows per split, which is
-what makes broadcasting it safe at any data size.
+The result equals the window form. The bucket table has at most 65,536 rows per split at any data size.
 
 Keys must identify rows (an image path, an id); pass several columns where one is not enough. Ranks
 of rows that share a key would be arbitrary, so such input fails instead of being ranked.
@@ -14,11 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
 
 from maskwright.session import materialise
 
-PREFIX = 4  # hex digits: 65,536 buckets
+PREFIX = 3  # hex digits looked at per pass of the cut search: 4,096 counts
 MAX_CUTS = 1 << 17
 MAX_SPLITS = 16
 FEW_KEYS = 50_000
@@ -36,8 +35,14 @@ def order_hash(seed: int, *keys: str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
 
 
-def hash_bucket(hashed: Column) -> Column:
-    return F.conv(F.substring(hashed, 1, PREFIX), 16, 10).cast("int")
+def bucket_digits(spark: SparkSession) -> int:
+    """Hex digits that make a bucket: enough buckets to spread evenly over the shuffle partitions, 65,536 at most."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return 3 if 32 * partitions <= 16**3 else 4
+
+
+def hash_bucket(hashed: Column, digits: int) -> Column:
+    return F.conv(F.substring(hashed, 1, digits), 16, 10).cast("int")
 
 
 def hash_fraction(seed: int, *keys: str) -> Column:
@@ -51,7 +56,8 @@ def seeded_shuffle(df: DataFrame, keys: Sequence[str], seed: int) -> DataFrame:
 
 
 def _hashed(df: DataFrame, keys: Sequence[str], seed: int) -> DataFrame:
-    return df.withColumn("_h", order_hash(seed, *keys)).withColumn("_bucket", hash_bucket(F.col("_h")))
+    digits = bucket_digits(df.sparkSession)
+    return df.withColumn("_h", order_hash(seed, *keys)).withColumn("_bucket", hash_bucket(F.col("_h"), digits))
 
 
 def _bucket_table(hashed: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -117,9 +123,9 @@ def find_cut(df: DataFrame, keys: Sequence[str], seed: int, place: Callable[[int
 
     ``place`` gives the position for a row count; the row is None when the position is at or beyond the end.
 
-    A radix search over hash digits: count rows per 4-digit prefix, keep the prefix that holds the cut, go on
+    A radix search over hash digits: count rows per 3-digit prefix, keep the prefix that holds the cut, go on
     with its next digits until few keys are left. Every pass reads the key columns alone, sums before
-    the shuffle and returns at most 65,536 counts, so copies of one key cost nothing extra.
+    the shuffle and returns at most 4,096 counts, so copies of one key cost nothing extra.
     """
     narrow = df.select(order_hash(seed, *keys).alias("_h"), *keys)
     prefix, before, cut = "", 0, None
@@ -138,7 +144,7 @@ def find_cut(df: DataFrame, keys: Sequence[str], seed: int, place: Callable[[int
                 break
             before += n
         prefix += step
-        if n <= FEW_KEYS or len(prefix) >= 3 * PREFIX:
+        if n <= FEW_KEYS or len(prefix) >= 4 * PREFIX:
             break
     groups = narrow.filter(F.startswith("_h", F.lit(prefix))).groupBy("_h", *keys).agg(F.count(F.lit(1)).alias("_n"))
     for row in groups.orderBy("_h", *keys).take(FEW_KEYS):
