@@ -165,17 +165,19 @@ def _before(df: DataFrame, keys: Sequence[str], seed: int, cut: Row) -> Column:
 
 
 def exact_split(df: DataFrame, keys: Sequence[str], fraction: float, seed: int,
-                names: tuple[str, str] = SPLITS) -> DataFrame:
+                names: tuple[str, str] = SPLITS, index: DataFrame | None = None) -> DataFrame:
     """Add ``split``: exactly ``int(n * fraction)`` rows, the last in seeded order, go to the second name.
 
     The cut is found first (narrow passes over the keys); the split is then a comparison within
     each row, with no shuffle and no join, so filters on it and pruning below it keep working. A
-    fraction that rounds to 0 rows leaves the second split empty.
+    fraction that rounds to 0 rows leaves the second split empty. Give an ``index`` with the keys
+    of the same rows where reading the keys of ``df`` itself is costly (decoded image files).
     """
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must lie in 0..1")
     first, second = names
-    cut, _ = find_cut(df, keys, seed, lambda total: total - int(total * fraction))
+    source = df if index is None else index
+    cut, _ = find_cut(source, keys, seed, lambda total: total - int(total * fraction))
     if cut is None:
         return df.withColumn("split", F.lit(first))
     return df.withColumn("split", F.when(_before(df, keys, seed, cut), F.lit(first)).otherwise(F.lit(second)))
@@ -210,7 +212,7 @@ def shard_plan(df: DataFrame, keys: Sequence[str], size: int, seed: int) -> Data
 
 
 def shard_layout(df: DataFrame, keys: Sequence[str], size: int, seed: int, by: str = "split",
-                 shards_per_task: int = 16, keep: Sequence[str] = ()) -> DataFrame:
+                 shards_per_task: int = 16, keep: Sequence[str] = (), index: DataFrame | None = None) -> DataFrame:
     """Rows placed for a shard writer: add ``shard``, ``shard_size`` and ``position`` in the shard.
 
     Rows come out partitioned by ``by`` and ``_group`` (name it in ``keep`` to go on grouping without a shuffle).
@@ -219,13 +221,15 @@ def shard_layout(df: DataFrame, keys: Sequence[str], size: int, seed: int, by: s
     groups of whole shards begin; rows find their group by comparing hashes, and each group is
     ranked and later written by one task. A group holds ``size * shards_per_task`` records, more
     only where that would make over 131,072 groups per split; with the check on the number of splits that
-    bounds the broadcast tables whatever the data size.
+    bounds the broadcast tables whatever the data size. An ``index`` with ``by`` and the keys of the
+    same rows spares the narrow passes a costly ``df``.
     """
-    splits = df.select(by).distinct().limit(MAX_SPLITS + 1).count()
+    source = df if index is None else index
+    splits = source.select(by).distinct().limit(MAX_SPLITS + 1).count()
     if splits > MAX_SPLITS:
         raise ValueError(f"column {by} holds more than {MAX_SPLITS} values: is it a split?")
     hashed = _hashed(df, keys, seed)
-    narrow = hashed.select(by, "_bucket", "_h", *keys)
+    narrow = _hashed(source.select(by, *keys), keys, seed)
     table = _bucket_table(narrow.select(by, "_bucket"), [by])
     step = F.lit(size) * F.greatest(
         F.lit(shards_per_task), F.ceil(F.col("_total") / F.lit(float(size) * MAX_CUTS))).cast("bigint")

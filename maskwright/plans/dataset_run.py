@@ -84,7 +84,12 @@ def run(spark: SparkSession, config: RunConfig) -> RunResult:
     preprocess = tensors.load_callable(config.preprocess)
     fit = tensors.load_callable(config.fit)
     features = schema_text.read_schema(spark, config.schema)
-    examples = tfrecord.import_splits(spark, config.records, config.patterns)
+    # Record files are rows; they are read once and kept as columns, so later steps open only what they use.
+    imported = f"{config.root}/examples/run={config.clock}"
+    schema = schema_text.struct_type(features)
+    tfrecord.import_splits(spark, config.records, config.patterns, schema=schema).write.partitionBy(
+        "split").parquet(imported)
+    examples = spark.read.schema(schema.add("split", "string")).parquet(imported)
 
     numeric = [f.name for f in features if f.type != "BYTES"]
     tables.append_run(profile.feature_stats(examples, numeric), f"{config.root}/statistics", config.clock, "split")

@@ -11,8 +11,9 @@ from pyspark.sql import SparkSession
 def build_session(app: str = "maskwright", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library is tuned for.
 
-    Image rows are wide (a 128x128x3 float tensor is 196 KB), so Arrow batches are kept to
-    a few hundred rows; every other choice is left to adaptive execution.
+    Image rows are wide (a 128x128x3 float tensor is 196 KB), so column batches of the parquet
+    reader and Arrow batches are kept to a few hundred rows; every other choice is left to
+    adaptive execution.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -22,6 +23,7 @@ def build_session(app: str = "maskwright", master: str | None = None, **conf: st
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.parquet.columnarReaderBatchSize": "512",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
         "spark.sql.python.filterPushdown.enabled": "true",
     }

@@ -222,10 +222,13 @@ def example_columns(df: DataFrame) -> DataFrame:
 
 
 def write_records(df: DataFrame, path: str, keys: Sequence[str], size: int = 32, seed: int = 2022,
-                  encoding: str = "numeric", keep_keys: bool = False) -> None:
-    """Write the rows of ``df`` (with a ``split`` column) as shards of ``size`` records."""
+                  encoding: str = "numeric", keep_keys: bool = False, index: DataFrame | None = None) -> None:
+    """Write the rows of ``df`` (with a ``split`` column) as shards of ``size`` records.
+
+    ``index``: see ``shard_layout``.
+    """
     register(df.sparkSession)
-    placed = shard_layout(example_columns(df), keys, size, seed)
+    placed = shard_layout(example_columns(df), keys, size, seed, index=index)
     if not keep_keys:
         placed = placed.drop(*[k for k in keys if k not in LAYOUT])
     placed.write.format("tfrecord").mode("append").option("encoding", encoding).save(path)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from maskwright.functions import base64url, names
 from maskwright.operators import gate, ordering, registry, requests, scoring, tensors
-from maskwright.plans import dataset_run, publish_run
+from maskwright.catalog.png import png_bytes
+from maskwright.plans import dataset_run, publish_run, records_run
 from maskwright.session import scratch_path
 from maskwright.sources import tables, tfrecord
 from maskwright.streaming.score import read_stream, score_stream
@@ -256,3 +257,31 @@ def test_run_tables(spark, tmp_path):
     row = tables.read_transformed(spark, str(tmp_path / "t"), "train").first()
     assert row["features"]["id"] == 1 and row["label"] == [1.0]
     assert tables.read_shuffled(spark, str(tmp_path / "t"), "eval", ["id"], 1).first()["id"] == 2
+
+
+@pytest.mark.parametrize("encoding", ["numeric", "tensor"])
+def test_images_to_records(spark, tmp_path, encoding):
+    rng = np.random.default_rng(8)
+    for name in range(25):
+        for folder, pixels in (("i", rng.integers(0, 256, (4, 4, 3))), ("m", rng.integers(1, 4, (4, 4)))):
+            (tmp_path / folder).mkdir(exist_ok=True)
+            if (folder, name) != ("m", 7):
+                (tmp_path / folder / f"{name}.png").write_bytes(png_bytes(pixels))
+    out = str(tmp_path / "out")
+    records_run.images_to_records(spark, str(tmp_path / "i"), str(tmp_path / "m"), out, 0.25, 8, 2, 1, encoding,
+                                  image_suffix=".png")
+    assert sorted(p.name for p in (tmp_path / "out").glob("*.tfrec")) == [
+        "train-00-8.tfrec", "train-01-8.tfrec", "train-02-2.tfrec", "val-00-6.tfrec"]
+    rows = tfrecord.read_records(spark, out, encoding=encoding).collect()
+    assert len(rows) == 24 and all(len(r["image"]) == 12 and len(r["label"]) == 4 for r in rows)
+    assert all(0 <= v <= 2 for r in rows for v in r["label"]) and rows[0]["label_shape"] == [2, 2]
+
+
+def test_payloads_to_records(spark, tmp_path):
+    rows = [((bytearray([i] * 12), f"x/{i}.raw"), (bytearray([i % 3] * 4), f"x/{i}.raw")) for i in range(10)]
+    spark.createDataFrame(rows, "pixel_values struct<bytes:binary,path:string>, label struct<bytes:binary,path:string>"
+                          ).write.parquet(str(tmp_path / "t"))
+    records_run.payloads_to_records(spark, str(tmp_path / "t"), (2, 2), str(tmp_path / "out"))
+    back = tfrecord.read_records(spark, str(tmp_path / "out")).collect()
+    assert sorted(r["image"][0] for r in back) == [float(i) for i in range(10)]
+    assert sorted({r["split"] for r in back}) == ["train", "val"] and {tuple(r["label_shape"]) for r in back} == {(2, 2)}
