@@ -53,15 +53,14 @@ def refused_publish(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registry_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """Records appended to the registry table and looked up by type; the last one wins."""
+    """Events kept as a registry table, one record appended, the last record of every type looked up."""
     path = scratch_path(spark, "registry")
     events = _events(spark, folder).select(
         "seq", "type_name", F.lit("event").alias("name"), "uri",
         F.create_map(F.lit("blessed"), F.col("blessed").cast("int").cast("string")).alias("properties"))
     events.write.partitionBy("type_name").parquet(path)
     registry.append_record(spark, path, 10**12, "signup", "event", "run/last", {"blessed": "1"})
-    signups = registry.by_type(registry.read_registry(spark, path), "signup")
-    last = registry.latest(signups, "type_name", "seq", "uri", "properties")
+    last = registry.latest(registry.read_registry(spark, path), "type_name", "seq", "uri", "properties")
     return last.select("type_name", "seq", "uri", F.element_at("properties", "blessed").alias("blessed"))
 
 
@@ -83,7 +82,9 @@ QUERIES = {f.__name__: f for f in (
     artifacts_by_type, latest_artifact, latest_blessed, gated_publish, refused_publish, registry_roundtrip,
     retention_sync)}
 
-_BLESSED = ("SELECT bool_and(c >= CAST(0.55 AS DOUBLE) AND c - b >= CAST(-0.001 AS DOUBLE)) AS ok FROM ("
+_BLESSED = ("SELECT bool_and(c >= CAST(0.55 AS DOUBLE) AND c - b >= CAST(-0.001 AS DOUBLE)) AS ok, "
+            "count(*) AS checks, count(*) FILTER (WHERE NOT (c >= CAST(0.55 AS DOUBLE) AND "
+            "c - b >= CAST(-0.001 AS DOUBLE))) AS failed FROM ("
             "SELECT lang, avg(CASE WHEN (n_chars >= 200) = (quality = 1) THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) "
             "END) AS c, avg(CASE WHEN (n_chars >= 2000) = (quality = 1) THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) "
             "END) AS b FROM labels JOIN documents USING (doc_id) GROUP BY GROUPING SETS ((), (lang)))")
@@ -95,15 +96,18 @@ ORACLES = {
     "latest_blessed": "SELECT event_id AS seq, 'run/' || user_id AS uri, event_type AS type_name FROM events "
                       "WHERE value >= 100 ORDER BY event_id DESC LIMIT 1",
     "gated_publish": f"""
-SELECT CAST(ok AS INTEGER) AS pushed, CASE WHEN ok THEN 'v{CLOCK}' END AS pushed_version,
+SELECT checks, failed, CAST(ok AS INTEGER) AS pushed, CASE WHEN ok THEN 'v{CLOCK}' END AS pushed_version,
   CASE WHEN ok THEN 'v{CLOCK}' END AS branch, CASE WHEN ok THEN 'me/segmentation' END AS repo_id,
   CASE WHEN ok THEN '{PREFIX}/me/segmentation' END AS repo_url,
   CASE WHEN ok THEN (SELECT count(*) FROM embeddings) ELSE 0 END AS rows FROM ({_BLESSED})""",
-    "refused_publish": "SELECT 0 AS pushed, CAST(NULL AS VARCHAR) AS pushed_version, CAST(NULL AS VARCHAR) AS branch, "
+    "refused_publish": "SELECT checks, checks AS failed, 0 AS pushed, CAST(NULL AS VARCHAR) AS pushed_version, CAST(NULL AS VARCHAR) AS branch, "
                        "CAST(NULL AS VARCHAR) AS repo_id, CAST(NULL AS VARCHAR) AS repo_url, "
-                       "CAST(0 AS BIGINT) AS rows",
-    "registry_roundtrip": "SELECT 'signup' AS type_name, CAST(1000000000000 AS BIGINT) AS seq, 'run/last' AS uri, "
-                          "'1' AS blessed",
+                       f"CAST(0 AS BIGINT) AS rows FROM ({_BLESSED})",
+    "registry_roundtrip": """
+SELECT event_type AS type_name, CASE WHEN event_type = 'signup' THEN 1000000000000 ELSE max(event_id) END AS seq,
+  CASE WHEN event_type = 'signup' THEN 'run/last' ELSE arg_max('run/' || user_id, event_id) END AS uri,
+  CASE WHEN event_type = 'signup' OR arg_max(value >= 100, event_id) THEN '1' ELSE '0' END AS blessed
+FROM events GROUP BY event_type""",
     "retention_sync": """
 SELECT path, content, count(*) AS n FROM (
   SELECT '.git/' || doc_id || '.txt' AS path, 'old' AS content FROM documents WHERE doc_id % 4 = 0

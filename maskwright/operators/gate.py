@@ -43,6 +43,15 @@ def compare(candidate: DataFrame, baseline: DataFrame | None) -> DataFrame:
     return left.join(baseline.select(*SLICE, F.col("value").alias("baseline")), SLICE, "left")
 
 
+def compare_models(values: DataFrame, candidate: str = "candidate", baseline: str = "baseline") -> DataFrame:
+    """The same from one table of both models' metrics (``metrics.evaluate_models``), without a join."""
+    ours = F.col("model") == F.lit(candidate)
+    return values.groupBy(*SLICE).agg(
+        F.max(F.when(ours, F.col("n"))).alias("n"),
+        F.max(F.when(ours, F.col("value"))).alias("candidate"),
+        F.max(F.when(F.col("model") == F.lit(baseline), F.col("value"))).alias("baseline"))
+
+
 def _passes(rule: Threshold) -> tuple[Column, Column]:
     value = F.lit(True)
     if rule.lower_bound is not None:

@@ -7,7 +7,7 @@ small result. Pixels are never shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -55,34 +55,50 @@ def cross_entropy(classes: int) -> Parts:
     return parts
 
 
+def _sliced(finest: DataFrame, columns: Sequence[str], slices: Sequence[Sequence[str]], sums: Sequence[Column]
+            ) -> tuple[DataFrame, Column, Column]:
+    """The sums per requested slice, with expressions for the slice name and value."""
+    if not columns:
+        return finest, F.lit("overall"), F.lit("")
+    wanted = [[F.col(c) for c in spec] for spec in slices]
+    grouped = finest.groupingSets(wanted, *columns).agg(F.grouping_id().alias("_id"), *sums)
+    key, value = F.lit("overall"), F.lit("")
+    for spec in slices:
+        bits = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in spec)
+        here = F.col("_id") == F.lit(bits)
+        shown = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in spec]
+        key = F.when(here, F.lit(",".join(spec) or "overall")).otherwise(key)
+        value = F.when(here, F.concat_ws(",", *shown) if spec else F.lit("")).otherwise(value)
+    return grouped, key, value
+
+
+def evaluate_models(df: DataFrame, truth: str, predictions: Mapping[str, str], metrics: Sequence[str],
+                    slices: Sequence[Sequence[str]] = ((),)) -> DataFrame:
+    """Metric values of several models over the same rows, in one pass.
+
+    ``predictions`` maps model names to prediction columns. Result: ``(model, slice_key,
+    slice_value, metric, value, n)``; the empty slice is the whole dataset.
+    """
+    columns = list(dict.fromkeys(c for spec in slices for c in spec))
+    cells = [(model, metric, metric_parts(metric)(df, truth, column))
+             for model, column in predictions.items() for metric in metrics]
+    reduced = df.select(*columns, *[part.alias(f"_{kind}{i}") for i, (_, _, pair) in enumerate(cells)
+                                    for kind, part in zip(("num", "den"), pair)])
+    sums = [F.sum(f"_{kind}{i}").alias(f"_{kind}{i}") for i in range(len(cells)) for kind in ("num", "den")]
+    grouped, key, value = _sliced(reduced.groupBy(*columns).agg(*sums), columns, slices, sums)
+    rows = F.array(*[
+        F.struct(F.lit(model).alias("model"), F.lit(metric).alias("metric"),
+                 (F.col(f"_num{i}") / F.nullif(F.col(f"_den{i}"), F.lit(0.0))).alias("value"),
+                 F.coalesce(F.col(f"_den{i}"), F.lit(0.0)).cast("bigint").alias("n"))
+        for i, (model, metric, _) in enumerate(cells)])
+    return grouped.select(key.alias("slice_key"), value.alias("slice_value"), F.inline(rows)).select(
+        "model", "slice_key", "slice_value", "metric", "value", "n")
+
+
 def evaluate(df: DataFrame, truth: str, prediction: str, metrics: Sequence[str],
              slices: Sequence[Sequence[str]] = ((),)) -> DataFrame:
-    """Metric values: ``(slice_key, slice_value, metric, value, n)``. The empty slice is the whole dataset."""
-    columns = list(dict.fromkeys(c for spec in slices for c in spec))
-    pairs = [metric_parts(m)(df, truth, prediction) for m in metrics]
-    reduced = df.select(*columns, *[c.alias(f"_{kind}{i}") for i, pair in enumerate(pairs)
-                                    for kind, c in zip(("num", "den"), pair)])
-    sums = [F.sum(f"_{kind}{i}").alias(f"_{kind}{i}") for i in range(len(metrics)) for kind in ("num", "den")]
-    finest = reduced.groupBy(*columns).agg(*sums)
-    if columns:
-        wanted = [[F.col(c) for c in spec] for spec in slices]
-        sliced = finest.groupingSets(wanted, *columns).agg(
-            F.grouping_id().alias("_id"), *sums)
-        key, value = F.lit("overall"), F.lit("")
-        for spec in slices:
-            bits = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in spec)
-            here = F.col("_id") == F.lit(bits)
-            shown = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in spec]
-            key = F.when(here, F.lit(",".join(spec) or "overall")).otherwise(key)
-            value = F.when(here, F.concat_ws(",", *shown) if spec else F.lit("")).otherwise(value)
-    else:
-        sliced, key, value = finest, F.lit("overall"), F.lit("")
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(m).alias("metric"), (F.col(f"_num{i}") / F.col(f"_den{i}")).alias("value"),
-                 F.col(f"_den{i}").cast("bigint").alias("n"))
-        for i, m in enumerate(metrics)]))
-    return sliced.select(key.alias("slice_key"), value.alias("slice_value"), rows.alias("_m")).select(
-        "slice_key", "slice_value", "_m.*")
+    """Metric values of one model: ``(slice_key, slice_value, metric, value, n)``."""
+    return evaluate_models(df, truth, {"model": prediction}, metrics, slices).drop("model")
 
 
 def confusion(df: DataFrame, truth: str, prediction: str) -> DataFrame:

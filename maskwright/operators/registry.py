@@ -44,11 +44,15 @@ def latest_blessed(registry: DataFrame, blessed: str, order: str, *columns: str)
 
 
 def push_record(decision: DataFrame, clock: int, owner: str, name: str, prefix: str) -> DataFrame:
-    """What a publishing attempt records. Only a blessed version has a version, branch and address."""
+    """What a publishing attempt records, with the outcome of its gate.
+
+    Only a blessed version has a version, branch and address.
+    """
     version = version_name(F.lit(clock))
     only = lambda c: F.when(F.col("blessed"), c)
+    outcome = [c for c in ("checks", "failed") if c in decision.columns]
     return decision.select(
-        F.col("blessed").cast("int").alias("pushed"),
+        *outcome, F.col("blessed").cast("int").alias("pushed"),
         only(version).alias("pushed_version"), only(version).alias("branch"),
         only(repo_id(F.lit(owner), F.lit(name))).alias("repo_id"),
         only(repo_url(F.lit(prefix), F.lit(owner), F.lit(name))).alias("repo_url"))

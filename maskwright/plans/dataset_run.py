@@ -6,9 +6,9 @@ Each step is one of the library's operators; what the run produces is written be
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from maskwright.operators import constraints, gate, metrics, profile, registry, scoring, tensors
@@ -31,6 +31,7 @@ class RunConfig:
     patterns: dict[str, str] = field(default_factory=lambda: dict(tfrecord.ALL_SHARDS))
     preprocess: str = "maskwright.operators.tensors.preprocess"
     fit: str = "maskwright.plans.dataset_run.fit_pixels"
+    slices: tuple[tuple[str, ...], ...] = ((),)
     thresholds: tuple[gate.Threshold, ...] = (gate.DEFAULT_THRESHOLD,)
 
 
@@ -58,28 +59,20 @@ def load_model(spark: SparkSession, path: str) -> scoring.CentroidModel:
     return scoring.CentroidModel(tuple(r["class"] for r in rows), tuple(tuple(r["centre"]) for r in rows))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-
-
 def resolve_baseline(spark: SparkSession, path: str) -> scoring.CentroidModel | None:
     """The model of the latest blessed run, or None before there is one."""
-    if not _exists(spark, path):
-        return None
-    blessings = registry.by_type(registry.read_registry(spark, path), BLESSING).select(
+    try:
+        records = registry.read_registry(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    blessings = registry.by_type(records, BLESSING).select(
         "seq", "uri", (F.col("properties")["blessed"] == "1").alias("blessed"))
     row = registry.latest_blessed(blessings, "blessed", "seq", "uri").first()
     return load_model(spark, row["uri"]) if row else None
 
 
-def _scored(examples: DataFrame, preprocess: Callable[[DataFrame], DataFrame],
-            model: scoring.CentroidModel) -> DataFrame:
-    """Evaluation starts from raw examples: the transform is applied here, as it would be when serving."""
-    ready = preprocess(examples)
-    return ready.withColumn("pred", model.segment(F.col(transformed_name(IMAGE))))
-
-
 def run(spark: SparkSession, config: RunConfig) -> RunResult:
     preprocess = tensors.load_callable(config.preprocess)
     fit = tensors.load_callable(config.fit)
@@ -104,18 +97,15 @@ def run(spark: SparkSession, config: RunConfig) -> RunResult:
     model_table(spark, model).write.parquet(model_path)
     baseline = resolve_baseline(spark, config.registry)
 
-    held_out = examples.filter(F.col("split") == "eval")
-
-    def judge(candidate: scoring.CentroidModel, name: str) -> DataFrame:
-        rows = _scored(held_out, preprocess, candidate)
-        result = metrics.evaluate(rows, transformed_name(LABEL), "pred", [METRIC])
-        path = f"{config.root}/evaluation/model={name}"
-        tables.append_run(result, path, config.clock)
-        return tables.read_run(spark, path, config.clock)
-
-    values = judge(model, "candidate")
-    checks = gate.check(gate.compare(values, judge(baseline, "baseline") if baseline else None),
-                        config.thresholds)
+    # Both models see the same raw rows once; the transform is applied here, as it would be when serving.
+    models = {"candidate": model} | ({"baseline": baseline} if baseline else {})
+    scored = preprocess(examples.filter(F.col("split") == "eval")).withColumns(
+        {name: m.segment(F.col(transformed_name(IMAGE))) for name, m in models.items()})
+    evaluation = f"{config.root}/evaluation"
+    tables.append_run(metrics.evaluate_models(scored, transformed_name(LABEL), {name: name for name in models},
+                                              [METRIC], config.slices), evaluation, config.clock)
+    values = tables.read_run(spark, evaluation, config.clock)
+    checks = gate.check(gate.compare_models(values), config.thresholds)
     blessing = gate.bless(checks)
     blessed = gate.is_blessed(blessing)
 

@@ -19,6 +19,7 @@ def test_scan_decodes_colour_and_grey(spark, tmp_path):
     save(tmp_path / "i", "b.png", [[7, 9]])
     save(tmp_path / "i", ".hidden.png", [[0]])
     save(tmp_path / "i", "c.PNG", [[0]])
+    save(tmp_path / "i" / "nested", "d.png", [[0]])
     scan = images.scan_images(spark, str(tmp_path / "i"), ".png")
     rows = {r["key"]: r for r in scan.select("key", images.to_rgb(F.col("image")).alias("rgb"),
                                              images.to_grey(F.col("image")).alias("grey")).collect()}

@@ -172,7 +172,7 @@ def test_whole_run(spark, tmp_path):
     assert stats.filter("split = 'train' and feature = 'label' and stat = 'num_rows'").first()["value"] == 45.0
 
     local = dataset_run.run(spark, config(tmp_path, 4, "good", patterns=tfrecord.FIRST_SHARDS))
-    assert local.metrics.first()["n"] == 15 * 16
+    assert local.metrics.filter("model = 'candidate'").first()["n"] == 15 * 16
 
 
 def test_a_version_is_never_overwritten(spark, tmp_path):
