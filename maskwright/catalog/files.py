@@ -42,8 +42,7 @@ def payload_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.struct(arrays.pack_uint8(colour).alias("bytes"), name.alias("path")).alias("pixel_values"),
         F.struct(arrays.pack_uint8(mask).alias("bytes"), name.alias("path")).alias("label")).write.parquet(path)
     rows = image_files.scan_payloads(spark, path, shape=(4, 4))
-    return rows.select(F.col("key").cast("bigint").alias("vec_id"), F.posexplode("image").alias("i", "v")).withColumn(
-        "v", F.col("v").cast("int"))
+    return long(rows.withColumn("vec_id", F.col("key").cast("bigint")), "vec_id", "image", kind="int")
 
 
 def _records(spark: SparkSession, folder: str, encoding: str = "numeric") -> str:
@@ -161,7 +160,7 @@ def response_parse(spark: SparkSession, folder: str) -> DataFrame:
     answers = masks(spark, folder).select("vec_id", requests.build_response(
         F.array("pred"), modelVersionId=F.lit("1")).alias("body"))
     parsed = answers.select("vec_id", F.explode(requests.parse_response(F.col("body"))).alias("mask"))
-    return parsed.select("vec_id", F.posexplode("mask").alias("px", "cls")).withColumn("cls", F.col("cls").cast("int"))
+    return arrays.unroll(parsed, "mask", "px", "cls", "vec_id").withColumn("cls", F.col("cls").cast("int"))
 
 
 def config_parse(spark: SparkSession, folder: str) -> DataFrame:

@@ -67,7 +67,7 @@ def request_score(spark: SparkSession, folder: str) -> DataFrame:
     sent = requests.build_requests(payloads, ["vec_id"], "payload", 64, SEED).select("batch_id", "request")
     received = requests.explode_requests(sent).withColumn("payload", requests.base64url.encode(F.col("payload")))
     scored = scoring.score_requests(received, "payload", (4, 4, 4), 2, model)
-    return scored.select("batch_id", "instance", F.posexplode("seg_mask").alias("px", "cls"))
+    return arrays.unroll(scored, "seg_mask", "px", "cls", "batch_id", "instance")
 
 
 def score_overlay(spark: SparkSession, folder: str) -> DataFrame:

@@ -20,7 +20,7 @@ def resize_pair(spark: SparkSession, folder: str) -> DataFrame:
     """Image and mask halved together; the mask is shifted to 0..2 and gets fractional classes."""
     rows = tensors.resize_pair(images(spark, folder), 4)
     pair = F.arrays_zip(F.col("image"), F.col("label"))
-    return rows.select("vec_id", F.posexplode(pair).alias("i", "p")).select(
+    return arrays.unroll(rows, pair, "i", "p", "vec_id").select(
         "vec_id", "i", F.col("p.image").cast("double").alias("image"), F.col("p.label").cast("double").alias("label"))
 
 
@@ -63,7 +63,7 @@ def rename_xf(spark: SparkSession, folder: str) -> DataFrame:
     """The preprocessing callback: normalised image and label under their transformed names."""
     rows = tensors.preprocess(images(spark, folder))
     pair = F.arrays_zip(F.col("image_xf"), F.col("label_xf"))
-    return rows.select("vec_id", F.posexplode(pair).alias("i", "p")).select(
+    return arrays.unroll(rows, pair, "i", "p", "vec_id").select(
         "vec_id", "i", F.col("p.image_xf").cast("double").alias("image_xf"),
         F.col("p.label_xf").cast("int").alias("label_xf"))
 
@@ -91,7 +91,7 @@ def shape_edits(spark: SparkSession, folder: str) -> DataFrame:
 def argmax_mask(spark: SparkSession, folder: str) -> DataFrame:
     rows = tensors.argmax_mask(embeddings(spark, folder).withColumn("shape", arrays.shape_of(4, 4, 4)),
                                "embedding", "shape")
-    return rows.select("vec_id", F.posexplode("mask").alias("px", "cls"))
+    return arrays.unroll(rows, "mask", "px", "cls", "vec_id")
 
 
 def moments(spark: SparkSession, folder: str) -> DataFrame:

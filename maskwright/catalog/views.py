@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from maskwright.functions.arrays import argmax, shape_of
+from maskwright.functions.arrays import argmax, shape_of, unroll
 from maskwright.operators.ordering import bucket_split
 
 SEED = 2022
@@ -50,7 +50,7 @@ def masks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def long(df: DataFrame, key: str, values: str, out: str = "v", kind: str = "double") -> DataFrame:
-    return df.select(key, F.posexplode(values).alias("i", out)).withColumn(out, F.col(out).cast(kind))
+    return unroll(df, values, "i", out, key).withColumn(out, F.col(out).cast(kind))
 
 
 # --- the same in SQL ---

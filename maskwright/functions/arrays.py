@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 # --- element-wise, JVM side; every step is rounded to float32 as the tensors are float32 ---
@@ -82,6 +82,15 @@ def cell_index(position: Column, *dims: int) -> list[Column]:
     return coordinates
 
 
+def unroll(df: DataFrame, values: Column | str, position: str, value: str, *keep: Column | str) -> DataFrame:
+    """One row per element of a list, with its position and the columns to keep; null and empty lists vanish.
+
+    The outer form with its null rows filtered away again: for the inner form Spark adds a size
+    check on ``values`` below, which would run the Arrow functions behind it twice.
+    """
+    return df.select(*keep, F.posexplode_outer(values).alias(position, value)).filter(F.col(position).isNotNull())
+
+
 # --- Arrow functions ---
 
 CHUNK_BYTES = 1 << 20

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from maskwright.functions.arrays import unroll
 from maskwright.operators.profile import feature_stats, histogram
 
 
@@ -49,8 +50,8 @@ def parity(left: DataFrame, right: DataFrame, key: str, values: str, rtol: float
     a = left.select(key, F.col(values).alias("a"))
     b = right.select(key, F.col(values).alias("b"))
     both = a.join(b, key, "full_outer")
-    pixels = both.select(F.explode(F.arrays_zip(
-        F.coalesce("a", F.array()).alias("a"), F.coalesce("b", F.array()).alias("b"))).alias("p")).select(
+    zipped = F.arrays_zip(F.coalesce("a", F.array()).alias("a"), F.coalesce("b", F.array()).alias("b"))
+    pixels = unroll(both, zipped, "i", "p").select(
         F.col("p.a").cast("double").alias("a"), F.col("p.b").cast("double").alias("b"))
     gap = F.abs(F.col("a") - F.col("b"))
     matched = F.col("a").isNotNull() & F.col("b").isNotNull()

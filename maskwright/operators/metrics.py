@@ -11,7 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from maskwright.functions.arrays import count_matches, pixel_losses
+from maskwright.functions.arrays import count_matches, pixel_losses, unroll
 
 Parts = Callable[[DataFrame, str, str], tuple[Column, Column]]
 _METRICS: dict[str, Parts] = {}
@@ -104,8 +104,8 @@ def evaluate(df: DataFrame, truth: str, prediction: str, metrics: Sequence[str],
 def confusion(df: DataFrame, truth: str, prediction: str) -> DataFrame:
     """Counts per (label, prediction): unrolled to pixels and partially summed in place."""
     if _is_array(df, truth):
-        pixels = df.select(F.explode(F.arrays_zip(
-            F.col(truth).alias("label"), F.col(prediction).alias("pred"))).alias("_p")).select("_p.*")
+        pair = F.arrays_zip(F.col(truth).alias("label"), F.col(prediction).alias("pred"))
+        pixels = unroll(df, pair, "_at", "_p").select("_p.*")
     else:
         pixels = df.select(F.col(truth).alias("label"), F.col(prediction).alias("pred"))
     return pixels.groupBy("label", "pred").agg(F.count(F.lit(1)).alias("n"))

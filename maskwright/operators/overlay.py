@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from maskwright.functions.arrays import _flat, _lists
+from maskwright.functions.arrays import _flat, _lists, unroll
 from maskwright.sources.palettes import colours_of
 
 
@@ -52,6 +52,6 @@ def with_overlay(df: DataFrame, image: str, mask: str, palette: DataFrame, out:
 def mask_colours(df: DataFrame, key: str, mask: str, palette: DataFrame) -> DataFrame:
     """One row per pixel with its class and colour; a class without a colour gets 0, 0, 0."""
     colours_of(palette)  # raises unless the palette is small enough to broadcast
-    pixels = df.select(key, F.posexplode(mask).alias("px", "class"))
+    pixels = unroll(df, mask, "px", "class", key)
     coloured = pixels.join(F.broadcast(palette), "class", "left")
     return coloured.select(key, "px", "class", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in "rgb"])

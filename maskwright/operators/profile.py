@@ -31,7 +31,7 @@ def _is_list(df: DataFrame, feature: str) -> bool:
 
 def _values(df: DataFrame, feature: str, split: str | None) -> DataFrame:
     """(split, v) rows, one per value; missing values and NaN are left out."""
-    value = F.explode(feature) if _is_list(df, feature) else F.col(feature)
+    value = F.explode_outer(feature) if _is_list(df, feature) else F.col(feature)
     rows = df.select(_group(split), value.alias("v")).select("split", F.col("v").cast("double").alias("v"))
     return rows.filter(F.col("v").isNotNull() & ~F.isnan("v"))
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from maskwright.functions import base64url
+from maskwright.functions.arrays import unroll
 from maskwright.operators.ordering import shard_layout
 
 
@@ -31,7 +32,7 @@ def explode_requests(requests: DataFrame, body: str = "request", field: str = "s
     """One row per instance, payload decoded."""
     parsed = F.from_json(F.col(body), f"instances array<struct<{field}:string>>")
     rest = [c for c in requests.columns if c != body]
-    return requests.select(*rest, F.posexplode(parsed["instances"]).alias("instance", "_i")).select(
+    return unroll(requests, parsed["instances"], "instance", "_i", *rest).select(
         *rest, "instance", base64url.decode(F.col("_i")[field]).alias("payload"))
 
 

@@ -108,8 +108,7 @@ def _centres(long: DataFrame) -> CentroidModel:
 
 def fit_centroids(df: DataFrame, values: str, label: str) -> CentroidModel:
     """Nearest-centroid classifier of whole feature vectors. Means are summed before the shuffle."""
-    long = df.filter(F.col(label).isNotNull()).select(
-        F.col(label).alias("class"), F.posexplode(values).alias("i", "v"))
+    long = arrays.unroll(df, values, "i", "v", F.col(label).alias("class"))
     return _centres(long)
 
 
@@ -118,7 +117,7 @@ def fit_pixel_centroids(df: DataFrame, values: str, mask: str, channels: int) ->
 
     Fractional labels are truncated to their class.
     """
-    long = df.select(F.col(mask), F.posexplode(values).alias("_at", "v")).select(
+    long = arrays.unroll(df, values, "_at", "v", mask).select(
         F.element_at(mask, F.floor(F.col("_at") / F.lit(channels)).cast("int") + 1).cast("int").alias("class"),
         (F.col("_at") % F.lit(channels)).alias("i"), "v")
     return _centres(long)

@@ -68,14 +68,14 @@ def check_shapes(df: DataFrame, values: str, shape: str) -> DataFrame:
 def to_cells(df: DataFrame, values: str, dims: Sequence[int], names: Sequence[str], value: str = "v") -> DataFrame:
     """One row per element with its coordinates. Follow it with an aggregate: nothing is kept wide."""
     rest = [c for c in df.columns if c != values]
-    long = df.select(*rest, F.posexplode(values).alias("_at", value))
+    long = arrays.unroll(df, values, "_at", value, *rest)
     coordinates = arrays.cell_index(F.col("_at"), *dims)
     return long.select(*rest, *[c.alias(n) for c, n in zip(coordinates, names)], value)
 
 
 def channel_moments(df: DataFrame, values: str, channels: int, by: Sequence[str] = ()) -> DataFrame:
     """Mean and population variance per channel, over the dataset or per group of ``by``."""
-    long = df.select(*by, F.posexplode(values).alias("_at", "_v"))
+    long = arrays.unroll(df, values, "_at", "_v", *by)
     channel = (F.col("_at") % F.lit(channels)).alias("c")
     x = F.col("_v").cast("double")
     return long.groupBy(*by, channel).agg(F.avg(x).alias("mean"), F.var_pop(x).alias("variance"))

@@ -163,3 +163,13 @@ def test_callbacks_by_dotted_name():
     assert tensors.load_callable("maskwright.operators.tensors.preprocess") is tensors.preprocess
     with pytest.raises(ValueError):
         tensors.load_callable("preprocess")
+
+
+def test_unrolling_runs_an_arrow_function_once(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0], [2]), (2, None, [2]), (3, [], [0])],
+                               "k int, x array<float>, s array<bigint>")
+    rows = arrays.unroll(df.withColumn("m", arrays.argmax(F.col("x"), F.array(F.lit(1), F.lit(2)).cast("array<bigint>"))
+                                       ).filter("k = 1"), "m", "i", "v", "k")
+    assert rows.collect() == [(1, 0, 1)]
+    assert rows._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert arrays.unroll(df, "x", "i", "v", "k").count() == 2
