@@ -8,11 +8,14 @@ from maskwright.operators import ordering, pairing, tensors
 from maskwright.sources import files, images, tfrecord
 
 
-def list_keys(spark: SparkSession, image_folder: str, mask_folder: str, image_suffix: str,
-              mask_suffix: str) -> DataFrame:
-    """Keys of the files that pair up, from the folder listings alone."""
+def list_keys(spark: SparkSession, image_folder: str, mask_folder: str, image_suffix: str, mask_suffix: str,
+              strict: bool = True) -> DataFrame:
+    """Keys of the files that pair up, from the folder listings alone. Files without a partner are an error
+    unless ``strict`` is off; ``pairing.orphans`` names them."""
     listed = [pairing.with_key(files.list_folder(spark, folder, suffix)).select("key")
               for folder, suffix in ((image_folder, image_suffix), (mask_folder, mask_suffix))]
+    if strict and (alone := pairing.orphans(*listed, "key").count()):
+        raise ValueError(f"{alone} files have no partner")
     return pairing.pair_by_key(*listed, "key")
 
 
@@ -28,9 +31,10 @@ def _write(pairs: DataFrame, index: DataFrame, out: str, fraction: float, size:
 
 def images_to_records(spark: SparkSession, image_folder: str, mask_folder: str, out: str, fraction: float = 0.2,
                       size: int = 32, resize: int | None = None, seed: int = 2022, encoding: str = "numeric",
-                      shift: bool = True, image_suffix: str = ".jpg", mask_suffix: str = ".png") -> None:
+                      shift: bool = True, image_suffix: str = ".jpg", mask_suffix: str = ".png",
+                      strict: bool = True) -> None:
     """Image files to ``train-*`` and ``val-*`` shards. Each image is decoded once, in the writing job."""
-    index = list_keys(spark, image_folder, mask_folder, image_suffix, mask_suffix)
+    index = list_keys(spark, image_folder, mask_folder, image_suffix, mask_suffix, strict)
     pairs = images.load_pairs(spark, image_folder, mask_folder, image_suffix, mask_suffix)
     _write(pairs, index, out, fraction, size, resize, seed, shift, encoding)
 

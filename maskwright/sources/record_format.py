@@ -16,6 +16,7 @@ POLYNOMIAL = 0x82F63B78
 MASK_DELTA = 0xA282EAD8
 FLOAT_TYPE = 1  # element type code of a serialized float32 tensor
 LANE = 64
+CACHED_LANES = 1 << 13  # half a megabyte at a time
 GROUP_BYTES = 4 << 20
 
 
@@ -48,7 +49,7 @@ def _advance(doublings: int) -> np.ndarray:
 
 
 def _checksums(messages: list[bytes], lanes: int) -> np.ndarray:
-    """CRC-32C of messages that fit ``lanes`` lanes, a power of two."""
+    """CRC-32C of messages that fit in ``lanes`` lanes."""
     padded = np.zeros((len(messages), lanes * LANE), np.uint8)
     for row, message in zip(padded, messages):
         start = len(row) - len(message)
@@ -61,15 +62,24 @@ def _checksums(messages: list[bytes], lanes: int) -> np.ndarray:
     states = states.reshape(len(messages), lanes)
     doublings = LANE.bit_length() - 1
     while states.shape[1] > 1:
+        if states.shape[1] % 2:
+            states = np.pad(states, ((0, 0), (1, 0)))
         states = _apply(_advance(doublings), states[:, 0::2]) ^ states[:, 1::2]
         doublings += 1
     return states[:, 0] ^ np.uint32(0xFFFFFFFF)
 
 
+def _lanes(size: int) -> int:
+    """Lanes for a message, rounded up to four binary digits so that similar sizes share a group."""
+    lanes = -(-size // LANE)
+    unit = 1 << max(0, lanes.bit_length() - 4)
+    return -(-lanes // unit) * unit
+
+
 def crc32c(messages: list[bytes]) -> np.ndarray:
-    """CRC-32C of each message, of 4 bytes at least.
+    """CRC-32C of each message.
 
-    A message is cut into 64-byte lanes; all lanes of all messages are summed together, four bytes
+    A message is cut into 64-byte lanes; the lanes of many messages are summed together, four bytes
     a step, and then merged pairwise.
     """
     out = np.empty(len(messages), np.uint32)
@@ -81,9 +91,12 @@ def crc32c(messages: list[bytes]) -> np.ndarray:
                 state = int(BYTES[(state ^ byte) & 0xFF]) ^ (state >> 8)
             out[i] = state ^ 0xFFFFFFFF
         else:
-            groups.setdefault(1 << ((len(message) - 1) // LANE).bit_length(), []).append(i)
+            groups.setdefault(_lanes(len(message)), []).append(i)
     for lanes, members in groups.items():
-        out[members] = _checksums([messages[i] for i in members], lanes)
+        some = max(1, CACHED_LANES // lanes)
+        for start in range(0, len(members), some):
+            part = members[start:start + some]
+            out[part] = _checksums([messages[i] for i in part], lanes)
     return out
 
 
