@@ -104,6 +104,29 @@ def schema_anomalies_lineitem(spark: SparkSession, folder: str) -> DataFrame:
     return constraints.anomalies(rows, parse_schema(LINES), "l_linestatus")
 
 
+def bytes_stats(spark: SparkSession, folder: str) -> DataFrame:
+    documents = bucket_split(table(spark, folder, "documents"), ["doc_id"], 0.2, SEED, ("train", "eval"))
+    rows = profile.bytes_stats(documents, ["text", "lang", "source"])
+    return rows.withColumn("avg_length", F.round("avg_length", 6))
+
+
+def topk_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """Most frequent byte values (whole texts, exact copies among them), by digest."""
+    documents = table(spark, folder, "documents").select(
+        F.col("lang").alias("split"), F.encode("text", "UTF-8").alias("payload"))
+    return profile.top_values(documents, ["payload"], 4)
+
+
+def inferred_check(spark: SparkSession, folder: str) -> DataFrame:
+    """A schema inferred from the train split, and what the eval split breaks of it."""
+    rows = _vectors(spark, folder)
+    train = rows.filter("split = 'train'")
+    features = constraints.inferred_features(
+        constraints.infer_schema(train, profile.feature_stats_wide(train, VECTOR_FEATURES, median=False)))
+    found = constraints.anomalies(rows.filter("split = 'eval'"), features)
+    return found.select("split", "feature", "rule", "n_bad", "n_rows")
+
+
 def schema_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Declared rules beside observed statistics."""
     declared = constraint_table(spark, parse_schema(VECTORS))
@@ -122,7 +145,8 @@ def split_skew(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     feature_stats, feature_stats_lineitem, stats_readback, histogram, histogram_lineitem, quantiles, topk_values,
-    topk_lineitem, schema_infer, schema_anomalies, schema_anomalies_lineitem, schema_rules, split_skew)}
+    topk_lineitem, schema_infer, schema_anomalies, schema_anomalies_lineitem, schema_rules, split_skew, bytes_stats,
+    topk_bytes, inferred_check)}
 
 _V = (f"SELECT *, {sql_split('vec_id')} AS split FROM embeddings")
 _VECTOR_ROWS = (f"SELECT split, 'embedding' AS feature, len(embedding) AS size, embedding::DOUBLE[] AS list FROM ({_V}) "
@@ -210,7 +234,24 @@ SELECT feature, 'linf', NULL, NULL, max(abs(a / ta - b / tb)) FROM (
     FROM ({_histogram(_VECTOR_ROWS, 6, True)}) GROUP BY feature, bucket))
 GROUP BY feature"""
 
+_BYTES = " UNION ALL ".join(
+    f"SELECT split, '{c}' AS feature, count(*) AS num_rows, count(*) FILTER (WHERE {c} IS NULL) AS num_missing, "
+    f"CAST(min(octet_length(encode({c}))) AS INTEGER) AS min_length, "
+    f"CAST(max(octet_length(encode({c}))) AS INTEGER) AS max_length, "
+    f"round(avg(octet_length(encode({c}))), 6) AS avg_length, count(DISTINCT {c}) AS n_distinct "
+    f"FROM ({_DOCUMENTS}) GROUP BY split" for c in ("text", "lang", "source"))
+_BEYOND = f"""
+WITH v AS (SELECT split, list_min(embedding) AS lo, list_max(embedding) AS hi, label FROM ({_V})),
+t AS (SELECT min(lo) AS lo, max(hi) AS hi, min(label) AS a, max(label) AS b FROM v WHERE split = 'train'),
+e AS (SELECT count(*) AS n_rows, count(*) FILTER (WHERE v.lo < t.lo OR v.hi > t.hi) AS far,
+      count(*) FILTER (WHERE v.label < t.a OR v.label > t.b) AS odd FROM v, t WHERE split = 'eval')
+SELECT 'eval' AS split, 'embedding' AS feature, 'domain' AS rule, far AS n_bad, n_rows FROM e WHERE far > 0
+UNION ALL SELECT 'eval', 'label', 'domain', odd, n_rows FROM e WHERE odd > 0"""
+
 ORACLES = {
+    "bytes_stats": _BYTES,
+    "topk_bytes": _top("SELECT lang AS split, 'payload' AS feature, md5(text) AS value FROM documents", 4),
+    "inferred_check": _BEYOND,
     "feature_stats": _stats(_VECTOR_ROWS, 5),
     "feature_stats_lineitem": _stats(_LINE_ROWS, 4),
     "stats_readback": f"SELECT feature, stat, value FROM ({_stats(_VECTOR_ROWS, 5)}) WHERE split = 'train'",

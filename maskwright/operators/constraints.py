@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from maskwright.sources.schema_text import Feature
 
+MAX_FEATURES = 100_000
 _KINDS = {
     "FLOAT": (T.FloatType, T.DoubleType),
     "INT": (T.ByteType, T.ShortType, T.IntegerType, T.LongType),
@@ -77,6 +78,15 @@ def anomalies(df: DataFrame, features: list[Feature], split: str | None = "split
         "split", "feature", "rule", "expected", "n_bad", "n_rows")
 
 
+def inferred_features(inferred: DataFrame) -> list[Feature]:
+    """An inferred schema as declared features, to check other data against (one row per feature)."""
+    rows = inferred.orderBy("feature").take(MAX_FEATURES + 1)
+    if len(rows) > MAX_FEATURES:
+        raise ValueError("too many features for a schema")
+    return [Feature(r["feature"], r["type"], r["min_fraction"], r["low"], r["high"],
+                    (r["size"],) if r["size"] is not None else None) for r in rows]
+
+
 def infer_schema(df: DataFrame, stats_wide: DataFrame) -> DataFrame:
     """One row per feature: type, presence, value range, and the length if all rows agree on it.
 

@@ -80,6 +80,11 @@ def _next_place(order, *keys: str) -> Column:
         F.row_number().over(order) - 1)
 
 
+def _offset(by: Sequence[str], name: str = "_before") -> Column:
+    """Rows before the bucket. Only a null group finds no bucket, and fails."""
+    return F.coalesce(F.col(name), F.raise_error(F.lit(f"null in {', '.join(by)}")).cast("bigint"))
+
+
 def global_rank(df: DataFrame, keys: Sequence[str], seed: int, by: Sequence[str] = (),
                 name: str = "rank") -> DataFrame:
     """Add the 0-based position of every row in seeded order, within each group of ``by``.
@@ -94,7 +99,7 @@ def global_rank(df: DataFrame, keys: Sequence[str], seed: int, by: Sequence[str]
     ranked = hashed.withColumn("_rn", _next_place(inside, *keys))
     return (
         ranked.join(table.select(*by, "_bucket", "_before"), [*by, "_bucket"], "left")
-        .withColumn(name, F.col("_before") + F.col("_rn"))
+        .withColumn(name, _offset(by) + F.col("_rn"))
         .select(*df.columns, name)
     )
 
@@ -249,7 +254,7 @@ def shard_layout(df: DataFrame, keys: Sequence[str], size: int, seed: int, by: s
     group = F.col("_base") - 1 + F.size(F.filter("_cuts", lambda cut: cut <= here))
     placed = hashed.join(F.broadcast(bounds), [by, "_bucket"], "left").withColumn("_group", group)
     order = Window.partitionBy(by, "_group").orderBy("_h", *keys)
-    rank = F.col("_group") * F.col("_step") + _next_place(order, *keys)
+    rank = F.col("_group") * _offset([by], "_step") + _next_place(order, *keys)
     shard = F.floor(F.col("_rank") / F.lit(size)).cast("int")
     return (
         placed.withColumn("_rank", rank)

@@ -207,18 +207,44 @@ def quantile_histogram(df: DataFrame, features: Sequence[str], split: str | None
         rows, "split string, feature string, bucket int, low double, high double")
 
 
+def _text(df: DataFrame, feature: str) -> Column:
+    """A value as text; bytes are represented by their digest."""
+    return F.md5(feature) if isinstance(df.schema[feature].dataType, T.BinaryType) else F.col(feature).cast("string")
+
+
+def bytes_stats(df: DataFrame, features: Sequence[str], split: str | None = "split") -> DataFrame:
+    """Statistics of text and byte features: rows, missing, length in bytes, number of distinct values.
+
+    Distinct values are counted in two steps, by value and then per feature, so that no task sees them all.
+    """
+    parts = []
+    for f in features:
+        length = F.octet_length(f)
+        sums = df.groupBy(_group(split)).agg(
+            F.count(F.lit(1)).alias("num_rows"), F.count_if(F.col(f).isNull()).alias("num_missing"),
+            F.min(length).alias("min_length"), F.max(length).alias("max_length"), F.avg(length).alias("avg_length"))
+        values = df.select(_group(split), _text(df, f).alias("value")).filter(F.col("value").isNotNull())
+        unique = values.groupBy("split", "value").agg(F.lit(1).alias("one")).groupBy("split").agg(
+            F.count(F.lit(1)).alias("n_distinct"))
+        joined = sums.join(unique, sums["split"].eqNullSafe(unique["split"]), "left").drop(unique["split"])
+        parts.append(joined.withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0).cast("bigint"))))
+    return _named(parts, features)
+
+
 def top_values(df: DataFrame, features: Sequence[str], k: int, split: str | None = "split") -> DataFrame:
     """The ``k`` most frequent values: ``(split, feature, rank, value, n, n_distinct)``, ties by value.
 
+    Byte features are reported by the digest of the value.
+
     Counts are summed per value first and Spark cuts each partition to ``k`` rows before the ranking
     shuffle, so a feature with millions of distinct values does not land in one task.
     """
-    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("value"))
-                      for f in features])
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), _text(df, f).alias("value")) for f in features])
     long = df.select(_group(split), F.inline(pairs)).filter(F.col("value").isNotNull())
     counts = long.groupBy("split", "feature", "value").agg(F.count(F.lit(1)).alias("n"))
     distinct = counts.groupBy("split", "feature").agg(F.count(F.lit(1)).alias("n_distinct"))
     order = Window.partitionBy("split", "feature").orderBy(F.desc("n"), "value")
     ranked = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= F.lit(k))
-    return ranked.join(distinct, ["split", "feature"]).select(
-        "split", "feature", "rank", "value", "n", "n_distinct")
+    same = ranked["split"].eqNullSafe(distinct["split"]) & (ranked["feature"] == distinct["feature"])
+    return ranked.join(distinct, same).select(
+        ranked["split"], ranked["feature"], "rank", "value", "n", "n_distinct")

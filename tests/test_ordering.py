@@ -170,3 +170,11 @@ def test_ranked_rows_are_shuffled_once(spark):
 def test_layout_needs_few_splits(spark):
     with pytest.raises(ValueError, match="is it a split"):
         ordering.shard_layout(spark.range(100).withColumn("split", F.col("id").cast("string")), ["id"], 8, 1)
+
+
+def test_null_groups_are_refused(spark):
+    df = spark.range(10).withColumn("split", F.when(F.col("id") > 3, F.lit("train")))
+    with pytest.raises(Exception, match="null in split"):
+        ordering.global_rank(df, ["id"], 1, ["split"]).collect()
+    with pytest.raises(Exception, match="null in split"):
+        ordering.shard_layout(df, ["id"], 4, 1).collect()

@@ -120,7 +120,7 @@ def test_histogram_counts_everything_once(spark):
 
 
 def test_top_values_break_ties_by_value(spark):
-    df = spark.createDataFrame([("s", x) for x in ["b", "b", "a", "a", "c", None]], "split string, x string")
+    df = spark.createDataFrame([(None, x) for x in ["b", "b", "a", "a", "c", None]], "split string, x string")
     rows = profile.top_values(df, ["x"], 2).orderBy("rank").collect()
     assert [(r["value"], r["n"], r["n_distinct"]) for r in rows] == [("a", 2, 3), ("b", 2, 3)]
 
@@ -146,3 +146,13 @@ def test_skew_of_equal_splits_is_zero_and_of_disjoint_ones_is_one(spark):
         return rows[0]["difference"]
     assert linf([0.0, 1.0, 10.0]) == 0.0
     assert linf([5.0, 5.0]) == 1.0
+
+
+def test_byte_features(spark):
+    df = spark.createDataFrame([("a", bytearray(b"xy")), ("a", bytearray(b"xy")), ("a", None), (None, bytearray(b""))],
+                               "split string, payload binary")
+    got = {r["split"]: r for r in profile.bytes_stats(df, ["payload"]).collect()}
+    assert (got["a"]["num_rows"], got["a"]["num_missing"], got["a"]["n_distinct"], got["a"]["avg_length"]) == (3, 1, 1, 2)
+    assert (got[None]["num_rows"], got[None]["n_distinct"]) == (1, 1)
+    top = profile.top_values(df.filter("split = 'a'"), ["payload"], 1).first()
+    assert top["n"] == 2 and len(top["value"]) == 32
