@@ -254,7 +254,7 @@ def shard_layout(df: DataFrame, keys: Sequence[str], size: int, seed: int, by: s
     group = F.col("_base") - 1 + F.size(F.filter("_cuts", lambda cut: cut <= here))
     placed = hashed.join(F.broadcast(bounds), [by, "_bucket"], "left").withColumn("_group", group)
     order = Window.partitionBy(by, "_group").orderBy("_h", *keys)
-    rank = F.col("_group") * _offset([by], "_step") + _next_place(order, *keys)
+    rank = _offset([by], "_step") * F.col("_group") + _next_place(order, *keys)
     shard = F.floor(F.col("_rank") / F.lit(size)).cast("int")
     return (
         placed.withColumn("_rank", rank)
