@@ -22,7 +22,7 @@ def map_float(values: Column, step: Callable[[Column], Column]) -> Column:
 
 def normalise(values: Column) -> Column:
     """0..255 to -1..1: ``x / 127.5 - 1``. The fixed scaling of training and serving."""
-    return F.transform(values, lambda x: ((x / F.lit(127.5)).cast("float") - F.lit(1.0)).cast("float"))
+    return F.transform(values, lambda x: (x / F.lit(127.5)).cast("float") - F.lit(1.0).cast("float"))
 
 
 def scale01(values: Column) -> Column:
@@ -30,7 +30,7 @@ def scale01(values: Column) -> Column:
 
 
 def shift_label(values: Column) -> Column:
-    return map_float(values, lambda x: x - F.lit(1.0))
+    return F.transform(values, lambda x: x.cast("float") - F.lit(1.0).cast("float"))
 
 
 def clip(values: Column, low: float, high: float) -> Column:

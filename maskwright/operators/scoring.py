@@ -19,7 +19,7 @@ from maskwright.operators.overlay import overlay
 from maskwright.operators.tensors import transformed_name
 
 MAX_MODEL_CELLS = 4_000_000
-CHUNK = 1 << 18
+CHUNK = 1 << 13
 
 
 def _logits(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
