@@ -220,41 +220,49 @@ def shard_layout(df: DataFrame, keys: Sequence[str], size: int, seed: int, by: s
                  shards_per_task: int = 16, keep: Sequence[str] = (), index: DataFrame | None = None) -> DataFrame:
     """Rows placed for a shard writer: add ``shard``, ``shard_size`` and ``position`` in the shard.
 
-    Rows come out partitioned by ``by`` and ``_group`` (name it in ``keep`` to go on grouping without a shuffle).
+    Rows come out partitioned by ``_task`` (name it in ``keep`` to go on grouping without a shuffle).
 
     Wide rows are shuffled once. A narrow pass over (split, hash) finds the hashes at which
     groups of whole shards begin; rows find their group by comparing hashes, and each group is
-    ranked and later written by one task. A group holds ``size * shards_per_task`` records, more
-    only where that would make over 131,072 groups per split; with the check on the number of splits that
-    bounds the broadcast tables whatever the data size. An ``index`` with ``by`` and the keys of the
-    same rows spares the narrow passes a costly ``df``.
+    ranked and later written by one task, with one task per group whatever the session's number of
+    shuffle partitions. A group holds ``size * shards_per_task`` records, more only where that would make over
+    131,072 groups per split; with the check on the number of splits that bounds the broadcast
+    tables at any data size. An ``index`` with ``by`` and the keys of the same rows spares the
+    narrow passes a costly ``df``.
     """
     source = df if index is None else index
-    splits = source.select(by).distinct().limit(MAX_SPLITS + 1).count()
-    if splits > MAX_SPLITS:
+    sizes = source.groupBy(by).agg(F.count(F.lit(1)).alias("n")).take(MAX_SPLITS + 1)
+    if len(sizes) > MAX_SPLITS:
         raise ValueError(f"column {by} holds more than {MAX_SPLITS} values: is it a split?")
+    if any(row[by] is None for row in sizes):
+        raise ValueError(f"null in {by}")
+    step = size * max(shards_per_task, -(-max((row["n"] for row in sizes), default=0) // (size * MAX_CUTS)))
+    tasks, first_task = 0, F.lit(0)
+    for row in sizes:
+        first_task = F.when(F.col(by) == F.lit(row[by]), F.lit(tasks)).otherwise(first_task)
+        tasks += -(-row["n"] // step)
     hashed = _hashed(df, keys, seed)
     narrow = _hashed(source.select(by, *keys), keys, seed)
     table = _bucket_table(narrow.select(by, "_bucket"), [by])
-    step = F.lit(size) * F.greatest(
-        F.lit(shards_per_task), F.ceil(F.col("_total") / F.lit(float(size) * MAX_CUTS))).cast("bigint")
-    table = table.withColumn("_step", step).withColumn("_base", F.ceil(F.col("_before") / F.col("_step")))
-    has_cut = F.col("_base") * F.col("_step") < F.col("_before") + F.col("_n")
+    table = table.withColumn("_base", F.ceil(F.col("_before") / F.lit(step)))
+    has_cut = F.col("_base") * F.lit(step) < F.col("_before") + F.col("_n")
     inside = Window.partitionBy(by, "_bucket").orderBy("_h", *keys)
     cuts = (
         narrow.join(F.broadcast(table.filter(has_cut)), [by, "_bucket"])
         .withColumn("_rank", F.col("_before") + F.row_number().over(inside) - 1)
-        .filter(F.col("_rank") % F.col("_step") == 0)
+        .filter(F.col("_rank") % F.lit(step) == 0)
         .groupBy(by, "_bucket")
         .agg(F.sort_array(F.collect_list(F.struct("_h", *keys))).alias("_cuts"))
     )
     bounds = table.join(F.broadcast(cuts), [by, "_bucket"], "left").select(
-        by, "_bucket", "_base", "_step", "_total", F.coalesce("_cuts", F.array()).alias("_cuts"))
+        by, "_bucket", "_base", "_total", F.coalesce("_cuts", F.array()).alias("_cuts"))
     here = F.struct("_h", *keys)
     group = F.col("_base") - 1 + F.size(F.filter("_cuts", lambda cut: cut <= here))
     placed = hashed.join(F.broadcast(bounds), [by, "_bucket"], "left").withColumn("_group", group)
-    order = Window.partitionBy(by, "_group").orderBy("_h", *keys)
-    rank = _offset([by], "_step") * F.col("_group") + _next_place(order, *keys)
+    placed = placed.withColumn("_task", (first_task + F.col("_group")).cast("int")).repartitionById(
+        max(1, tasks), "_task")
+    order = Window.partitionBy("_task").orderBy("_h", *keys)
+    rank = F.col("_group") * F.lit(step) + _next_place(order, *keys)
     shard = F.floor(F.col("_rank") / F.lit(size)).cast("int")
     return (
         placed.withColumn("_rank", rank)

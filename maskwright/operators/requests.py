@@ -19,9 +19,9 @@ def build_requests(df: DataFrame, keys: Sequence[str], payload: str, size: int,
     ``size`` payloads are gathered at a time and no second shuffle follows.
     """
     rows = df.select(*keys, payload).withColumn("split", F.lit("all"))
-    placed = shard_layout(rows, keys, size, seed, keep=["_group"])
+    placed = shard_layout(rows, keys, size, seed, keep=["_task"])
     instance = F.struct(base64url.encode(F.col(payload)).alias(field))
-    grouped = placed.groupBy("split", "_group", "shard").agg(
+    grouped = placed.groupBy("_task", "shard").agg(
         F.sort_array(F.collect_list(F.struct("position", instance.alias("instance")))).alias("_items"))
     body = F.struct(F.transform("_items", lambda item: item["instance"]).alias("instances"))
     return grouped.select(F.col("shard").alias("batch_id"), F.size("_items").alias("n"),

@@ -178,3 +178,16 @@ def test_null_groups_are_refused(spark):
         ordering.global_rank(df, ["id"], 1, ["split"]).collect()
     with pytest.raises(Exception, match="null in split"):
         ordering.shard_layout(df, ["id"], 4, 1).collect()
+
+
+def test_layout_has_a_task_per_group_and_one_wide_shuffle(spark):
+    df = spark.range(1000).withColumn("split", F.lit("train")).withColumn("wide", F.repeat(F.col("id").cast("string"), 9))
+    placed = ordering.shard_layout(df, ["id"], 10, 1, shards_per_task=5, keep=["_task"])
+    assert placed.rdd.getNumPartitions() == 20
+    where = placed.withColumn("p", F.spark_partition_id())
+    assert where.filter("p <> _task").count() == 0 and where.select("p").distinct().count() == 20
+
+    def exchanges(then):
+        fresh = then(ordering.shard_layout(df, ["id"], 10, 1, shards_per_task=5, keep=["_task"]))
+        return fresh._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+    assert exchanges(lambda f: f.groupBy("_task", "shard").agg(F.collect_list("wide"))) == exchanges(lambda f: f)
