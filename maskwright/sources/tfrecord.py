@@ -35,6 +35,7 @@ DEFAULT_SCHEMA = ("split string, shard int, image array<float>, image_shape arra
 PLACE = ("split", "shard", "record")
 LAYOUT = ("split", "shard", "shard_size", "position")
 BATCH_BYTES = 32 << 20
+_NUMBERS = {"array<float>": "<f4", "array<double>": "<f8", "array<int>": "<i4", "array<bigint>": "<i8"}
 
 
 @dataclass
@@ -100,7 +101,12 @@ class RecordReader(DataSourceReader):
             if kind.startswith("array<float") or kind.startswith("array<double"):
                 return fmt.decode_tensor(value[0])[0]
             return value if kind.startswith("array") else (value[0] if value else None)
-        return value if kind.startswith("array") else (value[0] if len(value) else None)
+        if kind.startswith("array"):
+            try:
+                return value.astype(_NUMBERS.get(kind, value.dtype), casting="same_kind", copy=False)
+            except TypeError:
+                raise ValueError(f"{path}: feature {name} holds {value.dtype.name} values, not {kind}") from None
+        return value[0].item() if len(value) else None
 
     def read(self, partition: ShardGroup) -> Iterator[pa.RecordBatch]:
         target = to_arrow_schema(self.schema)
@@ -211,6 +217,7 @@ class RecordSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    """Make ``format("tfrecord")`` known to the session, with filters handed to it."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(RecordSource)
 

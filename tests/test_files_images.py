@@ -6,7 +6,7 @@ from maskwright.catalog.png import png_bytes
 from maskwright.functions import arrays
 from maskwright.functions.names import is_text_file
 from maskwright.operators import filetree, overlay
-from maskwright.sources import files, images, palettes
+from maskwright.sources import files, images, palettes, storage
 
 
 def save(folder, name, pixels):
@@ -132,3 +132,37 @@ def test_sync_keeps_retained_names_unless_they_are_brought(spark):
 def test_mask_resize_gives_fractional_classes(spark):
     df = spark.createDataFrame([([1.0, 3.0, 3.0, 3.0], [2, 2])], "x array<float>, s array<bigint>")
     assert df.select(arrays.resize(F.col("x"), F.col("s"), 1, 1)).first()[0] == [2.5]
+
+
+def test_jpeg_files_decode_with_small_loss(spark, tmp_path):
+    jvm = spark.sparkContext._jvm
+    (tmp_path / "i").mkdir()
+    (tmp_path / "m").mkdir()
+    picture = jvm.java.awt.image.BufferedImage(16, 8, jvm.java.awt.image.BufferedImage.TYPE_INT_RGB)
+    for x in range(16):
+        for y in range(8):
+            picture.setRGB(x, y, (200 << 16) | (100 << 8) | 30)
+    jvm.javax.imageio.ImageIO.write(picture, "jpg", jvm.java.io.File(str(tmp_path / "i" / "cat.jpg")))
+    save(tmp_path / "m", "cat.png", np.ones((8, 16)))
+    row = images.load_pairs(spark, str(tmp_path / "i"), str(tmp_path / "m")).first()
+    assert row["key"] == "cat" and row["image_shape"] == [8, 16, 3] and row["label"] == [1.0] * 128
+    assert np.abs(np.array(row["image"]).reshape(-1, 3) - [200, 100, 30]).max() <= 4
+
+
+def test_paths_as_spark_writes_them(tmp_path):
+    (tmp_path / "a.txt").write_text("x")
+    for path in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}"):
+        system, inner = storage.open_path(path)
+        assert system.get_file_info(f"{inner}/a.txt").size == 1
+        assert [size for _, size in storage.list_files(f"{path}/*.txt")] == [1]
+        assert storage.walk(path) == [("a.txt", 1)]
+    assert storage.pack([("a", 0), ("b", 5), ("c", 6), ("d", 20)], 10) == [["a", "b"], ["c"], ["d"]]
+    assert storage.pack([], 10) == []
+
+
+def test_a_failed_write_leaves_nothing(tmp_path):
+    with pytest.raises(RuntimeError):
+        with storage.replacing(str(tmp_path), "x/y.bin") as stream:
+            stream.write(b"half")
+            raise RuntimeError("lost")
+    assert not [p for p in tmp_path.rglob("*") if p.is_file()]

@@ -185,3 +185,12 @@ def test_import_by_split_pattern(spark, tmp_path):
     counts = {r["split"]: r["count"] for r in
               tfrecord.import_splits(spark, path, tfrecord.FIRST_SHARDS).groupBy("split").count().collect()}
     assert counts == {"train": 32, "eval": 20}
+
+
+def test_columns_may_be_wider_or_of_another_width_but_not_of_another_kind(spark, tmp_path):
+    path = str(tmp_path / "records")
+    tfrecord.write_records(table(spark, 10), path, ["id"], keep_keys=True)
+    row = tfrecord.read_records(spark, path, "id int, image array<double>, label_shape array<int>").orderBy("id").first()
+    assert row["id"] == 0 and row["image"][:3] == [0.0, 1.0, 2.0] and row["label_shape"] == [2, 2]
+    with pytest.raises(Exception, match="holds float32 values, not array<int>"):
+        tfrecord.read_records(spark, path, "label array<int>").collect()
