@@ -14,7 +14,7 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-SEARCH_BUCKETS = 4096
+SEARCH_BUCKETS = 1 << 16
 MAX_GROUPS = 100_000
 STATS = ["num_rows", "num_missing", "num_values", "min_size", "max_size", "avg_size", "mean", "std_dev",
          "num_zeros", "min", "median", "max"]
@@ -96,7 +96,7 @@ def search_quantiles(df: DataFrame, features: Sequence[str], split: str | None,
     """Exact order statistics per split and feature.
 
     The value at a rank is the one ``ceil(rank * n)`` places up the sorted values. It is searched for: count the
-    values in 4,096 equal buckets, go on inside the bucket that holds the rank, narrowed to its own smallest
+    values in 65,536 equal buckets, go on inside the bucket that holds the rank, narrowed to its own smallest
     and largest value, until one value is left. A pass returns one row per wanted quantile.
     Copies of a value and far outliers cost no memory, where ``percentile`` would hold every
     distinct value of a feature in one task. Whole-numbered pixels need one pass, measurements two or three.

@@ -15,10 +15,14 @@ from maskwright.operators.gate import is_blessed
 REGISTRY = "seq bigint, type_name string, name string, uri string, properties map<string,string>"
 
 
+def append_records(spark: SparkSession, registry: str, records: list[tuple[int, str, str, str, dict]]) -> None:
+    """Append the records of one run together, one file per type."""
+    spark.createDataFrame(records, REGISTRY).coalesce(1).write.mode("append").partitionBy("type_name").parquet(registry)
+
+
 def append_record(spark: SparkSession, registry: str, seq: int, type_name: str, name: str, uri: str,
                   properties: Mapping[str, str] | None = None) -> None:
-    row = [(seq, type_name, name, uri, dict(properties or {}))]
-    spark.createDataFrame(row, REGISTRY).coalesce(1).write.mode("append").partitionBy("type_name").parquet(registry)
+    append_records(spark, registry, [(seq, type_name, name, uri, dict(properties or {}))])
 
 
 def read_registry(spark: SparkSession, registry: str) -> DataFrame:
@@ -36,6 +40,12 @@ def latest(registry: DataFrame, group: str, order: str, *columns: str) -> DataFr
     return registry.groupBy(group).agg(F.max_by(payload, order).alias("_last")).select(group, "_last.*")
 
 
+def latest_uri(registry: DataFrame, type_name: str) -> str | None:
+    """Where the last artifact of a type is, or None."""
+    row = latest(by_type(registry, type_name), "type_name", "seq", "uri").first()
+    return row["uri"] if row else None
+
+
 def latest_blessed(registry: DataFrame, blessed: str, order: str, *columns: str) -> DataFrame:
     """The last record that passed its gate: one row, or none while nothing has passed."""
     payload = F.struct(order, *[c for c in columns if c != order])

@@ -16,6 +16,7 @@ from maskwright.sources import schema_text, tables, tfrecord
 from maskwright.operators.tensors import IMAGE, LABEL, transformed_name
 
 MODEL, BLESSING, PUSHED = "Model", "ModelBlessing", "PushedModel"
+STATISTICS, SCHEMA, ANOMALIES, EVALUATION = "ExampleStatistics", "Schema", "ExampleAnomalies", "ModelEvaluation"
 METRIC = "SparseCategoricalAccuracy"
 
 
@@ -85,8 +86,9 @@ def run(spark: SparkSession, config: RunConfig) -> RunResult:
     examples = spark.read.schema(schema.add("split", "string")).parquet(imported)
 
     numeric = [f.name for f in features if f.type != "BYTES"]
-    tables.append_run(profile.feature_stats(examples, numeric), f"{config.root}/statistics", config.clock, "split")
-    found = constraints.anomalies(examples, features)
+    statistics, anomalies = f"{config.root}/statistics", f"{config.root}/anomalies"
+    tables.append_run(profile.feature_stats(examples, numeric), statistics, config.clock, "split")
+    tables.append_run(constraints.anomalies(examples, features), anomalies, config.clock)
 
     transformed = f"{config.root}/transformed/run={config.clock}"
     tables.write_transformed(preprocess(examples), transformed)
@@ -109,11 +111,15 @@ def run(spark: SparkSession, config: RunConfig) -> RunResult:
     blessing = gate.bless(checks)
     blessed = gate.is_blessed(blessing)
 
-    seq = config.clock
-    registry.append_record(spark, config.registry, seq, MODEL, "model", model_path)
-    registry.append_record(spark, config.registry, seq, BLESSING, "blessing", model_path,
-                           {"blessed": str(int(blessed))})
     pushed = registry.publish(model_table(spark, model), blessing, config.serving, config.clock)
-    registry.append_record(spark, config.registry, seq, PUSHED, "pushed_model", pushed or "",
-                           {"pushed": str(int(blessed))})
-    return RunResult(found, values, checks, blessed, pushed)
+    flag = str(int(blessed))
+    registry.append_records(spark, config.registry, [
+        (config.clock, STATISTICS, "statistics", statistics, {}),
+        (config.clock, SCHEMA, "schema", config.schema, {}),
+        (config.clock, ANOMALIES, "anomalies", anomalies, {}),
+        (config.clock, EVALUATION, "evaluation", evaluation, {}),
+        (config.clock, MODEL, "model", model_path, {}),
+        (config.clock, BLESSING, "blessing", model_path, {"blessed": flag}),
+        (config.clock, PUSHED, "pushed_model", pushed or "", {"pushed": flag}),
+    ])
+    return RunResult(tables.read_run(spark, anomalies, config.clock), values, checks, blessed, pushed)

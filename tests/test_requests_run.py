@@ -168,8 +168,12 @@ def test_whole_run(spark, tmp_path):
     assert baseline == dataset_run.load_model(spark, str(tmp_path / "root" / "model" / "run=2"))
     pushed = registry.by_type(registry.read_registry(spark, str(tmp_path / "registry")), dataset_run.PUSHED)
     assert {r["seq"]: r["properties"]["pushed"] for r in pushed.collect()} == {1: "1", 2: "1", 3: "0"}
-    stats = spark.read.parquet(str(tmp_path / "root/statistics/run=1"))
-    assert stats.filter("split = 'train' and feature = 'label' and stat = 'num_rows'").first()["value"] == 45.0
+    known = registry.read_registry(spark, str(tmp_path / "registry"))
+    stats = tables.read_stats(spark, registry.latest_uri(known, dataset_run.STATISTICS), "train")
+    assert stats.filter("feature = 'label' and stat = 'num_rows'").first()["value"] == 45.0
+    evaluation = tables.read_run(spark, registry.latest_uri(known, dataset_run.EVALUATION), 2)
+    assert {r["model"] for r in evaluation.collect()} == {"candidate", "baseline"}
+    assert registry.latest_uri(known, "Nothing") is None
 
     local = dataset_run.run(spark, config(tmp_path, 4, "good", patterns=tfrecord.FIRST_SHARDS))
     assert local.metrics.filter("model = 'candidate'").first()["n"] == 15 * 16
