@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -73,7 +74,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     begin, end, first = word_bounds(data, starts)
     hashes = np.empty(len(begin), np.uint64)
     step = 1 << 20  # bytes per running sum, so that the powers stay in a small table
-    power = np.ones(1, np.uint64)
+    power = back = np.ones(1, np.uint64)
     at = 0
     while at < len(begin):
         low = begin[at]
@@ -81,10 +82,10 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         high = int(end[upto - 1])
         if high - low > len(power):
             power = np.concatenate([[np.uint64(1)], np.cumprod(np.full(high - low, _ODD))])
+            back = np.concatenate([[np.uint64(1)], np.cumprod(np.full(high - low, _INVERSE))])
         total = np.concatenate([[np.uint64(0)], np.cumsum(_VALUE[data[low:high]] * power[:high - low])])
         b, e = begin[at:upto] - low, end[at:upto] - low
-        # sums are shifted to the highest power instead of being divided
-        hashes[at:upto] = (total[e] - total[b]) * power[high - low - 1 - b] + (e - b).astype(np.uint64)
+        hashes[at:upto] = (total[e] - total[b]) * back[b] + (e - b).astype(np.uint64)
         at = upto
     return hashes, first
 
