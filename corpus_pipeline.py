@@ -4,22 +4,55 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from maskwright.llm import jaccard
-from maskwright.llm.catalog import table
+from maskwright.llm import jaccard, language, packing, tiling
+from maskwright.llm.catalog import as_digests, table, tokenizer
 from maskwright.session import scratch_path
 
 
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones stays: the one with the smallest doc_id."""
-    found = jaccard.near_duplicates(docs)
-    return docs.join(found.where("doc_id != component_id").select("doc_id"), "doc_id", "left_anti")
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that was learned from the labelled ones stay.
+
+    Texts that are null or have no letter go, and so do those much further from every language than labelled texts are.
+    """
+    model = language.fit(docs)
+    return language.predict(docs, model).where("not rejected").select(*docs.columns)
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked ones stays, and one of rows that are alike in doc_id and text.
+
+    Documents are told apart by a hash of doc_id and text, so null and repeated ids do no harm; the one with the smallest
+    hash stays. Texts without words are linked with nothing and all stay.
+    """
+    keyed = docs.withColumn("key_", F.xxhash64("doc_id", "text"))
+    found = jaccard.near_duplicates(keyed, id_col="key_")
+    linked = found.where("key_ != component_id").select("key_").distinct()
+    repeated = found.where("key_ = component_id and n_shingles > 0").groupBy("key_").count().where("count > 1").select("key_")
+    kept = keyed.join(linked, "key_", "left_anti")
+    once = kept.join(repeated, "key_", "left_anti")
+    first = kept.join(repeated, "key_", "left_semi").dropDuplicates(["key_"])
+    return once.unionByName(first).select(*docs.columns)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that cover half of a benchmark item or more go."""
+    return tiling.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents that are left, in sequences of 1,024 ids."""
+    return as_digests(packing.pack(docs, tokenizer("byte_bpe_50k.json")))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("near duplicates", drop_near_copies),
+    ("language ID", known_language),
+    ("near duplicates", one_of_near_copies),
+    ("benchmark decontamination", without_benchmark),
+    ("packing", packed),
 ]
+# Fitted centroids and a tokenizer have no SQL; tests hold each stage against a plain version.
 ORACLE_SQL: str | None = None
 
 

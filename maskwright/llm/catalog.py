@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from maskwright.llm import jaccard
+from maskwright.llm import (bitplanes, jaccard, language, licences, neighbours, packing, scoring, sharding, tiling,
+                           urls)
+from maskwright.session import scratch_path
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,13 +17,137 @@ def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, folder, "documents"))
 
 
-QUERIES = {
-    "op10_ngram_jaccard": op10_ngram_jaccard,
-}
+def tokenizer(name: str):
+    """Where a public tokenizer lies on the machine that asks."""
+    def find() -> str:
+        import public_tokenizers
+
+        return public_tokenizers.path(name)
+    return find
+
+
+def as_digests(pieces: DataFrame) -> DataFrame:
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset")
+
+
+def op1_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scan_licences(table(spark, folder, "documents"))
+    return found.withColumns({"sentence_ids": F.array_join("sentence_ids", ","), "licences": F.array_join("licences", ",")})
+
+
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return tiling.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op3_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+# The rules of the query: verdict, host, path.
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge_urls(table(spark, folder, "pages"), [urls.host_rule(*rule) for rule in URL_RULES])
+
+
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.fit(docs.where(~language.held_out()))
+    return language.predict(docs.select("doc_id", language.held_out().alias("held_out"), "text"), model).drop("text")
+
+
+def op6_kd_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.shard_documents(table(spark, folder, "documents"), 40)
+    return placed.drop("lines").withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = scoring.fit(scoring.marked_by(docs, table(spark, folder, "labels")))
+    return scoring.score(docs, model)
+
+
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return as_digests(packing.pack(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json")))
+
+
+def op9_bit_planes(spark: SparkSession, folder: str) -> DataFrame:
+    files = bitplanes.write_ids(table(spark, folder, "documents"), scratch_path(spark, "token-ids"),
+                                tokenizer("word_bpe_49k.json"), gaps=False, end_id=1)
+    return bitplanes.read_ids(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_licence_scan, op2_decontamination, op3_nearest_neighbours, op4_url_filter, op5_language_id, op6_kd_sharding,
+    op7_lm_scoring, op8_packing, op9_bit_planes, op10_ngram_jaccard)}
 
 _WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
 
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _licence_sql() -> str:
+    """The sentences and rules as SQL lists; rules are applied one after the other by a list reduction."""
+    critical = "|".join(licences.CRITICAL)
+    known = "MAP {" + ", ".join(f"{_quoted(s)}: {_quoted(i)}" for s, i in licences.SENTENCES.items()) + "}"
+    rules = "[" + ", ".join(
+        f"{{'l': {_quoted(n)}, 'r': {_quoted('<' + '><'.join(i) + '>')}}}" for n, i in licences.RULES) + "]"
+    norm = "trim(regexp_replace({}, '[^a-z0-9]+', ' ', 'g'))"
+    return rf"""
+WITH cut AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[.!?;]+[ 	
+]+|
+[ 	
+]*
+'), lambda s: regexp_matches(s, '{critical}')) AS s,
+    {known} AS known FROM documents),
+units AS (SELECT doc_id, known, list_filter(flatten(list_transform(s, lambda s: CASE
+        WHEN NOT contains(s, chr(10)) OR map_contains(known, {norm.format('s')}) THEN [s]
+        ELSE string_split(s, chr(10)) END)), lambda s: regexp_matches(s, '{critical}')) AS u FROM cut),
+found AS (SELECT doc_id, coalesce(list_transform(u, lambda s: coalesce(known[{norm.format('s')}], '?')), []) AS f FROM units),
+state AS (SELECT doc_id, f, list_reduce(list_concat([{{'l': '', 'r': coalesce(list_aggregate(list_transform(f,
+        lambda s: '<' || s || '>'), 'string_agg', ''), '')}}], {rules}), lambda a, b: CASE WHEN contains(a.r, b.r)
+        THEN {{'l': CASE WHEN contains(',' || a.l || ',', ',' || b.l || ',') THEN a.l WHEN a.l = '' THEN b.l
+            ELSE a.l || ',' || b.l END, 'r': replace(a.r, b.r, '|')}} ELSE a END) AS z FROM found)
+SELECT doc_id, array_to_string(list_filter(f, lambda s: s != '?'), ',') AS sentence_ids, z.l AS licences,
+    CAST(length(regexp_replace(replace(z.r, '<?>', ''), '[^<]', '', 'g')) AS INTEGER) AS unmatched,
+    CAST(len(list_filter(f, lambda s: s = '?')) AS INTEGER) AS unknown FROM state"""
+
+
+_RULE_ROWS = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
+
 ORACLES = {
+    "op1_licence_scan": _licence_sql(),
+    "op3_nearest_neighbours": """
+WITH valid AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x != 0)) > 0),
+unit AS (SELECT vec_id, e, sqrt(list_reduce(list_transform(e, lambda x: x * x), lambda a, b: a + b)) AS n FROM valid),
+pairs AS (SELECT q.vec_id AS query_id, c.vec_id, list_reduce(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2]),
+    lambda a, b: a + b) / (q.n * c.n) AS score FROM unit q JOIN unit c ON q.vec_id % 50 = 0 AND c.vec_id != q.vec_id
+    AND len(q.e) = len(c.e))
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM pairs
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5""",
+    "op4_url_filter": rf"""
+WITH rules(verdict, rule_host, rule_path) AS (VALUES {_RULE_ROWS}),
+parts AS (SELECT page_id, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '') AS host, coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+fits AS (SELECT host, path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+    arg_max(verdict, length(rule_host || rule_path)) AS verdict FROM (SELECT DISTINCT host, path FROM parts) JOIN rules
+    ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY host, path)
+SELECT page_id, parts.host, parts.path, rule, coalesce(verdict, 'allow') AS verdict
+FROM parts LEFT JOIN fits ON parts.host = fits.host AND parts.path = fits.path""",
     "op10_ngram_jaccard": rf"""
 WITH RECURSIVE words AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
 sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]

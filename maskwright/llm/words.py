@@ -1,6 +1,6 @@
 """Hashes of words and of runs of words, for many texts at once, on numpy.
 
-A word is a run of bytes other than space and the controls 0x09 to 0x0D; A-Z count as a-z. UTF-8
+A word is a run of bytes other than ``gaps``, by default space and the controls 0x09 to 0x0D; A-Z count as a-z. UTF-8
 never uses those bytes inside a longer character, so whole texts are cut without decoding them.
 """
 
@@ -22,8 +22,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+SPACE = np.zeros(256, bool)  # what parts words
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
+PUNCTUATION = SPACE.copy()  # the same with all ASCII but letters and digits
+PUNCTUATION[[c for c in range(128) if not chr(c).isalnum()]] = True
 _LETTER = np.arange(256)
 _LETTER[65:91] += 32
 _VALUE = _mixed(_LETTER.astype(np.uint64) * _ODD + np.uint64(1))  # of a byte, the same for both cases
@@ -43,6 +45,8 @@ def chunks(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20)
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts behind each other, and where each begins (one more than texts); null is empty."""
+    if not len(texts):
+        return np.empty(0, np.uint8), np.zeros(1, np.int64)
     texts = texts.cast(pa.large_string()).fill_null("")
     ends = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
     data = texts.buffers()[2]
@@ -50,9 +54,9 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return held[ends[0]:ends[-1]], ends - ends[0]
 
 
-def word_bounds(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(data: np.ndarray, starts: np.ndarray, gaps: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First byte and end of every word, and the first word of each text (one more than texts)."""
-    inside = ~_SPACE[data]
+    inside = ~gaps[data]
     opens = starts[:-1][starts[:-1] < len(data)]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
@@ -64,14 +68,14 @@ def word_bounds(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     return begin, np.flatnonzero(last) + 1, np.searchsorted(begin, starts)
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: pa.Array, gaps: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of every word, and the first word of each text (one more than texts).
 
     A word is hashed as a polynomial over random values of its bytes; powers of an odd number have
     inverses, so one running sum serves all words.
     """
     data, starts = buffers(texts)
-    begin, end, first = word_bounds(data, starts)
+    begin, end, first = word_bounds(data, starts, gaps)
     hashes = np.empty(len(begin), np.uint64)
     step = 1 << 20  # bytes per running sum, so that the powers stay in a small table
     power = back = np.ones(1, np.uint64)
