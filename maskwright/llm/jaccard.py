@@ -33,6 +33,7 @@ SIZE = 5  # words of an n-gram
 PERCENT = 75
 FRAGMENT_BYTES = 16 << 20  # of text per fragment of step 2, some 2.5 million n-grams: what one task remembers
 SEGMENTS = 8  # fragments of step 3, by the first three bits of the hash
+SKETCH = 16  # words of 64 bits that bound how far two sets differ
 ANCHOR_ROUNDS = 2
 
 _SETS = "id_ bigint, n_shingles bigint, k1 bigint, k2 bigint"
@@ -212,14 +213,19 @@ def _count_shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _segments(rows: DataFrame, possible: DataFrame, size: int) -> DataFrame:
-    """node, n, part, held: the n-grams of each class that is left, by fragment of the order."""
+    """node, n, part, held: the n-grams of each class that is left, by fragment of the order.
+
+    Part -1 is a sketch: a bit for each remainder of the hash, set where an odd number of n-grams have it.
+    """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = (np.arange(1, SEGMENTS, dtype=np.uint64) << np.uint64(61))
         for batch in chunks(batches, "text_", 1 << 20):
             hashes, offsets, keys = _hashed(batch, size)
             node, n, part, held = [], [], [], []
             for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
-                for j, piece in enumerate(np.split(hashes[a:b], np.searchsorted(hashes[a:b], bounds))):
+                odd = np.bincount((hashes[a:b] % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+                sketch = np.packbits(odd.astype(np.uint8)).view(np.int64)
+                for j, piece in enumerate([sketch, *np.split(hashes[a:b], np.searchsorted(hashes[a:b], bounds))], -1):
                     if len(piece):
                         node.append(keys[i, 0])
                         n.append(b - a)
@@ -252,9 +258,19 @@ def _prefixes(segments: DataFrame, percent: int) -> DataFrame:
     return placed.select("node", "n", F.col("col.token").alias("token"), (F.col("alone") + F.col("pos")).alias("pos"))
 
 
+def _need(percent: int, a: str, b: str) -> Column:
+    return F.ceil((F.col(f"{a}.n") + F.col(f"{b}.n")) * percent / (100 + percent))
+
+
+def _near_enough(percent: int, a: str, b: str) -> Column:
+    """Sketches differ in no more bits than linked sets have n-grams on one side only."""
+    bits = [F.bit_count(F.get(f"{a}.bits", F.lit(i)).bitwiseXOR(F.get(f"{b}.bits", F.lit(i)))) for i in range(SKETCH)]
+    return sum(bits[1:], bits[0]) <= F.col(f"{a}.n") + F.col(f"{b}.n") - 2 * _need(percent, a, b)
+
+
 def _may_link(percent: int, a: str, b: str) -> Column:
     """Sizes and places allow the overlap that a link needs, if this is their first n-gram in common."""
-    need = F.ceil((F.col(f"{a}.n") + F.col(f"{b}.n")) * percent / (100 + percent))
+    need = _need(percent, a, b)
     rest = F.least(F.col(f"{a}.n") - F.col(f"{a}.pos"), F.col(f"{b}.n") - F.col(f"{b}.pos"))
     return rest >= need
 
@@ -271,6 +287,8 @@ def _verified(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
 
 def _linked(segments: DataFrame, percent: int) -> DataFrame:
     """node, comp for every class that is linked to another."""
+    sketches = segments.where("part = -1").select("node", F.col("held").alias("bits"))
+    segments = segments.where("part >= 0")
     prefixes = materialise(_prefixes(segments, percent), "jaccard-prefixes")
     edges, comps = None, None
     for turn in range(ANCHOR_ROUNDS + 1):
@@ -286,8 +304,8 @@ def _linked(segments: DataFrame, percent: int) -> DataFrame:
             other = groups.select("token", "anchor.*").alias("y")
             meet = held.alias("x").join(other, "token").where(a != b)
         else:
-            mixed = held.join(groups.select("token"), "token")
-            meet = mixed.alias("x").join(mixed.alias("y"), "token").where(a < b)
+            mixed = held.join(groups.select("token"), "token").join(sketches, "node")
+            meet = mixed.alias("x").join(mixed.alias("y"), "token").where((a < b) & _near_enough(percent, "x", "y"))
         pairs = meet.where((F.col("x.comp") != F.col("y.comp")) & _may_link(percent, "x", "y")).select(
             F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
         found = materialise(_verified(pairs, segments, percent), "jaccard-links")
