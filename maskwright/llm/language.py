@@ -3,7 +3,7 @@
 A text is a vector of counts of its letter n-grams (1 to 3 letters, words padded by a space, hashed into ``buckets``),
 damped, weighted by inverse document frequency and scaled to length 1. Labelled texts of each language are clustered
 on the sphere; a text gets the language of the centroid with the largest cosine. It is rejected when even that one is
-much further away than labelled texts with about as many n-grams were from theirs.
+much further away than labelled texts, or their openings, with about as many distinct n-grams are from theirs.
 """
 
 from __future__ import annotations
@@ -24,8 +24,9 @@ BUCKETS = 1 << 13
 CENTROIDS = 4  # per language
 SAMPLE = 2_000  # labelled texts per language that the centroids are fitted on, about
 MOST_LANGUAGES = 1_000
-SLACK = 0.5  # of the cosine that nearly all labelled texts of that length reach
-LENGTHS = 24  # classes of text length, by powers of two of the n-grams
+SLACK = 0.5  # of the cosine that nearly all labelled texts as rich as that reach
+LENGTHS = 24  # classes of richness, by powers of two of the distinct n-grams
+PIECES = (1, 2, 4, 8, 16, 32, 64)  # words of the openings that stand for short texts when thresholds are set
 
 _ORDERS = (1, 2, 3)
 
@@ -76,13 +77,13 @@ def features(texts: list[str | None], buckets: int) -> tuple[np.ndarray, np.ndar
 
 
 def vectors(texts: list[str | None], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Unit vectors of the texts as rows, and their numbers of n-grams; a text without letters is a zero vector."""
+    """Unit vectors of the texts as rows, and their numbers of distinct n-grams; one without letters is a zero vector."""
     bucket, starts = features(texts, len(idf))
     out = np.zeros((len(texts), len(idf)), np.float32)
     for i, (a, b) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist())):
         if b > a:
             out[i] = np.bincount(bucket[a:b], minlength=len(idf))
-    return weighted(out, idf), np.diff(starts)
+    return weighted(out, idf), np.count_nonzero(out, axis=1)
 
 
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -164,41 +165,53 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", buc
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text_", 1 << 20):
-            bucket, starts = features(batch["text_"].to_pylist(), buckets)
+            texts, langs, whole = batch["text_"].to_pylist(), batch["lang_"].to_pylist(), [True] * len(batch)
+            for lang, words in [(lang, t.split()) for lang, t in zip(langs, texts)]:
+                short = [" ".join(words[:n]) for n in PIECES if n < len(words)]
+                texts, langs, whole = texts + short, langs + [lang] * len(short), whole + [False] * len(short)
+            bucket, starts = features(texts, buckets)
             held = [np.unique(bucket[a:b], return_counts=True) for a, b in zip(starts[:-1], starts[1:])]
             yield pa.RecordBatch.from_arrays(
-                [batch["lang_"], pa.array([x for x, _ in held], pa.list_(pa.int32())),
-                 pa.array([n for _, n in held], pa.list_(pa.int64()))], ["lang", "bucket", "n"])
+                [pa.array(langs, pa.string()), pa.array([x for x, _ in held], pa.list_(pa.int32())),
+                 pa.array([n for _, n in held], pa.list_(pa.int64())), pa.array(whole)], ["lang", "bucket", "n", "whole"])
 
-    counted = materialise(chosen.mapInArrow(count, "lang string, bucket array<int>, n array<bigint>"), "language-sample")
+    both = materialise(chosen.mapInArrow(
+        count, "lang string, bucket array<int>, n array<bigint>, whole boolean").where("size(bucket) > 0"), "language-sample")
+    counted = both.where("whole")
     total = counted.count()
     df = np.zeros(buckets)
     for row in counted.select(F.explode("bucket").alias("b")).groupBy("b").count().collect():  # at most ``buckets``
         df[row.b] = row["count"]
     idf = np.log((1 + total) / (1 + df)).astype(np.float32) + np.float32(0.1)
 
-    def centres(held: pd.DataFrame) -> pd.DataFrame:
+    def rows_of(held: pd.DataFrame) -> np.ndarray:
         dense = np.zeros((len(held), buckets), np.float32)
         for i, (bucket, n) in enumerate(zip(held["bucket"], held["n"])):
             dense[i, bucket] = n
-        size = dense.sum(axis=1)
-        rows = weighted(dense, idf)
-        found = cluster(rows, centroids)
-        near = (rows @ found.T).max(axis=1)
-        return pd.DataFrame({"lang": held["lang"].iloc[0], "centroid": [c.tolist() for c in found],
-                             "near": [near.tolist()] + [[]] * (len(found) - 1),
-                             "size": [size.tolist()] + [[]] * (len(found) - 1)})
-
-    fitted = counted.groupBy("lang").applyInPandas(
-        centres, "lang string, centroid array<float>, near array<double>, size array<double>").orderBy("lang").collect()
-    near = np.concatenate([np.array(r.near) for r in fitted])
-    kind = length_class(np.concatenate([np.array(r["size"]) for r in fitted]))
+        return weighted(dense, idf)
+
+    def centres(held: pd.DataFrame) -> pd.DataFrame:
+        found = cluster(rows_of(held), centroids)
+        return pd.DataFrame({"lang": held["lang"].iloc[0], "centroid": [c.tolist() for c in found]})
+
+    fitted = counted.groupBy("lang").applyInPandas(centres, "lang string, centroid array<float>").orderBy("lang").collect()
+    held, names = np.array([r.centroid for r in fitted], np.float32), np.array([r.lang for r in fitted])
+
+    def nearness(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 512):
+                some = batch.iloc[at:at + 512]
+                near = (rows_of(some) @ held.T).max(axis=1)
+                yield pd.DataFrame({"kind": length_class(some["n"].map(len).to_numpy()), "near": near.astype(float)})
+
+    lowest = {r.kind: r for r in both.mapInPandas(nearness, "kind int, near double").groupBy("kind").agg(
+        F.count("*").alias("n"), F.percentile_approx("near", 0.01).alias("near")).collect()}  # a row per class
     least, last = np.zeros(LENGTHS), 0.0
-    for k in range(LENGTHS):  # longer texts are never held to less than shorter ones
-        if (kind == k).sum() >= 20:
-            last = max(last, SLACK * float(np.quantile(near[kind == k], 0.01)))
+    for k in range(LENGTHS):  # richer texts are never held to less than poorer ones
+        if k in lowest and lowest[k].n >= 20:
+            last = max(last, SLACK * lowest[k].near)
         least[k] = last
-    return Model(idf, np.array([r.centroid for r in fitted], np.float32), [r.lang for r in fitted], least)
+    return Model(idf, held, names.tolist(), least)
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
