@@ -1,8 +1,10 @@
 """Bounded-space online packing of documents into sequences.
 
 Each partition keeps a fixed number of open windows. A document is cut into full windows and a rest; the rest goes
-into the open window that it fills best. When it fits none, the fullest window is emitted and a new one opened. What
-is still open at a partition's end is merged with other partitions' leftovers, best fit with the longest first.
+into the open window that it fills best. When it fits none, its beginning fills up the fullest window, which is emitted,
+and what remains is placed in the same way; a new window is opened while there are fewer than the fixed number. What is
+still open at a partition's end is merged with other partitions' leftovers: pieces of the emptiest windows fill up the
+fullest ones, so that at most one window of a merged group needs padding.
 """
 
 from __future__ import annotations
@@ -39,30 +41,33 @@ class Packer:
 
     def add(self, doc, ids: np.ndarray) -> None:
         total = len(ids)
-        for start in range(0, total, self.length):
-            piece = ids[start:start + self.length]
-            window, offset = self._place(len(piece))
-            row = (doc, start, len(piece), total, window, offset, piece.tobytes())
-            self.held.setdefault(window, []).append(row)
-            if offset + len(piece) == self.length:
-                self._emit(window)
-
-    def _place(self, n: int) -> tuple[int, int]:
-        """Window and offset for ``n`` ids; a window that they fill up is no longer listed as free."""
-        at = bisect_left(self.free, (n, -1))
-        if at < len(self.free):
-            free, window = self.free.pop(at)
-        else:
-            if n < self.length and len(self.free) >= self.windows:
-                self._emit(self.free.pop(0)[1])
-            free, window = self.length, self.next
-            self.next += 1
-        if free > n:
-            insort(self.free, (free - n, window))
-        return window, self.length - free
-
-    def _emit(self, window: int) -> None:
-        self.out += [(*row, False) for row in self.held.pop(window)]
+        full = total - total % self.length
+        for start in range(0, full, self.length):
+            self._put(self._open(), 0, (doc, start, total), ids[start:start + self.length])
+        start = full
+        while start < total:
+            at = bisect_left(self.free, (total - start, -1))
+            if at < len(self.free):  # best fit
+                free, window = self.free.pop(at)
+            elif len(self.free) < self.windows:
+                free, window = self.length, self._open()
+            else:  # the fullest takes what it has room for
+                free, window = self.free.pop(0)
+            piece = ids[start:start + free]
+            self._put(window, self.length - free, (doc, start, total), piece)
+            if free > len(piece):
+                insort(self.free, (free - len(piece), window))
+            start += len(piece)
+
+    def _open(self) -> int:
+        self.next += 1
+        return self.next - 1
+
+    def _put(self, window: int, offset: int, place: tuple, piece: np.ndarray) -> None:
+        doc, start, total = place
+        self.held.setdefault(window, []).append((doc, start, len(piece), total, window, offset, piece.tobytes()))
+        if offset + len(piece) == self.length:
+            self.out += [(*row, False) for row in self.held.pop(window)]
 
     def finish(self) -> None:
         for window in list(self.held):
@@ -76,17 +81,33 @@ class Packer:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
-def merge(sizes: pd.DataFrame, length: int) -> pd.DataFrame:
-    """Where each leftover window (sequence_id, size) goes: its new sequence_id and the shift of its offsets."""
-    free: list[tuple[int, int, int]] = []
-    rows = []
-    for window, n in sorted(zip(sizes["sequence_id"].tolist(), sizes["size"].tolist()), key=lambda x: (-x[1], x[0])):
-        at = bisect_left(free, (n, -1, -1))
-        left, target, _ = free.pop(at) if at < len(free) else (length, window, 0)
-        rows.append((window, target, length - left))
-        if left > n:
-            insort(free, (left - n, target, 0))
-    return pd.DataFrame(rows, columns=["sequence_id", "target", "shift"])
+def merge(pieces: pd.DataFrame, length: int) -> pd.DataFrame:
+    """The pieces of open windows, moved from the emptiest windows into the fullest and cut where one is full."""
+    rows: dict[int, list] = {}
+    for row in pieces.sort_values(["sequence_id", "offset"]).itertuples(index=False):
+        rows.setdefault(row.sequence_id, []).append(row)
+    fill = {w: sum(r.length for r in held) for w, held in rows.items()}
+    order = sorted(rows, key=lambda w: (-fill[w], w))
+    first, last = 0, len(order) - 1
+    while first < last:
+        target, source = order[first], order[last]
+        if fill[target] == length:
+            first += 1
+        elif not rows[source]:
+            last -= 1
+        else:
+            row = rows[source].pop()
+            n = min(row.length, length - fill[target])
+            # the end of the piece moves; what stays keeps its place in the emptier window
+            ids = row.ids[4 * (row.length - n):]
+            rows[target].append(row._replace(start=row.start + row.length - n, length=n, sequence_id=target,
+                                             offset=fill[target], ids=ids))
+            fill[target] += n
+            fill[source] -= n
+            if n < row.length:
+                rows[source].append(row._replace(length=row.length - n, ids=row.ids[:4 * (row.length - n)]))
+    found = [r for held in rows.values() for r in held]
+    return pd.DataFrame(found, columns=pieces.columns)
 
 
 def pack(docs: DataFrame, tokenizer: Callable[[], str], gaps: bool = True, end_id: int = 0, length: int = LENGTH,
@@ -116,12 +137,10 @@ def pack(docs: DataFrame, tokenizer: Callable[[], str], gaps: bool = True, end_i
     rows.mapInArrow(run, _PIECES).write.partitionBy("open").option("compression", "zstd").parquet(path)
     pieces = docs.sparkSession.read.schema(_PIECES).parquet(path)
 
-    left = pieces.where("open")
-    sizes = left.groupBy("sequence_id").agg(F.sum("length").alias("size"))
-    group = F.shiftright("sequence_id", 32) / F.lit(MERGED_TOGETHER)
-    moves = sizes.groupBy(F.floor(group).alias("group")).applyInPandas(
-        lambda held: merge(held, length), "sequence_id bigint, target bigint, shift bigint")
-    merged = left.join(moves, "sequence_id").withColumns({
-        "sequence_id": F.col("target"), "offset": F.col("offset") + F.col("shift")})
-    columns = [F.col("doc_id").alias(id_col), "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
-    return pieces.where("not open").select(*columns).unionByName(merged.select(*columns))
+    columns = [c for c in pieces.columns if c != "open"]
+    group = F.floor(F.shiftright("sequence_id", 32) / F.lit(MERGED_TOGETHER))
+    # the id travels as text: a column with nulls would turn into floats
+    left = pieces.where("open").select(*columns).withColumn("doc_id", F.col("doc_id").cast("string"))
+    merged = left.groupBy(group).applyInPandas(lambda held: merge(held, length), left.schema).withColumn(
+        "doc_id", F.col("doc_id").cast("bigint"))
+    return pieces.where("not open").select(*columns).unionByName(merged).withColumnRenamed("doc_id", id_col)

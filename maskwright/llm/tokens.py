@@ -14,8 +14,8 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-MOST_PIECES = 600_000  # held by a worker; beyond it the table is begun anew
-MOST_CHARS = 32 << 20
+MOST_PIECES = 250_000  # held by a worker; beyond it, those that came up once only are forgotten
+MOST_CHARS = 16 << 20
 
 _GAP_AFTER_GAP = re.compile(r"\s[ \n]")
 _SAFE_CUT = re.compile(r"(?<=\S)(?=[ \n])")
@@ -67,6 +67,28 @@ class Encoder:
         self.pieces, self.chars = _Pieces(), 0
         self.ids = np.empty(1 << 16, np.uint32)
         self.bounds = np.zeros(1 << 14, np.int64)  # where a piece's ids begin; one more than pieces
+        self.uses = np.zeros(1 << 14, np.int32)
+
+    def _forget(self) -> None:
+        """Keep the pieces that are met again and again, half the table at most."""
+        n = len(self.pieces)
+        uses, least = self.uses[:n], 2
+        while np.count_nonzero(uses >= least) > MOST_PIECES // 2:
+            least += 1
+        kept = np.flatnonzero(uses >= least)
+        names, bounds, ids = list(self.pieces), self.bounds, self.ids
+        self._clear()
+        sizes = bounds[kept + 1] - bounds[kept]
+        ends = np.cumsum(sizes)
+        at = np.repeat(bounds[kept] - (ends - sizes), sizes) + np.arange(sizes.sum())
+        self.ids = np.concatenate([ids[at], self.ids])
+        self.bounds = np.concatenate([[0], ends, self.bounds]).astype(np.int64)
+        self.uses = np.concatenate([uses[kept] // 2, self.uses])
+        for k, i in enumerate(kept.tolist()):
+            self.pieces[names[i]] = k
+        self.chars = sum(len(p) for p in self.pieces if isinstance(p, str))
+        if self.chars > MOST_CHARS // 2:
+            self._clear()
 
     def _whole(self, piece) -> str:
         if isinstance(piece, tuple):
@@ -81,6 +103,7 @@ class Encoder:
         ends = self.bounds[first] + np.cumsum([len(x) for x in found])
         if len(self.pieces) + 1 > len(self.bounds):
             self.bounds = np.concatenate([self.bounds, np.zeros(len(self.pieces) + 1, np.int64)])
+            self.uses = np.concatenate([self.uses, np.zeros(len(self.pieces) + 1, np.int32)])
         if ends[-1] > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty(ends[-1], np.uint32)])
         self.ids[self.bounds[first]:ends[-1]] = np.fromiter((i for x in found for i in x), np.uint32)
@@ -90,7 +113,7 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids behind each other, and where each text's begin (one more than texts); null is empty."""
         if len(self.pieces) > MOST_PIECES or self.chars > MOST_CHARS:
-            self._clear()
+            self._forget()
         number = self.pieces.__getitem__
         numbers, count = [], [0]
         for text in texts:
@@ -100,6 +123,7 @@ class Encoder:
         if self.pieces.new:
             self._learn()
         number = np.concatenate(numbers) if numbers else np.empty(0, np.int64)
+        np.add.at(self.uses, number, 1)
         n = self.bounds[number + 1] - self.bounds[number]
         ends = np.concatenate([[0], np.cumsum(n)])
         ids = self.ids[np.repeat(self.bounds[number] - ends[:-1], n) + np.arange(ends[-1])]
