@@ -59,6 +59,31 @@ def gate_without_baseline(spark: SparkSession, folder: str) -> DataFrame:
         "slice_key", "slice_value", F.round("candidate", 6).alias("candidate"), "baseline", "passed")
 
 
+def _compared(spark: SparkSession, folder: str) -> DataFrame:
+    return gate.compare_models(metrics.evaluate_models(
+        _judged(spark, folder), "truth", {"candidate": "candidate", "baseline": "baseline"}, [METRIC], [(), ("lang",)]))
+
+
+def gate_two_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Two rules for one metric: the second must not undo the first."""
+    rules = [gate.Threshold(METRIC, lower_bound=0.99), gate.Threshold(METRIC, absolute_change=-1e-3)]
+    return gate.check(_compared(spark, folder), rules).select("slice_key", "slice_value", "value_ok", "change_ok", "passed")
+
+
+def gate_missing_metric(spark: SparkSession, folder: str) -> DataFrame:
+    """A rule for a metric that nobody computed: not blessed."""
+    return gate.bless(gate.check(_compared(spark, folder), [
+        gate.Threshold(METRIC, lower_bound=0.0), gate.Threshold("NoSuchMetric", lower_bound=0.0)]))
+
+
+def gate_per_slice(spark: SparkSession, folder: str) -> DataFrame:
+    """A limit for the whole, another for every language, a third for one language."""
+    rules = [gate.Threshold(METRIC, lower_bound=0.55, slice_key="overall"),
+             gate.Threshold(METRIC, lower_bound=0.1, slice_key="lang"),
+             gate.Threshold(METRIC, upper_bound=0.2, slice_key="lang", slice_value="en")]
+    return gate.check(_compared(spark, folder), rules).select("slice_key", "slice_value", "n", "passed")
+
+
 def pixel_accuracy(spark: SparkSession, folder: str) -> DataFrame:
     values = metrics.evaluate(masks(spark, folder), "truth", "pred", [METRIC], [(), ("split",)])
     return values.select("slice_key", "slice_value", "metric", F.round("value", 6).alias("value"), "n")
@@ -99,7 +124,8 @@ def pixel_cells(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "eval_gate": eval_gate, "blessing": blessing, "baseline_join": baseline_join,
-    "gate_without_baseline": gate_without_baseline,
+    "gate_without_baseline": gate_without_baseline, "gate_two_rules": gate_two_rules,
+    "gate_missing_metric": gate_missing_metric, "gate_per_slice": gate_per_slice,
     "pixel_accuracy": pixel_accuracy, "eval_readback": eval_readback, "xent": xent, "user_metric": user_metric,
     "confusion": confusion, "pixel_cells": pixel_cells,
 }
@@ -141,6 +167,13 @@ SELECT slice_value, round(c, 6) AS candidate, CASE WHEN slice_value <> 'fr' THEN
 FROM ({_GATE}) WHERE slice_key = 'lang'""",
     "gate_without_baseline": f"SELECT slice_key, slice_value, round(a, 6) AS candidate, CAST(NULL AS DOUBLE) "
                              f"AS baseline, a >= CAST(0.55 AS DOUBLE) AS passed FROM ({_ACCURACY})",
+    "gate_two_rules": f"SELECT slice_key, slice_value, c >= CAST(0.99 AS DOUBLE) AS value_ok, "
+                      f"c - b >= CAST(-0.001 AS DOUBLE) AS change_ok, c >= CAST(0.99 AS DOUBLE) AND "
+                      f"c - b >= CAST(-0.001 AS DOUBLE) AS passed FROM ({_GATE})",
+    "gate_missing_metric": f"SELECT false AS blessed, count(*) + 1 AS checks, CAST(1 AS BIGINT) AS failed FROM ({_GATE})",
+    "gate_per_slice": f"SELECT slice_key, slice_value, n, CASE WHEN slice_key = 'overall' THEN c >= CAST(0.55 AS DOUBLE) "
+                      f"ELSE c >= CAST(0.1 AS DOUBLE) AND (slice_value <> 'en' OR c <= CAST(0.2 AS DOUBLE)) END "
+                      f"AS passed FROM ({_GATE})",
     "pixel_accuracy": f"SELECT slice_key, slice_value, '{METRIC}' AS metric, round(a, 6) AS value, n "
                       f"FROM ({_ACCURACY})",
     "eval_readback": f"""

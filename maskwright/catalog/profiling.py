@@ -49,22 +49,47 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def feature_stats(spark: SparkSession, folder: str) -> DataFrame:
-    stats = profile.feature_stats(_vectors(spark, folder), VECTOR_FEATURES)
+    stats = profile.feature_stats(_vectors(spark, folder), VECTOR_FEATURES, median=profile.EXACT)
     return stats.withColumn("value", F.round("value", 5))
 
 
 def feature_stats_lineitem(spark: SparkSession, folder: str) -> DataFrame:
-    stats = profile.feature_stats(_lines(spark, folder), LINE_FEATURES)
+    stats = profile.feature_stats(_lines(spark, folder), LINE_FEATURES, median=profile.EXACT)
     return stats.withColumn("value", F.round("value", 4))
 
 
 def stats_readback(spark: SparkSession, folder: str) -> DataFrame:
     """Statistics written per split, then one split read back (only its folder is opened)."""
     path = scratch_path(spark, "statistics")
-    tables.append_run(profile.feature_stats(_vectors(spark, folder), VECTOR_FEATURES), path, 1, "split")
+    tables.append_run(profile.feature_stats(_vectors(spark, folder), VECTOR_FEATURES, median=profile.EXACT), path, 1, "split")
     return tables.read_stats(spark, path, "train").select("feature", "stat", F.round("value", 5).alias("value"))
 
 
+def feature_stats_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """One split per part: thousands of them."""
+    rows = table(spark, folder, "lineitem").withColumnRenamed("l_partkey", "split")
+    stats = profile.feature_stats(rows, LINE_FEATURES, median=profile.EXACT)
+    return stats.withColumn("value", F.round("value", 4))
+
+
+def _infinite(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with an infinite value wherever there is no discount or no tax."""
+    infinite = lambda sign: F.lit(sign * float("inf"))
+    return _lines(spark, folder).select("split", F.when(F.col("l_discount") == 0, infinite(1)).when(
+        F.col("l_tax") == 0, infinite(-1)).otherwise(F.col("l_extendedprice")).alias("x"))
+
+
+def stats_infinite(spark: SparkSession, folder: str) -> DataFrame:
+    stats = profile.feature_stats_wide(_infinite(spark, folder), ["x"], median=profile.EXACT)
+    return stats.select("split", "num_values", F.round("mean", 4).alias("mean"), F.round("std_dev", 4).alias("std_dev"),
+                        F.col("min").cast("string").alias("min"), F.round("median", 4).alias("median"),
+                        F.col("max").cast("string").alias("max"))
+
+
+def histogram_infinite(spark: SparkSession, folder: str) -> DataFrame:
+    return profile.histogram(_infinite(spark, folder), ["x"]).select("split", "bucket", "n")
+
+
 def histogram(spark: SparkSession, folder: str) -> DataFrame:
     rows = profile.histogram(_vectors(spark, folder), VECTOR_FEATURES)
     return rows.withColumns({"low": F.round("low", 6), "high": F.round("high", 6)})
@@ -91,7 +116,7 @@ def topk_lineitem(spark: SparkSession, folder: str) -> DataFrame:
 
 def schema_infer(spark: SparkSession, folder: str) -> DataFrame:
     rows = _vectors(spark, folder)
-    inferred = constraints.infer_schema(rows, profile.feature_stats_wide(rows, VECTOR_FEATURES))
+    inferred = constraints.infer_schema(rows, profile.feature_stats_wide(rows, VECTOR_FEATURES, median=None))
     return inferred.withColumns({"low": F.round("low", 6), "high": F.round("high", 6)})
 
 
@@ -118,11 +143,11 @@ def topk_bytes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def inferred_check(spark: SparkSession, folder: str) -> DataFrame:
-    """A schema inferred from the train split, and what the eval split breaks of it."""
-    rows = _vectors(spark, folder)
+    """A schema inferred from rows of the lower labels, and what the rows of the others break of it."""
+    rows = embeddings(spark, folder).withColumn("split", F.when(F.col("label") < 7, "train").otherwise("eval"))
     train = rows.filter("split = 'train'")
     features = constraints.inferred_features(
-        constraints.infer_schema(train, profile.feature_stats_wide(train, VECTOR_FEATURES, median=False)))
+        constraints.infer_schema(train, profile.feature_stats_wide(train, VECTOR_FEATURES, median=None)))
     found = constraints.anomalies(rows.filter("split = 'eval'"), features)
     return found.select("split", "feature", "rule", "n_bad", "n_rows")
 
@@ -130,7 +155,7 @@ def inferred_check(spark: SparkSession, folder: str) -> DataFrame:
 def schema_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Declared rules beside observed statistics."""
     declared = constraint_table(spark, parse_schema(VECTORS))
-    stats = profile.feature_stats_wide(_vectors(spark, folder), VECTOR_FEATURES)
+    stats = profile.feature_stats_wide(_vectors(spark, folder), VECTOR_FEATURES, median=None)
     # The rules are one row per declared feature.
     return stats.join(F.broadcast(declared), "feature").select(
         "split", "feature", "type", F.col("low").alias("declared_low"), F.round("min", 6).alias("seen_low"),
@@ -144,7 +169,7 @@ def split_skew(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    feature_stats, feature_stats_lineitem, stats_readback, histogram, histogram_lineitem, quantiles, topk_values,
+    feature_stats, feature_stats_lineitem, feature_stats_parts, stats_infinite, histogram_infinite, stats_readback, histogram, histogram_lineitem, quantiles, topk_values,
     topk_lineitem, schema_infer, schema_anomalies, schema_anomalies_lineitem, schema_rules, split_skew, bytes_stats,
     topk_bytes, inferred_check)}
 
@@ -240,15 +265,32 @@ _BYTES = " UNION ALL ".join(
     f"CAST(max(octet_length(encode({c}))) AS INTEGER) AS max_length, "
     f"round(avg(octet_length(encode({c}))), 6) AS avg_length, count(DISTINCT {c}) AS n_distinct "
     f"FROM ({_DOCUMENTS}) GROUP BY split" for c in ("text", "lang", "source"))
-_BEYOND = f"""
-WITH v AS (SELECT split, list_min(embedding) AS lo, list_max(embedding) AS hi, label FROM ({_V})),
+_BEYOND = """
+WITH v AS (SELECT CASE WHEN label < 7 THEN 'train' ELSE 'eval' END AS split, list_min(embedding) AS lo,
+    list_max(embedding) AS hi, label FROM embeddings),
 t AS (SELECT min(lo) AS lo, max(hi) AS hi, min(label) AS a, max(label) AS b FROM v WHERE split = 'train'),
 e AS (SELECT count(*) AS n_rows, count(*) FILTER (WHERE v.lo < t.lo OR v.hi > t.hi) AS far,
       count(*) FILTER (WHERE v.label < t.a OR v.label > t.b) AS odd FROM v, t WHERE split = 'eval')
 SELECT 'eval' AS split, 'embedding' AS feature, 'domain' AS rule, far AS n_bad, n_rows FROM e WHERE far > 0
 UNION ALL SELECT 'eval', 'label', 'domain', odd, n_rows FROM e WHERE odd > 0"""
 
+_PART_ROWS = " UNION ALL ".join(
+    f"SELECT CAST(l_partkey AS VARCHAR) AS split, '{c}' AS feature, 1 AS size, [{c}] AS list FROM lineitem"
+    for c in LINE_FEATURES)
+_INFINITE = ("SELECT l_returnflag AS split, CASE WHEN l_discount = 0 THEN 'infinity'::DOUBLE WHEN l_tax = 0 THEN "
+             "'-infinity'::DOUBLE ELSE l_extendedprice END AS x FROM lineitem")
+
 ORACLES = {
+    "feature_stats_parts": _stats(_PART_ROWS, 4),
+    "stats_infinite": f"""
+SELECT split, count(*) AS num_values, round(avg(x) FILTER (WHERE isfinite(x)), 4) AS mean,
+  round(stddev_pop(x) FILTER (WHERE isfinite(x)), 4) AS std_dev, '-Infinity' AS min, round(quantile_disc(x, 0.5), 4) AS median,
+  'Infinity' AS max FROM ({_INFINITE}) GROUP BY split""",
+    "histogram_infinite": f"""
+SELECT split, CASE x WHEN 'infinity'::DOUBLE THEN 10 WHEN '-infinity'::DOUBLE THEN -1
+  ELSE CAST(least(floor((x - lo) / (hi - lo) * CAST(10 AS DOUBLE)), 9) AS INTEGER) END AS bucket, count(*) AS n
+FROM (SELECT *, min(x) FILTER (WHERE isfinite(x)) OVER (PARTITION BY split) AS lo,
+      max(x) FILTER (WHERE isfinite(x)) OVER (PARTITION BY split) AS hi FROM ({_INFINITE})) GROUP BY ALL""",
     "bytes_stats": _BYTES,
     "topk_bytes": _top("SELECT lang AS split, 'payload' AS feature, md5(text) AS value FROM documents", 4),
     "inferred_check": _BEYOND,

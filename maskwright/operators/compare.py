@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from maskwright.functions.arrays import unroll
-from maskwright.operators.profile import feature_stats, histogram
+from maskwright.operators.profile import EXACT, feature_stats, histogram
 
 
 def stats_side_by_side(stats: DataFrame, left: str = "eval", right: str = "train") -> DataFrame:
@@ -29,9 +29,9 @@ def histogram_distance(histograms: DataFrame, left: str = "eval", right: str = "
 
 
 def split_skew(df: DataFrame, features: Sequence[str], split: str = "split", left: str = "eval",
-               right: str = "train", buckets: int = 10) -> DataFrame:
+               right: str = "train", buckets: int = 10, median: str | None = EXACT) -> DataFrame:
     """Statistics side by side, plus the histogram distance as a statistic named ``linf``."""
-    table = stats_side_by_side(feature_stats(df, features, split), left, right)
+    table = stats_side_by_side(feature_stats(df, features, split, median), left, right)
     distance = histogram_distance(histogram(df, features, split, buckets, shared_range=True), left, right)
     extra = distance.select(
         "feature", F.lit("linf").alias("stat"), F.lit(None).cast("double").alias("left_value"),
@@ -44,8 +44,8 @@ def parity(left: DataFrame, right: DataFrame, key: str, values: str, rtol: float
     """Do two scorers agree? One row of counts and largest differences.
 
     Rows are matched by key (full outer) and unrolled to elements; an element passes when
-    ``|a - b| <= atol + rtol * |b|``. Keys or elements found on one side only are counted as
-    unmatched.
+    ``|a - b| <= atol + rtol * |b|``. Equal infinities and two NaN agree, with a gap of 0. Keys or elements
+    found on one side only are counted as unmatched.
     """
     a = left.select(key, F.col(values).alias("a"))
     b = right.select(key, F.col(values).alias("b"))
@@ -53,13 +53,15 @@ def parity(left: DataFrame, right: DataFrame, key: str, values: str, rtol: float
     zipped = F.arrays_zip(F.coalesce("a", F.array()).alias("a"), F.coalesce("b", F.array()).alias("b"))
     pixels = unroll(both, zipped, "i", "p").select(
         F.col("p.a").cast("double").alias("a"), F.col("p.b").cast("double").alias("b"))
-    gap = F.abs(F.col("a") - F.col("b"))
+    same = (F.col("a") == F.col("b")) | (F.isnan("a") & F.isnan("b"))
+    gap = F.when(same, F.lit(0.0)).otherwise(F.abs(F.col("a") - F.col("b")))
     matched = F.col("a").isNotNull() & F.col("b").isNotNull()
-    close = gap <= F.lit(float(atol)) + F.lit(float(rtol)) * F.abs("b")
+    finite = ~F.isnan("b") & (F.abs("b") < F.lit(float("inf"))) & ~F.isnan(gap)
+    close = same | (finite & (gap <= F.lit(float(atol)) + F.lit(float(rtol)) * F.abs("b")))
     return pixels.agg(
         F.count_if(matched).alias("compared"),
         F.count_if(~matched).alias("unmatched"),
         F.count_if(matched & ~close).alias("different"),
         F.max(gap).alias("max_abs"),
-        F.max(F.when(F.col("b") != 0, gap / F.abs("b"))).alias("max_rel"),
+        F.max(F.when(F.col("b") != 0, F.when(same, F.lit(0.0)).otherwise(gap / F.abs("b")))).alias("max_rel"),
     ).withColumn("equal", (F.col("different") == 0) & (F.col("unmatched") == 0))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from maskwright.sources.schema_text import Feature
 
-MAX_FEATURES = 100_000
+MAX_FEATURES = 100_000  # of an inferred schema; more are refused
 _KINDS = {
     "FLOAT": (T.FloatType, T.DoubleType),
     "INT": (T.ByteType, T.ShortType, T.IntegerType, T.LongType),
@@ -46,7 +46,9 @@ def anomalies(df: DataFrame, features: list[Feature], split: str | None = "split
             continue
         kind = df.schema[f.name].dataType
         x = F.col(f.name)
-        absent = F.count_if(x.isNull())
+        # records have no null: a feature that a record lacks reads as an empty list
+        empty = x.isNull() | (F.size(x) == 0) if isinstance(kind, T.ArrayType) else x.isNull()
+        absent = F.count_if(empty)
         present = F.lit(1.0) - absent / rows
         checks.append((f.name, "missing", f"min_fraction {f.min_fraction:g}", absent,
                        present < F.lit(f.min_fraction)))
@@ -65,7 +67,7 @@ def anomalies(df: DataFrame, features: list[Feature], split: str | None = "split
             checks.append((f.name, "domain", f"{_number(f.low)}..{_number(f.high)}", bad, bad > 0))
         if f.shape is not None and f.type != "BYTES":
             length = F.size(x) if is_list else F.lit(1)
-            bad = F.count_if(x.isNotNull() & (length != F.lit(prod(f.shape))))
+            bad = F.count_if(~empty & (length != F.lit(prod(f.shape))))
             checks.append((f.name, "shape", "x".join(map(str, f.shape)), bad, bad > 0))
     if not checks:
         raise ValueError("the schema declares nothing to check")

@@ -14,7 +14,8 @@ class Threshold:
 
     ``lower_bound`` / ``upper_bound`` hold for the value (inclusive), ``absolute_change`` for the
     difference to the baseline. ``value_rule`` says when the value limits apply: ``always``, or
-    only while there is ``no_baseline``.
+    only while there is ``no_baseline``. The limits hold for every slice, or with ``slice_key`` for the
+    slices of that key, or with ``slice_value`` too for that one slice.
     """
 
     metric: str
@@ -23,8 +24,12 @@ class Threshold:
     absolute_change: float | None = None
     higher_is_better: bool = True
     value_rule: str = "always"
+    slice_key: str | None = None
+    slice_value: str | None = None
 
     def __post_init__(self) -> None:
+        if self.slice_value is not None and self.slice_key is None:
+            raise ValueError("a slice value needs a slice key")
         if self.value_rule not in ("always", "no_baseline"):
             raise ValueError(f"unknown value rule: {self.value_rule}")
 
@@ -52,36 +57,42 @@ def compare_models(values: DataFrame, candidate: str = "candidate", baseline: st
         F.max(F.when(F.col("model") == F.lit(baseline), F.col("value"))).alias("baseline"))
 
 
-def _passes(rule: Threshold) -> tuple[Column, Column]:
-    value = F.lit(True)
-    if rule.lower_bound is not None:
-        value = value & (F.col("candidate") >= F.lit(float(rule.lower_bound)))
-    if rule.upper_bound is not None:
-        value = value & (F.col("candidate") <= F.lit(float(rule.upper_bound)))
-    if rule.value_rule == "no_baseline":
-        value = F.col("baseline").isNotNull() | value
-    change = F.lit(True)
-    if rule.absolute_change is not None:
-        gain = F.col("candidate") - F.col("baseline")
-        limit = F.lit(float(rule.absolute_change))
-        better = gain >= limit if rule.higher_is_better else gain <= -limit
-        change = F.col("baseline").isNull() | better
-    return F.coalesce(value, F.lit(False)), F.coalesce(change, F.lit(False))
+_RULES = ("rule int, metric string, lower_bound double, upper_bound double, absolute_change double, "
+          "higher_is_better boolean, value_rule string, on_key string, on_value string")
+
+
+def _passes() -> tuple[Column, Column]:
+    """Do value and change of a metric meet the rule in the same row? A limit that is not set holds."""
+    known = F.col("candidate").isNotNull() & ~F.isnan("candidate")
+    low = F.col("lower_bound").isNull() | (F.col("candidate") >= F.col("lower_bound"))
+    high = F.col("upper_bound").isNull() | (F.col("candidate") <= F.col("upper_bound"))
+    spared = (F.col("value_rule") == "no_baseline") & F.col("baseline").isNotNull()
+    gain = F.col("candidate") - F.col("baseline")
+    better = F.when(F.col("higher_is_better"), gain >= F.col("absolute_change")).otherwise(
+        gain <= -F.col("absolute_change"))
+    change = F.col("absolute_change").isNull() | F.col("baseline").isNull() | better
+    return F.coalesce(known & (spared | (low & high)), F.lit(False)), F.coalesce(known & change, F.lit(False))
 
 
 def check(compared: DataFrame, thresholds: Sequence[Threshold]) -> DataFrame:
     """One row per slice and limited metric with ``value_ok``, ``change_ok`` and ``passed``.
 
-    A missing candidate value (no rows behind it) fails. The change rule is skipped without a baseline.
+    All rules of a metric must hold together. A missing candidate value fails, and a rule that finds no value at all
+    gives a failed row without a slice. The change rule is skipped without a baseline.
     """
-    value, change = F.lit(None).cast("boolean"), F.lit(None).cast("boolean")
-    for rule in thresholds:
-        value_ok, change_ok = _passes(rule)
-        here = F.col("metric") == F.lit(rule.metric)
-        value = F.when(here, value_ok).otherwise(value)
-        change = F.when(here, change_ok).otherwise(change)
-    limited = compared.filter(F.col("metric").isin([rule.metric for rule in thresholds]))
-    return limited.withColumns({"value_ok": value, "change_ok": change}).withColumn(
+    rules = compared.sparkSession.createDataFrame([
+        (i, t.metric, *[None if x is None else float(x) for x in (t.lower_bound, t.upper_bound, t.absolute_change)],
+         t.higher_is_better, t.value_rule, t.slice_key, t.slice_value) for i, t in enumerate(thresholds)], _RULES)
+    values = compared.withColumnRenamed("metric", "_metric")
+    here = (F.col("metric") == F.col("_metric")) & (
+        F.col("on_key").isNull() | (F.col("on_key") == F.col("slice_key"))) & (
+        F.col("on_value").isNull() | (F.col("on_value") == F.col("slice_value")))
+    value_ok, change_ok = _passes()
+    rest = [c for c in compared.columns if c not in SLICE]
+    judged = rules.join(values, here, "left").groupBy(*SLICE).agg(
+        *[F.first(c).alias(c) for c in rest], F.bool_and(value_ok).alias("value_ok"),
+        F.bool_and(change_ok).alias("change_ok"))
+    return judged.select(*compared.columns, "value_ok", "change_ok").withColumn(
         "passed", F.col("value_ok") & F.col("change_ok"))
 
 

@@ -3,7 +3,7 @@
 A plain ``row_number`` over a whole dataset runs in one task. Here rows are ordered by a seeded
 md5 of their key, so a hash prefix cuts them into even buckets whatever the data look like:
 count rows per bucket, cumulate the counts on that small table, and rank only inside a bucket.
-The result equals the window form. The bucket table has at most 65,536 rows per split at any data size.
+The result equals the window form. The number of buckets follows the shuffle partitions, not the data.
 
 Keys must identify rows (an image path, an id); pass several columns where one is not enough. Ranks
 of rows that share a key would be arbitrary, so such input fails instead of being ranked.
@@ -12,21 +12,23 @@ of rows that share a key would be arbitrary, so such input fails instead of bein
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
 
 from maskwright.session import materialise
 
 PREFIX = 3  # hex digits looked at per pass of the cut search: 4,096 counts
-MAX_CUTS = 1 << 17
-MAX_SPLITS = 16
-FEW_KEYS = 50_000
+HASH_DIGITS = 32
+TASK_BYTES = 256 << 20  # of records that one task ranks and writes, where their size is known
+PLAN_BLOCK = 1 << 16  # shard numbers made in one row
 SPLITS = ("train", "val")
 
 
 def check_split(name: str, known: Sequence[str] = SPLITS) -> str:
     if name not in known:
-        raise ValueError(f"Invalid split provided. Supported splits are: {', '.join(known)}.")
+        raise ValueError(f"no split is called {name!r}: choose one of {', '.join(known)}")
     return name
 
 
@@ -36,9 +38,9 @@ def order_hash(seed: int, *keys: str) -> Column:
 
 
 def bucket_digits(spark: SparkSession) -> int:
-    """Hex digits that make a bucket: enough buckets to spread evenly over the shuffle partitions, 65,536 at most."""
+    """Hex digits that make a bucket: 4,096 buckets, or 32 for each shuffle partition if that is more."""
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return 3 if 32 * partitions <= 16**3 else 4
+    return next(d for d in range(3, 8) if 32 * partitions <= 16**d or d == 7)
 
 
 def hash_bucket(hashed: Column, digits: int) -> Column:
@@ -61,7 +63,7 @@ def _hashed(df: DataFrame, keys: Sequence[str], seed: int) -> DataFrame:
 
 
 def _bucket_table(hashed: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Rows per bucket, rows before the bucket, rows in all: at most 65,536 rows per group."""
+    """Rows per bucket, rows before the bucket, rows in all: a row per bucket and group."""
     counts = hashed.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     whole = Window.partitionBy(*by)
     before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -115,9 +117,9 @@ def sorted_rank(df: DataFrame, order: Sequence[str], name: str = "rank") -> Data
     counts = kept.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    # One row per range of the sort, so bounded by the number of shuffle partitions.
+    # one row per range of the sort
     return (
-        kept.join(F.broadcast(offsets), "_part")
+        kept.join(offsets, "_part")
         .withColumn(name, F.col("_before") + F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)))
         .select(*df.columns, name)
     )
@@ -129,7 +131,7 @@ def find_cut(df: DataFrame, keys: Sequence[str], seed: int, place: Callable[[int
     ``place`` gives the position for a row count; the row is None when the position is at or beyond the end.
 
     A radix search over hash digits: count rows per 3-digit prefix, keep the prefix that holds the cut, go on
-    with its next digits until few keys are left. Every pass reads the key columns alone, sums before
+    with its next digits until one row is left. Every pass reads the key columns alone, sums before
     the shuffle and returns at most 4,096 counts, so copies of one key cost nothing extra.
     """
     narrow = df.select(order_hash(seed, *keys).alias("_h"), *keys)
@@ -149,10 +151,10 @@ def find_cut(df: DataFrame, keys: Sequence[str], seed: int, place: Callable[[int
                 break
             before += n
         prefix += step
-        if n <= FEW_KEYS or len(prefix) >= 4 * PREFIX:
+        if n == 1 or len(prefix) >= HASH_DIGITS:
             break
     groups = narrow.filter(F.startswith("_h", F.lit(prefix))).groupBy("_h", *keys).agg(F.count(F.lit(1)).alias("_n"))
-    for row in groups.orderBy("_h", *keys).take(FEW_KEYS):
+    for row in groups.orderBy("_h", *keys).collect():  # one row, but for keys whose whole hashes agree
         if before == cut:
             return row, total
         if before + row["_n"] > cut:
@@ -206,18 +208,24 @@ def shard_ids(df: DataFrame, keys: Sequence[str], size: int, seed: int, by: Sequ
 def shard_plan(df: DataFrame, keys: Sequence[str], size: int, seed: int) -> DataFrame:
     """Shard number and record count per split. The last shard may be short.
 
-    Counts follow from the split sizes alone, so no row is ranked.
+    Counts follow from the split sizes alone, so no row is ranked. Numbers are made in blocks that spread over
+    the tasks.
     """
     counts = df.groupBy("split").agg(F.count(F.lit(1)).alias("_n"))
-    last = F.floor((F.col("_n") - 1) / F.lit(size)).cast("int")
-    plan = counts.select("split", "_n", F.explode(F.sequence(F.lit(0), last)).alias("shard"))
+    shards = F.ceil(F.col("_n") / F.lit(size))
+    first = F.explode(F.sequence(F.lit(0).cast("bigint"), shards - 1, F.lit(PLAN_BLOCK).cast("bigint")))
+    blocks = counts.select("split", "_n", first.alias("_first")).repartition("split", "_first")
+    last = F.least(F.col("_first") + F.lit(PLAN_BLOCK), shards) - 1
+    plan = blocks.select("split", "_n", F.explode(F.sequence("_first", last)).alias("shard")).withColumn(
+        "shard", F.col("shard").cast("int"))
     return plan.select(
         "split", "shard",
         F.least(F.lit(size).cast("bigint"), F.col("_n") - F.col("shard") * F.lit(size)).alias("records"))
 
 
 def shard_layout(df: DataFrame, keys: Sequence[str], size: int, seed: int, by: str = "split",
-                 shards_per_task: int = 16, keep: Sequence[str] = (), index: DataFrame | None = None) -> DataFrame:
+                 shards_per_task: int = 16, keep: Sequence[str] = (), index: DataFrame | None = None,
+                 row_bytes: int | None = None) -> DataFrame:
     """Rows placed for a shard writer: add ``shard``, ``shard_size`` and ``position`` in the shard.
 
     Rows come out partitioned by ``_task`` (name it in ``keep`` to go on grouping without a shuffle).
@@ -225,22 +233,20 @@ def shard_layout(df: DataFrame, keys: Sequence[str], size: int, seed: int, by: s
     Wide rows are shuffled once. A narrow pass over (split, hash) finds the hashes at which
     groups of whole shards begin; rows find their group by comparing hashes, and each group is
     ranked and later written by one task, with one task per group whatever the session's number of
-    shuffle partitions. A group holds ``size * shards_per_task`` records, more only where that would make over
-    131,072 groups per split; with the check on the number of splits that bounds the broadcast
-    tables at any data size. An ``index`` with ``by`` and the keys of the same rows spares the
-    narrow passes a costly ``df``.
+    shuffle partitions. A group holds ``size * shards_per_task`` records; with ``row_bytes``, the size of a record, as
+    many whole shards as make 256 MB instead. There may be any number of splits. An ``index`` with ``by`` and the keys
+    of the same rows spares the narrow passes a costly ``df``.
     """
+    if row_bytes is not None:
+        shards_per_task = max(1, TASK_BYTES // (size * row_bytes))
+    step = size * shards_per_task
     source = df if index is None else index
-    sizes = source.groupBy(by).agg(F.count(F.lit(1)).alias("n")).take(MAX_SPLITS + 1)
-    if len(sizes) > MAX_SPLITS:
-        raise ValueError(f"column {by} holds more than {MAX_SPLITS} values: is it a split?")
-    if any(row[by] is None for row in sizes):
-        raise ValueError(f"null in {by}")
-    step = size * max(shards_per_task, -(-max((row["n"] for row in sizes), default=0) // (size * MAX_CUTS)))
-    tasks, first_task = 0, F.lit(0)
-    for row in sizes:
-        first_task = F.when(F.col(by) == F.lit(row[by]), F.lit(tasks)).otherwise(first_task)
-        tasks += -(-row["n"] // step)
+    known = F.when(F.col(by).isNull(), F.raise_error(F.lit(f"null in {by}")).cast("bigint")).otherwise(
+        F.ceil(F.col("n") / F.lit(step)))
+    sizes = source.groupBy(by).agg(F.count(F.lit(1)).alias("n")).withColumn("_tasks", known)
+    tasks = sizes.agg(F.sum("_tasks")).first()[0] or 0
+    earlier = Window.orderBy(by).rowsBetween(Window.unboundedPreceding, -1)  # one row per split
+    first_task = sizes.select(by, F.coalesce(F.sum("_tasks").over(earlier), F.lit(0)).alias("_first_task"))
     hashed = _hashed(df, keys, seed)
     narrow = _hashed(source.select(by, *keys), keys, seed)
     table = _bucket_table(narrow.select(by, "_bucket"), [by])
@@ -248,18 +254,18 @@ def shard_layout(df: DataFrame, keys: Sequence[str], size: int, seed: int, by: s
     has_cut = F.col("_base") * F.lit(step) < F.col("_before") + F.col("_n")
     inside = Window.partitionBy(by, "_bucket").orderBy("_h", *keys)
     cuts = (
-        narrow.join(F.broadcast(table.filter(has_cut)), [by, "_bucket"])
+        narrow.join(table.filter(has_cut), [by, "_bucket"])
         .withColumn("_rank", F.col("_before") + F.row_number().over(inside) - 1)
         .filter(F.col("_rank") % F.lit(step) == 0)
         .groupBy(by, "_bucket")
         .agg(F.sort_array(F.collect_list(F.struct("_h", *keys))).alias("_cuts"))
     )
-    bounds = table.join(F.broadcast(cuts), [by, "_bucket"], "left").select(
-        by, "_bucket", "_base", "_total", F.coalesce("_cuts", F.array()).alias("_cuts"))
+    bounds = table.join(cuts, [by, "_bucket"], "left").join(first_task, by).select(
+        by, "_bucket", "_base", "_total", "_first_task", F.coalesce("_cuts", F.array()).alias("_cuts"))
     here = F.struct("_h", *keys)
     group = F.col("_base") - 1 + F.size(F.filter("_cuts", lambda cut: cut <= here))
-    placed = hashed.join(F.broadcast(bounds), [by, "_bucket"], "left").withColumn("_group", group)
-    placed = placed.withColumn("_task", (first_task + F.col("_group")).cast("int")).repartitionById(
+    placed = hashed.join(bounds, [by, "_bucket"], "left").withColumn("_group", group)
+    placed = placed.withColumn("_task", (F.col("_first_task") + F.col("_group")).cast("int")).repartitionById(
         max(1, tasks), "_task")
     order = Window.partitionBy("_task").orderBy("_h", *keys)
     rank = F.col("_group") * F.lit(step) + _next_place(order, *keys)
@@ -277,11 +283,22 @@ def epochs(df: DataFrame, keys: Sequence[str], count: int, batch: int, seed: int
            shuffle: bool = True) -> DataFrame:
     """Repeat the rows ``count`` times, each epoch in its own order, with ``epoch`` and ``batch_id``.
 
-    An evaluation feed is not shuffled anew: with ``shuffle=False`` every epoch has the same order.
+    An evaluation feed is not shuffled anew: with ``shuffle=False`` every epoch has the same order, which is found once.
+    Only keys are ranked; other columns join the ranks at the end.
     """
-    repeated = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
-    order = ["epoch", *keys] if shuffle else list(keys)
-    return shard_ids(repeated, order, batch, seed, by=("epoch",), name="batch_id")
+    if count < 1 or batch < 1:
+        raise ValueError("there must be one epoch and one row per batch at least")
+    every = F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    narrow = df.select(*keys)
+    if shuffle:
+        ranked = shard_ids(narrow.withColumn("epoch", every), ["epoch", *keys], batch, seed, by=("epoch",), name="batch_id")
+    else:
+        ranked = shard_ids(narrow, keys, batch, seed, by=(), name="batch_id").withColumn("epoch", every)
+    if set(df.columns) == set(keys):
+        return ranked.select(*df.columns, "epoch", "batch_id")
+    places = ranked.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], "epoch", "batch_id")
+    same = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
+    return df.join(places, reduce(and_, same)).select(*df.columns, "epoch", "batch_id")
 
 
 def step_feed(df: DataFrame, keys: Sequence[str], steps: int, batch: int, seed: int) -> DataFrame:
@@ -289,6 +306,8 @@ def step_feed(df: DataFrame, keys: Sequence[str], steps: int, batch: int, seed:
 
     Long data are cut by hash before anything is ranked, so only the rows of the feed are shuffled.
     """
+    if steps < 1 or batch < 1:
+        raise ValueError("there must be one step and one row per batch at least")
     wanted = steps * batch
     cut, total = find_cut(df, keys, seed, lambda _: wanted)
     if total == 0:

@@ -1,24 +1,30 @@
 """Feature statistics, histograms and top values, per split.
 
-A tensor feature is unrolled to values and summed per split in the same stage (generated code, nothing
-is shuffled but a few sums per task). Each feature is its own branch that reads its own column
-only. Results have one row per split and feature; they are small enough to steer the next pass
-from the driver, and their number is checked.
+All features are read in one scan. A row is reduced to a few numbers per feature (a tensor by an Arrow
+function on numpy), and these are summed per split; nothing is shuffled but the sums of each task.
+Ranges, intervals and results are tables joined on split and feature, so there may be any number of splits.
+
+Infinities are values: they show in the smallest, the median and the largest, and have buckets of their own in
+histograms. Mean and deviation are those of the finite values.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from math import ceil
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from maskwright.session import materialise
+
 SEARCH_BUCKETS = 1 << 16
-MAX_GROUPS = 100_000
+SKETCH_ACCURACY = 10_000  # ranks of a sketch are off by one in so many
+EXACT, SKETCH = "exact", "sketch"
 STATS = ["num_rows", "num_missing", "num_values", "min_size", "max_size", "avg_size", "mean", "std_dev",
          "num_zeros", "min", "median", "max"]
-Group = tuple[str | None, str]  # split, feature
+_INF = float("inf")
 
 
 def _group(split: str | None) -> Column:
@@ -29,131 +35,162 @@ def _is_list(df: DataFrame, feature: str) -> bool:
     return isinstance(df.schema[feature].dataType, T.ArrayType)
 
 
-def _values(df: DataFrame, feature: str, split: str | None) -> DataFrame:
-    """(split, v) rows, one per value; missing values and NaN are left out."""
-    value = F.explode_outer(feature) if _is_list(df, feature) else F.col(feature)
-    rows = df.select(_group(split), value.alias("v")).select("split", F.col("v").cast("double").alias("v"))
-    return rows.filter(F.col("v").isNotNull() & ~F.isnan("v"))
+def _values(df: DataFrame, features: Sequence[str], split: str | None) -> DataFrame:
+    """(split, feature, v) rows, one per value; missing values and NaN are left out.
+
+    Plain features come from one scan together, each tensor feature from one of its own column.
+    """
+    plain = [f for f in features if not _is_list(df, f)]
+    parts = []
+    if plain:
+        pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in plain])
+        parts.append(df.select(_group(split), F.inline(pairs)))
+    for f in features:
+        if f not in plain:
+            parts.append(df.select(_group(split), F.lit(f).alias("feature"), F.explode(f).alias("v")).select(
+                "split", "feature", F.col("v").cast("double").alias("v")))
+    return _union(parts).filter(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _few(df: DataFrame) -> list:
-    rows = df.take(MAX_GROUPS + 1)
-    if len(rows) > MAX_GROUPS:
-        raise ValueError("too many splits to profile: is this a split column?")
-    return rows
-
-
-def _named(parts: list[DataFrame], features: Sequence[str]) -> DataFrame:
-    return _union([part.withColumn("feature", F.lit(f)) for f, part in zip(features, parts)])
-
-
-def _moments(df: DataFrame, feature: str, split: str | None) -> DataFrame:
-    if _is_list(df, feature):
-        sized = df.select(_group(split), F.when(F.col(feature).isNotNull(), F.size(feature)).alias("size"),
-                          F.posexplode_outer(feature).alias("at", "x"))
-        first = F.coalesce(F.col("at"), F.lit(0)) == 0
-    else:
-        present = F.when(F.col(feature).isNotNull(), F.lit(1))
-        sized = df.select(_group(split), present.alias("size"), F.col(feature).alias("x"))
-        first = F.lit(True)
-    row_size, v = F.when(first, F.col("size")), F.col("x").cast("double")
-    number = F.when(~F.isnan(v), v)
-    return sized.groupBy("split").agg(
-        F.count_if(first).alias("num_rows"),
-        F.count_if(first & F.col("size").isNull()).alias("num_missing"),
-        F.count(v).alias("num_values"),
-        F.count(number).alias("n"),
-        F.min(row_size).alias("min_size"),
-        F.max(row_size).alias("max_size"),
-        F.avg(row_size).alias("avg_size"),
-        F.avg(number).alias("mean"),
-        F.stddev_pop(number).alias("std_dev"),
-        F.count_if(v == 0).alias("num_zeros"),
-        F.min(number).alias("min"),
-        F.max(number).alias("max"))
-
-
-def _ranges(df: DataFrame, features: Sequence[str], split: str | None) -> dict[Group, tuple[int, float, float]]:
-    """Number of values, smallest and largest, per split and feature."""
-    parts = [_values(df, f, split).groupBy("split").agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")) for f in features]
-    return {(r["split"], r["feature"]): (r["n"], r["lo"], r["hi"]) for r in _few(_named(parts, features))}
-
-
-def _pick(intervals: list[tuple[str | None, float, float]]) -> Column:
-    """The number of the interval a value lies in, or null."""
-    return reduce(lambda rest, item: F.when(
-        F.col("split").eqNullSafe(F.lit(item[1][0])) & F.col("v").between(F.lit(item[1][1]), F.lit(item[1][2])),
-        F.lit(item[0])).otherwise(rest), list(enumerate(intervals)), F.lit(None).cast("int"))
-
-
-def search_quantiles(df: DataFrame, features: Sequence[str], split: str | None, ranks: Sequence[float],
-                     ranges: dict[Group, tuple[int, float, float]] | None = None) -> dict[Group, list[float]]:
-    """Exact order statistics per split and feature.
+def _same(*keys: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
+
+
+_PARTIAL = ("struct<size:int,num_values:bigint,n:bigint,total:double,mean:double,m2:double,num_zeros:bigint,low:double,"
+            "high:double>")
+
+
+def _list_partial(values: pa.Array) -> pa.Array:
+    """Sums of each row's values; a null or empty list has none of any kind, and no size."""
+    sizes = values.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    row, flat = np.repeat(np.arange(len(sizes)), sizes), values.flatten()
+    present = flat.is_valid().to_numpy(zero_copy_only=False)
+    v = flat.cast(pa.float64()).fill_null(np.nan).to_numpy(zero_copy_only=False)
+    count = lambda mask: np.bincount(row[mask], minlength=len(sizes))
+    number, finite = present & ~np.isnan(v), present & np.isfinite(v)
+    n = count(finite)
+    total = np.bincount(row[finite], v[finite], len(sizes))
+    mean = total / np.maximum(n, 1)
+    m2 = np.bincount(row[finite], (v[finite] - mean[row[finite]]) ** 2, len(sizes))
+    low, high = np.full(len(sizes), _INF), np.full(len(sizes), -_INF)
+    some = np.flatnonzero(count(number))
+    if len(some):
+        begins = np.searchsorted(row[number], some)
+        low[some] = np.minimum.reduceat(v[number], begins)
+        high[some] = np.maximum.reduceat(v[number], begins)
+    none = count(number) == 0
+    columns = [pa.array(sizes.astype(np.int32), mask=sizes == 0), pa.array(count(present)), pa.array(n), pa.array(total),
+               pa.array(mean), pa.array(m2), pa.array(count(present & (v == 0))), pa.array(low, mask=none),
+               pa.array(high, mask=none)]
+    return pa.StructArray.from_arrays(
+        [c.cast(t) for c, t in zip(columns, [pa.int32()] + [pa.int64()] * 2 + [pa.float64()] * 3 + [pa.int64()] + [pa.float64()] * 2)],
+        ["size", "num_values", "n", "total", "mean", "m2", "num_zeros", "low", "high"])
+
+
+def _moments(df: DataFrame, features: Sequence[str], split: str | None) -> DataFrame:
+    """All statistics but the median, one row per split and feature, from one scan."""
+    partial = F.arrow_udf(_list_partial, _PARTIAL)
+    reduced = df.select(_group(split), *[
+        (partial(F.col(f)) if _is_list(df, f) else F.col(f).cast("double")).alias(f"f{i}")
+        for i, f in enumerate(features)])
+    found = []
+    for i, f in enumerate(features):
+        x = F.col(f"f{i}")
+        if _is_list(df, f):
+            size, n = x["size"], F.sum(x["n"])
+            mean = F.sum(x["total"]) / F.nullif(n, F.lit(0))
+            # of the rows, and between them
+            spread = F.sum(x["m2"] + x["n"] * x["mean"] * x["mean"]) / F.nullif(n, F.lit(0)) - mean * mean
+            std_dev, num_values, num_zeros, low, high = (
+                F.sqrt(F.greatest(spread, F.lit(0.0))), F.sum(x["num_values"]), F.sum(x["num_zeros"]), F.min(x["low"]),
+                F.max(x["high"]))
+        else:
+            size = F.when(x.isNotNull(), F.lit(1))
+            finite = F.when(~F.isnan(x) & (F.abs(x) < F.lit(_INF)), x)
+            number = F.when(~F.isnan(x), x)
+            mean, std_dev, num_values, num_zeros, low, high = (
+                F.avg(finite), F.stddev_pop(finite), F.count(x), F.count_if(x == 0), F.min(number), F.max(number))
+        found.append(F.struct(
+            F.lit(f).alias("feature"), F.count(F.lit(1)).alias("num_rows"),
+            F.count_if(size.isNull()).alias("num_missing"), F.coalesce(num_values, F.lit(0)).cast("bigint").alias("num_values"),
+            F.min(size).alias("min_size"), F.max(size).alias("max_size"), F.avg(size).alias("avg_size"),
+            mean.alias("mean"), std_dev.alias("std_dev"), F.coalesce(num_zeros, F.lit(0)).cast("bigint").alias("num_zeros"),
+            low.alias("min"), high.alias("max")))
+    return reduced.groupBy("split").agg(F.array(*found).alias("found")).select("split", F.inline("found"))
+
+
+def search_quantiles(df: DataFrame, features: Sequence[str], split: str | None, ranks: Sequence[float]) -> DataFrame:
+    """Exact order statistics: ``(split, feature, rank, value)``, computed when called.
 
     The value at a rank is the one ``ceil(rank * n)`` places up the sorted values. It is searched for: count the
     values in 65,536 equal buckets, go on inside the bucket that holds the rank, narrowed to its own smallest
-    and largest value, until one value is left. A pass returns one row per wanted quantile.
-    Copies of a value and far outliers cost no memory, where ``percentile`` would hold every
-    distinct value of a feature in one task. Whole-numbered pixels need one pass, measurements two or three.
+    and largest value, until one value is left. The smallest and the largest value of an interval never share a
+    bucket, so every pass narrows it. Copies of a value and far outliers cost no memory, where ``percentile`` would
+    hold every distinct value of a feature in one task. Whole-numbered pixels need one pass, measurements two or three.
+    The intervals of all splits and features are a table, written once per pass.
     """
-    ranges = _ranges(df, features, split) if ranges is None else ranges
-    # (split, feature, rank) -> place within the interval, and the interval
-    wanted = {(*group, r): (max(ceil(r * n), 1), lo, hi) for group, (n, lo, hi) in ranges.items() if n for r in ranks}
-    while any(lo != hi for _, lo, hi in wanted.values()):
-        passes, intervals = [], {}
-        for f in features:
-            here = sorted({(k[0], lo, hi) for k, (_, lo, hi) in wanted.items() if k[1] == f and lo != hi},
-                          key=lambda i: (i[0] is None, str(i[0]), i[1]))
-            if not here:
-                continue
-            intervals[f] = here
-            lo, hi = (F.get(F.array(*[F.lit(i[side]) for i in here]), F.col("interval")) for side in (1, 2))
-            # Halved so that the width of a very wide interval stays finite.
-            share = (F.col("v") / 2 - lo / 2) / (hi / 2 - lo / 2)
-            bucket = F.least(F.floor(share * F.lit(float(SEARCH_BUCKETS))), F.lit(SEARCH_BUCKETS - 1)).cast("int")
-            inside = _values(df, f, split).withColumn("interval", _pick(here)).filter(F.col("interval").isNotNull())
-            passes.append(inside.groupBy("interval", bucket.alias("bucket")).agg(
-                F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most"))
-                .withColumn("feature", F.lit(f)))
-        running = Window.partitionBy("feature", "interval").orderBy("bucket")
-        summed = _union(passes).withColumn("upto", F.sum("n").over(running))
-        places = [(k[1], intervals[k[1]].index((k[0], lo, hi)), place, i)
-                  for i, (k, (place, lo, hi)) in enumerate(wanted.items()) if lo != hi]
-        table = df.sparkSession.createDataFrame(places, "feature string, interval int, place bigint, i int")
-        hits = summed.join(F.broadcast(table), ["feature", "interval"]).filter(
-            (F.col("place") <= F.col("upto")) & (F.col("place") > F.col("upto") - F.col("n")))
-        keys = list(wanted)
-        for row in hits.collect():  # one row per open quantile
-            wanted[keys[row["i"]]] = (row["place"] - (row["upto"] - row["n"]), row["least"], row["most"])
-    found: dict[Group, list[float]] = {}
-    for (where, feature, _), (_, lo, _) in wanted.items():
-        found.setdefault((where, feature), []).append(lo)
-    return found
-
-
-def _stats_type() -> str:
-    whole = ("num_rows", "num_missing", "num_values", "num_zeros")
-    kinds = {c: "bigint" if c in whole else "int" if c in ("min_size", "max_size") else "double" for c in STATS}
-    return "split string, feature string, " + ", ".join(f"`{c}` {kind}" for c, kind in kinds.items())
+    values = _values(df, features, split)
+    finite = F.abs("v") < F.lit(_INF)
+    ranges = values.groupBy("split", "feature").agg(
+        F.count_if(F.col("v") == F.lit(-_INF)).alias("below"), F.count_if(finite).alias("n"),
+        F.count(F.lit(1)).alias("total"), F.min(F.when(finite, F.col("v"))).alias("lo"),
+        F.max(F.when(finite, F.col("v"))).alias("hi"))
+    asked = ranges.select("*", F.explode(F.array(*[F.lit(float(r)) for r in ranks])).alias("rank")).withColumn(
+        "place", F.greatest(F.ceil(F.col("rank") * F.col("total")), F.lit(1)) - F.col("below"))
+    outside = F.when(F.col("place") < 1, F.lit(-_INF)).when(F.col("place") > F.col("n"), F.lit(_INF))
+    wanted = materialise(asked.select("split", "feature", "rank", "place", F.coalesce(outside, "lo").alias("lo"),
+                                      F.coalesce(outside, "hi").alias("hi")), "quantiles")
+    while not (open_ := wanted.filter("lo < hi")).isEmpty():
+        intervals = open_.select("split", "feature", "lo", "hi").distinct()
+        # halved where the width of a very wide interval would not be finite
+        share = F.when(F.col("hi") - F.col("lo") < F.lit(_INF), (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
+                       ).otherwise((F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2))
+        bucket = F.least(F.floor(share * F.lit(float(SEARCH_BUCKETS))), F.lit(SEARCH_BUCKETS - 1)).cast("int")
+        inside = values.alias("l").join(intervals.alias("r"), _same("split", "feature") & F.col("v").between(
+            F.col("r.lo"), F.col("r.hi"))).select("r.*", "v")
+        interval = ["split", "feature", "lo", "hi"]
+        counts = inside.groupBy(*interval, bucket.alias("bucket")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most"))
+        running = Window.partitionBy(*interval).orderBy("bucket")
+        summed = counts.withColumn("upto", F.sum("n").over(running))
+        place = F.col("l.place")
+        hits = open_.alias("l").join(summed.alias("r"), _same(*interval)).filter(
+            (place <= F.col("upto")) & (place > F.col("upto") - F.col("n"))).select(
+            "l.split", "l.feature", "l.rank", (place - (F.col("upto") - F.col("n"))).alias("place"),
+            F.col("least").alias("lo"), F.col("most").alias("hi"))
+        wanted = materialise(wanted.filter("lo = hi").unionByName(hits), "quantiles")
+    return wanted.select("split", "feature", "rank", F.col("lo").alias("value"))
+
+
+def sketch_quantiles(df: DataFrame, features: Sequence[str], split: str | None, ranks: Sequence[float]) -> DataFrame:
+    """The same from one pass, off by one rank in 10,000 at most: sketches of bounded size that tasks merge."""
+    found = _values(df, features, split).groupBy("split", "feature").agg(
+        F.percentile_approx("v", [float(r) for r in ranks], SKETCH_ACCURACY).alias("value"))
+    pairs = F.arrays_zip(F.array(*[F.lit(float(r)) for r in ranks]).alias("rank"), F.col("value"))
+    return found.select("split", "feature", F.inline(pairs))
 
 
 def feature_stats_wide(df: DataFrame, features: Sequence[str], split: str | None = "split",
-                       median: bool = True) -> DataFrame:
-    """Numeric statistics, one row per split and feature, computed when called.
+                       median: str | None = SKETCH) -> DataFrame:
+    """Numeric statistics, one row per split and feature. A null or empty list is a missing row.
 
-    One pass over each feature gives all but the median; that one takes further passes and can be left out.
+    One pass gives all but the median. That one takes a pass of its own as a ``sketch``, several as ``exact``, and can be
+    left out with None.
     """
-    rows = _few(_named([_moments(df, f, split) for f in features], features))
-    ranges = {(r["split"], r["feature"]): (r["n"], r["min"], r["max"]) for r in rows}
-    medians = search_quantiles(df, features, split, [0.5], ranges) if median else {}
-    table = [(r["split"], r["feature"], *[
-        medians.get((r["split"], r["feature"]), [None])[0] if c == "median" else r[c] for c in STATS]) for r in rows]
-    return df.sparkSession.createDataFrame(table, _stats_type())
+    rows = _moments(df, features, split)
+    if median is None:
+        return rows.withColumn("median", F.lit(None).cast("double")).select("split", "feature", *STATS)
+    if median not in (EXACT, SKETCH):
+        raise ValueError(f"unknown kind of median: {median}")
+    find = search_quantiles if median == EXACT else sketch_quantiles
+    medians = find(df, features, split, [0.5]).select("split", "feature", F.col("value").alias("median"))
+    columns = [F.col("r.median") if c == "median" else F.col(f"l.{c}") for c in STATS]
+    return rows.alias("l").join(medians.alias("r"), _same("split", "feature"), "left").select(
+        "l.split", "l.feature", *columns)
 
 
 def to_long(stats: DataFrame, names: Sequence[str] = STATS) -> DataFrame:
@@ -163,7 +200,7 @@ def to_long(stats: DataFrame, names: Sequence[str] = STATS) -> DataFrame:
 
 
 def feature_stats(df: DataFrame, features: Sequence[str], split: str | None = "split",
-                  median: bool = True) -> DataFrame:
+                  median: str | None = SKETCH) -> DataFrame:
     return to_long(feature_stats_wide(df, features, split, median))
 
 
@@ -172,39 +209,36 @@ def histogram(df: DataFrame, features: Sequence[str], split: str | None = "split
     """Equal-width histogram: ``(split, feature, bucket, low, high, n)`` for buckets that hold values.
 
     The range is that of the split, or of all splits with ``shared_range``. The last bucket
-    includes the maximum; a feature with one value has everything in bucket 0.
+    includes the maximum; a feature with one value has everything in bucket 0. The range is finite: infinities
+    are counted in bucket -1 and in the one after the last.
     """
-    ranges = _ranges(df, features, split)
-    parts = []
-    for f in features:
-        here = {where: (lo, hi) for (where, feature), (_, lo, hi) in ranges.items() if feature == f}
-        if shared_range and here:
-            ends = min(lo for lo, _ in here.values()), max(hi for _, hi in here.values())
-            here = dict.fromkeys(here, ends)
-
-        def end(side: int) -> Column:
-            return reduce(lambda rest, item: F.when(F.col("split").eqNullSafe(F.lit(item[0])), F.lit(item[1][side]))
-                          .otherwise(rest), here.items(), F.lit(None).cast("double"))
-
-        lo, hi = end(0), end(1)
-        at = F.floor((F.col("v") - lo) / (hi - lo) * F.lit(float(buckets)))
-        bucket = F.when(hi == lo, F.lit(0)).otherwise(F.least(F.greatest(at, F.lit(0)), F.lit(buckets - 1)))
-        counts = _values(df, f, split).groupBy("split", bucket.cast("int").alias("bucket")).agg(
-            F.count(F.lit(1)).alias("n"))
-        width = (hi - lo) / F.lit(float(buckets))
-        parts.append(counts.select("split", F.lit(f).alias("feature"), "bucket",
-                                   (lo + width * F.col("bucket")).alias("low"),
-                                   (lo + width * (F.col("bucket") + 1)).alias("high"), "n"))
-    return _union(parts)
+    values = _values(df, features, split)
+    finite = F.when(F.abs("v") < F.lit(_INF), F.col("v"))
+    keys = ["feature"] if shared_range else ["split", "feature"]
+    ranges = values.groupBy(*keys).agg(F.min(finite).alias("lo"), F.max(finite).alias("hi"))
+    lo, hi, v = F.col("lo"), F.col("hi"), F.col("v")
+    # halved where the width of a very wide range would not be finite
+    share = F.when(hi - lo < F.lit(_INF), (v - lo) / (hi - lo)).otherwise((v / 2 - lo / 2) / (hi / 2 - lo / 2))
+    within = F.when(hi == lo, F.lit(0)).otherwise(F.least(F.floor(share * F.lit(float(buckets))), F.lit(buckets - 1)))
+    bucket = F.when(v == F.lit(-_INF), F.lit(-1)).when(v == F.lit(_INF), F.lit(buckets)).otherwise(within).cast("int")
+    counts = values.alias("l").join(ranges.alias("r"), _same(*keys)).groupBy(
+        "l.split", "l.feature", "lo", "hi", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    size = F.lit(float(buckets))
+    width = F.when(hi - lo < F.lit(_INF), (hi - lo) / size).otherwise(hi / size - lo / size)
+    at = F.col("bucket")
+    low = F.when(at == -1, F.lit(-_INF)).when(at == buckets, hi).otherwise(lo + width * at)
+    high = F.when(at == -1, lo).when(at == buckets, F.lit(_INF)).otherwise(lo + width * (at + 1))
+    return counts.select("split", "feature", "bucket", low.alias("low"), high.alias("high"), "n")
 
 
 def quantile_histogram(df: DataFrame, features: Sequence[str], split: str | None = "split",
                        buckets: int = 10) -> DataFrame:
     """Bucket edges at equal ranks: ``(split, feature, bucket, low, high)``, computed when called."""
     edges = search_quantiles(df, features, split, [i / buckets for i in range(buckets + 1)])
-    rows = [(*group, i, e[i], e[i + 1]) for group, e in edges.items() for i in range(buckets)]
-    return df.sparkSession.createDataFrame(
-        rows, "split string, feature string, bucket int, low double, high double")
+    found = edges.groupBy("split", "feature").agg(F.sort_array(F.collect_list(F.struct("rank", "value"))).alias("e"))
+    rows = found.select("split", "feature", "e", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket"))
+    return rows.select("split", "feature", "bucket", F.get("e", F.col("bucket"))["value"].alias("low"),
+                       F.get("e", F.col("bucket") + 1)["value"].alias("high"))
 
 
 def _text(df: DataFrame, feature: str) -> Column:
@@ -215,20 +249,22 @@ def _text(df: DataFrame, feature: str) -> Column:
 def bytes_stats(df: DataFrame, features: Sequence[str], split: str | None = "split") -> DataFrame:
     """Statistics of text and byte features: rows, missing, length in bytes, number of distinct values.
 
-    Distinct values are counted in two steps, by value and then per feature, so that no task sees them all.
+    Lengths of all features come from one scan. Distinct values are counted in two steps, by value and then per
+    feature, so that no task sees them all.
     """
-    parts = []
+    found = []
     for f in features:
         length = F.octet_length(f)
-        sums = df.groupBy(_group(split)).agg(
-            F.count(F.lit(1)).alias("num_rows"), F.count_if(F.col(f).isNull()).alias("num_missing"),
-            F.min(length).alias("min_length"), F.max(length).alias("max_length"), F.avg(length).alias("avg_length"))
-        values = df.select(_group(split), _text(df, f).alias("value")).filter(F.col("value").isNotNull())
-        unique = values.groupBy("split", "value").agg(F.lit(1).alias("one")).groupBy("split").agg(
-            F.count(F.lit(1)).alias("n_distinct"))
-        joined = sums.join(unique, sums["split"].eqNullSafe(unique["split"]), "left").drop(unique["split"])
-        parts.append(joined.withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0).cast("bigint"))))
-    return _named(parts, features)
+        found.append(F.struct(
+            F.lit(f).alias("feature"), F.count(F.lit(1)).alias("num_rows"), F.count_if(F.col(f).isNull()).alias("num_missing"),
+            F.min(length).alias("min_length"), F.max(length).alias("max_length"), F.avg(length).alias("avg_length")))
+    sums = df.groupBy(_group(split)).agg(F.array(*found).alias("found")).select("split", F.inline("found"))
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), _text(df, f).alias("value")) for f in features])
+    values = df.select(_group(split), F.inline(pairs)).filter(F.col("value").isNotNull())
+    unique = values.groupBy("split", "feature", "value").agg(F.lit(1).alias("one")).groupBy("split", "feature").agg(
+        F.count(F.lit(1)).alias("n_distinct"))
+    return sums.alias("l").join(unique.alias("r"), _same("split", "feature"), "left").select(
+        "l.*", F.coalesce("n_distinct", F.lit(0).cast("bigint")).alias("n_distinct"))
 
 
 def top_values(df: DataFrame, features: Sequence[str], k: int, split: str | None = "split") -> DataFrame:

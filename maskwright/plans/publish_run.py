@@ -35,7 +35,7 @@ def parse_settings(text: str | None) -> dict | None:
         return None
     settings = ast.literal_eval(text)
     if "app_path" not in settings:
-        raise RuntimeError("the app_path is not provided. app_path is required when settings are given.")
+        raise RuntimeError("settings need an entry app_path: the folder with the application's files")
     return settings
 
 

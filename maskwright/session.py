@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,16 +33,13 @@ def build_session(app: str = "maskwright", master: str | None = None, **conf: st
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder path below the shared folder named by ``spark.checkpoint.dir``.
+    """A new folder path below the session's checkpoint folder, which every executor must reach.
 
-    Only a local master may fall back to a temporary folder: on a cluster the executors
-    would each see a different one.
+    It is the setting ``spark.checkpoint.dir``, or else what ``SparkContext.setCheckpointDir`` was given.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="maskwright-")
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -20,7 +20,6 @@ def test_exact_split_takes_the_tail(spark, n, fraction):
 
 
 def test_exact_split_digs_below_a_full_prefix(spark, monkeypatch):
-    monkeypatch.setattr(ordering, "FEW_KEYS", 3)
     monkeypatch.setattr(ordering, "PREFIX", 1)
     rows = ordering.exact_split(spark.range(500), ["id"], 0.37, 1).filter("split = 'val'").collect()
     assert {r["id"] for r in rows} == set(order(1, 500)[500 - 185:])
@@ -121,7 +120,7 @@ def test_step_feed_repeats_short_data_and_cuts_long_data(spark):
 
 def test_split_names_are_checked():
     assert ordering.check_split("val") == "val"
-    with pytest.raises(ValueError, match="Invalid split"):
+    with pytest.raises(ValueError, match="no split is called"):
         ordering.check_split("eval")
 
 
@@ -167,9 +166,25 @@ def test_ranked_rows_are_shuffled_once(spark):
     assert plan.count("wide") and plan.count("Exchange hashpartitioning(_bucket") == 2  # rows, and bucket counts
 
 
-def test_layout_needs_few_splits(spark):
-    with pytest.raises(ValueError, match="is it a split"):
-        ordering.shard_layout(spark.range(100).withColumn("split", F.col("id").cast("string")), ["id"], 8, 1)
+def test_layout_of_many_splits(spark):
+    df = spark.range(400).withColumn("split", (F.col("id") % 40).cast("string"))
+    rows = ordering.shard_layout(df, ["id"], 4, 1, shards_per_task=1, keep=["_task"]).collect()
+    places = {(r["split"], r["shard"], r["position"]) for r in rows}
+    assert len(places) == 400 and {r["shard"] for r in rows} == {0, 1, 2} and len({r["_task"] for r in rows}) == 120
+    by_size = ordering.shard_layout(df, ["id"], 4, 1, row_bytes=ordering.TASK_BYTES, keep=["_task"])
+    assert by_size.select("_task").distinct().count() == 120
+
+
+def test_epochs_rank_keys_and_join_the_rest(spark):
+    df = spark.range(50).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), F.col("id").alias("payload"))
+    for shuffle in (True, False):
+        rows = ordering.epochs(df, ["k"], 3, 8, 1, shuffle).collect()
+        assert sorted((r["epoch"], r["payload"]) for r in rows) == [(e, p) for e in range(3) for p in range(50)]
+        assert {r["batch_id"] for r in rows} == set(range(7))
+    with pytest.raises(ValueError):
+        ordering.epochs(df, ["k"], 0, 8, 1)
+    with pytest.raises(ValueError):
+        ordering.step_feed(df, ["k"], 0, 8, 1)
 
 
 def test_null_groups_are_refused(spark):

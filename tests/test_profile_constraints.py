@@ -74,11 +74,11 @@ def test_missing_column_is_reported_when_required(spark):
 def test_statistics_of_lists_and_scalars(spark):
     df = spark.createDataFrame([("train", [1.0, 3.0], 5, ""), ("train", None, None, ""), ("train", [], 0, ""),
                                 ("train", [0.0, 0.0, 2.0], 7, "")], FRAME)
-    for median in (False, True):
+    for median in (None, "exact", "sketch"):
         got = {r["feature"]: r for r in profile.feature_stats_wide(df, ["image", "label"], median=median).collect()}
         image, label = got["image"], got["label"]
-        assert (image["num_rows"], image["num_missing"], image["num_values"]) == (4, 1, 5)
-        assert (image["min_size"], image["max_size"], image["avg_size"]) == (0, 3, 5 / 3)
+        assert (image["num_rows"], image["num_missing"], image["num_values"]) == (4, 2, 5)
+        assert (image["min_size"], image["max_size"], image["avg_size"]) == (2, 3, 2.5)
         assert (image["num_zeros"], image["min"], image["max"]) == (2, 0.0, 3.0)
         assert image["median"] == (1.0 if median else None) and label["median"] == (5.0 if median else None)
         assert (label["num_rows"], label["num_missing"]) == (4, 1)
@@ -90,11 +90,33 @@ def test_nan_is_counted_but_not_averaged(spark):
     assert (row["num_values"], row["mean"], row["max"], row["median"]) == (3, 2.0, 3.0, 1.0)
 
 
-def test_a_split_column_with_many_values_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(profile, "MAX_GROUPS", 5)
-    df = spark.range(10).withColumn("x", F.col("id"))
-    with pytest.raises(ValueError, match="too many splits"):
-        profile.feature_stats(df, ["x"], "id")
+def test_thousands_of_splits(spark):
+    df = spark.range(12_000).withColumns({"x": F.col("id") * 1.0, "s": F.col("id") % 3000})
+    rows = profile.feature_stats_wide(df, ["x"], "s", profile.EXACT).collect()
+    assert len(rows) == 3000 and all(r["median"] == int(r["split"]) + 3000 and r["num_rows"] == 4 for r in rows)
+    assert profile.histogram(df, ["x"], "s").agg(F.sum("n")).first()[0] == 12_000
+
+
+def test_infinities_and_empty_tables(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([("s", v) for v in (1.0, 2.0, 3.0, inf)] + [("t", inf), ("u", -inf), ("u", 5e-324),
+                               ("u", 1e-323)], "split string, f double")
+    got = {r["split"]: r for r in profile.feature_stats_wide(df, ["f"], "split", profile.EXACT).collect()}
+    assert (got["s"]["median"], got["s"]["max"], got["s"]["mean"]) == (2.0, inf, 2.0)
+    assert (got["t"]["median"], got["t"]["mean"], got["t"]["num_values"]) == (inf, None, 1)
+    assert (got["u"]["min"], got["u"]["median"]) == (-inf, 5e-324)
+    bars = {(r["split"], r["bucket"]): r["n"] for r in profile.histogram(df, ["f"], buckets=2).collect()}
+    assert bars == {("s", 0): 1, ("s", 1): 2, ("s", 2): 1, ("t", 2): 1, ("u", -1): 1, ("u", 0): 1, ("u", 1): 1}
+    empty = df.limit(0)
+    assert profile.feature_stats(empty, ["f"], median=profile.EXACT).count() == profile.histogram(empty, ["f"]).count() == 0
+
+
+def test_absent_lists_count_as_missing_whether_null_or_empty(spark):
+    rows = [("train", [0.5, 0.5], 1, "a"), ("train", [], 1, "a"), ("train", None, 1, "a")]
+    df = spark.createDataFrame(rows, FRAME)
+    found = {(r["feature"], r["rule"]): r["n_bad"]
+             for r in constraints.anomalies(df, schema_text.parse_schema(TEXT)).collect()}
+    assert found["image", "missing"] == 2
 
 
 @pytest.mark.parametrize("values", [
@@ -105,7 +127,9 @@ def test_exact_quantiles_match_sorting(spark, values):
     ranks = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     df = spark.createDataFrame([("s", v) for v in values] + [("s", None), (None, 1.0), (None, 2.0)],
                                "split string, f double")
-    got = profile.search_quantiles(df, ["f"], "split", ranks)
+    got = {}
+    for r in profile.search_quantiles(df, ["f"], "split", ranks).orderBy("rank").collect():
+        got.setdefault((r["split"], r["feature"]), []).append(r["value"])
     ordered = sorted(values)
     assert got == {("s", "f"): [ordered[max(ceil(p * len(values)), 1) - 1] for p in ranks],
                    (None, "f"): [1.0, 1.0, 1.0, 1.0, 2.0, 2.0]}
