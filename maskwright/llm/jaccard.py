@@ -33,7 +33,7 @@ SIZE = 5  # words of an n-gram
 PERCENT = 75
 FRAGMENT_BYTES = 16 << 20  # of text per fragment of step 2, some 2.5 million n-grams: what one task remembers
 SEGMENTS = 8  # fragments of step 3, by the first three bits of the hash
-SKETCH = 16  # words of 64 bits that bound how far two sets differ
+SKETCH = 32  # words of 64 bits that bound how far two sets differ; few n-grams of a set should share a bit
 ANCHOR_ROUNDS = 2
 
 _SETS = "id_ bigint, n_shingles bigint, k1 bigint, k2 bigint"
