@@ -2,56 +2,125 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from maskwright.catalog.png import as_png
 from maskwright.catalog.views import (
-    ARGMAX, PIXELS, SEED, TRIMAP, images, long, masks, sql_hash, table)
+    ARGMAX, PIXELS, SEED, TRIMAP, images, masks, sql_hash, table)
 from maskwright.functions import arrays, base64url, names
-from maskwright.operators import filetree, ordering, requests
+from maskwright.operators import constraints, filetree, ordering, requests
 from maskwright.session import scratch_path
 from maskwright.sources import files as tree
 from maskwright.sources import images as image_files
-from maskwright.sources import palettes, tfrecord
+from maskwright.sources import palettes, schema_text, tfrecord
+
+
+def _colour(image) -> Column:
+    """Each grey value as three channels that tell themselves apart."""
+    return F.flatten(F.transform(image.cast("array<int>"), lambda v: F.array(v, 255 - v, v * 7 % 256)))
+
+
+def _parts(pairs: DataFrame, *keep: str) -> DataFrame:
+    """Values of images and masks, one row each."""
+    parts = F.array(*[F.struct(F.lit(c).alias("part"), F.col(c).alias("values")) for c in ("image", "label")])
+    rows = pairs.select(F.col("key").cast("bigint").alias("vec_id"), *keep, F.inline(parts))
+    return rows.select("vec_id", *keep, "part", F.posexplode("values").alias("i", "v")).withColumn(
+        "v", F.col("v").cast("int"))
 
 
 def image_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Embeddings written as image and mask files, listed, decoded and paired by file stem."""
     root = scratch_path(spark, "images")
     name = F.format_string("%06d.png", F.col("vec_id"))
-    colour = F.filter(F.col("image"), lambda _, i: i % 4 < 3).cast("array<int>")
     rows = images(spark, folder)
-    pictures = rows.select(F.concat(F.lit("images/"), name).alias("path"), as_png(colour, 4, 4, 3).alias("content"))
+    pictures = rows.select(F.concat(F.lit("images/"), name).alias("path"),
+                           as_png(_colour(F.col("image")), 8, 8, 3).alias("content"))
     trimaps = rows.select(F.concat(F.lit("masks/"), name).alias("path"),
                           as_png(F.col("label").cast("array<int>"), 8, 8).alias("content"))
     tree.write_tree(pictures.unionByName(trimaps), root)
-    pairs = image_files.load_pairs(spark, f"{root}/images", f"{root}/masks", ".png", ".png")
-    pairs = pairs.withColumn("vec_id", F.col("key").cast("bigint"))
-    parts = F.array(*[F.struct(F.lit(c).alias("part"), F.col(c).alias("values")) for c in ("image", "label")])
-    return pairs.select("vec_id", F.inline(parts)).select("vec_id", "part", F.posexplode("values").alias("i", "v")
-                                                         ).withColumn("v", F.col("v").cast("int"))
+    return _parts(image_files.load_pairs(spark, f"{root}/images", f"{root}/masks", ".png", ".png"))
+
+
+def _payloads(spark: SparkSession, folder: str) -> DataFrame:
+    name = F.concat(F.lit("rows/"), F.col("vec_id").cast("string"), F.lit(".raw"))
+    return images(spark, folder).select(
+        F.struct(arrays.pack_uint8(_colour(F.col("image"))).alias("bytes"), name.alias("path")).alias("pixel_values"),
+        F.struct(arrays.pack_uint8(F.col("label").cast("array<int>")).alias("bytes"), name.alias("path")).alias("label"),
+        F.when(F.col("vec_id") % 2 == 0, F.array(F.lit(8), F.lit(8))).otherwise(F.array(F.lit(4), F.lit(16))).alias("shape"))
 
 
 def payload_scan(spark: SparkSession, folder: str) -> DataFrame:
     """A parquet image table with ``struct<bytes,path>`` columns."""
     path = scratch_path(spark, "payloads")
-    name = F.concat(F.lit("rows/"), F.col("vec_id").cast("string"), F.lit(".raw"))
-    colour = F.filter(F.col("image"), lambda _, i: i % 4 < 3).cast("array<int>")
-    mask = F.slice(F.col("label"), 1, 16).cast("array<int>")
-    images(spark, folder).select(
-        F.struct(arrays.pack_uint8(colour).alias("bytes"), name.alias("path")).alias("pixel_values"),
-        F.struct(arrays.pack_uint8(mask).alias("bytes"), name.alias("path")).alias("label")).write.parquet(path)
-    rows = image_files.scan_payloads(spark, path, shape=(4, 4))
-    return long(rows.withColumn("vec_id", F.col("key").cast("bigint")), "vec_id", "image", kind="int")
+    _payloads(spark, folder).write.parquet(path)
+    return _parts(image_files.scan_payloads(spark, path, shape=(8, 8)))
+
+
+def payload_shapes(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with 8 x 8 and 4 x 16 images in one table; each row says which it is."""
+    path = scratch_path(spark, "payloads")
+    _payloads(spark, folder).write.parquet(path)
+    rows = image_files.scan_payloads(spark, path, shape="shape")
+    shapes = [F.concat_ws("x", F.col(f"{c}_shape").cast("array<string>")).alias(f"{c}_shape") for c in ("image", "label")]
+    return _parts(rows.select("key", "image", "label", *shapes), "image_shape", "label_shape")
+
+
+_WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
 def _records(spark: SparkSession, folder: str, encoding: str = "numeric") -> str:
+    """The embeddings as record shards, written once per session."""
+    key = (spark.sparkContext.applicationId, folder, encoding)
+    if key not in _WRITTEN:
+        path = scratch_path(spark, "records")
+        rows = ordering.exact_split(images(spark, folder), ["vec_id"], 0.2, SEED)
+        if encoding == "tensor":
+            rows = rows.withColumn("name", F.col("vec_id").cast("string"))
+        tfrecord.write_records(rows, path, ["vec_id"], 32, SEED, encoding, keep_keys=True)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
+SCHEMA = """
+feature { name: "image" type: FLOAT presence { min_fraction: 1.0 } shape { dim { size: 64 } } }
+feature { name: "label" type: FLOAT presence { min_fraction: 1.0 } shape { dim { size: 64 } } }
+feature { name: "vec_id" type: INT presence { min_fraction: 1.0 } shape { dim { size: 1 } } }
+"""
+
+
+def _schema_file(spark: SparkSession, folder: str) -> str:
+    """The schema as a text file, which has to come from somewhere: one row of a table."""
+    root = scratch_path(spark, "schema")
+    one = table(spark, folder, "region").limit(1)
+    tree.write_tree(one.select(F.lit("schema.pbtxt").alias("path"), F.lit(SCHEMA).alias("content")), root)
+    return f"{root}/schema.pbtxt"
+
+
+def split_read(spark: SparkSession, folder: str) -> DataFrame:
+    """One split by its name pattern."""
+    return tfrecord.read_split(spark, _records(spark, folder), "val", schema="vec_id bigint, shard int, record int")
+
+
+def fixed_read(spark: SparkSession, folder: str) -> DataFrame:
+    """Records read with the schema of a file; every list has its declared length."""
+    features = schema_text.read_schema(spark, _schema_file(spark, folder))
+    rows = tfrecord.read_fixed(spark, _records(spark, folder), features)
+    return rows.select(F.get("vec_id", F.lit(0)).alias("vec_id"), F.posexplode(
+        F.arrays_zip(F.col("image"), F.col("label"))).alias("i", "p")).select(
+        "vec_id", "i", F.col("p.image").cast("int").alias("image"), F.col("p.label").cast("int").alias("label"))
+
+
+def absent_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Masks that records lack are found missing when these are read, as they are in the table."""
+    features = schema_text.read_schema(spark, _schema_file(spark, folder))
+    rows = ordering.exact_split(images(spark, folder), ["vec_id"], 0.2, SEED).withColumn(
+        "label", F.when(F.col("vec_id") % 7 != 0, F.col("label")))
     path = scratch_path(spark, "records")
-    rows = ordering.exact_split(images(spark, folder), ["vec_id"], 0.2, SEED)
-    if encoding == "tensor":
-        rows = rows.withColumn("name", F.col("vec_id").cast("string"))
-    tfrecord.write_records(rows, path, ["vec_id"], 32, SEED, encoding, keep_keys=True)
-    return path
+    tfrecord.write_records(rows, path, ["vec_id"], 32, SEED, keep_keys=True)
+    read = tfrecord.read_records(spark, path, schema_text.struct_type(features).add("split", "string"))
+    sides = [constraints.anomalies(df, features).withColumn("side", F.lit(side))
+             for side, df in (("table", rows), ("records", read))]
+    return sides[0].unionByName(sides[1]).select("side", "split", "feature", "rule", "n_bad", "n_rows")
 
 
 NUMERIC = ("vec_id bigint, image array<float>, image_shape array<bigint>, label array<float>, "
@@ -164,10 +233,10 @@ def response_parse(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def config_parse(spark: SparkSession, folder: str) -> DataFrame:
-    """Settings with single quotes, as a dict literal has them."""
-    literal = F.when(F.col("event_id") % 10 != 0, F.replace(F.col("props"), F.lit('"'), F.lit("'")))
+    """Settings with single quotes, as a dict literal has them: all entries, and null settings as they are."""
+    literal = F.replace(F.col("props"), F.lit('"'), F.lit("'"))
     return table(spark, folder, "events").select(
-        "event_id", F.element_at(requests.parse_config(literal), "k").alias("k"))
+        "event_id", F.explode_outer(requests.parse_config(literal)).alias("name", "value"))
 
 
 def palette_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -181,16 +250,18 @@ def palette_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def path_functions(spark: SparkSession, folder: str) -> DataFrame:
+    address = F.regexp_replace("url", "^[a-z]+://", "")
     pages = table(spark, folder, "pages").select(
-        "page_id", names.join_path(F.lit("site.v1"), F.concat(F.lit("page."), F.col("page_id").cast("string")),
-                                   F.lit("index.html")).alias("path"))
+        "page_id", address.alias("inner"), names.join_path(
+            F.lit("site.v1"), address, F.concat(F.lit("page."), F.col("page_id").cast("string"))).alias("path"))
     return pages.select(
         "page_id", names.base_name(F.col("path")).alias("base"), names.stem(F.col("path")).alias("stem"),
-        names.top_level(F.col("path")).alias("top"), names.dotted_to_path(F.col("path")).alias("slashed"))
+        names.top_level(F.col("inner")).alias("top"), names.dotted_to_path(F.col("path")).alias("slashed"))
 
 
 QUERIES = {f.__name__: f for f in (
-    image_scan, payload_scan, tfrecord_roundtrip, tensor_roundtrip, split_import, first_shard, shard_filter,
+    image_scan, payload_scan, payload_shapes, tfrecord_roundtrip, tensor_roundtrip, split_read, fixed_read,
+    absent_features, split_import, first_shard, shard_filter,
     sample_check, placeholder_replace, app_tree, base64_urlsafe, request_build, response_parse, config_parse,
     palette_scan, path_functions)}
 
@@ -201,6 +272,10 @@ _SHARDED = (f"SELECT vec_id, CASE WHEN r >= cut THEN 'eval' ELSE 'train' END AS
             f"CASE WHEN r >= cut THEN r - cut ELSE r END AS p FROM ({_SPLIT})")
 _PLACED = (f"SELECT vec_id, split, CAST(p // 32 AS INTEGER) AS shard, CAST(p % 32 AS INTEGER) AS record "
            f"FROM ({_SHARDED})")
+_PARTS = f"""
+SELECT vec_id, {{0}}'image' AS part, CAST(i * 3 + c AS INTEGER) AS i,
+  CAST(CASE c WHEN 0 THEN px WHEN 1 THEN 255 - px ELSE px * 7 % 256 END AS INTEGER) AS v
+FROM ({PIXELS}), (SELECT unnest(range(3)) AS c) UNION ALL SELECT vec_id, {{0}}'label', i, cls FROM ({TRIMAP})"""
 _BOTH = f"SELECT vec_id, i, px AS image, px % 3 + 1 AS label FROM ({PIXELS})"
 
 
@@ -214,10 +289,16 @@ _HEX = f"SELECT vec_id, string_agg(printf('%02x', px), '' ORDER BY i) AS hex FRO
 _CODED = "translate(to_base64({0}), '+/', '-_')"
 
 ORACLES = {
-    "image_scan": f"SELECT vec_id, 'image' AS part, CAST(i // 4 * 3 + i % 4 AS INTEGER) AS i, px AS v "
-                  f"FROM ({PIXELS}) WHERE i % 4 < 3 UNION ALL SELECT vec_id, 'label', i, cls FROM ({TRIMAP})",
-    "payload_scan": f"SELECT vec_id, CAST(i // 4 * 3 + i % 4 AS INTEGER) AS i, px AS v FROM ({PIXELS}) "
-                    "WHERE i % 4 < 3",
+    "image_scan": _PARTS.format(""),
+    "payload_scan": _PARTS.format(""),
+    "payload_shapes": _PARTS.format("CASE WHEN vec_id % 2 = 0 THEN '8x8x3' ELSE '4x16x3' END AS image_shape, "
+                                    "CASE WHEN vec_id % 2 = 0 THEN '8x8' ELSE '4x16' END AS label_shape, "),
+    "split_read": f"SELECT vec_id, shard, record FROM ({_PLACED}) WHERE split = 'eval'",
+    "fixed_read": f"SELECT vec_id, i, image, label FROM ({_BOTH})",
+    "absent_features": f"""
+SELECT side, split, 'label' AS feature, 'missing' AS rule, n_bad, n_rows FROM (
+  SELECT CASE split WHEN 'eval' THEN 'val' ELSE split END AS split, count(*) FILTER (WHERE vec_id % 7 = 0) AS n_bad,
+    count(*) AS n_rows FROM ({_PLACED}) GROUP BY ALL), (VALUES ('table'), ('records')) s(side) WHERE n_bad > 0""",
     "tfrecord_roundtrip": f"SELECT vec_id, '8x8x1' AS image_shape, '8x8' AS label_shape, i, image, label FROM ({_BOTH})",
     "tensor_roundtrip": f"SELECT vec_id, '8x8x1' AS image_shape, i, image, label FROM ({_BOTH})",
     "split_import": _PLACED,
@@ -242,10 +323,12 @@ SELECT CAST(r // 64 AS INTEGER) AS batch_id, CAST(count(*) AS INTEGER) AS n,
     AS request
 FROM ({_RANKED}) JOIN ({_HEX}) USING (vec_id) GROUP BY r // 64""",
     "response_parse": f"SELECT vec_id, px, cls FROM ({ARGMAX})",
-    "config_parse": "SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN json_extract_string(props, '$.k') END AS k "
-                    "FROM events",
+    "config_parse": "SELECT event_id, e.name, json_extract_string(props, '$.' || e.name) AS value FROM events LEFT JOIN "
+                    "LATERAL (SELECT unnest(json_keys(props)) AS name) e ON true",
     "palette_scan": "SELECT CAST(row_number() OVER (ORDER BY n_nationkey) - 1 AS INTEGER) AS class, n_nationkey AS r, "
                     "n_regionkey * 50 AS g, 255 AS b FROM nation",
-    "path_functions": "SELECT page_id, 'index.html' AS base, 'index' AS stem, 'site.v1' AS top, "
-                      "'site/v1/page/' || page_id || '/index/html' AS slashed FROM pages",
+    "path_functions": """
+SELECT page_id, 'page.' || page_id AS base, 'page' AS stem, split_part(a, '/', 1) AS top,
+  replace('site.v1/' || a || '/page.' || page_id, '.', '/') AS slashed
+FROM (SELECT page_id, regexp_replace(url, '^[a-z]+://', '') AS a FROM pages)""",
 }

@@ -1,4 +1,4 @@
-"""Test images: embeddings written as small PNG files, so that the image scan has files to read."""
+"""Test fixture, no operator: embeddings written as small PNG files, so that the image scan has files to read."""
 
 from __future__ import annotations
 

@@ -69,13 +69,13 @@ def retention_sync(spark: SparkSession, folder: str) -> DataFrame:
                        (F.col("doc_id") % 4 + 1).cast("int"))
     existing = table(spark, folder, "documents").select(
         F.when(F.col("doc_id") % 4 == 1, F.lit(".gitattributes")).otherwise(
-            F.concat(top, F.col("doc_id").cast("string"), F.lit(".txt"))).alias("path"), F.lit("old").alias("content"))
+            F.concat(top, F.col("doc_id").cast("string"), F.lit(".txt"))).alias("path"), F.col("text").alias("content"))
     incoming = table(spark, folder, "pages").select(
         F.concat(F.when(F.col("page_id") == 0, F.lit(".gitattributes")).otherwise(
             F.concat(F.lit("app/"), F.col("page_id").cast("string"), F.lit(".html")))).alias("path"),
-        F.lit("new").alias("content"))
+        F.col("html").alias("content"))
     synced = filetree.sync(existing, incoming)
-    return synced.groupBy("path", "content").agg(F.count(F.lit(1)).alias("n"))
+    return synced.groupBy("path", F.md5(F.encode("content", "UTF-8")).alias("content")).agg(F.count(F.lit(1)).alias("n"))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -110,7 +110,7 @@ SELECT event_type AS type_name, CASE WHEN event_type = 'signup' THEN 10000000000
 FROM events GROUP BY event_type""",
     "retention_sync": """
 SELECT path, content, count(*) AS n FROM (
-  SELECT '.git/' || doc_id || '.txt' AS path, 'old' AS content FROM documents WHERE doc_id % 4 = 0
-  UNION ALL SELECT CASE WHEN page_id = 0 THEN '.gitattributes' ELSE 'app/' || page_id || '.html' END, 'new' FROM pages)
+  SELECT '.git/' || doc_id || '.txt' AS path, md5(text) AS content FROM documents WHERE doc_id % 4 = 0
+  UNION ALL SELECT CASE WHEN page_id = 0 THEN '.gitattributes' ELSE 'app/' || page_id || '.html' END, md5(html) FROM pages)
 GROUP BY ALL""",
 }

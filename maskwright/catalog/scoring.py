@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from maskwright.catalog.views import (
-    ARGMAX, PIXELS, SEED, embeddings, images, long, masks, sql_hash, sql_split, to_pixels)
+    ARGMAX, PIXELS, SEED, VIEW, embeddings, long, masks, pictures, sql_hash, sql_split, three_channels, to_pixels)
 from maskwright.functions import arrays
 from maskwright.operators import compare, requests, scoring, tensors
 from maskwright.operators.ordering import bucket_split
@@ -40,9 +40,13 @@ def transform_view(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mllib_fit_score(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _examples(spark, folder)
-    model = scoring.fit_logistic(rows.filter("split = 'train'"), "image", "label", max_iter=10)
-    return scoring.score_logistic(model, rows, "image").select("vec_id", "label", "pred")
+    """A label that follows from the first pixels: the model finds nearly all of it in the rows it has not seen."""
+    first = F.get("image", F.lit(0)) + F.get("image", F.lit(1)) > F.get("image", F.lit(2)) + F.get("image", F.lit(3))
+    rows = _examples(spark, folder).withColumn("label", first.cast("int"))
+    model = scoring.fit_logistic(rows.filter("split = 'train'"), "image", "label", max_iter=30)
+    scored = scoring.score_logistic(model, rows.filter("split = 'eval'"), "image")
+    return scored.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("label").cast("bigint")).alias("positive"),
+                      (F.avg((F.col("pred") == F.col("label")).cast("double")) > 0.85).alias("learned"))
 
 
 def scorer_parity(spark: SparkSession, folder: str) -> DataFrame:
@@ -53,27 +57,22 @@ def scorer_parity(spark: SparkSession, folder: str) -> DataFrame:
     return compare.parity(exact, coarse, "vec_id", "pred").withColumn("max_rel", F.round("max_rel", 6))
 
 
-def _pixel_rows(spark: SparkSession, folder: str) -> DataFrame:
-    rows = images(spark, folder).select("vec_id", "image")
-    return rows.join(masks(spark, folder).select("vec_id", "pred"), "vec_id")
-
-
 def request_score(spark: SparkSession, folder: str) -> DataFrame:
     """Payloads packed into requests of 64, unpacked, and scored to 2 x 2 masks."""
-    rows = _pixel_rows(spark, folder)
+    rows = pictures(spark, folder)
     model = scoring.fit_pixel_centroids(
         rows.withColumn("image", arrays.normalise(F.col("image"))), "image", "pred", 4)
     payloads = rows.select("vec_id", arrays.pack_uint8(F.col("image").cast("array<int>")).alias("payload"))
-    sent = requests.build_requests(payloads, ["vec_id"], "payload", 64, SEED).select("batch_id", "request")
+    sent = requests.build_requests(payloads, ["vec_id"], "payload", 64, SEED, index=embeddings(spark, folder).select(
+        "vec_id")).select("batch_id", "request")
     received = requests.explode_requests(sent).withColumn("payload", requests.base64url.encode(F.col("payload")))
     scored = scoring.score_requests(received, "payload", (4, 4, 4), 2, model)
     return arrays.unroll(scored, "seg_mask", "px", "cls", "batch_id", "instance")
 
 
 def score_overlay(spark: SparkSession, folder: str) -> DataFrame:
-    colour = F.filter(F.col("image"), lambda _, i: i % 4 < 3)
-    rows = _pixel_rows(spark, folder).select("vec_id", "pred", colour.alias("image"),
-                                             arrays.shape_of(4, 4, 3).alias("shape"))
+    rows = pictures(spark, folder).select("vec_id", "pred", three_channels(F.col("image")).alias("image"),
+                                          arrays.shape_of(4, 4, 3).alias("shape"))
     model = scoring.fit_pixel_centroids(
         rows.withColumn("image", arrays.scale01(F.col("image"))), "image", "pred", 3)
     shown = scoring.score_overlay(rows, "image", "shape", 2, model, PETS)
@@ -106,11 +105,10 @@ far AS (SELECT vec_id, xf.label, cls, sum((x - m) * (x - m)) AS d FROM xf JOIN c
 SELECT vec_id, label, CAST(arg_min(cls, d) AS INTEGER) AS pred FROM far GROUP BY ALL"""
 
 
-def _pixel_model(scaled: str, channels: int) -> str:
-    """Class centres of scaled pixels, applied to images halved to 2 x 2."""
+def _pixel_model(scaled: str, view: str) -> str:
+    """Class centres of scaled pixels (vec_id, p, c, px), applied to images halved to 2 x 2."""
     return f"""
-px AS (SELECT q.vec_id, q.i // 4 AS p, q.i % 4 AS c, q.px, m.cls FROM ({PIXELS}) q JOIN ({ARGMAX}) m
-       ON m.vec_id = q.vec_id AND m.px = q.i // 4 WHERE q.i % 4 < {channels}),
+px AS (SELECT q.vec_id, q.p, q.c, q.px, m.cls FROM ({view}) q JOIN ({ARGMAX}) m ON m.vec_id = q.vec_id AND m.px = q.p),
 centre AS (SELECT cls, c, avg({scaled.format('px')}) AS m FROM px GROUP BY ALL),
 small AS (SELECT vec_id, CAST(p // 8 * 2 + p % 4 // 2 AS INTEGER) AS s, c, {scaled.format('avg(px)')} AS x FROM px
           GROUP BY vec_id, p // 8, p % 4 // 2, c),
@@ -118,12 +116,17 @@ far AS (SELECT vec_id, s, centre.cls, sum((x - m) * (x - m)) AS d FROM small JOI
 best AS (SELECT vec_id, s, CAST(arg_min(cls, d) AS INTEGER) AS cls FROM far GROUP BY ALL)"""
 
 
+_FOUR = f"SELECT vec_id, i // 4 AS p, i % 4 AS c, px FROM ({PIXELS})"
 _NORMALISED = "CAST(CAST({0} AS FLOAT) / CAST(127.5 AS FLOAT) - CAST(1 AS FLOAT) AS DOUBLE)"
 _SCALED = "CAST(CAST({0} AS FLOAT) / CAST(255 AS FLOAT) AS DOUBLE)"
 _PALETTE = ", ".join(f"({i}, {r}, {g}, {b})" for i, (r, g, b) in enumerate(PETS))
 
 ORACLES = {
     "centroid_fit_score": _CENTROID,
+    "mllib_fit_score": f"""
+SELECT count(*) AS n, CAST(sum(CAST(a > b AS INTEGER)) AS BIGINT) AS positive, true AS learned FROM (
+  SELECT vec_id, sum(px) FILTER (WHERE i < 2) AS a, sum(px) FILTER (WHERE i IN (2, 3)) AS b FROM ({PIXELS}) GROUP BY vec_id)
+WHERE {sql_split('vec_id')} = 'eval'""",
     "transform_view": f"SELECT vec_id, label AS label_xf, i, x AS v FROM ({_XF}) WHERE split = 'eval'",
     "scorer_parity": f"""
 WITH a AS ({ARGMAX}), b AS (SELECT vec_id, i // 4 AS px, min(i % 4) FILTER (WHERE px = peak) AS cls FROM
@@ -133,12 +136,12 @@ SELECT count(*) AS compared, CAST(0 AS BIGINT) AS unmatched, count(*) FILTER (WH
   max(gap) AS max_abs, round(max(gap / r) FILTER (WHERE r <> 0), 6) AS max_rel,
   count(*) FILTER (WHERE gap > r * 1e-7) = 0 AS equal FROM g""",
     "request_score": f"""
-WITH {_pixel_model(_NORMALISED, 4)},
+WITH {_pixel_model(_NORMALISED, _FOUR)},
 ranked AS (SELECT vec_id, row_number() OVER (ORDER BY {sql_hash('vec_id')}, vec_id) - 1 AS r FROM embeddings)
 SELECT CAST(r // 64 AS INTEGER) AS batch_id, CAST(r % 64 AS INTEGER) AS instance, s AS px, cls
 FROM best JOIN ranked USING (vec_id)""",
     "score_overlay": f"""
-WITH {_pixel_model(_SCALED, 3)}
+WITH {_pixel_model(_SCALED, VIEW)}
 SELECT vec_id, CAST(s * 3 + c AS INTEGER) AS i, CAST(trunc(greatest(least((x * CAST(0.5 AS DOUBLE) +
   coalesce(CASE c WHEN 0 THEN r WHEN 1 THEN g ELSE b END, 0) * CAST(0.5 AS DOUBLE)) * CAST(255 AS DOUBLE),
   CAST(255 AS DOUBLE)), CAST(0 AS DOUBLE))) AS INTEGER) AS v

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from maskwright.catalog.views import ARGMAX, PIXELS, TRIMAP, VALUES, embeddings, images, long, masks
+from maskwright.catalog.views import (
+    ARGMAX, PIXELS, TRIMAP, VALUES, VIEW, embeddings, images, long, masks, pictures, three_channels)
 from maskwright.functions import arrays
 from maskwright.operators import overlay, tensors
 from maskwright.sources.palettes import PETS, SIDEWALKS, palette_table
@@ -130,10 +131,9 @@ def transpose(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _shown(spark: SparkSession, folder: str) -> DataFrame:
-    """A 4 x 4 colour view (first three of four channels, 0..1) with the predicted mask."""
-    rows = masks(spark, folder).join(images(spark, folder).select("vec_id", "image"), "vec_id")
-    colour = F.filter(F.col("image"), lambda _, i: i % 4 < 3)
-    return rows.select("vec_id", "pred", arrays.scale01(colour).alias("view"))
+    """A 4 x 4 colour view (0..1) with the predicted mask."""
+    return pictures(spark, folder).select(
+        "vec_id", "pred", arrays.scale01(three_channels(F.col("image"))).alias("view"))
 
 
 def palette_overlay(spark: SparkSession, folder: str) -> DataFrame:
@@ -191,13 +191,13 @@ def _palette_sql(colours) -> str:
 
 def _overlay_sql(colours, scaled: bool) -> str:
     blend = ("CAST(CAST(q.px AS FLOAT) / CAST(255 AS FLOAT) AS DOUBLE) * CAST(0.5 AS DOUBLE) + "
-             "coalesce(CASE q.i % 4 WHEN 0 THEN p.r WHEN 1 THEN p.g ELSE p.b END, 0) * CAST(0.5 AS DOUBLE)")
+             "coalesce(CASE q.c WHEN 0 THEN p.r WHEN 1 THEN p.g ELSE p.b END, 0) * CAST(0.5 AS DOUBLE)")
     if scaled:
         blend = f"greatest(least(({blend}) * CAST(255 AS DOUBLE), CAST(255 AS DOUBLE)), CAST(0 AS DOUBLE))"
     return f"""
-SELECT q.vec_id, CAST((q.i // 4) * 3 + q.i % 4 AS INTEGER) AS i, CAST(trunc({blend}) AS INTEGER) % 256 AS v
-FROM ({PIXELS}) q JOIN ({ARGMAX}) m ON m.vec_id = q.vec_id AND m.px = q.i // 4
-LEFT JOIN {_palette_sql(colours)} ON p.class = m.cls WHERE q.i % 4 < 3"""
+SELECT q.vec_id, CAST(q.p * 3 + q.c AS INTEGER) AS i, CAST(trunc({blend}) AS INTEGER) % 256 AS v
+FROM ({VIEW}) q JOIN ({ARGMAX}) m ON m.vec_id = q.vec_id AND m.px = q.p
+LEFT JOIN {_palette_sql(colours)} ON p.class = m.cls"""
 
 
 ORACLES = {

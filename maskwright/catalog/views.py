@@ -49,6 +49,19 @@ def masks(spark: SparkSession, folder: str) -> DataFrame:
     return bucket_split(rows, ["vec_id"], 0.2, SEED, ("train", "eval"))
 
 
+def three_channels(image: Column) -> Column:
+    """A 4 x 4 view of 64 pixels in three channels: the third is the mean of the last two of four."""
+    at = lambda p, c: F.get(image, p * 4 + c)
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(15)), lambda p: F.array(
+        at(p, 0), at(p, 1), F.floor((at(p, 2) + at(p, 3)) / F.lit(2)).cast("float"))))
+
+
+def pictures(spark: SparkSession, folder: str) -> DataFrame:
+    """vec_id, image of 64 pixels, and the mask predicted from the same row."""
+    return embeddings(spark, folder).select("vec_id", to_pixels(F.col("embedding")).alias("image"),
+                                            argmax(F.col("embedding"), shape_of(4, 4, 4)).alias("pred"))
+
+
 def long(df: DataFrame, key: str, values: str, out: str = "v", kind: str = "double") -> DataFrame:
     return unroll(df, values, "i", out, key).withColumn(out, F.col(out).cast(kind))
 
@@ -68,6 +81,9 @@ VALUES = ("SELECT vec_id, label, CAST(generate_subscripts(embedding, 1) - 1 AS I
           "unnest(embedding) AS v FROM embeddings")
 PIXELS = ("SELECT vec_id, label, i, CAST(greatest(least(floor((CAST(v AS DOUBLE) + CAST(1 AS DOUBLE)) * "
           f"CAST(127.5 AS DOUBLE)), 255), 0) AS INTEGER) AS px FROM ({VALUES})")
+# Three channels of a 4 x 4 view, p the place and c the channel.
+VIEW = ("SELECT vec_id, CAST(i // 4 AS INTEGER) AS p, CAST(least(i % 4, 2) AS INTEGER) AS c, "
+        f"CAST(floor(avg(px)) AS INTEGER) AS px FROM ({PIXELS}) GROUP BY vec_id, i // 4, least(i % 4, 2)")
 TRIMAP = f"SELECT vec_id, i, px % 3 + 1 AS cls FROM ({PIXELS})"
 # First maximum of every group of four.
 ARGMAX = ("SELECT vec_id, label, CAST(i // 4 AS INTEGER) AS px, "

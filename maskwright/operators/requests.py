@@ -12,14 +12,16 @@ from maskwright.operators.ordering import shard_layout
 
 
 def build_requests(df: DataFrame, keys: Sequence[str], payload: str, size: int, seed: int,
-                   field: str = "string_input") -> DataFrame:
+                   field: str = "string_input", index: DataFrame | None = None) -> DataFrame:
     """One request per batch of ``size`` rows in seeded order: ``{"instances": [{field: base64}]}``.
 
     Payloads are shuffled once, to the task that ranks them; a batch lies within it, so at most
-    ``size`` payloads are gathered at a time and no second shuffle follows.
+    ``size`` payloads are gathered at a time and no second shuffle follows. An ``index`` with the keys of the same rows
+    spares the narrow passes a costly ``df``.
     """
     rows = df.select(*keys, payload).withColumn("split", F.lit("all"))
-    placed = shard_layout(rows, keys, size, seed, keep=["_task"])
+    index = None if index is None else index.select(*keys).withColumn("split", F.lit("all"))
+    placed = shard_layout(rows, keys, size, seed, keep=["_task"], index=index)
     instance = F.struct(base64url.encode(F.col(payload)).alias(field))
     grouped = placed.groupBy("_task", "shard").agg(
         F.sort_array(F.collect_list(F.struct("position", instance.alias("instance")))).alias("_items"))

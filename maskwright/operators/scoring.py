@@ -18,7 +18,7 @@ from maskwright.functions.arrays import _flat, _lists
 from maskwright.operators.overlay import overlay
 from maskwright.operators.tensors import transformed_name
 
-MAX_MODEL_CELLS = 4_000_000
+MAX_MODEL_CELLS = 4_000_000  # classes x dimensions of a model; more are refused when it is fitted
 CHUNK = 1 << 13
 
 
@@ -151,13 +151,15 @@ def decode_payload(payload: Column) -> Column:
     return arrays.unpack_uint8(base64url.decode(payload)).cast("array<float>")
 
 
-def score_requests(df: DataFrame, payload: str, shape: Sequence[int], size: int, model: CentroidModel,
+def score_requests(df: DataFrame, payload: str, shape: Sequence[int] | str, size: int, model: CentroidModel,
                    out: str = "seg_mask") -> DataFrame:
     """Decode, resize, normalise, score, argmax: one mask of ``size`` x ``size`` per payload row.
 
-    The order is fixed: resize first, then normalise.
+    The order is fixed: resize first, then normalise. ``shape`` is that of all payloads, or the name of a column that
+    holds each payload's height, width and channels.
     """
-    image = arrays.resize(decode_payload(F.col(payload)), arrays.shape_of(*shape), size, size)
+    shapes = F.col(shape).cast("array<bigint>") if isinstance(shape, str) else arrays.shape_of(*shape)
+    image = arrays.resize(decode_payload(F.col(payload)), shapes, size, size)
     return df.withColumn(out, model.segment(arrays.normalise(image)))
 
 

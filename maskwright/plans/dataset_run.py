@@ -11,12 +11,14 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from maskwright.operators import constraints, gate, metrics, profile, registry, scoring, tensors
+from maskwright.operators import compare, constraints, gate, metrics, profile, registry, scoring, tensors
+from maskwright.plans import publish_run
 from maskwright.sources import schema_text, tables, tfrecord
 from maskwright.operators.tensors import IMAGE, LABEL, transformed_name
 
 MODEL, BLESSING, PUSHED = "Model", "ModelBlessing", "PushedModel"
 STATISTICS, SCHEMA, ANOMALIES, EVALUATION = "ExampleStatistics", "Schema", "ExampleAnomalies", "ModelEvaluation"
+BYTE_STATISTICS, COMPARISON = "ByteStatistics", "SplitComparison"
 METRIC = "SparseCategoricalAccuracy"
 
 
@@ -34,6 +36,7 @@ class RunConfig:
     fit: str = "maskwright.plans.dataset_run.fit_pixels"
     slices: tuple[tuple[str, ...], ...] = ((),)
     thresholds: tuple[gate.Threshold, ...] = (gate.DEFAULT_THRESHOLD,)
+    application: publish_run.PublishConfig | None = None
 
 
 @dataclass(frozen=True)
@@ -43,6 +46,8 @@ class RunResult:
     checks: DataFrame
     blessed: bool
     pushed: str | None
+    comparison: DataFrame
+    application: dict[str, str] | None
 
 
 def fit_pixels(train: DataFrame, config: RunConfig) -> scoring.CentroidModel:
@@ -89,6 +94,11 @@ def run(spark: SparkSession, config: RunConfig) -> RunResult:
     statistics, anomalies = f"{config.root}/statistics", f"{config.root}/anomalies"
     tables.append_run(profile.feature_stats(examples, numeric), statistics, config.clock, "split")
     tables.append_run(constraints.anomalies(examples, features), anomalies, config.clock)
+    byte_statistics, comparison = f"{config.root}/byte_statistics", f"{config.root}/comparison"
+    texts = [f.name for f in features if f.type == "BYTES"]
+    if texts:
+        tables.append_run(profile.bytes_stats(examples, texts), byte_statistics, config.clock, "split")
+    tables.append_run(compare.split_skew(examples, numeric, median=profile.SKETCH), comparison, config.clock)
 
     transformed = f"{config.root}/transformed/run={config.clock}"
     tables.write_transformed(preprocess(examples), transformed)
@@ -112,14 +122,19 @@ def run(spark: SparkSession, config: RunConfig) -> RunResult:
     blessed = gate.is_blessed(blessing)
 
     pushed = registry.publish(model_table(spark, model), blessing, config.serving, config.clock)
+    application = publish_run.publish_version(spark, model_table(spark, model), blessing, config.application,
+                                              config.clock) if config.application else None
     flag = str(int(blessed))
     registry.append_records(spark, config.registry, [
         (config.clock, STATISTICS, "statistics", statistics, {}),
         (config.clock, SCHEMA, "schema", config.schema, {}),
         (config.clock, ANOMALIES, "anomalies", anomalies, {}),
+        (config.clock, COMPARISON, "comparison", comparison, {}),
+        *([(config.clock, BYTE_STATISTICS, "byte_statistics", byte_statistics, {})] if texts else []),
         (config.clock, EVALUATION, "evaluation", evaluation, {}),
         (config.clock, MODEL, "model", model_path, {}),
         (config.clock, BLESSING, "blessing", model_path, {"blessed": flag}),
         (config.clock, PUSHED, "pushed_model", pushed or "", {"pushed": flag}),
     ])
-    return RunResult(tables.read_run(spark, anomalies, config.clock), values, checks, blessed, pushed)
+    return RunResult(tables.read_run(spark, anomalies, config.clock), values, checks, blessed, pushed,
+                     tables.read_run(spark, comparison, config.clock), application)

@@ -25,8 +25,9 @@ def _write(pairs: DataFrame, index: DataFrame, out: str, fraction: float, size:
     split = ordering.exact_split(pairs, keys, fraction, seed, index=index)
     split_index = ordering.exact_split(index, keys, fraction, seed)
     # Resizing after the shuffle would move full-size tensors; here only the results travel.
+    floats = resize * resize * 4 * 4 if resize else None  # three channels and a mask
     tfrecord.write_records(tensors.resize_pair(split, resize, shift), out, keys, size, seed, encoding,
-                           index=split_index)
+                           index=split_index, row_bytes=floats)
 
 
 def images_to_records(spark: SparkSession, image_folder: str, mask_folder: str, out: str, fraction: float = 0.2,
@@ -39,9 +40,12 @@ def images_to_records(spark: SparkSession, image_folder: str, mask_folder: str,
     _write(pairs, index, out, fraction, size, resize, seed, shift, encoding)
 
 
-def payloads_to_records(spark: SparkSession, table: str, shape: tuple[int, int], out: str, fraction: float = 0.2,
+def payloads_to_records(spark: SparkSession, table: str, shape: tuple[int, int] | str, out: str, fraction: float = 0.2,
                         size: int = 32, resize: int | None = None, seed: int = 2022,
                         encoding: str = "numeric") -> None:
-    """A parquet image table to shards; masks of such tables start at 0 and are not shifted."""
+    """A parquet image table to shards; masks of such tables start at 0 and are not shifted.
+
+    ``shape`` is height and width of all images, or the column that holds those of each.
+    """
     pairs = images.scan_payloads(spark, table, shape=shape)
     _write(pairs, pairs.select("key"), out, fraction, size, resize, seed, False, encoding)

@@ -70,18 +70,25 @@ def load_pairs(spark: SparkSession, image_folder: str, mask_folder: str, image_s
 
 
 def scan_payloads(spark: SparkSession, path: str, image: str = "pixel_values", label: str = "label",
-                  shape: tuple[int, int] | None = None) -> DataFrame:
+                  shape: tuple[int, int] | str | None = None) -> DataFrame:
     """A parquet image table with ``struct<bytes,path>`` columns of raw 8-bit pixels.
 
-    With ``shape`` (height, width) the payloads are unpacked to float tensors of 3 and 1 channels.
+    With ``shape`` the payloads are unpacked to float tensors of 3 and 1 channels: height and width of all images, or
+    the name of a column that holds them as an array. A payload of another size fails the job.
     """
     table = spark.read.parquet(path)
     if shape is None:
         return table.select(image, label)
-    height, width = shape
+    height, width = (F.get(F.col(shape), F.lit(0)), F.get(F.col(shape), F.lit(1))) if isinstance(shape, str) else shape
+
+    def pixels(column: str, channels: int):
+        payload = F.col(f"{column}.bytes")
+        cells = (height if isinstance(height, Column) else F.lit(height)) * width * channels
+        wrong = F.raise_error(F.concat(F.lit("payload does not fit its shape: "), F.col(f"{column}.path"))).cast("binary")
+        return unpack_uint8(F.when(F.octet_length(payload) == cells, payload).when(payload.isNotNull(), wrong)
+                            ).cast("array<float>")
+
     return table.select(
-        stem(F.col(f"{image}.path")).alias("key"),
-        unpack_uint8(F.col(f"{image}.bytes")).cast("array<float>").alias(IMAGE),
-        shape_of(height, width, 3).alias(IMAGE_SHAPE),
-        unpack_uint8(F.col(f"{label}.bytes")).cast("array<float>").alias(LABEL),
+        stem(F.col(f"{image}.path")).alias("key"), pixels(image, 3).alias(IMAGE),
+        shape_of(height, width, 3).alias(IMAGE_SHAPE), pixels(label, 1).alias(LABEL),
         shape_of(height, width).alias(LABEL_SHAPE))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # The colours of the two supported label sets, in class order.
 PETS = [(0, 10, 146), (38, 0, 44), (255, 232, 0)]
@@ -14,7 +14,7 @@ SIDEWALKS = [
     (170, 0, 127), (170, 84, 127), (170, 170, 127), (170, 255, 127), (255, 0, 127), (255, 84, 127),
     (255, 170, 127),
 ]
-MAX_CLASSES = 65_536
+MAX_CLASSES = 65_536  # of a palette; more are refused
 
 
 def parse_colour(line: Column) -> Column:
@@ -25,15 +25,12 @@ def parse_colour(line: Column) -> Column:
 def parse_palette(files: DataFrame, text: str = "value") -> DataFrame:
     """Palette rows from whole file texts. A line with ``#`` anywhere is a comment.
 
-    Classes count the remaining lines in file order; the last line may lack its line end.
+    Classes count the remaining lines in file order; the last line may lack its line end. The lines of a text are
+    numbered where they are split, so no window gathers them; there should be one text.
     """
-    lines = files.select(F.posexplode(F.split(F.col(text), "\n")).alias("_line", "_text"))
-    kept = lines.filter(~F.contains("_text", F.lit("#")) & (F.col("_text") != ""))
-    # A palette has as many rows as there are classes, so one window task is enough.
-    order = Window.orderBy("_line")
-    return kept.select(
-        (F.row_number().over(order) - 1).alias("class"), parse_colour(F.col("_text")).alias("_rgb")
-    ).select("class", *[F.col("_rgb")[i].alias(n) for i, n in enumerate("rgb")])
+    kept = F.filter(F.split(F.col(text), "\n"), lambda line: ~F.contains(line, F.lit("#")) & (line != ""))
+    lines = files.select(F.posexplode(kept).alias("class", "_line")).select("class", parse_colour(F.col("_line")).alias("_rgb"))
+    return lines.select("class", *[F.col("_rgb")[i].alias(n) for i, n in enumerate("rgb")])
 
 
 def read_palette(spark: SparkSession, path: str) -> DataFrame:

@@ -6,7 +6,8 @@ record by record, and only the columns of the given schema are decoded. The colu
 and ``shard`` drop files before they are opened.
 
 Writing: rows must carry ``split``, ``shard``, ``shard_size`` and lie together per shard, as
-``ordering.shard_layout`` places them. Each shard becomes one file ``train-00-32.tfrec``.
+``ordering.shard_layout`` places them. Each shard becomes one file ``train-00-32.tfrec``. A folder is written
+once: one that holds shards is refused, and a job that fails takes its shards away again.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyarrow.fs import FileType
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import (
     DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, In, InputPartition, WriterCommitMessage)
@@ -45,7 +47,7 @@ class ShardGroup(InputPartition):
 
 @dataclass
 class ShardsWritten(WriterCommitMessage):
-    files: int
+    names: list[str]
     records: int
 
 
@@ -72,7 +74,10 @@ class RecordReader(DataSourceReader):
         return {"split": match[1], "shard": int(match[2])} if match else {"split": None, "shard": None}
 
     def partitions(self) -> Sequence[InputPartition]:
-        kept = [(path, size) for path, size in list_files(self.path)
+        found = list_files(self.path)
+        if not found and any(c in self.path.rpartition("/")[2] for c in "*?["):
+            raise ValueError(f"no file matches {self.path}")
+        kept = [(path, size) for path, size in found
                 if all(self._place(path)[c] in values for c, values in self.keep.items())]
         return [ShardGroup(files) for files in pack(kept, self.pack)] or [ShardGroup([])]
 
@@ -136,6 +141,9 @@ class RecordWriter(DataSourceArrowWriter):
         if missing:
             raise ValueError(f"record shards need the columns {', '.join(missing)}: use shard_layout")
         self.features = [n for n in names if n not in LAYOUT]
+        system, inner = open_path(self.path)
+        if system.get_file_info(inner).type == FileType.Directory and list_files(f"{self.path.rstrip('/')}/*.tfrec"):
+            raise ValueError(f"{self.path} holds record shards already: write to a new folder")
 
     def _example(self, columns: dict[str, pa.Array], row: int) -> bytes:
         values = {}
@@ -158,7 +166,7 @@ class RecordWriter(DataSourceArrowWriter):
         return fmt.encode_example(values)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
-        done: set[tuple[str, int]] = set()
+        done: dict[tuple[str, int], str] = {}
         records = 0
 
         def messages():
@@ -172,9 +180,9 @@ class RecordWriter(DataSourceArrowWriter):
             split, shard, size = key
             if (split, shard) in done:
                 raise ValueError(f"rows of shard {split}-{shard} do not lie together: use shard_layout")
-            done.add((split, shard))
+            name = f"{split}-{shard:02d}-{size}.tfrec"
             count, item, waiting, held = 0, first, [], 0
-            with replacing(self.path, f"{split}-{shard:02d}-{size}.tfrec") as stream:
+            with replacing(self.path, name) as stream:
                 while item is not None and item[0] == key:
                     waiting.append(self._example(item[1], item[2]))
                     held += len(waiting[-1])
@@ -185,14 +193,27 @@ class RecordWriter(DataSourceArrowWriter):
                 stream.write(fmt.frame(waiting))
                 if count != size:
                     raise ValueError(f"shard {split}-{shard} holds {count} records, not {size}")
+            done[split, shard] = name
             return item, count
 
         rest = messages()
-        item = next(rest, None)
-        while item is not None:
-            item, count = write_shard(item[0], item, rest)
-            records += count
-        return ShardsWritten(len(done), records)
+        try:
+            item = next(rest, None)
+            while item is not None:
+                item, count = write_shard(item[0], item, rest)
+                records += count
+        except BaseException:
+            self._remove(done.values())  # an attempt that follows writes them again
+            raise
+        return ShardsWritten(list(done.values()), records)
+
+    def _remove(self, names) -> None:
+        system, inner = open_path(self.path)
+        for name in names:
+            system.delete_file(f"{inner.rstrip('/')}/{name}")
+
+    def abort(self, messages) -> None:
+        self._remove(name for message in messages if message is not None for name in message.names)
 
     def commit(self, messages) -> None:
         with replacing(self.path, "_SUCCESS") as stream:
@@ -229,13 +250,14 @@ def example_columns(df: DataFrame) -> DataFrame:
 
 
 def write_records(df: DataFrame, path: str, keys: Sequence[str], size: int = 32, seed: int = 2022,
-                  encoding: str = "numeric", keep_keys: bool = False, index: DataFrame | None = None) -> None:
-    """Write the rows of ``df`` (with a ``split`` column) as shards of ``size`` records.
+                  encoding: str = "numeric", keep_keys: bool = False, index: DataFrame | None = None,
+                  row_bytes: int | None = None) -> None:
+    """Write the rows of ``df`` (with a ``split`` column) as shards of ``size`` records into a new folder.
 
-    ``index``: see ``shard_layout``.
+    ``index``, ``row_bytes``: see ``shard_layout``.
     """
     register(df.sparkSession)
-    placed = shard_layout(example_columns(df), keys, size, seed, index=index)
+    placed = shard_layout(example_columns(df), keys, size, seed, index=index, row_bytes=row_bytes)
     if not keep_keys:
         placed = placed.drop(*[k for k in keys if k not in LAYOUT])
     placed.write.format("tfrecord").mode("append").option("encoding", encoding).save(path)

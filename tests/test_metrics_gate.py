@@ -104,3 +104,35 @@ def test_parity(spark):
     assert compare.parity(near, b.filter("k = 1"), "k", "v").first()["equal"]
     far = spark.createDataFrame([(1, [1.0, 2.1])], "k int, v array<double>")
     assert compare.parity(far, b.filter("k = 1"), "k", "v").first()["different"] == 1
+
+
+def test_every_rule_of_a_metric_holds(spark):
+    def passed(candidate, base, *rules):
+        compared = gate.compare(metric_table(spark, ("", candidate)), metric_table(spark, ("", base)))
+        return gate.is_blessed(gate.bless(gate.check(compared, rules)))
+    low, change = gate.Threshold(ACC, lower_bound=0.55), gate.Threshold(ACC, absolute_change=-1e-3)
+    assert not passed(0.40, 0.40, low, change) and not passed(0.40, 0.40, change, low)
+    assert not passed(0.60, 0.90, low, change) and passed(0.60, 0.60, low, change)
+    assert not passed(0.9, 0.9, low, gate.Threshold("Other", lower_bound=0.0))
+    assert not passed(float("nan"), 0.5, low)
+    with pytest.raises(ValueError):
+        gate.Threshold(ACC, slice_value="en")
+
+
+def test_rules_for_one_slice(spark):
+    compared = gate.compare(metric_table(spark, ("a", 0.9), ("b", 0.4)), None)
+    key = compared.first()["slice_key"]
+    def failed(*rules):
+        return gate.bless(gate.check(compared, rules)).first()["failed"]
+    assert failed(gate.Threshold(ACC, lower_bound=0.5, slice_key=key)) == 1
+    assert failed(gate.Threshold(ACC, lower_bound=0.5, slice_key=key, slice_value="a")) == 0
+    assert failed(gate.Threshold(ACC, lower_bound=0.5, slice_key=key, slice_value="c")) == 1  # finds no value
+
+
+def test_parity_of_infinities(spark):
+    inf, nan = float("inf"), float("nan")
+    a = spark.createDataFrame([(1, [inf, -inf, nan, 1.0])], "k int, v array<double>")
+    row = compare.parity(a, a, "k", "v").first()
+    assert row["equal"] and row["different"] == 0 and row["max_abs"] == 0.0
+    b = spark.createDataFrame([(1, [-inf, 1.0, 2.0, inf])], "k int, v array<double>")
+    assert compare.parity(a, b, "k", "v").first()["different"] == 4

@@ -100,7 +100,7 @@ def test_numeric_round_trip_names_and_columns(spark, tmp_path):
     default = tfrecord.read_records(spark, path)
     assert default.columns == ["split", "shard", "image", "image_shape", "label", "label_shape"]
     assert tfrecord.read_split(spark, path, "val").count() == 20
-    with pytest.raises(ValueError, match="Invalid split"):
+    with pytest.raises(ValueError, match="no split is called"):
         tfrecord.read_split(spark, path, "eval")
 
 
@@ -194,3 +194,38 @@ def test_columns_may_be_wider_or_of_another_width_but_not_of_another_kind(spark,
     assert row["id"] == 0 and row["image"][:3] == [0.0, 1.0, 2.0] and row["label_shape"] == [2, 2]
     with pytest.raises(Exception, match="holds float32 values, not array<int>"):
         tfrecord.read_records(spark, path, "label array<int>").collect()
+
+
+def _plain(spark, n):
+    return spark.range(n).select("id", F.lit("train").alias("split"), F.array(F.col("id").cast("float")).alias("image"))
+
+
+def test_a_folder_is_written_once(spark, tmp_path):
+    path = str(tmp_path / "shards")
+    tfrecord.write_records(_plain(spark, 10), path, ["id"], 4, keep_keys=True)
+    names = sorted(p.name for p in (tmp_path / "shards").iterdir())
+    with pytest.raises(Exception, match="holds record shards already"):
+        tfrecord.write_records(_plain(spark, 7), path, ["id"], 4, keep_keys=True)
+    assert sorted(p.name for p in (tmp_path / "shards").iterdir()) == names
+    assert tfrecord.read_records(spark, path, "id bigint").count() == 10
+
+
+def test_a_failed_job_leaves_no_shard(spark, tmp_path):
+    path = tmp_path / "shards"
+    placed = _plain(spark, 40).select("split", (F.col("id") / 4).cast("int").alias("shard"), F.lit(4).alias("shard_size"),
+                                      "image")
+    broken = placed.repartition(1).sortWithinPartitions("shard").withColumn(
+        "shard_size", F.when(F.col("shard") == 7, F.lit(5)).otherwise(F.col("shard_size")))
+    tfrecord.register(spark)
+    with pytest.raises(Exception, match="holds 4 records, not 5"):
+        broken.write.format("tfrecord").mode("append").save(str(path))
+    assert [p for p in path.iterdir() if p.suffix == ".tfrec"] == []
+
+
+def test_a_pattern_without_files_is_an_error(spark, tmp_path):
+    path = str(tmp_path / "shards")
+    tfrecord.write_records(_plain(spark, 5), path, ["id"], 4, keep_keys=True)
+    with pytest.raises(Exception, match="no file matches"):
+        tfrecord.read_split(spark, path, "val", schema="id bigint").count()
+    with pytest.raises(Exception, match="no file matches"):
+        tfrecord.import_splits(spark, path, {"train": "trian-*"}, schema="id bigint").count()

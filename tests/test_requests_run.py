@@ -102,6 +102,9 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
     class Cluster:
         class conf:
             get = staticmethod(lambda key, default=None: {"spark.master": "yarn"}.get(key, default))
+
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(Cluster, "x")
 
@@ -152,7 +155,15 @@ def test_whole_run(spark, tmp_path):
     records(spark, str(tmp_path / "good"), 0.05)
     records(spark, str(tmp_path / "bad"), 0.9)
 
-    first = dataset_run.run(spark, config(tmp_path, 1, "good"))
+    app = tmp_path / "app"
+    app.mkdir()
+    (app / "app.py").write_text("$MODEL_REPO_ID $MODEL_VERSION")
+    target = publish_run.PublishConfig("me", "seg", "https://models.example", str(tmp_path / "hub"),
+                                       str(tmp_path / "registry"), app=str(app))
+    first = dataset_run.run(spark, config(tmp_path, 1, "good", application=target))
+    assert (tmp_path / "hub" / "app" / "version=v1" / "app.py").read_text() == "me/seg v1"
+    assert first.application["pushed_version"] == "v1"
+    assert {"linf", "mean"} <= {r["stat"] for r in first.comparison.collect()}
     assert first.blessed and first.pushed.endswith("version=v1") and first.anomalies.count() == 0
     assert first.checks.first()["baseline"] is None
     assert spark.read.parquet(first.pushed).count() == 3
@@ -161,8 +172,9 @@ def test_whole_run(spark, tmp_path):
     row = second.checks.first()
     assert second.blessed and row["baseline"] == pytest.approx(row["candidate"])
 
-    third = dataset_run.run(spark, config(tmp_path, 3, "bad"))
-    assert not third.blessed and third.pushed is None
+    third = dataset_run.run(spark, config(tmp_path, 3, "bad", application=target))
+    assert not third.blessed and third.pushed is None and third.application == {"pushed": "0"}
+    assert not (tmp_path / "hub" / "app" / "version=v3").exists()
     assert sorted(p.name for p in (tmp_path / "serving").iterdir()) == ["version=v1", "version=v2"]
     baseline = dataset_run.resolve_baseline(spark, str(tmp_path / "registry"))
     assert baseline == dataset_run.load_model(spark, str(tmp_path / "root" / "model" / "run=2"))
@@ -274,9 +286,11 @@ def test_images_to_records(spark, tmp_path, encoding):
     out = str(tmp_path / "out")
     with pytest.raises(ValueError, match="1 files have no partner"):
         records_run.images_to_records(spark, str(tmp_path / "i"), str(tmp_path / "m"), out, image_suffix=".png")
-    for _ in range(2):  # a job that is run again leaves the same shards
-        records_run.images_to_records(spark, str(tmp_path / "i"), str(tmp_path / "m"), out, 0.25, 8, 2, 1, encoding,
+    for target in (out, str(tmp_path / "again")):  # the same input gives the same shards
+        records_run.images_to_records(spark, str(tmp_path / "i"), str(tmp_path / "m"), target, 0.25, 8, 2, 1, encoding,
                                       image_suffix=".png", strict=False)
+    assert {p.name: p.read_bytes() for p in (tmp_path / "out").iterdir()} == {
+        p.name: p.read_bytes() for p in (tmp_path / "again").iterdir()}
     assert sorted(p.name for p in (tmp_path / "out").glob("*.tfrec")) == [
         "train-00-8.tfrec", "train-01-8.tfrec", "train-02-2.tfrec", "val-00-6.tfrec"]
     rows = tfrecord.read_records(spark, out, encoding=encoding).collect()
