@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from maskwright.llm.words import chunks
+from maskwright.llm.worker import kept
 from maskwright.session import materialise
 
 UNKNOWN = "und"
@@ -41,15 +42,11 @@ def _letters() -> np.ndarray:
     return table
 
 
-_LETTERS: list[np.ndarray] = []
-
-
 def features(texts: list[str | None], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """The bucket of every n-gram of every text behind each other, and where each text begins (one more than texts)."""
-    if not _LETTERS:
-        _LETTERS.append(_letters())
+    table = kept("letters", _letters)
     joined = np.frombuffer(" ".join(t or "" for t in texts).encode("utf-32-le", "replace"), np.uint32)
-    letters = _LETTERS[0][joined]
+    letters = table[joined]
     # one blank at most between words: it begins and ends them
     keep = letters > 0
     keep[1:] |= letters[:-1] > 0
@@ -239,8 +236,8 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         return pd.DataFrame({"lang_pred": lang, "score": np.concatenate([np.zeros(0), *score]),
                              "rejected": np.concatenate([np.zeros(0, bool), *refused])})
 
-    kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "rejected")]
-    return docs.select(*kept, judge(F.col(text_col).cast("string")).alias("judged_")).select(*kept, "judged_.*")
+    own = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "rejected")]
+    return docs.select(*own, judge(F.col(text_col).cast("string")).alias("judged_")).select(*own, "judged_.*")
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -12,9 +12,9 @@ import re
 
 import numpy as np
 
-os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+from maskwright.llm.worker import kept
 
-MOST_PIECES = 250_000  # held by a worker; beyond it, those that came up once only are forgotten
+MOST_PIECES = 400_000  # held by a worker; beyond it, those that came up once only are forgotten
 MOST_CHARS = 16 << 20
 
 _GAP_AFTER_GAP = re.compile(r"\s[ \n]")
@@ -57,6 +57,7 @@ class Encoder:
     def __init__(self, path: str, gaps: bool):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.cut = keep_gaps if gaps else drop_gaps
@@ -75,16 +76,16 @@ class Encoder:
         uses, least = self.uses[:n], 2
         while np.count_nonzero(uses >= least) > MOST_PIECES // 2:
             least += 1
-        kept = np.flatnonzero(uses >= least)
+        often = np.flatnonzero(uses >= least)
         names, bounds, ids = list(self.pieces), self.bounds, self.ids
         self._clear()
-        sizes = bounds[kept + 1] - bounds[kept]
+        sizes = bounds[often + 1] - bounds[often]
         ends = np.cumsum(sizes)
-        at = np.repeat(bounds[kept] - (ends - sizes), sizes) + np.arange(sizes.sum())
+        at = np.repeat(bounds[often] - (ends - sizes), sizes) + np.arange(sizes.sum())
         self.ids = np.concatenate([ids[at], self.ids])
         self.bounds = np.concatenate([[0], ends, self.bounds]).astype(np.int64)
-        self.uses = np.concatenate([uses[kept] // 2, self.uses])
-        for k, i in enumerate(kept.tolist()):
+        self.uses = np.concatenate([uses[often] // 2, self.uses])
+        for k, i in enumerate(often.tolist()):
             self.pieces[names[i]] = k
         self.chars = sum(len(p) for p in self.pieces if isinstance(p, str))
         if self.chars > MOST_CHARS // 2:
@@ -130,14 +131,9 @@ class Encoder:
         return ids, ends[np.cumsum(count)]
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
-
-
 def encoder(path: str, gaps: bool) -> Encoder:
-    """The worker's encoder for a file, kept from task to task."""
-    if (path, gaps) not in _ENCODERS:
-        _ENCODERS[path, gaps] = Encoder(path, gaps)
-    return _ENCODERS[path, gaps]
+    """The worker's encoder for a file."""
+    return kept(("encoder", path, gaps), lambda: Encoder(path, gaps))
 
 
 def with_end(ids: np.ndarray, starts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
