@@ -19,6 +19,12 @@ def seeded_shuffle(spark: SparkSession, folder: str) -> DataFrame:
     return ordering.global_rank(table(spark, folder, "orders").select("o_orderkey"), ["o_orderkey"], SEED)
 
 
+def seeded_order(spark: SparkSession, folder: str) -> DataFrame:
+    """The position of every row in the sorted form of the shuffle."""
+    rows = ordering.seeded_shuffle(table(spark, folder, "orders").select("o_orderkey"), ["o_orderkey"], SEED)
+    return ordering.sorted_rank(rows.withColumn("_at", F.monotonically_increasing_id()), ["_at"]).drop("_at")
+
+
 def split_exact(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "lang")
     return ordering.exact_split(documents, ["doc_id"], 0.2, SEED)
@@ -53,6 +59,12 @@ def shard_layout(spark: SparkSession, folder: str) -> DataFrame:
     return ordering.shard_layout(_split_ids(spark, folder), KEY, 32, SEED, shards_per_task=2)
 
 
+def shard_layout_many(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for forty splits."""
+    rows = _ids(spark, folder).withColumn("split", F.concat(F.lit("s"), (F.col("vec_id") % 40).cast("string")))
+    return ordering.shard_layout(rows, KEY, 4, SEED, shards_per_task=2)
+
+
 def shard_names(spark: SparkSession, folder: str) -> DataFrame:
     plan = shard_plan(spark, folder).withColumn(
         "path", names.join_path(F.lit("records"), F.col("name"))).select("path")
@@ -109,7 +121,8 @@ def orphans(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    "seeded_shuffle": seeded_shuffle, "split_exact": split_exact, "split_exact_orders": split_exact_orders,
+    "seeded_shuffle": seeded_shuffle, "seeded_order": seeded_order, "shard_layout_many": shard_layout_many,
+    "split_exact": split_exact, "split_exact_orders": split_exact_orders,
     "split_bucket": split_bucket, "shard_plan": shard_plan, "shard_ids": shard_ids, "shard_layout": shard_layout,
     "shard_names": shard_names, "epoch_feed": epoch_feed, "eval_feed": eval_feed, "step_feed": step_feed,
     "take_first": take_first, "batch_sizes": batch_sizes, "pair_by_key": pair_by_key,
@@ -143,6 +156,13 @@ def _epochs(count: int, hashed: str) -> str:
 ORACLES = {
     "seeded_shuffle": f"SELECT o_orderkey, row_number() OVER (ORDER BY {sql_hash('o_orderkey')}, o_orderkey) - 1 "
                       "AS rank FROM orders",
+    "seeded_order": f"SELECT o_orderkey, row_number() OVER (ORDER BY {sql_hash('o_orderkey')}, o_orderkey) - 1 "
+                    "AS rank FROM orders",
+    "shard_layout_many": f"""
+SELECT vec_id, split, CAST(r // 4 AS INTEGER) AS shard, CAST(least(4, n - (r // 4) * 4) AS INTEGER) AS shard_size,
+  CAST(r % 4 AS INTEGER) AS position FROM (SELECT vec_id, 's' || (vec_id % 40) AS split, count(*) OVER
+    (PARTITION BY vec_id % 40) AS n, row_number() OVER (PARTITION BY vec_id % 40 ORDER BY {sql_hash('vec_id')}, vec_id) - 1
+    AS r FROM embeddings)""",
     "split_exact": _exact("documents", "doc_id", "doc_id, lang"),
     "split_exact_orders": _exact("orders", "o_orderkey", "o_orderkey, o_orderstatus"),
     "split_bucket": f"SELECT vec_id, {sql_split('vec_id', 0.2, ('train', 'val'))} AS split FROM embeddings",
