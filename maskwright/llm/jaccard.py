@@ -33,7 +33,7 @@ SIZE = 5  # words of an n-gram
 PERCENT = 75
 FRAGMENT_BYTES = 16 << 20  # of text per fragment of step 2, some 2.5 million n-grams: what one task remembers
 SEGMENTS = 8  # fragments of step 3, by the first three bits of the hash
-SKETCH = 32  # words of 64 bits that bound how far two sets differ; few n-grams of a set should share a bit
+SKETCH = 16  # words of 64 bits that bound how far two sets differ
 ANCHOR_ROUNDS = 2
 
 _SETS = "id_ bigint, n_shingles bigint, k1 bigint, k2 bigint"
@@ -213,33 +213,29 @@ def _count_shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _segments(rows: DataFrame, possible: DataFrame, size: int) -> DataFrame:
-    """node, n, part, held: the n-grams of each class that is left, by fragment of the order.
+    """node, n, held, bits: the n-grams of each class that is left, by fragment of the order, and a sketch.
 
-    Part -1 is a sketch: a bit for each remainder of the hash, set where an odd number of n-grams have it.
+    The sketch has a bit for each remainder of the hash, set where an odd number of n-grams have it.
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = (np.arange(1, SEGMENTS, dtype=np.uint64) << np.uint64(61))
         for batch in chunks(batches, "text_", 1 << 20):
             hashes, offsets, keys = _hashed(batch, size)
-            node, n, part, held = [], [], [], []
-            for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
-                odd = np.bincount((hashes[a:b] % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
-                sketch = np.packbits(odd.astype(np.uint8)).view(np.int64)
-                for j, piece in enumerate([sketch, *np.split(hashes[a:b], np.searchsorted(hashes[a:b], bounds))], -1):
-                    if len(piece):
-                        node.append(keys[i, 0])
-                        n.append(b - a)
-                        part.append(j)
-                        held.append(piece.view(np.int64))
+            held, bits = [], []
+            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+                own = hashes[a:b]
+                held.append([x.view(np.int64) for x in np.split(own, np.searchsorted(own, bounds))])
+                odd = np.bincount((own % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+                bits.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
             yield pa.RecordBatch.from_arrays([
-                pa.array(node, pa.int64()), pa.array(n, pa.int64()), pa.array(part, pa.int32()),
-                pa.array(held, pa.list_(pa.int64()))], ["node", "n", "part", "held"])
+                pa.array(keys[:, 0]), pa.array(np.diff(offsets)), pa.array(held, pa.list_(pa.list_(pa.int64()))),
+                pa.array(bits, pa.list_(pa.int64()))], ["node", "n", "held", "bits"])
 
     reps = possible.select(F.col("rep").alias("rep_")).distinct()
     texts = rows.join(reps, rows.id_.eqNullSafe(reps.rep_), "left_semi")
-    cut = texts.mapInArrow(run, "node bigint, n bigint, part int, held array<bigint>")
+    cut = texts.mapInArrow(run, "node bigint, n bigint, held array<array<bigint>>, bits array<bigint>")
     cut = cut.join(possible.select(F.col("k1").alias("node")), "node", "left_semi")
-    return materialise(cut.dropDuplicates(["node", "part"]), "jaccard-segments")
+    return materialise(cut.dropDuplicates(["node"]), "jaccard-segments")
 
 
 def _prefixes(segments: DataFrame, percent: int) -> DataFrame:
@@ -247,7 +243,7 @@ def _prefixes(segments: DataFrame, percent: int) -> DataFrame:
 
     The order goes by frequency, then hash. N-grams of one class only stand first and never meet, so they are left out.
     """
-    tokens = segments.select("node", "n", F.explode("held").alias("token"))
+    tokens = segments.select("node", "n", F.explode(F.flatten("held")).alias("token"))
     common = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     ordered = tokens.join(common, "token").groupBy("node", "n").agg(
         F.array_sort(F.collect_list(F.struct("df", "token"))).alias("held"))
@@ -276,19 +272,18 @@ def _may_link(percent: int, a: str, b: str) -> Column:
 
 
 def _verified(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: partial overlaps of each fragment, summed per pair."""
-    left = segments.select(F.col("node").alias("a"), F.col("n").alias("na"), "part", F.col("held").alias("held_a"))
-    right = segments.select(F.col("node").alias("b"), F.col("n").alias("nb"), "part", F.col("held").alias("held_b"))
-    partial = pairs.join(left, "a").join(right, ["b", "part"]).select(
-        "a", "b", "na", "nb", F.size(F.array_intersect("held_a", "held_b")).alias("both"))
-    summed = partial.groupBy("a", "b", "na", "nb").agg(F.sum("both").alias("both"))
+    """The pairs (a, b) that link: partial overlaps of the fragments, summed per pair."""
+    left = segments.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("held").alias("held_a"))
+    right = segments.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("held").alias("held_b"))
+    partial = F.zip_with("held_a", "held_b", lambda x, y: F.size(F.array_intersect(x, y)))
+    both = F.aggregate(partial, F.lit(0), lambda total, n: total + n)
+    summed = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", both.alias("both"))
     return summed.where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent).select("a", "b")
 
 
 def _linked(segments: DataFrame, percent: int) -> DataFrame:
     """node, comp for every class that is linked to another."""
-    sketches = segments.where("part = -1").select("node", F.col("held").alias("bits"))
-    segments = segments.where("part >= 0")
+    sketches = segments.select("node", "bits")
     prefixes = materialise(_prefixes(segments, percent), "jaccard-prefixes")
     edges, comps = None, None
     for turn in range(ANCHOR_ROUNDS + 1):
