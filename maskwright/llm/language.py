@@ -223,9 +223,9 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         lang, score, refused = [], [], []
         values = [None if t is None or t != t else t for t in texts]
         at = 0
-        while at < len(values):  # about four million characters at a time
+        while at < len(values):  # about a million characters at a time: each takes some hundred bytes of arrays
             upto, size = at, 0
-            while upto < len(values) and (upto == at or size < 4_000_000):
+            while upto < len(values) and (upto == at or size < 1_000_000):
                 size += len(values[upto] or "")
                 upto += 1
             some = model.judge(values[at:upto])
