@@ -14,8 +14,8 @@ import numpy as np
 
 from maskwright.llm.worker import kept
 
-MOST_PIECES = 400_000  # held by a worker; beyond it, those that came up once only are forgotten
-MOST_CHARS = 16 << 20
+MOST_PIECES = 700_000  # held by a worker; beyond it, those that came up once only are forgotten
+MOST_CHARS = 32 << 20
 
 _GAP_AFTER_GAP = re.compile(r"\s[ \n]")
 _SAFE_CUT = re.compile(r"(?<=\S)(?=[ \n])")
@@ -62,6 +62,10 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.cut = keep_gaps if gaps else drop_gaps
         self.gaps = gaps
+        # ids that begin with a space, which byte-level tokenizers write as this letter
+        words = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(words.values()) + 1, bool)
+        self.opens[[i for word, i in words.items() if word.startswith("\u0120")]] = True
         self._clear()
 
     def _clear(self) -> None:
@@ -98,7 +102,7 @@ class Encoder:
 
     def _learn(self) -> None:
         texts = [self._whole(p) for p in self.pieces.new]
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        found = self._joined(texts) if self.gaps else self._single(texts)
         self.chars += sum(map(len, texts))
         first = len(self.pieces) - len(found)
         ends = self.bounds[first] + np.cumsum([len(x) for x in found])
@@ -111,6 +115,25 @@ class Encoder:
         self.bounds[first + 1:len(self.pieces) + 1] = ends
         self.pieces.new = []
 
+    def _single(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _joined(self, texts: list[str]) -> list[list[int]]:
+        """Many words in one go: each begins with its only space, which shows where its ids begin."""
+        plain = [i for i, t in enumerate(texts) if t[:1] == " " and t[1:].split() == [t[1:]]]
+        out: list[list[int] | None] = [None] * len(texts)
+        for at in range(0, len(plain), 512):
+            some = plain[at:at + 512]
+            ids = self.tokenizer.encode("".join(texts[i] for i in some), add_special_tokens=False).ids
+            starts = np.flatnonzero(self.opens[ids]).tolist()
+            if len(starts) == len(some) and starts[0] == 0:
+                for i, a, b in zip(some, starts, [*starts[1:], len(ids)]):
+                    out[i] = ids[a:b]
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(rest, self._single([texts[i] for i in rest])):
+            out[i] = x
+        return out
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids behind each other, and where each text's begin (one more than texts); null is empty."""
         if len(self.pieces) > MOST_PIECES or self.chars > MOST_CHARS:
