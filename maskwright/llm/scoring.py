@@ -159,7 +159,10 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
 
 def marked_by(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
               text_col: str = "text") -> DataFrame:
-    """``text_col`` and target: whether any label of the document is 1. Documents without an id or a label are background."""
+    """``text_col`` and target: whether any label of the document is 1. Documents without an id or a label are background.
+
+    Labels grow with the documents, so both are shuffled at every size; Spark splits what a hot id gathers.
+    """
     good = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("id_")).distinct().withColumn("target", F.lit(True))
     rows = docs.select(F.col(id_col).alias("id_"), text_col)
-    return rows.join(good, "id_", "left").select(text_col, F.coalesce("target", F.lit(False)).alias("target"))
+    return rows.join(good.hint("merge"), "id_", "left").select(text_col, F.coalesce("target", F.lit(False)).alias("target"))
