@@ -99,11 +99,17 @@ class Benchmark:
     def of(items: list[tuple], least: int) -> Benchmark:
         hashes, first = word_hashes(_folded(pa.array([t for _, t in items], pa.string())), PUNCTUATION)
         words = [hashes[a:b] for a, b in zip(first[:-1], first[1:])]
-        runs, starts = run_hashes(hashes, first, least)
-        owner = np.repeat(np.arange(len(items)), np.diff(starts))
-        order = np.argsort(runs, kind="stable")
         sizes = sorted({min(least, len(w)) for w in words if len(w)})
-        return Benchmark([i for i, _ in items], words, runs[order], owner[order], sizes, least)
+        seeds, owner = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for size in sizes:
+            some = [k for k, w in enumerate(words) if min(least, len(w)) == size]
+            bounds = np.concatenate([[0], np.cumsum([len(words[k]) for k in some])])
+            runs, starts = run_hashes(np.concatenate([words[k] for k in some]), bounds, size)
+            seeds.append(runs)
+            owner.append(np.repeat(np.array(some, np.int64), np.diff(starts)))
+        seeds, owner = np.concatenate(seeds), np.concatenate(owner)
+        order = np.argsort(seeds, kind="stable")
+        return Benchmark([i for i, _ in items], words, seeds[order], owner[order], sizes, least)
 
     def pairs(self, words: np.ndarray, first: np.ndarray) -> list[tuple[int, int]]:
         """(text, item) of all texts and items that share a seed."""

@@ -11,7 +11,7 @@ NOTICE = next(s for s, i in SENTENCES.items() if i == "MITnotice")
     ("word\nRELEASED under the  MIT license!\nword", ["MITref"], ["MIT"], 0, 0),
     ("Licensed under the Apache License, Version 2.0.\nLicensed under CC BY-NC 4.0.", ["Apache2ref", "CCBYNC4ref"],
      ["Apache-2.0", "CC-BY-NC-4.0"], 0, 0),
-    (f"MIT License\n\n{MIT[:60]}\n{MIT[61:]}:\n\n{NOTICE}.", ["MITtitle", "MITgrant", "MITnotice"], ["MIT"], 0, 0),
+    (f"MIT License\n\n{MIT.replace(" copy of", chr(10) + "copy of").replace(" publish", chr(10) + "publish")}:\n\n{NOTICE}.", ["MITtitle", "MITgrant", "MITnotice"], ["MIT"], 0, 0),
     (f"{NOTICE}. {MIT}.", ["MITnotice", "MITgrant"], ["MIT"], 1, 0),
     ("Licensed under the Licence of my house. Released under the MIT License.", ["MITref"], ["MIT"], 0, 1),
     ("nothing here", [], [], 0, 0), ("", [], [], 0, 0), (None, [], [], 0, 0),
