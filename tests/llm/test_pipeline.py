@@ -17,7 +17,7 @@ def docs(spark):
     real = spark.read.parquet(f"{FOLDER}/documents.parquet")
     text = real.orderBy("doc_id").first().text
     extra = [(900_001, None, "en", "s", 0), (900_002, "", None, None, None), (None, text + " more", "en", "s", 1),
-             (900_003, "漢字だけの長い文章をここに書いてみる。" * 9, "zz", "s", 1), (900_004, "12 34 56", "en", "s", 1),
+             (900_003, "漢字だけの長い文章をここに書いてみる。" * 9, None, "s", 1), (900_004, "12 34 56", "en", "s", 1),
              (900_005, "of the and in that with", "en", "s", 5), (900_005, "of the and in that with", "en", "s", 5)]
     return materialise(real.unionByName(spark.createDataFrame(extra, real.schema)), "pipeline-test")
 
