@@ -62,3 +62,66 @@ def test_labels(spark):
     labels = spark.createDataFrame([(1, 0), (1, 1), (1, 1), (2, 0), (None, 1)], "doc_id bigint, quality int")
     assert {tuple(r) for r in scoring.marked_by(docs, labels).collect()} == {
         ("a", True), ("b", False), ("c", False), ("d", False)}
+
+
+def exact_scores(texts, order=scoring.ORDER, smooth=scoring.SMOOTH):
+    """The models with the bytes themselves as contexts."""
+    def tokens(text):
+        data = bytes(order - 1) + text.encode()
+        return [(data[i - order + 1:i], data[i]) for i in range(order - 1, len(data))]
+
+    sides = []
+    for kind in (True, False):
+        found = [x for t, good in texts if good == kind for x in tokens(t)]
+        sides.append((len(found), [Counter((c[k:], b) for c, b in found) for k in (0, 1, order - 1)],
+                      [Counter(c[k:] for c, _ in found) for k in (0, 1)]))
+
+    def chance(side, context, byte):
+        total, (own, short, alone), (owns, shorts) = side
+        scale = sides[0][0] / total
+        p = (alone[b"", byte] * scale + 1) / (sides[0][0] + 256)
+        p = (short[context[1:], byte] * scale + smooth * p) / (shorts[context[1:]] * scale + smooth)
+        return (own[context, byte] * scale + smooth * p) / (owns[context] * scale + smooth)
+
+    def mean(text):
+        found = [math.log2(chance(sides[1], *x)) - math.log2(chance(sides[0], *x)) for x in tokens(text)]
+        return sum(found) / len(found)
+    return mean
+
+
+def test_against_exact_contexts(spark):
+    rng = np.random.default_rng(5)
+    word = lambda k: "".join(chr(97 + int(c)) for c in rng.integers(0, 20, k))
+    texts = [(" ".join(word(int(k)) for k in rng.integers(1, 8, 300)), i % 3 == 0) for i in range(60)]
+    plain = exact_scores(texts)
+    model = scoring.fit(spark.createDataFrame(texts, "text string, target boolean").repartition(4))
+    unseen = ["ZZ not in the corpus é", "", None]  # n-grams that no model has are smoothed, too
+    df = spark.createDataFrame(list(enumerate([t for t, _ in texts] + unseen)), "doc_id bigint, text string")
+    found = {r.doc_id: r.score for r in scoring.score(df, model).collect()}
+    assert found[61] is None and found[62] is None and len(found) == 63
+    for i in range(61):
+        assert found[i] == pytest.approx(plain((texts[i][0] if i < 60 else unseen[0])), abs=1e-9)
+
+
+def test_models_grow_with_the_corpus(spark):
+    """Every n-gram has its own row: more than the 65,536 that classes of contexts allow."""
+    rng = np.random.default_rng(6)
+    texts = [("".join(map(chr, rng.integers(97, 123, 20_000))), i % 2 == 0) for i in range(16)]
+    sizes = []
+    for n in (2, 16):
+        counts = scoring.fit(spark.createDataFrame(texts[:n], "text string, target boolean"), order=6).counts
+        want = Counter(t[i - 5:i + 1] for t, _ in texts[:n] for i in range(5, len(t)))
+        sizes.append(counts.count())
+        assert sizes[-1] == len(want) + len({t[:k] for t, _ in texts[:n] for k in range(1, 6)})
+    assert sizes[1] > 7 * sizes[0] > 65_536
+
+
+def test_blocks(spark, monkeypatch):
+    """Texts of many blocks, copies and null ids give the scores of one block."""
+    rows = [(None if i % 5 == 0 else i % 7, f"text {i % 11} of many blocks " * (i % 4)) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    model = scoring.fit(df.selectExpr("text", "doc_id = 1 target"))
+    whole = sorted(map(str, scoring.score(df, model).collect()))
+    monkeypatch.setattr(scoring, "_PIECE", 200)
+    monkeypatch.setattr(scoring, "_BLOCK", 500)
+    assert len(whole) == 200 and sorted(map(str, scoring.score(df, model).collect())) == whole
