@@ -145,13 +145,15 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", buc
         centroids: int = CENTROIDS, sample: int = SAMPLE) -> Model:
     """Fit on about ``sample`` texts of each language, chosen by hash, equal texts once; languages with fewer give all.
 
+    How many a language has is counted over what is drawn from: its distinct texts with a letter.
+
     Rows without text or language are left out, and so are texts without a letter. No labelled rows give a model that
     rejects every text. More than ``MOST_LANGUAGES`` languages are refused: the model goes to every task.
     """
     rows = labelled.select(F.col(lang_col).alias("lang_"), F.col(text_col).cast("string").alias("text_")).where(
         "lang_ is not null and text_ rlike '\\\\p{L}'")
-    sizes = {r.lang_: r.n for r in labelled.groupBy(F.col(lang_col).alias("lang_")).agg(
-        F.count("*").alias("n")).where("lang_ is not null").limit(MOST_LANGUAGES + 1).collect()}
+    texts = rows.select("lang_", F.xxhash64("text_").alias("hash")).distinct()
+    sizes = {r.lang_: r.n for r in texts.groupBy("lang_").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
     if len(sizes) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     if not sizes:

@@ -44,3 +44,13 @@ def test_prediction_does_not_depend_on_neighbours(model):
     texts = ["le la de", None, "the of and", "", "der die das und"]
     alone = [model.judge([t])[0][0] for t in texts]
     assert model.judge(texts)[0] == alone and model.judge([])[0] == []
+
+
+def test_languages_of_many_copies_or_nulls_give_all_their_texts(spark):
+    """The rate goes by distinct texts with a letter: with three of them each language has a centroid for every text."""
+    texts = spark.createDataFrame([("der hund und die katze",), ("le chat et le chien",), ("the cat and a dog",)], "text string")
+    copied = texts.crossJoin(spark.range(1_000)).selectExpr("'copied' lang", "text")
+    nulls = spark.range(5_000).selectExpr("'null' lang", "if(id % 3 = 0, null, concat(id, '!')) text").unionByName(
+        texts.selectExpr("'null' lang", "text"))
+    model = language.fit(copied.unionByName(nulls).unionByName(texts.selectExpr("'once' lang", "text")), sample=100)
+    assert model.languages == [k for k in ("copied", "null", "once") for _ in range(3)]
