@@ -121,6 +121,10 @@ RULES: list[tuple[str, list[str]]] = [
 CRITICAL = ["licen", "permi", "warrant", "copyright", "distribut"]
 
 SENTENCE_END = r"[.!?;]+[ \t\r\n]+|\n[ \t\r]*\n"
+_COMMENT = r"(?m)^[ \t]*[;!]+[ \t]+"  # comment marks that would end a sentence
+# what stands before a line's words: a word that marks comments, a list number or letter in brackets
+_LINE_MARK = r"(?m)^[^a-z0-9\n]*(?:(?:rem|dnl)[ \t]+)?(?:[(]?(?:[0-9]{1,2}|[a-z])[)][ \t]+)?"
+_LIST_BEGIN = r":[ \t]*[(]?[0-9]{1,2}(?:[.)](?=\s)|$)"  # behind a sentence
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -141,7 +145,9 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     meet in the order of the rules, each licence once, ``unmatched`` the number of identifiers that no rule took and
     ``unknown`` that of sentences that speak of licences but are not known. A rule needs its identifiers next to each
     other, with no other identifier and no unknown licence sentence between; other sentences between do not count.
-    A sentence may run over several lines; if it is not known as a whole, its lines are taken one by one. Null and
+    A sentence may run over several lines, each with a comment mark before it. If it is not known as a whole, it is taken
+    line by line: from each line the longest known run of neighbouring lines, or else the line. Lines without letters and
+    digits part runs; numbers of lists belong to none. Null and
     empty texts, and texts that name no licence, have empty lists and zeros. Ids may be null or repeat. Other columns are
     not read.
     """
@@ -152,13 +158,19 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     critical = "|".join(CRITICAL)
     text = lowered(F.col(text_col).cast("string"))
 
+    # a known sentence from the beginning of a line to the end of one, the longest first, or else a line
+    runs = "|".join(s.replace(" ", "[ \\n]") for s in sorted(sentences, key=lambda s: (-len(s), s)))
+    run = f"(?m)^(?:{runs})$|^.+$"
+
     def units(sentence: Column) -> Column:
         whole = F.map_contains_key(known, normalised(sentence))
-        return F.when(~F.contains(sentence, F.lit("\n")) | whole, F.array(sentence)).otherwise(F.split(sentence, "\n"))
+        bare = F.regexp_replace(F.regexp_replace(sentence, _LINE_MARK, ""), _LIST_BEGIN, ":\n")
+        lines = F.regexp_replace(F.regexp_replace(bare, "[^a-z0-9\n]+", " "), " ?\n ?", "\n")
+        return F.when(whole, F.array(sentence)).otherwise(F.regexp_extract_all(F.trim(lines), F.lit(run), F.lit(0)))
 
     # whatever holds none of the words is neither known nor unknown, so most texts are never cut
     cut = F.flatten(F.transform(
-        F.filter(F.split(text, SENTENCE_END), lambda s: s.rlike(critical)), units))
+        F.filter(F.split(F.regexp_replace(text, _COMMENT, ""), SENTENCE_END), lambda s: s.rlike(critical)), units))
     found = F.transform(F.transform(F.filter(cut, lambda s: s.rlike(critical)), normalised),
                         lambda s: F.coalesce(F.try_element_at(known, s), F.lit("?")))
     none = F.array().cast("array<string>")

@@ -1,3 +1,5 @@
+import textwrap
+
 import pytest
 
 from maskwright.llm.licences import CRITICAL, RULES, SENTENCES, scan_licences
@@ -37,3 +39,46 @@ def test_rules_in_order(spark):
 def test_tables_agree():
     used = {i for _, ids in RULES for i in ids}
     assert used <= set(SENTENCES.values()) and all(any(c in s for c in CRITICAL) for s in SENTENCES)
+
+
+def wrapped(text, width, mark):
+    return "".join(f"{mark}{line}\n" for line in textwrap.wrap(text, width))
+
+
+BSD = ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+       "following conditions are met:",
+       "Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+       "disclaimer.",
+       "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+       "disclaimer in the documentation and/or other materials provided with the distribution."]
+OF = {i: s for s, i in SENTENCES.items()}
+
+
+@pytest.mark.parametrize("width", [48, 76])
+@pytest.mark.parametrize("mark", ["# ", " * ", "// ", "-- ", ";; ", "! ", "REM "])
+def test_headers_in_comments(spark, mark, width):
+    blank = mark.rstrip() + "\n" if mark != "REM " else "\n"
+    holder = f"{mark}Copyright (c) 2020 Foo Bar\n"
+    isc = holder + wrapped(OF["ISCgrant"] + ".", width, mark)
+    mit = holder + wrapped(MIT + ":", width, mark) + blank + wrapped(NOTICE + ".", width, mark)
+    gpl = holder + "".join(wrapped(OF[i] + ".", width, mark) for i in ("GPL2plusgrant", "GPLwarranty", "GPLsee"))
+    texts = [(1, isc, "ISC"), (2, holder + blank + isc, "ISC"), (3, mit, "MIT"), (4, gpl, "GPL-2.0-or-later")]
+    for k, number in enumerate(("{}. ", "{}) ", "({}) ", "\u2022 ")):
+        text = holder + wrapped(BSD[0], width, mark) + "".join(
+            wrapped(number.format(n + 1) + s, width, mark) for n, s in enumerate(BSD[1:]))
+        texts.append((5 + k, text, "BSD-2-Clause"))
+    texts.append((9, f"{BSD[0]} 1. {BSD[1]} 2. {BSD[2]}", "BSD-2-Clause"))
+    df = spark.createDataFrame(texts, "doc_id bigint, text string, want string")
+    found = {r.doc_id: r for r in scan_licences(df).collect()}
+    for k, _, want in texts:
+        assert found[k].licences == [want] and found[k].unmatched == 0, (k, found[k])
+        assert found[k].unknown == (0 if k == 9 else 2 if k == 2 else 1), (k, found[k])
+
+
+def test_lines_that_are_no_run(spark):
+    """A blank comment line parts runs, and a number that a licence ends with is none of a list."""
+    rows = [(1, "# licensed under the\n#\n# mit license\n# permit"), (2, "Licensed under the GNU General Public License version\n2. More"),
+            (3, "words\nReleased under the\nMIT License\nwords")]
+    found = {r.doc_id: r for r in scan_licences(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert [found[k].licences for k in (1, 2, 3)] == [["MIT"], ["GPL-2.0-only"], ["MIT"]]
+    assert [found[k].sentence_ids for k in (1, 2, 3)] == [["MITtitle"], ["GPL2ref"], ["MITref"]]
