@@ -98,6 +98,7 @@ def _possible(rows: DataFrame, originals: DataFrame, classes: DataFrame, size: i
 
 _ENTRY = np.dtype([("token", "<u4"), ("doc", "<u2")])
 _KNOWN = np.dtype([("doc", "<u2"), ("shared", "<u4")])
+_MERGE = 500_000  # entries that are gathered before they are merged, at least
 _DOCS = 1 << 15  # of a batch, at most twice as many: an entry numbers them in two bytes
 
 
@@ -161,11 +162,11 @@ def _scatter(size: int, fragments: int):
 def _count_shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per class, how many of its n-grams in these fragments occur in another class.
 
-    Streams: an n-gram's first class is remembered, and credited when a second one comes; later ones are credited at
-    once. Memory holds the distinct n-grams of the task's fragments, not their occurrences. Unequal n-grams that agree
+    Streams: an n-gram's first class is remembered, with how many n-grams it has that agree in fragment and low half, and
+    credited with all of them when a second class comes; later ones are credited at once. Memory holds the distinct n-grams of the task's fragments, not their occurrences. Unequal n-grams that agree
     in fragment and low half count as shared: the count is only ever too high, and step 3 is exact.
     """
-    state = (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool))
+    state = (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool), np.empty(0, np.int32))
 
     def credit(nodes: np.ndarray, weights: np.ndarray | None = None) -> pa.RecordBatch:
         found, at = np.unique(nodes, return_inverse=True)
@@ -177,8 +178,9 @@ def _count_shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         token = np.concatenate([state[0], *(p[0] for p in parts)])
         node = np.concatenate([state[1], *(p[1] for p in parts)])
         shared = np.concatenate([state[2], *(p[2] for p in parts)])
+        weight = np.concatenate([state[3], np.ones(len(token) - len(state[3]), np.int32)])
         order = np.argsort(token, kind="stable")  # what is remembered comes before what is new
-        token, node, shared = token[order], node[order], shared[order]
+        token, node, shared, weight = token[order], node[order], shared[order], weight[order]
         first = np.ones(len(token), bool)
         first[1:] = token[1:] != token[:-1]
         group = np.cumsum(first) - 1
@@ -189,8 +191,8 @@ def _count_shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         common[group[shared]] = True
         # an entry marked as shared was credited where it was sent from
         due = common[group] & ~shared
-        state = (token[head], node[head], common)
-        return credit(node[due])
+        state = (token[head], node[head], common, np.add.reduceat(weight, head, dtype=np.int32))
+        return credit(node[due], weight[due])
 
     parts, size = [], 0
     for batch in batches:
@@ -205,7 +207,7 @@ def _count_shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             parts.append((entries["token"].astype(np.uint64) | np.uint64(f << 32), keys[entries["doc"]],
                           np.arange(sent + others) < sent))
             size += len(entries)
-            if size > 500_000 + len(state[0]) // 2:
+            if size > _MERGE + len(state[0]) // 2:
                 yield merge(parts)
                 parts, size = [], 0
     if parts:

@@ -120,3 +120,19 @@ def test_connected_components(spark):
     found = {r.node: r.comp for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert found == plain_components({n for e in edges for n in e}, edges)
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_ngrams_that_agree_in_their_low_half_are_all_counted(monkeypatch):
+    """Two n-grams with one token, shared by a class that comes in a later merge, count twice."""
+    def held(node):
+        entries = np.array([(5, 0), (5, 0), (9, 0)], jaccard._ENTRY)
+        return np.array([1, 0, 0, 3], np.int64).tobytes() + np.array([node], np.int64).tobytes() + entries.tobytes()
+
+    monkeypatch.setattr(jaccard, "_MERGE", 0)
+    batches = [pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([held(k)], pa.binary())], ["fragment", "held"])
+               for k in (1, 2, 3)]
+    found = {}
+    for batch in jaccard._count_shared(batches):
+        for node, n in zip(batch["node"].to_pylist(), batch["shared"].to_pylist()):
+            found[node] = found.get(node, 0) + n
+    assert found == {1: 3, 2: 3, 3: 3}
