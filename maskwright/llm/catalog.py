@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from maskwright.llm import (bitplanes, jaccard, language, licences, neighbours, packing, scoring, sharding, tiling,
-                           urls)
+from maskwright.llm import (bitplanes, jaccard, language, licences, merkle, neighbours, packing, scoring, sharding,
+                           tiling, urls)
 from maskwright.session import scratch_path
 
 
@@ -85,9 +85,22 @@ def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, folder, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    changed = (F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0) & F.col("n_chars").isNotNull()
+    more = [F.col(c) + 1 if c == "n_chars" else F.col(c) for c in fields]
+    leaves = docs.select("doc_id", "lang", merkle.leaf_digest(*map(F.col, fields)).alias("leaf"),
+                         F.when(changed, merkle.leaf_digest(*more)).alias("tampered"))
+    proven = merkle.manifest(leaves, "leaf", "lang", ["doc_id"])
+    proven = proven.withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("siblings")))
+    return proven.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("siblings")).alias("proof_sha256"),
+                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_licence_scan, op2_decontamination, op3_nearest_neighbours, op4_url_filter, op5_language_id, op6_kd_sharding,
-    op7_lm_scoring, op8_packing, op9_bit_planes, op10_ngram_jaccard)}
+    op7_lm_scoring, op8_packing, op9_bit_planes, op10_ngram_jaccard, op11_merkle_manifest)}
 
 _WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
 
@@ -125,6 +138,47 @@ SELECT doc_id, array_to_string(list_filter(f, lambda s: s != '?'), ',') AS sente
     CAST(len(list_filter(f, lambda s: s = '?')) AS INTEGER) AS unknown FROM state"""
 
 
+def _counted(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+def _climb_sql(name: str, start: str, group: str) -> str:
+    """One row per leaf and level, until the group has one node; siblings are lists of their digests by side."""
+    at = lambda slot: f"max(node) FILTER (WHERE pos % 2 = {slot}) OVER run_"
+    beside = lambda slot: f"CASE WHEN pos % 2 = {1 - slot} THEN coalesce({at(slot)}, '') ELSE '' END"
+    return f"""
+{name}(id, {group}, pos, n, node, path) AS (SELECT id, {group}, pos, n, leaf, CAST([] AS STRUCT(l VARCHAR, r VARCHAR)[])
+    FROM {start} UNION ALL SELECT id, {group}, pos // 2, (n + 1) // 2, sha256({at(0)} || coalesce({at(1)}, '')),
+    list_append(path, {{'l': {beside(0)}, 'r': {beside(1)}}}) FROM {name} WHERE n > 1
+    WINDOW run_ AS (PARTITION BY {group}, pos // 2))"""
+
+
+def _merkle_sql() -> str:
+    """The checksum is worked out bit by bit: an element of the list is a byte to take in or, as -1, one step."""
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    leaf = lambda changed: "sha256(" + " || ".join(
+        _counted("(n_chars + 1)" if changed and f == "n_chars" else f) for f in fields) + ")"
+    crc = """xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(
+    string_split(doc_id::VARCHAR, ''), lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda c, e:
+    CASE WHEN e >= 0 THEN xor(c, e) ELSE xor(c >> 1, (c & 1) * 3988292384) END))"""
+    return f"""
+WITH RECURSIVE leaves AS (SELECT row_number() OVER () AS id, doc_id, lang, {leaf(False)} AS leaf,
+    CASE WHEN {crc} % 7 = 0 AND n_chars IS NOT NULL THEN {leaf(True)} END AS tampered,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, {leaf(False)}) - 1 AS pos,
+    count(*) OVER (PARTITION BY lang) AS n FROM documents),
+{_climb_sql("climb", "leaves", "lang")},
+tops AS (SELECT row_number() OVER () AS id, 0 AS one, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos,
+    count(*) OVER () AS n, lang, leaf FROM (SELECT DISTINCT lang, node AS leaf FROM climb WHERE n = 1)),
+{_climb_sql("rise", "tops", "one")},
+proofs AS (SELECT leaves.*, climb.node AS subroot, rise.node AS root, list_concat(climb.path, rise.path) AS path
+    FROM leaves JOIN climb ON leaves.id = climb.id AND climb.n = 1
+    JOIN tops ON leaves.lang IS NOT DISTINCT FROM tops.lang JOIN rise ON rise.id = tops.id AND rise.n = 1),
+folded AS (SELECT *, list_reduce(list_concat([{{'l': coalesce(tampered, leaf), 'r': ''}}], path),
+    lambda a, s: {{'l': sha256(s.l || a.l || s.r), 'r': ''}}).l AS folded_root FROM proofs)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(list_aggregate(list_transform(path, lambda s: s.l || s.r),
+    'string_agg', ''), '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM folded"""
+
+
 _RULE_ROWS = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
 
 ORACLES = {
@@ -148,6 +202,7 @@ fits AS (SELECT host, path, arg_max(rule_host || rule_path, length(rule_host ||
     ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY host, path)
 SELECT page_id, parts.host, parts.path, rule, coalesce(verdict, 'allow') AS verdict
 FROM parts LEFT JOIN fits ON parts.host = fits.host AND parts.path = fits.path""",
+    "op11_merkle_manifest": _merkle_sql(),
     "op10_ngram_jaccard": rf"""
 WITH RECURSIVE words AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
 sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
