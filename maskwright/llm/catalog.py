@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from maskwright.llm import (bitplanes, jaccard, language, licences, merkle, neighbours, packing, scoring, sharding,
-                           tiling, urls)
+from maskwright.llm import (bitplanes, jaccard, language, licences, merkle, neighbours, packing, periodic, scoring,
+                           sharding, tiling, urls)
 from maskwright.session import scratch_path
 
 
@@ -98,9 +98,36 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
                          "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def _made_periodic(docs: DataFrame) -> DataFrame:
+    """doc_id and words; by a checksum of its id, a tenth of the documents repeats a stretch of its words to the end."""
+    held = docs.select("doc_id", periodic.words_of(F.col("text")).alias("words"))
+    held = held.withColumns({"n": F.size("words"), "h": F.crc32(F.col("doc_id").cast("string"))})
+    g = F.floor(F.col("h") / 10)
+    held = held.withColumn("a", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), (g % F.col("n")).cast("int")))
+    held = held.withColumn("p", (F.floor((F.col("n") - F.col("a")) / (g % 8 + 3)) + 1).cast("int"))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    repeated = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.get("words", place(i)))
+    return held.select("doc_id", F.when(F.col("a").isNotNull(), repeated).otherwise(F.col("words")).alias("words"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.find_runs(_made_periodic(table(spark, folder, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("shorter"))))
+    found = found.withColumn("best", best)
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    start, length, period = -F.col("best.before"), F.col("best.length"), -F.col("best.shorter")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"),
+        period.alias("period"), ((length * 1000 - length * 1000 % period) / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_licence_scan, op2_decontamination, op3_nearest_neighbours, op4_url_filter, op5_language_id, op6_kd_sharding,
-    op7_lm_scoring, op8_packing, op9_bit_planes, op10_ngram_jaccard, op11_merkle_manifest)}
+    op7_lm_scoring, op8_packing, op9_bit_planes, op10_ngram_jaccard, op11_merkle_manifest,
+    op12_periodic_runs)}
 
 _WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
 
