@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from maskwright.llm import (bitplanes, jaccard, language, licences, merkle, neighbours, packing, periodic, scoring,
-                           sharding, tiling, urls)
+from maskwright.llm import (bitplanes, jaccard, language, licences, merkle, neighbours, packing, periodic, quality,
+                           scoring, sharding, tiling, urls)
 from maskwright.session import scratch_path
 
 
@@ -124,10 +124,17 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op13_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = quality.fit(docs, labels.where(~quality.held_out()))
+    scored = quality.score(docs.select("doc_id", quality.held_out().alias("held_out"), "text"), model).drop("text")
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_licence_scan, op2_decontamination, op3_nearest_neighbours, op4_url_filter, op5_language_id, op6_kd_sharding,
     op7_lm_scoring, op8_packing, op9_bit_planes, op10_ngram_jaccard, op11_merkle_manifest,
-    op12_periodic_runs)}
+    op12_periodic_runs, op13_quality_classifier)}
 
 _WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
 
