@@ -168,8 +168,48 @@ def split_skew(spark: SparkSession, folder: str) -> DataFrame:
                                             for c in ("left_value", "right_value", "difference")])
 
 
+def _far_from_zero(spark: SparkSession, folder: str) -> DataFrame:
+    """Values of ten thousand million and of one more, as lists and as plain ones: which, goes by a sign or a label."""
+    far = lambda one: F.when(one, F.lit(1e10 + 1)).otherwise(F.lit(1e10))
+    return _vectors(spark, folder).select(
+        "split", F.transform("embedding", lambda v: far(v > 0)).alias("image"), far(F.col("label") % 2 == 0).alias("even"))
+
+
+def stats_large_mean(spark: SparkSession, folder: str) -> DataFrame:
+    """Deviations of values whose mean is ten thousand million times as large."""
+    stats = profile.feature_stats_wide(_far_from_zero(spark, folder), ["image", "even"], median=None)
+    return stats.select("split", "feature", F.round(F.col("mean") - 1e10, 4).alias("mean"), F.round("std_dev", 6).alias("std_dev"))
+
+
+def skew_large_mean(spark: SparkSession, folder: str) -> DataFrame:
+    """The same values of two splits side by side."""
+    rows = compare.split_skew(_far_from_zero(spark, folder), ["image", "even"])
+    return rows.where("stat in ('std_dev', 'median', 'linf')").select(
+        "feature", "stat", F.round("left_value", 5).alias("left_value"), F.round("right_value", 5).alias("right_value"),
+        F.round("difference", 5).alias("difference"))
+
+
+def histogram_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Histograms of one split per part: thousands of ranges."""
+    rows = table(spark, folder, "lineitem").withColumnRenamed("l_partkey", "split")
+    found = profile.histogram(rows, ["l_quantity", "l_discount"], buckets=4)
+    return found.withColumns({"low": F.round("low", 4), "high": F.round("high", 4)})
+
+
+def median_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    """Is the sketched median of a list feature within a thousandth of the ranks, on either side of the exact one?"""
+    rows = _vectors(spark, folder)
+    found = profile.feature_stats_wide(rows, ["embedding"]).select("split", "median", "num_values")
+    ranks = rows.join(F.broadcast(found), "split").groupBy("split", "num_values").agg(  # a row per split
+        F.sum(F.size(F.filter("embedding", lambda v: v < F.col("median")))).alias("below"),
+        F.sum(F.size(F.filter("embedding", lambda v: v <= F.col("median")))).alias("upto"))
+    slack = F.col("num_values") / 1000 + 1
+    half = F.col("num_values") / 2
+    return ranks.select("split", "num_values", ((F.col("below") <= half + slack) & (F.col("upto") >= half - slack)).alias("near"))
+
+
 QUERIES = {f.__name__: f for f in (
-    feature_stats, feature_stats_lineitem, feature_stats_parts, stats_infinite, histogram_infinite, stats_readback, histogram, histogram_lineitem, quantiles, topk_values,
+    stats_large_mean, skew_large_mean, histogram_parts, median_sketch, feature_stats, feature_stats_lineitem, feature_stats_parts, stats_infinite, histogram_infinite, stats_readback, histogram, histogram_lineitem, quantiles, topk_values,
     topk_lineitem, schema_infer, schema_anomalies, schema_anomalies_lineitem, schema_rules, split_skew, bytes_stats,
     topk_bytes, inferred_check)}
 
@@ -200,18 +240,34 @@ def _stats(rows: str, digits: int) -> str:
             f"(UNPIVOT ({_wide(rows)}) ON {names} INTO NAME stat VALUE value)")
 
 
-def _histogram(rows: str, digits: int, shared: bool = False) -> str:
+def _histogram(rows: str, digits: int, shared: bool = False, buckets: int = 10) -> str:
     part = "feature" if shared else "split, feature"
     return f"""
-SELECT split, feature, bucket, round(lo + (hi - lo) / CAST(10 AS DOUBLE) * bucket, {digits}) AS low,
-       round(lo + (hi - lo) / CAST(10 AS DOUBLE) * (bucket + 1), {digits}) AS high, count(*) AS n FROM (
+SELECT split, feature, bucket, round(lo + (hi - lo) / CAST({buckets} AS DOUBLE) * bucket, {digits}) AS low,
+       round(lo + (hi - lo) / CAST({buckets} AS DOUBLE) * (bucket + 1), {digits}) AS high, count(*) AS n FROM (
   SELECT *, CAST(CASE WHEN hi = lo THEN 0
-    ELSE least(floor((v - lo) / (hi - lo) * CAST(10 AS DOUBLE)), 9) END AS INTEGER) AS bucket FROM (
+    ELSE least(floor((v - lo) / (hi - lo) * CAST({buckets} AS DOUBLE)), {buckets - 1}) END AS INTEGER) AS bucket FROM (
     SELECT split, feature, v, min(v) OVER (PARTITION BY {part}) AS lo, max(v) OVER (PARTITION BY {part}) AS hi
     FROM ({_long(rows)})))
 GROUP BY split, feature, bucket, lo, hi"""
 
 
+def _wide_skew(rows: str) -> str:
+    """Two splits' statistics side by side, and the largest difference of their shares of a bucket."""
+    stats = f"(UNPIVOT ({_wide(rows)}) ON {', '.join(profile.STATS)} INTO NAME stat VALUE value)"
+    return f"""
+SELECT feature, stat, a.value AS left_value, b.value AS right_value, a.value - b.value AS difference FROM
+  (SELECT * FROM {stats} WHERE split = 'eval') a FULL JOIN
+  (SELECT * FROM {stats} WHERE split = 'train') b USING (feature, stat)
+UNION ALL
+SELECT feature, 'linf', NULL, NULL, max(abs(a / ta - b / tb)) FROM (
+  SELECT *, sum(a) OVER (PARTITION BY feature) AS ta, sum(b) OVER (PARTITION BY feature) AS tb FROM (
+    SELECT feature, bucket, CAST(coalesce(sum(n) FILTER (WHERE split = 'eval'), 0) AS DOUBLE) AS a,
+           CAST(coalesce(sum(n) FILTER (WHERE split = 'train'), 0) AS DOUBLE) AS b
+    FROM ({_histogram(rows, 6, True)}) GROUP BY feature, bucket))
+GROUP BY feature"""
+
+
 def _top(rows: str, k: int) -> str:
     return f"""
 SELECT split, feature, rank, value, n, n_distinct FROM (
@@ -245,19 +301,11 @@ SELECT split, feature, rule, expected, n_bad, n_rows FROM (
   UNION ALL SELECT l_linestatus, count(*), 'l_linenumber', 'domain', '2..',
     count(*) FILTER (WHERE l_linenumber < 2) FROM lineitem GROUP BY ALL)
 WHERE n_bad > 0"""
-_SKEW = f"""
-SELECT feature, stat, a.value AS left_value, b.value AS right_value, a.value - b.value AS difference FROM
-  (SELECT * FROM (UNPIVOT ({_wide(_VECTOR_ROWS)}) ON {", ".join(profile.STATS)} INTO NAME stat VALUE value)
-   WHERE split = 'eval') a FULL JOIN
-  (SELECT * FROM (UNPIVOT ({_wide(_VECTOR_ROWS)}) ON {", ".join(profile.STATS)} INTO NAME stat VALUE value)
-   WHERE split = 'train') b USING (feature, stat)
-UNION ALL
-SELECT feature, 'linf', NULL, NULL, max(abs(a / ta - b / tb)) FROM (
-  SELECT *, sum(a) OVER (PARTITION BY feature) AS ta, sum(b) OVER (PARTITION BY feature) AS tb FROM (
-    SELECT feature, bucket, CAST(coalesce(sum(n) FILTER (WHERE split = 'eval'), 0) AS DOUBLE) AS a,
-           CAST(coalesce(sum(n) FILTER (WHERE split = 'train'), 0) AS DOUBLE) AS b
-    FROM ({_histogram(_VECTOR_ROWS, 6, True)}) GROUP BY feature, bucket))
-GROUP BY feature"""
+_SKEW = _wide_skew(_VECTOR_ROWS)
+_FAR_ROWS = (
+    "SELECT split, 'image' AS feature, len(embedding) AS size, list_transform(embedding, lambda v: CASE WHEN v > 0 THEN "
+    f"10000000001::DOUBLE ELSE 10000000000::DOUBLE END) AS list FROM ({_V}) UNION ALL SELECT split, 'even', 1, "
+    f"[CASE WHEN label % 2 = 0 THEN 10000000001::DOUBLE ELSE 10000000000::DOUBLE END] FROM ({_V})")
 
 _BYTES = " UNION ALL ".join(
     f"SELECT split, '{c}' AS feature, count(*) AS num_rows, count(*) FILTER (WHERE {c} IS NULL) AS num_missing, "
@@ -281,6 +329,15 @@ _INFINITE = ("SELECT l_returnflag AS split, CASE WHEN l_discount = 0 THEN 'infin
              "'-infinity'::DOUBLE ELSE l_extendedprice END AS x FROM lineitem")
 
 ORACLES = {
+    "stats_large_mean": f"""
+SELECT split, feature, round(avg(v - 10000000000::DOUBLE), 4) AS mean, round(stddev_pop(v - 10000000000::DOUBLE), 6) AS std_dev
+FROM ({_long(_FAR_ROWS)}) GROUP BY split, feature""",
+    "skew_large_mean": f"SELECT feature, stat, round(left_value, 5) AS left_value, round(right_value, 5) AS right_value, "
+                       f"round(difference, 5) AS difference FROM ({_wide_skew(_FAR_ROWS)}) "
+                       "WHERE stat IN ('std_dev', 'median', 'linf')",
+    "histogram_parts": _histogram(f"SELECT * FROM ({_PART_ROWS}) WHERE feature IN ('l_quantity', 'l_discount')", 4, buckets=4),
+    "median_sketch": f"SELECT split, count(*) AS num_values, true AS near FROM ({_long(_VECTOR_ROWS)}) "
+                     "WHERE feature = 'embedding' GROUP BY split",
     "feature_stats_parts": _stats(_PART_ROWS, 4),
     "stats_infinite": f"""
 SELECT split, count(*) AS num_values, round(avg(x) FILTER (WHERE isfinite(x)), 4) AS mean,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from math import prod
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -98,9 +97,9 @@ def infer_schema(df: DataFrame, stats_wide: DataFrame) -> DataFrame:
         F.sum("num_rows").alias("_rows"), F.sum("num_missing").alias("_missing"),
         F.min("min").alias("low"), F.max("max").alias("high"),
         F.min("min_size").alias("_least"), F.max("max_size").alias("_most"))
-    kinds = {f.name: feature_kind(f.dataType) for f in df.schema.fields}
-    kind = reduce(lambda acc, item: F.when(F.col("feature") == item[0], F.lit(item[1])).otherwise(acc),
-                  kinds.items(), F.lit(None).cast("string"))
-    return merged.select(
-        "feature", kind.alias("type"), (F.lit(1.0) - F.col("_missing") / F.col("_rows")).alias("min_fraction"),
+    # a row per column of the table, beside one per feature
+    kinds = df.sparkSession.createDataFrame([(f.name, feature_kind(f.dataType)) for f in df.schema.fields],
+                                            "feature string, type string")
+    return merged.join(kinds, "feature", "left").select(
+        "feature", "type", (F.lit(1.0) - F.col("_missing") / F.col("_rows")).alias("min_fraction"),
         "low", "high", F.when(F.col("_least") == F.col("_most"), F.col("_least")).alias("size"))

@@ -1,10 +1,11 @@
 import random
 from math import ceil
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from maskwright.operators import compare, constraints, profile
+from maskwright.operators import compare, constraints, partials, profile
 from maskwright.sources import schema_text
 
 TEXT = """
@@ -180,3 +181,63 @@ def test_byte_features(spark):
     assert (got[None]["num_rows"], got[None]["n_distinct"]) == (1, 1)
     top = profile.top_values(df.filter("split = 'a'"), ["payload"], 1).first()
     assert top["n"] == 2 and len(top["value"]) == 32
+
+
+@pytest.mark.parametrize("far", [1e8, 1e10, -1e10, 0.0])
+def test_deviation_does_not_depend_on_the_mean(spark, far):
+    rows = [("s", [far + (i + j) % 2 for j in range(i % 7 * 2 + 2)], far + i % 2) for i in range(400)]
+    df = spark.createDataFrame(rows, "split string, x array<double>, y double").repartition(7)
+    got = profile.feature_stats_wide(df, ["x", "y"], median=None).collect()
+    assert len(got) == 2 and all(abs(r["std_dev"] - 0.5) < 1e-6 and abs(r["mean"] - far - 0.5) < 1e-4 for r in got)
+
+
+def test_no_join_below_the_counts_and_blocks_of_ranges(spark, monkeypatch):
+    df = spark.range(4000).select((F.col("id") % 300).cast("string").alias("split"), (F.col("id") * 1.0).alias("x"),
+                                  F.array(F.col("id") * 1.0, F.lit(5.0)).alias("list"))
+    found = profile.histogram(df, ["x", "list"], buckets=3, shared_range=False)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().split("Aggregate")
+    assert len(plan) == 2 and "Join" not in plan[1] and "Generate" not in plan[1]
+    whole = sorted(map(tuple, found.collect()))
+    shared = sorted(map(tuple, profile.histogram(df, ["x"], buckets=3, shared_range=True).collect()))
+    medians = sorted(map(tuple, profile.search_quantiles(df, ["x", "list"], "split", [0.2, 0.5]).collect()))
+    monkeypatch.setattr(profile, "MAX_RANGES", 100)
+    assert sorted(map(tuple, profile.histogram(df, ["x", "list"], buckets=3).collect())) == whole
+    assert sorted(map(tuple, profile.histogram(df, ["x"], buckets=3, shared_range=True).collect())) == shared
+    assert sorted(map(tuple, profile.search_quantiles(df, ["x", "list"], "split", [0.2, 0.5]).collect())) == medians
+    assert sum(r[5] for r in whole) == 12_000 and len(medians) == 1200
+
+
+def test_groups_beyond_a_task_are_passed_on(spark, monkeypatch):
+    df = spark.range(2000).select((F.col("id") % 50).cast("string").alias("split"), F.array(F.col("id") * 1.0).alias("x"))
+    rounded = lambda rows: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows.collect())
+    want = rounded(profile.feature_stats_wide(df, ["x"]))
+    assert len(want) == 50 and {r[2] for r in want} == {40}
+    monkeypatch.setattr("maskwright.operators.partials.MOST_GROUPS", 7)
+    monkeypatch.setattr("maskwright.operators.partials.PIECE", 30)
+    assert rounded(profile.feature_stats_wide(df, ["x"])) == want
+
+
+@pytest.mark.parametrize("n", [1, 4096, 30_000, 400_000])
+def test_sketches_keep_ranks(n):
+    rng = np.random.default_rng(n)
+    values = rng.permutation(n).astype(float)
+    parts = []
+    for some in np.array_split(values, 13):
+        parts.append(partials.Sketch())
+        for few in np.array_split(some, 5):
+            parts[-1].merge([few])
+    whole = partials.Sketch()
+    for part in parts:
+        whole.merge(partials.Sketch.unpacked(*part.packed()))
+    ranks = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
+    assert sum(len(x) << h for h, x in enumerate(whole.levels)) == n and sum(map(len, whole.levels)) < 20_000
+    off = [abs(v - max(ceil(p * n) - 1, 0)) for v, p in zip(whole.quantiles(ranks), ranks)]
+    assert max(off) <= (n / 1000 if n > 4096 else 0)
+
+
+def test_schema_of_thousands_of_columns(spark):
+    names = [f"c{i}" for i in range(3000)]
+    df = spark.range(3).select(*[F.lit(1.0 if i % 2 else "x").alias(n) for i, n in enumerate(names)])
+    stats = profile.feature_stats_wide(df.select(F.lit("a").alias("split"), *names[:9]), names[1:9:2])
+    got = {r["feature"]: r["type"] for r in constraints.infer_schema(df, stats).collect()}
+    assert got == {n: "FLOAT" for n in names[1:9:2]}
