@@ -68,10 +68,12 @@ class Writer:
         self.docs.append(docs)
         self.held.append(ids)
         self.size += len(ids)
-        while self.size >= CHUNK:
+        if self.size >= CHUNK:
             ids = np.concatenate(self.held)
-            self._chunk(ids[:CHUNK])
-            self.held, self.size = [ids[CHUNK:]], self.size - CHUNK
+            whole = self.size - self.size % CHUNK
+            for at in range(0, whole, CHUNK):
+                self._chunk(ids[at:at + CHUNK])
+            self.held, self.size = [ids[whole:]], self.size - whole
 
     def _chunk(self, ids: np.ndarray) -> None:
         planes = to_planes(ids, self.unit)

@@ -2,7 +2,8 @@
 
 Text comes as words that repeat, and these tokenizers never merge across the gap between two words, so each distinct
 piece is encoded once per Python worker and looked up from then on. A text is cut only where the tokenizer itself
-always cuts; the ids are those of the whole text.
+always cuts; the ids are those of the whole text by the library, which reads the string of a special token in a text
+as that token.
 """
 
 from __future__ import annotations
@@ -59,7 +60,9 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        special = self.tokenizer.get_added_tokens_decoder().values()
+        # strings that could reach over a cut; the library finds all others within their piece
+        self.wide = [t.content for t in special if t.rstrip or re.search(r"\s", t.content)]
         self.cut = keep_gaps if gaps else drop_gaps
         self.gaps = gaps
         # ids that begin with a space, which byte-level tokenizers write as this letter
@@ -142,6 +145,8 @@ class Encoder:
         numbers, count = [], [0]
         for text in texts:
             pieces = self.cut(text) if text else []
+            if text and any(w.lower() in text.lower() for w in self.wide):
+                pieces = [(text,)]
             numbers.append(np.fromiter(map(number, pieces), np.int64, len(pieces)))
             count.append(len(pieces))
         if self.pieces.new:

@@ -3,6 +3,7 @@
 import io
 import zlib
 from collections import defaultdict
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -10,13 +11,16 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
+from tokenizers import AddedToken, Tokenizer
+
 from maskwright.llm import bitplanes, packing
 from maskwright.llm.catalog import tokenizer
 from maskwright.llm.tokens import Encoder, with_end
 from maskwright.session import scratch_path
 
 ODD = ["  lead", "trail  ", "a  b", "a\tb c\t d", "x  y z", "\n\n\nq\r\nw", "a\x1c b\x1cc d", "", " ", "a \n b\n", "\n",
-       "I'll don't 's 's", "<|endoftext|> a <|startoftext|>b", "ΣΑΣ ΟΔΟΣ, ΑΣ.", "é e ́x", "日本語 テスト  123 4567 !!",
+       "I'll don't 's 's", "<|endoftext|> a <|startoftext|>b", "x <|endoftext|> y", "x  <|endoftext|>\n\n y<|startoftext|><|endoftext|>",
+       "<|endoftext|>", " <|ENDOFTEXT|> <|endoftext|", "a<|endoftext|>  b <|endoftext|>\n", "ΣΑΣ ΟΔΟΣ, ΑΣ.", "é e ́x", "日本語 テスト  123 4567 !!",
        "　全角　 space", None, "word " * 3000, "x" * 5000, "ALL\nCAPS and  ’quotes’ "]
 
 
@@ -25,8 +29,14 @@ def encoder(request):
     return Encoder(tokenizer(request.param[0])(), request.param[1])
 
 
+@cache
+def library(gaps):
+    return Tokenizer.from_file(tokenizer("byte_bpe_50k.json" if gaps else "word_bpe_49k.json")())
+
+
 def whole(encoder, texts):
-    return [e.ids for e in encoder.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    """Ids of whole texts by the library alone, from the file."""
+    return [e.ids for e in library(encoder.gaps).encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
 def test_odd_texts(encoder):
@@ -37,6 +47,16 @@ def test_odd_texts(encoder):
     assert ids[starts[1:] - 1].tolist() == [7] * len(ODD)
 
 
+def test_special_tokens_that_reach_over_cuts(tmp_path):
+    fresh = Tokenizer.from_file(tokenizer("byte_bpe_50k.json")())
+    fresh.add_special_tokens([AddedToken("<a b>"), AddedToken("<r>", rstrip=True), AddedToken("<l>", lstrip=True)])
+    fresh.save(str(tmp_path / "more.json"))
+    texts = ["x <a b> y", "x <r>   y z", "x   <l> y", "x <l>  <r>\n<a b>", "plain words"]
+    ids, starts = Encoder(str(tmp_path / "more.json"), True).encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])] == [
+        fresh.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_forgetting(encoder, monkeypatch):
     monkeypatch.setattr("maskwright.llm.tokens.MOST_PIECES", 40)
     for turn in range(30):
@@ -47,7 +67,8 @@ def test_forgetting(encoder, monkeypatch):
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.text(alphabet=st.sampled_from(" \n\t\r\x1c  abcXYZ'.,!?é ́Σ字12"), max_size=40), max_size=5))
+@given(st.lists(st.lists(st.sampled_from([*" \n\t\r\x1c  abcXYZ'.,!?é ́Σ字12", "<|endoftext|>", "<|startoftext|>"]),
+                         max_size=40).map("".join), max_size=5))
 def test_any_text(encoder, texts):
     ids, starts = encoder.encode(texts)
     assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])] == whole(encoder, texts)
