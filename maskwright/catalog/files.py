@@ -71,7 +71,7 @@ _WRITTEN: dict[tuple[str, str, str], str] = {}
 def _records(spark: SparkSession, folder: str, encoding: str = "numeric") -> str:
     """The embeddings as record shards, written once per session."""
     key = (spark.sparkContext.applicationId, folder, encoding)
-    if key not in _WRITTEN:
+    if key not in _WRITTEN or not tfrecord.has_manifest(_WRITTEN[key]):
         path = scratch_path(spark, "records")
         rows = ordering.exact_split(images(spark, folder), ["vec_id"], 0.2, SEED)
         if encoding == "tensor":
@@ -168,6 +168,17 @@ def shard_filter(spark: SparkSession, folder: str) -> DataFrame:
     return rows.filter((F.col("split") == "train") & F.col("shard").isin(1, 3)).select("vec_id", "shard", "record")
 
 
+def shard_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """What the manifest says of each shard, beside what its records say."""
+    path = _records(spark, folder)
+    held = spark.read.parquet(f"{path}/{tfrecord.MANIFEST}").select(
+        F.regexp_extract("name", "^(.*)-[0-9]+-[0-9]+", 1).alias("split"),
+        F.regexp_extract("name", "-([0-9]+)-[0-9]+", 1).cast("int").alias("shard"), "records", (F.col("bytes") > 0).alias("filled"))
+    read = tfrecord.read_records(spark, path, "vec_id bigint, split string, shard int")
+    found = read.groupBy("split", "shard").agg(F.count(F.lit(1)).alias("found"), F.sum("vec_id").alias("ids"))
+    return held.join(found, ["split", "shard"], "full_outer")
+
+
 def sample_check(spark: SparkSession, folder: str) -> DataFrame:
     """What was written against what is read back: rows of either side without a partner, and sizes."""
     written = ordering.exact_split(images(spark, folder), ["vec_id"], 0.2, SEED).select(
@@ -262,7 +273,7 @@ def path_functions(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     image_scan, payload_scan, payload_shapes, tfrecord_roundtrip, tensor_roundtrip, split_read, fixed_read,
     absent_features, split_import, first_shard, shard_filter,
-    sample_check, placeholder_replace, app_tree, base64_urlsafe, request_build, response_parse, config_parse,
+    shard_manifest, sample_check, placeholder_replace, app_tree, base64_urlsafe, request_build, response_parse, config_parse,
     palette_scan, path_functions)}
 
 _RANKED = (f"SELECT vec_id, row_number() OVER (ORDER BY {sql_hash('vec_id')}, vec_id) - 1 AS r, "
@@ -304,6 +315,9 @@ SELECT side, split, 'label' AS feature, 'missing' AS rule, n_bad, n_rows FROM (
     "split_import": _PLACED,
     "first_shard": f"SELECT * FROM ({_PLACED}) WHERE shard = 0",
     "shard_filter": f"SELECT vec_id, shard, record FROM ({_PLACED}) WHERE split = 'train' AND shard IN (1, 3)",
+    "shard_manifest": f"""
+SELECT CASE split WHEN 'eval' THEN 'val' ELSE split END AS split, shard, count(*) AS records, true AS filled,
+  count(*) AS found, CAST(sum(vec_id) AS BIGINT) AS ids FROM ({_PLACED}) GROUP BY ALL""",
     "sample_check": f"SELECT CASE split WHEN 'eval' THEN 'val' ELSE split END AS split, count(*) AS n, 64 AS least, "
                     f"64 AS most, CAST(0 AS BIGINT) AS wrong FROM ({_PLACED}) GROUP BY ALL",
     "placeholder_replace": f"""

@@ -8,16 +8,24 @@ and ``shard`` drop files before they are opened.
 Writing: rows must carry ``split``, ``shard``, ``shard_size`` and lie together per shard, as
 ``ordering.shard_layout`` places them. Each shard becomes one file ``train-00-32.tfrec``. A folder is written
 once: one that holds shards is refused, and a job that fails takes its shards away again.
+
+A folder counts as written when its manifest is there: a Parquet file of shard names with their records, bytes and
+checksums, which the job leaves as its last act. Readers take the shards from it and list nothing, so a folder whose
+job was lost half-way is refused, and so is a shard that is missing, too short or another one's. Folders that come
+from elsewhere, without a manifest, are read with ``option("manifest", "ignore")``, as their files are listed.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from fnmatch import fnmatchcase
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyarrow.fs import FileType
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import (
@@ -37,18 +45,69 @@ DEFAULT_SCHEMA = ("split string, shard int, image array<float>, image_shape arra
 PLACE = ("split", "shard", "record")
 LAYOUT = ("split", "shard", "shard_size", "position")
 BATCH_BYTES = 32 << 20
+MANIFEST = "_manifest/shards.parquet"
 _NUMBERS = {"array<float>": "<f4", "array<double>": "<f8", "array<int>": "<i4", "array<bigint>": "<i8"}
 
 
+@dataclass
+class Shard:
+    """A file as its manifest has it; records, bytes and checksum are unknown for a file without one."""
+
+    name: str
+    records: int | None = None
+    bytes: int | None = None
+    crc32: int | None = None
+
+
 @dataclass
 class ShardGroup(InputPartition):
-    files: list[str]
+    files: list[tuple[str, Shard]]
 
 
 @dataclass
 class ShardsWritten(WriterCommitMessage):
-    names: list[str]
-    records: int
+    shards: list[Shard]
+
+
+class _Counted:
+    """A stream that keeps the length and the checksum of what goes through it."""
+
+    def __init__(self, stream) -> None:
+        self.stream, self.bytes, self.crc32 = stream, 0, 0
+
+    def _seen(self, data: bytes) -> bytes:
+        self.bytes += len(data)
+        self.crc32 = zlib.crc32(data, self.crc32)
+        return data
+
+    def read(self, n: int = -1) -> bytes:
+        return self._seen(self.stream.read(n) if n >= 0 else self.stream.read())
+
+    def write(self, data: bytes) -> None:
+        self.stream.write(self._seen(data))
+
+
+def read_manifest(folder: str) -> list[Shard]:
+    """The shards of a finished folder, by name; a folder without a manifest is an error."""
+    if not has_manifest(folder):
+        raise ValueError(f"{folder} has no manifest: its job has not finished, or is not one of this library's "
+                         "(then read it with the option manifest=ignore)")
+    system, inner = open_path(folder)
+    with system.open_input_file(f"{inner.rstrip('/')}/{MANIFEST}") as file:
+        return [Shard(**row) for row in pq.read_table(file).to_pylist()]
+
+
+def has_manifest(folder: str) -> bool:
+    system, inner = open_path(folder)
+    return system.get_file_info(f"{inner.rstrip('/')}/{MANIFEST}").type == FileType.File
+
+
+def write_manifest(folder: str, shards: list[Shard]) -> None:
+    rows = sorted(shards, key=lambda s: s.name)
+    table = pa.table({"name": pa.array([s.name for s in rows], pa.string()),
+                      **{c: pa.array([getattr(s, c) for s in rows], pa.int64()) for c in ("records", "bytes", "crc32")}})
+    with replacing(folder, MANIFEST) as stream:
+        pq.write_table(table, stream)
 
 
 class RecordReader(DataSourceReader):
@@ -58,6 +117,7 @@ class RecordReader(DataSourceReader):
         self.strict = options.get("encoding", "numeric") == "tensor"
         self.verify = options.get("verify", "true").lower() != "false"
         self.pack = int(options.get("maxPartitionBytes", 32 << 20))
+        self.manifest = options.get("manifest", "require").lower() != "ignore"
         self.keep: dict[str, set] = {}
 
     def pushFilters(self, filters):
@@ -73,24 +133,46 @@ class RecordReader(DataSourceReader):
         match = re.search(SHARD_PATTERN, path)
         return {"split": match[1], "shard": int(match[2])} if match else {"split": None, "shard": None}
 
+    def _shards(self) -> list[tuple[str, Shard, int]]:
+        """Path, manifest entry and size of the folder's shards, or of those that match the pattern in the last part."""
+        if not self.manifest:
+            return [(path, Shard(path.rpartition("/")[2]), size) for path, size in list_files(self.path)]
+        folder, _, pattern = self.path.rstrip("/").rpartition("/")
+        if not any(c in pattern for c in "*?[") and not pattern.endswith(".tfrec"):
+            folder, pattern = self.path.rstrip("/"), "*"
+        return [(f"{folder}/{s.name}", s, s.bytes) for s in read_manifest(folder) if fnmatchcase(s.name, pattern)]
+
     def partitions(self) -> Sequence[InputPartition]:
-        found = list_files(self.path)
-        if not found and any(c in self.path.rpartition("/")[2] for c in "*?["):
+        found = self._shards()
+        if not found and (any(c in self.path.rpartition("/")[2] for c in "*?[") or self.path.endswith(".tfrec")):
             raise ValueError(f"no file matches {self.path}")
-        kept = [(path, size) for path, size in found
+        kept = [((path, shard), size) for path, shard, size in found
                 if all(self._place(path)[c] in values for c, values in self.keep.items())]
         return [ShardGroup(files) for files in pack(kept, self.pack)] or [ShardGroup([])]
 
-    def _rows(self, files: list[str]) -> Iterator[dict[str, object]]:
+    def _rows(self, files: list[tuple[str, Shard]]) -> Iterator[dict[str, object]]:
         names = [f.name for f in self.schema if f.name not in PLACE]
         tensors = {n.removesuffix("_shape") for n in names}
-        for path in files:
+        for path, shard in files:
             place = self._place(path)
             system, inner = open_path(path)
-            with system.open_input_stream(inner) as stream:
+            if shard.bytes is not None:
+                info = system.get_file_info(inner)
+                if info.type != FileType.File:
+                    raise ValueError(f"{path}: this shard of the manifest is missing")
+                if info.size != shard.bytes:
+                    raise ValueError(f"{path}: {info.size} bytes, {shard.bytes} by the manifest")
+            count = 0
+            with system.open_input_stream(inner) as file:
+                stream = _Counted(file) if self.verify else file
                 for record, message in enumerate(fmt.read_frames(stream, self.verify)):
                     found = fmt.decode_example(message, tensors | set(names))
+                    count += 1
                     yield {**place, "record": record, **{n: self._value(found, n, path) for n in names}}
+            if shard.records is not None and count != shard.records:
+                raise ValueError(f"{path}: {count} records, {shard.records} by the manifest")
+            if shard.crc32 is not None and self.verify and stream.crc32 != shard.crc32:
+                raise ValueError(f"{path}: not the file of the manifest, by its checksum")
 
     def _value(self, found: dict[str, object], name: str, path: str):
         kind = self.schema[name].dataType.simpleString()
@@ -142,7 +224,7 @@ class RecordWriter(DataSourceArrowWriter):
             raise ValueError(f"record shards need the columns {', '.join(missing)}: use shard_layout")
         self.features = [n for n in names if n not in LAYOUT]
         system, inner = open_path(self.path)
-        if system.get_file_info(inner).type == FileType.Directory and list_files(f"{self.path.rstrip('/')}/*.tfrec"):
+        if has_manifest(self.path) or system.get_file_info(inner).type == FileType.Directory and list_files(f"{self.path.rstrip('/')}/*.tfrec"):
             raise ValueError(f"{self.path} holds record shards already: write to a new folder")
 
     def _example(self, columns: dict[str, pa.Array], row: int) -> bytes:
@@ -166,8 +248,7 @@ class RecordWriter(DataSourceArrowWriter):
         return fmt.encode_example(values)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
-        done: dict[tuple[str, int], str] = {}
-        records = 0
+        done: dict[tuple[str, int], Shard] = {}
 
         def messages():
             for batch in iterator:
@@ -182,7 +263,8 @@ class RecordWriter(DataSourceArrowWriter):
                 raise ValueError(f"rows of shard {split}-{shard} do not lie together: use shard_layout")
             name = f"{split}-{shard:02d}-{size}.tfrec"
             count, item, waiting, held = 0, first, [], 0
-            with replacing(self.path, name) as stream:
+            with replacing(self.path, name) as file:
+                stream = _Counted(file)
                 while item is not None and item[0] == key:
                     waiting.append(self._example(item[1], item[2]))
                     held += len(waiting[-1])
@@ -193,19 +275,18 @@ class RecordWriter(DataSourceArrowWriter):
                 stream.write(fmt.frame(waiting))
                 if count != size:
                     raise ValueError(f"shard {split}-{shard} holds {count} records, not {size}")
-            done[split, shard] = name
-            return item, count
+            done[split, shard] = Shard(name, count, stream.bytes, stream.crc32)
+            return item
 
         rest = messages()
         try:
             item = next(rest, None)
             while item is not None:
-                item, count = write_shard(item[0], item, rest)
-                records += count
+                item = write_shard(item[0], item, rest)
         except BaseException:
-            self._remove(done.values())  # an attempt that follows writes them again
+            self._remove(s.name for s in done.values())  # an attempt that follows writes them again
             raise
-        return ShardsWritten(list(done.values()), records)
+        return ShardsWritten(list(done.values()))
 
     def _remove(self, names) -> None:
         system, inner = open_path(self.path)
@@ -213,11 +294,10 @@ class RecordWriter(DataSourceArrowWriter):
             system.delete_file(f"{inner.rstrip('/')}/{name}")
 
     def abort(self, messages) -> None:
-        self._remove(name for message in messages if message is not None for name in message.names)
+        self._remove(s.name for message in messages if message is not None for s in message.shards)
 
     def commit(self, messages) -> None:
-        with replacing(self.path, "_SUCCESS") as stream:
-            stream.write(b"")
+        write_manifest(self.path, [s for message in messages if message is not None for s in message.shards])
 
 
 class RecordSource(DataSource):
@@ -264,10 +344,14 @@ def write_records(df: DataFrame, path: str, keys: Sequence[str], size: int = 32,
 
 
 def read_records(spark: SparkSession, path: str, schema: str | StructType | None = None,
-                 encoding: str = "numeric", verify: bool = True) -> DataFrame:
-    """Shards of a folder or name pattern. In ``tensor`` encoding a missing feature is an error."""
+                 encoding: str = "numeric", verify: bool = True, manifest: str = "require") -> DataFrame:
+    """Shards of a folder or name pattern. In ``tensor`` encoding a missing feature is an error.
+
+    ``manifest="ignore"`` reads the files of a folder that has none.
+    """
     register(spark)
-    reader = spark.read.format("tfrecord").option("encoding", encoding).option("verify", str(verify))
+    reader = spark.read.format("tfrecord").option("encoding", encoding).option("verify", str(verify)).option(
+        "manifest", manifest)
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 

@@ -222,6 +222,59 @@ def test_a_failed_job_leaves_no_shard(spark, tmp_path):
     assert [p for p in path.iterdir() if p.suffix == ".tfrec"] == []
 
 
+def test_an_unfinished_or_thinned_folder_is_refused(spark, tmp_path):
+    path = tmp_path / "shards"
+    tfrecord.write_records(_plain(spark, 20), str(path), ["id"], 4, keep_keys=True)
+    read = lambda folder, **more: tfrecord.read_records(spark, str(folder), "id bigint", **more).agg(F.sum("id")).first()[0]
+    assert read(path) == 190 and read(path / "train-0*") == 190 and read(path / "train-00-4.tfrec") < 190
+
+    def copy(name, without=(), swap=()):
+        folder = tmp_path / name
+        folder.mkdir()
+        for file in path.rglob("*.*"):
+            inner = str(file.relative_to(path))
+            if file.is_file() and inner not in without:
+                target = folder / dict(zip(swap, reversed(swap))).get(inner, inner)
+                target.parent.mkdir(exist_ok=True)
+                target.write_bytes(file.read_bytes())
+        return folder
+
+    for folder, why in ((copy("unfinished", [tfrecord.MANIFEST, "train-03-4.tfrec"]), "no manifest"),
+                        (copy("thinned", ["train-03-4.tfrec"]), "is missing"),
+                        (copy("mixed", swap=["train-01-4.tfrec", "train-02-4.tfrec"]), "by its checksum")):
+        with pytest.raises(Exception, match=why):
+            read(folder)
+        with pytest.raises(Exception, match="holds record shards already"):
+            tfrecord.write_records(_plain(spark, 4), str(folder), ["id"], 4, keep_keys=True)
+    short = copy("short")
+    (short / "train-01-4.tfrec").write_bytes((path / "train-01-4.tfrec").read_bytes()[:-20])
+    with pytest.raises(Exception, match="bytes, .* by the manifest"):
+        read(short, verify=False)
+    # other tools' folders have none
+    assert read(tmp_path / "unfinished", manifest="ignore") < 190
+    assert [s.records for s in tfrecord.read_manifest(str(path))] == [4] * 5
+
+
+def test_the_manifest_is_the_last_file_of_a_job(spark, tmp_path):
+    """A task that fails once leaves the same shards; until the job ends the folder cannot be read."""
+    path, marks = tmp_path / "shards", tmp_path / "marks"
+    marks.mkdir()
+    placed = _plain(spark, 40).select("split", (F.col("id") / 4).cast("int").alias("shard"), F.lit(4).alias("shard_size"),
+                                      "image")
+
+    def look(batches):
+        import os
+        for batch in batches:
+            open(f"{marks}/{os.path.exists(f'{path}/{tfrecord.MANIFEST}')}", "w").close()
+            yield batch
+
+    tfrecord.register(spark)
+    watched = placed.repartition(1).sortWithinPartitions("shard").mapInArrow(look, placed.schema)
+    watched.write.format("tfrecord").mode("append").save(str(path))
+    assert [p.name for p in marks.iterdir()] == ["False"] and (path / tfrecord.MANIFEST).exists()
+    assert tfrecord.read_records(spark, str(path), "image array<float>").count() == 40
+
+
 def test_a_pattern_without_files_is_an_error(spark, tmp_path):
     path = str(tmp_path / "shards")
     tfrecord.write_records(_plain(spark, 5), path, ["id"], 4, keep_keys=True)
