@@ -9,6 +9,7 @@ from maskwright.catalog.views import (
     ARGMAX, PIXELS, SEED, TRIMAP, images, masks, sql_hash, table)
 from maskwright.functions import arrays, base64url, names
 from maskwright.operators import constraints, filetree, ordering, requests
+from maskwright.plans import records_run
 from maskwright.session import scratch_path
 from maskwright.sources import files as tree
 from maskwright.sources import images as image_files
@@ -28,8 +29,8 @@ def _parts(pairs: DataFrame, *keep: str) -> DataFrame:
         "v", F.col("v").cast("int"))
 
 
-def image_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Embeddings written as image and mask files, listed, decoded and paired by file stem."""
+def _image_files(spark: SparkSession, folder: str) -> str:
+    """The embeddings as image and mask files."""
     root = scratch_path(spark, "images")
     name = F.format_string("%06d.png", F.col("vec_id"))
     rows = images(spark, folder)
@@ -38,9 +39,26 @@ def image_scan(spark: SparkSession, folder: str) -> DataFrame:
     trimaps = rows.select(F.concat(F.lit("masks/"), name).alias("path"),
                           as_png(F.col("label").cast("array<int>"), 8, 8).alias("content"))
     tree.write_tree(pictures.unionByName(trimaps), root)
+    return root
+
+
+def image_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Image and mask files, listed, decoded and paired by file stem."""
+    root = _image_files(spark, folder)
     return _parts(image_files.load_pairs(spark, f"{root}/images", f"{root}/masks", ".png", ".png"))
 
 
+def image_records(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole run: image and mask files to record shards, and what these hold."""
+    root, out = _image_files(spark, folder), scratch_path(spark, "records")
+    records_run.images_to_records(spark, f"{root}/images", f"{root}/masks", out, 0.2, 32, seed=SEED, image_suffix=".png")
+    weight = lambda values: F.aggregate(F.zip_with(values, F.sequence(F.lit(1), F.size(values)), lambda v, i: v.cast("bigint") * i),
+                                        F.lit(0).cast("bigint"), lambda a, b: a + b)
+    rows = tfrecord.read_records(spark, out, "split string, shard int, record int, " + tfrecord.DEFAULT_SCHEMA.split(", ", 2)[2])
+    return rows.select("split", "shard", "record", weight(F.col("image")).alias("image"), weight(F.col("label")).alias("label"),
+                       F.size("image").alias("cells"))
+
+
 def _payloads(spark: SparkSession, folder: str) -> DataFrame:
     name = F.concat(F.lit("rows/"), F.col("vec_id").cast("string"), F.lit(".raw"))
     return images(spark, folder).select(
@@ -271,7 +289,7 @@ def path_functions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    image_scan, payload_scan, payload_shapes, tfrecord_roundtrip, tensor_roundtrip, split_read, fixed_read,
+    image_scan, image_records, payload_scan, payload_shapes, tfrecord_roundtrip, tensor_roundtrip, split_read, fixed_read,
     absent_features, split_import, first_shard, shard_filter,
     shard_manifest, sample_check, placeholder_replace, app_tree, base64_urlsafe, request_build, response_parse, config_parse,
     palette_scan, path_functions)}
@@ -301,6 +319,15 @@ _CODED = "translate(to_base64({0}), '+/', '-_')"
 
 ORACLES = {
     "image_scan": _PARTS.format(""),
+    "image_records": f"""
+SELECT CASE WHEN r >= cut THEN 'val' ELSE 'train' END AS split,
+  CAST((CASE WHEN r >= cut THEN r - cut ELSE r END) // 32 AS INTEGER) AS shard,
+  CAST((CASE WHEN r >= cut THEN r - cut ELSE r END) % 32 AS INTEGER) AS record, image, label, 192 AS cells
+FROM (SELECT vec_id, row_number() OVER (ORDER BY h, vec_id) - 1 AS r, count(*) OVER () - CAST(floor(count(*) OVER () *
+    CAST(0.2 AS DOUBLE)) AS BIGINT) AS cut FROM (SELECT vec_id, {sql_hash("printf('%06d', vec_id)")} AS h FROM embeddings))
+JOIN (SELECT vec_id, CAST(sum(v * (i + 1)) FILTER (WHERE part = 'image') AS BIGINT) AS image,
+    CAST(sum(v * (i + 1)) FILTER (WHERE part = 'label') AS BIGINT) AS label FROM ({_PARTS.format("")}) GROUP BY vec_id)
+  USING (vec_id)""",
     "payload_scan": _PARTS.format(""),
     "payload_shapes": _PARTS.format("CASE WHEN vec_id % 2 = 0 THEN '8x8x3' ELSE '4x16x3' END AS image_shape, "
                                     "CASE WHEN vec_id % 2 = 0 THEN '8x8' ELSE '4x16' END AS label_shape, "),

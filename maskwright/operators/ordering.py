@@ -22,6 +22,7 @@ from maskwright.session import materialise
 PREFIX = 3  # hex digits looked at per pass of the cut search: 4,096 counts
 HASH_DIGITS = 32
 TASK_BYTES = 256 << 20  # of records that one task ranks and writes, where their size is known
+MAX_BOUNDS = 1 << 19  # rows of bounds between tasks that go to every task, so that wide rows need not be joined
 PLAN_BLOCK = 1 << 16  # shard numbers made in one row
 SPLITS = ("train", "val")
 
@@ -225,7 +226,7 @@ def shard_plan(df: DataFrame, keys: Sequence[str], size: int, seed: int) -> Data
 
 def shard_layout(df: DataFrame, keys: Sequence[str], size: int, seed: int, by: str = "split",
                  shards_per_task: int = 16, keep: Sequence[str] = (), index: DataFrame | None = None,
-                 row_bytes: int | None = None) -> DataFrame:
+                 row_bytes: int | None = None, halves: Sequence[str] = ()) -> DataFrame:
     """Rows placed for a shard writer: add ``shard``, ``shard_size`` and ``position`` in the shard.
 
     Rows come out partitioned by ``_task`` (name it in ``keep`` to go on grouping without a shuffle).
@@ -236,7 +237,14 @@ def shard_layout(df: DataFrame, keys: Sequence[str], size: int, seed: int, by: s
     shuffle partitions. A group holds ``size * shards_per_task`` records; with ``row_bytes``, the size of a record, as
     many whole shards as make 256 MB instead. There may be any number of splits. An ``index`` with ``by`` and the keys
     of the same rows spares the narrow passes a costly ``df``.
+
+    ``df`` may hold its rows in parts, each with some of the columns ``halves`` and null in the others: parts of one key
+    go to the same task and become one row there, so that pairing wide rows costs no exchange of its own. Such input
+    needs an ``index``, with each row once; a key whose parts leave one of ``halves`` null gives no row, and must not
+    be in the index.
     """
+    if halves and index is None:
+        raise ValueError("rows in parts need an index")
     if row_bytes is not None:
         shards_per_task = max(1, TASK_BYTES // (size * row_bytes))
     step = size * shards_per_task
@@ -244,7 +252,7 @@ def shard_layout(df: DataFrame, keys: Sequence[str], size: int, seed: int, by: s
     known = F.when(F.col(by).isNull(), F.raise_error(F.lit(f"null in {by}")).cast("bigint")).otherwise(
         F.ceil(F.col("n") / F.lit(step)))
     sizes = source.groupBy(by).agg(F.count(F.lit(1)).alias("n")).withColumn("_tasks", known)
-    tasks = sizes.agg(F.sum("_tasks")).first()[0] or 0
+    tasks, splits = sizes.agg(F.coalesce(F.sum("_tasks"), F.lit(0)), F.count(F.lit(1))).first()
     earlier = Window.orderBy(by).rowsBetween(Window.unboundedPreceding, -1)  # one row per split
     first_task = sizes.select(by, F.coalesce(F.sum("_tasks").over(earlier), F.lit(0)).alias("_first_task"))
     hashed = _hashed(df, keys, seed)
@@ -262,11 +270,18 @@ def shard_layout(df: DataFrame, keys: Sequence[str], size: int, seed: int, by: s
     )
     bounds = table.join(cuts, [by, "_bucket"], "left").join(first_task, by).select(
         by, "_bucket", "_base", "_total", "_first_task", F.coalesce("_cuts", F.array()).alias("_cuts"))
+    # a row per bucket and split, a cut per task; larger tables are joined like any other
+    small = splits * 16 ** bucket_digits(df.sparkSession) + tasks <= MAX_BOUNDS
+    bounds = F.broadcast(bounds) if small else bounds
     here = F.struct("_h", *keys)
     group = F.col("_base") - 1 + F.size(F.filter("_cuts", lambda cut: cut <= here))
     placed = hashed.join(bounds, [by, "_bucket"], "left").withColumn("_group", group)
     placed = placed.withColumn("_task", (F.col("_first_task") + F.col("_group")).cast("int")).repartitionById(
         max(1, tasks), "_task")
+    if halves:
+        rest = [c for c in placed.columns if c not in ("_task", "_h", *keys, *halves)]
+        whole = placed.groupBy("_task", "_h", *keys, *rest).agg(*[F.first(c, ignorenulls=True).alias(c) for c in halves])
+        placed = whole.dropna("any", subset=list(halves))
     order = Window.partitionBy("_task").orderBy("_h", *keys)
     rank = F.col("_group") * F.lit(step) + _next_place(order, *keys)
     shard = F.floor(F.col("_rank") / F.lit(size)).cast("int")

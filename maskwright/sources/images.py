@@ -69,6 +69,16 @@ def load_pairs(spark: SparkSession, image_folder: str, mask_folder: str, image_s
         shape_of(F.col("mask.height"), F.col("mask.width")).alias(LABEL_SHAPE))
 
 
+def load_sides(spark: SparkSession, image_folder: str, mask_folder: str, image_suffix: str = ".jpg",
+               mask_suffix: str = ".png") -> DataFrame:
+    """Images and masks as rows of their own, with null in the other's columns: for a layout that joins them by key."""
+    images = scan_images(spark, image_folder, image_suffix).select(
+        "key", to_rgb(F.col("image")).alias(IMAGE), shape_of(F.col("image.height"), F.col("image.width"), 3).alias(IMAGE_SHAPE))
+    masks = scan_images(spark, mask_folder, mask_suffix).select(
+        "key", to_grey(F.col("image")).alias(LABEL), shape_of(F.col("image.height"), F.col("image.width")).alias(LABEL_SHAPE))
+    return images.unionByName(masks, allowMissingColumns=True)
+
+
 def scan_payloads(spark: SparkSession, path: str, image: str = "pixel_values", label: str = "label",
                   shape: tuple[int, int] | str | None = None) -> DataFrame:
     """A parquet image table with ``struct<bytes,path>`` columns of raw 8-bit pixels.

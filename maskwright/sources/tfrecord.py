@@ -331,13 +331,14 @@ def example_columns(df: DataFrame) -> DataFrame:
 
 def write_records(df: DataFrame, path: str, keys: Sequence[str], size: int = 32, seed: int = 2022,
                   encoding: str = "numeric", keep_keys: bool = False, index: DataFrame | None = None,
-                  row_bytes: int | None = None) -> None:
+                  row_bytes: int | None = None, halves: Sequence[str] = ()) -> None:
     """Write the rows of ``df`` (with a ``split`` column) as shards of ``size`` records into a new folder.
 
-    ``index``, ``row_bytes``: see ``shard_layout``.
+    ``index``, ``row_bytes``, ``halves``: see ``shard_layout``.
     """
     register(df.sparkSession)
-    placed = shard_layout(example_columns(df), keys, size, seed, index=index, row_bytes=row_bytes)
+    placed = shard_layout(example_columns(df), keys, size, seed, index=index, row_bytes=row_bytes,
+                          halves=halves)
     if not keep_keys:
         placed = placed.drop(*[k for k in keys if k not in LAYOUT])
     placed.write.format("tfrecord").mode("append").option("encoding", encoding).save(path)

@@ -10,7 +10,7 @@ from maskwright.operators import gate, ordering, registry, requests, scoring, te
 from maskwright.catalog.png import png_bytes
 from maskwright.plans import dataset_run, publish_run, records_run
 from maskwright.session import scratch_path
-from maskwright.sources import tables, tfrecord
+from maskwright.sources import images, tables, tfrecord
 from maskwright.streaming.score import read_stream, score_stream
 
 
@@ -289,8 +289,8 @@ def test_images_to_records(spark, tmp_path, encoding):
     for target in (out, str(tmp_path / "again")):  # the same input gives the same shards
         records_run.images_to_records(spark, str(tmp_path / "i"), str(tmp_path / "m"), target, 0.25, 8, 2, 1, encoding,
                                       image_suffix=".png", strict=False)
-    assert {p.name: p.read_bytes() for p in (tmp_path / "out").iterdir()} == {
-        p.name: p.read_bytes() for p in (tmp_path / "again").iterdir()}
+    held = lambda name: {p.name: p.read_bytes() for p in (tmp_path / name).rglob("*") if p.is_file()}
+    assert held("out") == held("again")
     assert sorted(p.name for p in (tmp_path / "out").glob("*.tfrec")) == [
         "train-00-8.tfrec", "train-01-8.tfrec", "train-02-2.tfrec", "val-00-6.tfrec"]
     rows = tfrecord.read_records(spark, out, encoding=encoding).collect()
@@ -298,6 +298,25 @@ def test_images_to_records(spark, tmp_path, encoding):
     assert all(0 <= v <= 2 for r in rows for v in r["label"]) and rows[0]["label_shape"] == [2, 2]
 
 
+def test_pixels_cross_one_exchange(spark, tmp_path):
+    for folder in ("i", "m"):
+        (tmp_path / folder).mkdir()
+        for name in range(6):
+            (tmp_path / folder / f"{name}.png").write_bytes(png_bytes(np.full((2, 2), name + 1)))
+    folders = [str(tmp_path / "i"), str(tmp_path / "m")]
+    index = records_run.list_keys(spark, *folders, ".png", ".png").withColumn("split", F.lit("train"))
+    sides = images.load_sides(spark, *folders, ".png", ".png").withColumn("split", F.lit("train"))
+    halves = ["image", "image_shape", "label", "label_shape"]
+    placed = ordering.shard_layout(sides, ["key"], 4, 1, index=index, halves=halves)
+    above = placed._jdf.queryExecution().executedPlan().toString().split("Union")[0]  # what happens to rows with pixels
+    assert above.count("Exchange") == 1 and "SortMergeJoin" not in above and "BroadcastHashJoin" in above
+    rows = placed.collect()
+    assert sorted((r["shard"], r["position"]) for r in rows) == [(0, 0), (0, 1), (0, 2), (0, 3), (1, 0), (1, 1)]
+    assert all(r["image"] == [float(r["key"]) + 1] * 12 and r["label"] == [float(r["key"]) + 1] * 4 for r in rows)
+    with pytest.raises(ValueError, match="need an index"):
+        ordering.shard_layout(sides, ["key"], 4, 1, halves=halves)
+
+
 def test_payloads_to_records(spark, tmp_path):
     rows = [((bytearray([i] * 12), f"x/{i}.raw"), (bytearray([i % 3] * 4), f"x/{i}.raw")) for i in range(10)]
     spark.createDataFrame(rows, "pixel_values struct<bytes:binary,path:string>, label struct<bytes:binary,path:string>"
