@@ -114,6 +114,16 @@ def topk_lineitem(spark: SparkSession, folder: str) -> DataFrame:
     return profile.top_values(_lines(spark, folder), ["l_partkey", "l_suppkey", "l_linestatus"], 5)
 
 
+def topk_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    """Most frequent values and distinct counts by sketches, judged by exact counts: off by what was stated, at most."""
+    rows, features = _lines(spark, folder), ["l_partkey", "l_suppkey", "l_linestatus"]
+    found = profile.top_values_sketch(rows, features, 5, tracked=3000)
+    exact = profile.top_values(rows, features, 5)
+    same = found.alias("a").join(exact.alias("b"), ["split", "feature", "rank"])
+    return same.select("split", "feature", "rank", (F.abs(F.col("a.n") - F.col("b.n")) <= F.col("n_error")).alias("near"),
+                       (F.abs(F.col("a.n_distinct") / F.col("b.n_distinct") - 1) < 0.03).alias("near_distinct"))
+
+
 def schema_infer(spark: SparkSession, folder: str) -> DataFrame:
     rows = _vectors(spark, folder)
     inferred = constraints.infer_schema(rows, profile.feature_stats_wide(rows, VECTOR_FEATURES, median=None))
@@ -209,7 +219,7 @@ def median_sketch(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    stats_large_mean, skew_large_mean, histogram_parts, median_sketch, feature_stats, feature_stats_lineitem, feature_stats_parts, stats_infinite, histogram_infinite, stats_readback, histogram, histogram_lineitem, quantiles, topk_values,
+    topk_sketch, stats_large_mean, skew_large_mean, histogram_parts, median_sketch, feature_stats, feature_stats_lineitem, feature_stats_parts, stats_infinite, histogram_infinite, stats_readback, histogram, histogram_lineitem, quantiles, topk_values,
     topk_lineitem, schema_infer, schema_anomalies, schema_anomalies_lineitem, schema_rules, split_skew, bytes_stats,
     topk_bytes, inferred_check)}
 
@@ -329,6 +339,9 @@ _INFINITE = ("SELECT l_returnflag AS split, CASE WHEN l_discount = 0 THEN 'infin
              "'-infinity'::DOUBLE ELSE l_extendedprice END AS x FROM lineitem")
 
 ORACLES = {
+    "topk_sketch": "SELECT split, feature, rank, true AS near, true AS near_distinct FROM (" + _top(" UNION ALL ".join(
+        f"SELECT l_returnflag AS split, '{c}' AS feature, CAST({c} AS VARCHAR) AS value FROM lineitem"
+        for c in ("l_partkey", "l_suppkey", "l_linestatus")), 5) + ")",
     "stats_large_mean": f"""
 SELECT split, feature, round(avg(v - 10000000000::DOUBLE), 4) AS mean, round(stddev_pop(v - 10000000000::DOUBLE), 6) AS std_dev
 FROM ({_long(_FAR_ROWS)}) GROUP BY split, feature""",

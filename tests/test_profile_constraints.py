@@ -241,3 +241,25 @@ def test_schema_of_thousands_of_columns(spark):
     stats = profile.feature_stats_wide(df.select(F.lit("a").alias("split"), *names[:9]), names[1:9:2])
     got = {r["feature"]: r["type"] for r in constraints.infer_schema(df, stats).collect()}
     assert got == {n: "FLOAT" for n in names[1:9:2]}
+
+
+def test_sketched_top_values(spark):
+    # one value holds a third of the rows, a hundred values a third, and the others are all different
+    value = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, (F.col("id") % 100).cast("string"))
+    df = spark.range(90_000).select(F.lit("s").alias("split"), F.coalesce(value, F.concat(F.lit("u"), F.col("id"))).alias("x"),
+                                    F.when(F.col("id") % 2 == 0, F.lit("a" * 500)).alias("y"), F.lit(None).cast("string").alias("z"))
+    found = profile.top_values_sketch(df, ["x", "y", "z"], 3, tracked=1000)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and "Join" not in plan and "Window" not in plan
+    rows = {(r["feature"], r["rank"]): r for r in found.collect()}
+    assert set(rows) == {("x", 1), ("x", 2), ("x", 3), ("y", 1)}
+    hot = rows["x", 1]
+    assert hot["value"] == "hot" and abs(hot["n"] - 30_000) <= hot["n_error"] and 0 < hot["n_error"] < 90_000 / 250
+    assert abs(hot["n_distinct"] / 30_101 - 1) < 0.03
+    assert (rows["y", 1]["n"], rows["y", 1]["n_error"], len(rows["y", 1]["value"])) == (45_000, 0, 32)
+    stats = {r["feature"]: r for r in profile.bytes_stats(df, ["x", "z"], distinct=profile.SKETCH).collect()}
+    exact = {r["feature"]: r for r in profile.bytes_stats(df, ["x", "z"]).collect()}
+    assert abs(stats["x"]["n_distinct"] / exact["x"]["n_distinct"] - 1) < 0.03 and stats["z"]["n_distinct"] == 0
+    assert stats["x"]["max_length"] == exact["x"]["max_length"] and stats["x"].asDict().keys() == exact["x"].asDict().keys()
+    with pytest.raises(ValueError):
+        profile.top_values_sketch(df, ["x"], 11, tracked=10)
