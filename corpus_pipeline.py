@@ -8,7 +8,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from maskwright.llm import jaccard, language, packing, tiling
 from maskwright.llm.catalog import as_digests, table, tokenizer
-from maskwright.session import scratch_path
+from maskwright.session import materialise, scratch_path
+
+
+def _free_names(docs: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``docs`` is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while any(n in taken for n in names):
+        names = [n + "_" for n in names]
+    return list(names)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,16 +31,20 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones stays, and one of rows that are alike in doc_id and text.
 
-    Documents are told apart by a hash of doc_id and text, so null and repeated ids do no harm; the one with the smallest
-    hash stays. Texts without words are linked with nothing and all stay.
+    Documents are told apart by hashes of doc_id and text, so null and repeated ids do no harm; the one with the smallest
+    hash stays. Texts without words are linked with nothing and all stay. Links are found by one hash; should different
+    documents share it, a second one tells that they are no repeats, and none goes that may have no link.
     """
-    keyed = docs.withColumn("key_", F.xxhash64("doc_id", "text"))
-    found = jaccard.near_duplicates(keyed, id_col="key_")
-    linked = found.where("key_ != component_id").select("key_").distinct()
-    repeated = found.where("key_ = component_id and n_shingles > 0").groupBy("key_").count().where("count > 1").select("key_")
-    kept = keyed.join(linked, "key_", "left_anti")
-    once = kept.join(repeated, "key_", "left_anti")
-    first = kept.join(repeated, "key_", "left_semi").dropDuplicates(["key_"])
+    key, check = _free_names(docs, "key", "check")
+    keyed = docs.withColumns({key: F.xxhash64("doc_id", "text"), check: F.xxhash64(F.lit(check), "text", "doc_id")})
+    found = jaccard.near_duplicates(keyed, id_col=key)
+    linked = F.min(F.col(key) != F.col("component_id")).alias("linked")
+    several = (F.count(F.lit(1)) > 1) & (F.max("n_shingles") > 0)
+    marked = materialise(found.groupBy(key).agg(linked, several.alias("several")).where("linked or several"), "near-copies")
+    kept = keyed.join(marked.where("linked"), key, "left_anti")
+    repeated = marked.where("not linked").select(key)
+    once = kept.join(repeated, key, "left_anti")
+    first = kept.join(repeated, key, "left_semi").dropDuplicates([key, check])
     return once.unionByName(first).select(*docs.columns)
 
 
