@@ -46,6 +46,14 @@ def test_near_copies(spark, docs):
     assert ids(kept).count(900_005) == 1
 
 
+def test_columns_of_any_name_are_kept(spark):
+    rows = [(i, f"{w} " * 3 + "of the and in that", 7, "c") for i, w in ((1, "one"), (2, "two"), (2, "two"), (3, "three"))]
+    docs = spark.createDataFrame(rows + [(4, "", 8, "c"), (4, "", 8, "c")], "doc_id bigint, text string, key int, Check string")
+    kept = corpus_pipeline.one_of_near_copies(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect())) == sorted({r for r in rows} | {(4, "", 8, "c")}) + [(4, "", 8, "c")]
+
+
 def test_leaks_go_and_others_stay(spark, docs):
     items = [r.text for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
     kept = corpus_pipeline.without_benchmark(spark, docs, FOLDER)
@@ -73,4 +81,4 @@ def test_every_stage_takes_an_empty_table(spark, docs):
 
 def test_registered():
     names = list(entry.queries())
-    assert {f"op{n}_" for n in range(1, 11)} <= {n.split("_")[0] + "_" for n in names} and "pipeline" in names
+    assert {f"op{n}_" for n in range(1, 14)} <= {n.split("_")[0] + "_" for n in names} and "pipeline" in names
