@@ -14,6 +14,7 @@ from maskwright.session import scratch_path
 from maskwright.sources import files as tree
 from maskwright.sources import images as image_files
 from maskwright.sources import palettes, schema_text, tfrecord
+from maskwright.streaming.score import score_stream
 
 
 def _colour(image) -> Column:
@@ -186,6 +187,19 @@ def shard_filter(spark: SparkSession, folder: str) -> DataFrame:
     return rows.filter((F.col("split") == "train") & F.col("shard").isin(1, 3)).select("vec_id", "shard", "record")
 
 
+def record_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Records that arrive in two folders, streamed by two runs of one query: each image is weighed once."""
+    root, out, checkpoint = (scratch_path(spark, n) for n in ("record-log", "weights", "checkpoint"))
+    rows = ordering.exact_split(images(spark, folder), ["vec_id"], 0.2, SEED)
+    weigh = lambda df: df.select("vec_id", "split", F.aggregate("image", F.lit(0).cast("bigint"), lambda a, v: a + v.cast(
+        "bigint")).alias("weight"))
+    for parity in (0, 1):
+        tfrecord.append_records(rows.where(F.col("vec_id") % 2 == parity), root, ["vec_id"], seed=SEED, keep_keys=True)
+        stream = tfrecord.read_record_stream(spark, root, "vec_id bigint, split string, image array<float>")
+        score_stream(stream, weigh, out, checkpoint).awaitTermination()
+    return spark.read.parquet(out)
+
+
 def shard_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """What the manifest says of each shard, beside what its records say."""
     path = _records(spark, folder)
@@ -291,7 +305,7 @@ def path_functions(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     image_scan, image_records, payload_scan, payload_shapes, tfrecord_roundtrip, tensor_roundtrip, split_read, fixed_read,
     absent_features, split_import, first_shard, shard_filter,
-    shard_manifest, sample_check, placeholder_replace, app_tree, base64_urlsafe, request_build, response_parse, config_parse,
+    shard_manifest, record_stream, sample_check, placeholder_replace, app_tree, base64_urlsafe, request_build, response_parse, config_parse,
     palette_scan, path_functions)}
 
 _RANKED = (f"SELECT vec_id, row_number() OVER (ORDER BY {sql_hash('vec_id')}, vec_id) - 1 AS r, "
@@ -342,6 +356,9 @@ SELECT side, split, 'label' AS feature, 'missing' AS rule, n_bad, n_rows FROM (
     "split_import": _PLACED,
     "first_shard": f"SELECT * FROM ({_PLACED}) WHERE shard = 0",
     "shard_filter": f"SELECT vec_id, shard, record FROM ({_PLACED}) WHERE split = 'train' AND shard IN (1, 3)",
+    "record_stream": f"""
+SELECT vec_id, CASE split WHEN 'eval' THEN 'val' ELSE split END AS split, weight FROM ({_SHARDED})
+JOIN (SELECT vec_id, CAST(sum(px) AS BIGINT) AS weight FROM ({PIXELS}) GROUP BY vec_id) USING (vec_id)""",
     "shard_manifest": f"""
 SELECT CASE split WHEN 'eval' THEN 'val' ELSE split END AS split, shard, count(*) AS records, true AS filled,
   count(*) AS found, CAST(sum(vec_id) AS BIGINT) AS ids FROM ({_PLACED}) GROUP BY ALL""",

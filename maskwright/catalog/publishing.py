@@ -64,6 +64,16 @@ def registry_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return last.select("type_name", "seq", "uri", F.element_at("properties", "blessed").alias("blessed"))
 
 
+def registry_places(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs with one clock value, made of each type's last and first event: the later run is the latest."""
+    path = scratch_path(spark, "registry")
+    ends = _events(spark, folder).groupBy("type_name").agg(F.max_by("uri", "seq").alias("last"), F.min_by("uri", "seq").alias("first"))
+    rows = ends.orderBy("type_name").collect()  # a row per type
+    for end in ("last", "first"):
+        registry.append_run(spark, path, [(r["type_name"], end, r[end], {"run": "7"}) for r in rows])
+    return registry.latest(registry.read_registry(spark, path), "type_name", "seq", "name", "uri")
+
+
 def retention_sync(spark: SparkSession, folder: str) -> DataFrame:
     top = F.element_at(F.array(F.lit(".git/"), F.lit(".gitattributes"), F.lit("app/"), F.lit(".github/")),
                        (F.col("doc_id") % 4 + 1).cast("int"))
@@ -80,7 +90,7 @@ def retention_sync(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     artifacts_by_type, latest_artifact, latest_blessed, gated_publish, refused_publish, registry_roundtrip,
-    retention_sync)}
+    registry_places, retention_sync)}
 
 _BLESSED = ("SELECT bool_and(c >= CAST(0.55 AS DOUBLE) AND c - b >= CAST(-0.001 AS DOUBLE)) AS ok, "
             "count(*) AS checks, count(*) FILTER (WHERE NOT (c >= CAST(0.55 AS DOUBLE) AND "
@@ -107,6 +117,9 @@ SELECT checks, failed, CAST(ok AS INTEGER) AS pushed, CASE WHEN ok THEN 'v{CLOCK
 SELECT event_type AS type_name, CASE WHEN event_type = 'signup' THEN 1000000000000 ELSE max(event_id) END AS seq,
   CASE WHEN event_type = 'signup' THEN 'run/last' ELSE arg_max('run/' || user_id, event_id) END AS uri,
   CASE WHEN event_type = 'signup' OR arg_max(value >= 100, event_id) THEN '1' ELSE '0' END AS blessed
+FROM events GROUP BY event_type""",
+    "registry_places": """
+SELECT event_type AS type_name, CAST(2 AS BIGINT) AS seq, 'first' AS name, arg_min('run/' || user_id, event_id) AS uri
 FROM events GROUP BY event_type""",
     "retention_sync": """
 SELECT path, content, count(*) AS n FROM (

@@ -1,6 +1,7 @@
 """The registry of produced artifacts: an append-only table.
 
-Columns: ``seq`` (order of production), ``type_name``, ``name``, ``uri``, ``properties``.
+Columns: ``seq`` (order of production), ``type_name``, ``name``, ``uri``, ``properties``. A run's place in that order is
+claimed as the next number (``append_run``), so that runs of one clock value, or at the same time, never tie.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from maskwright.functions.names import repo_id, repo_url, version_name
 from maskwright.operators.gate import is_blessed
+from maskwright.sources.storage import claim
 
 REGISTRY = "seq bigint, type_name string, name string, uri string, properties map<string,string>"
 
@@ -20,6 +22,16 @@ def append_records(spark: SparkSession, registry: str, records: list[tuple[int,
     spark.createDataFrame(records, REGISTRY).coalesce(1).write.mode("append").partitionBy("type_name").parquet(registry)
 
 
+def append_run(spark: SparkSession, registry: str, records: list[tuple[str, str, str, dict]]) -> int:
+    """Append what a run produced, (type_name, name, uri, properties) each, at the next place; returns the place.
+
+    A run that is lost after it took its place leaves no records, and its place stays empty.
+    """
+    place = claim(spark, f"{registry.rstrip('/')}/_places")
+    append_records(spark, registry, [(place, *record) for record in records])
+    return place
+
+
 def append_record(spark: SparkSession, registry: str, seq: int, type_name: str, name: str, uri: str,
                   properties: Mapping[str, str] | None = None) -> None:
     append_records(spark, registry, [(seq, type_name, name, uri, dict(properties or {}))])

@@ -125,16 +125,17 @@ def run(spark: SparkSession, config: RunConfig) -> RunResult:
     application = publish_run.publish_version(spark, model_table(spark, model), blessing, config.application,
                                               config.clock) if config.application else None
     flag = str(int(blessed))
-    registry.append_records(spark, config.registry, [
-        (config.clock, STATISTICS, "statistics", statistics, {}),
-        (config.clock, SCHEMA, "schema", config.schema, {}),
-        (config.clock, ANOMALIES, "anomalies", anomalies, {}),
-        (config.clock, COMPARISON, "comparison", comparison, {}),
-        *([(config.clock, BYTE_STATISTICS, "byte_statistics", byte_statistics, {})] if texts else []),
-        (config.clock, EVALUATION, "evaluation", evaluation, {}),
-        (config.clock, MODEL, "model", model_path, {}),
-        (config.clock, BLESSING, "blessing", model_path, {"blessed": flag}),
-        (config.clock, PUSHED, "pushed_model", pushed or "", {"pushed": flag}),
+    made = {"run": str(config.clock)}
+    registry.append_run(spark, config.registry, [
+        (STATISTICS, "statistics", statistics, made),
+        (SCHEMA, "schema", config.schema, made),
+        (ANOMALIES, "anomalies", anomalies, made),
+        (COMPARISON, "comparison", comparison, made),
+        *([(BYTE_STATISTICS, "byte_statistics", byte_statistics, made)] if texts else []),
+        (EVALUATION, "evaluation", evaluation, made),
+        (MODEL, "model", model_path, made),
+        (BLESSING, "blessing", model_path, made | {"blessed": flag}),
+        (PUSHED, "pushed_model", pushed or "", made | {"pushed": flag}),
     ])
     return RunResult(tables.read_run(spark, anomalies, config.clock), values, checks, blessed, pushed,
                      tables.read_run(spark, comparison, config.clock), application)

@@ -58,7 +58,7 @@ def publish_version(spark: SparkSession, snapshot: DataFrame, blessing: DataFram
                 tree = filetree.sync(files.read_tree(spark, config.previous_app), tree)
             record["space_url"] = f"{base}/app/version={version}"
             files.write_tree(tree, record["space_url"])
-        registry.append_record(spark, config.registry, clock, "PushedModel", config.name, repo_url, record)
+        registry.append_run(spark, config.registry, [("PushedModel", config.name, repo_url, record)])
     else:
-        registry.append_record(spark, config.registry, clock, "PushedModel", config.name, "", record)
+        registry.append_run(spark, config.registry, [("PushedModel", config.name, "", record)])
     return record

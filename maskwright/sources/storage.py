@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from contextlib import contextmanager
 from fnmatch import fnmatchcase
@@ -84,3 +85,54 @@ def replacing(folder: str, name: str):
         if system.get_file_info(final).type != fs.FileType.File:
             raise
         system.delete_file(hidden)
+
+
+def claimed(folder: str) -> list[str]:
+    """The claims in a folder, first to last; none if there is no such folder."""
+    system, inner = open_path(folder)
+    if system.get_file_info(inner).type != fs.FileType.Directory:
+        return []
+    return [path for path, _ in list_files(folder) if path.rpartition("/")[2].isdigit()]
+
+
+def claim(spark, folder: str, content: bytes = b"") -> int:
+    """Take the next number, from 1, by creating the file ``folder/<number>`` with ``content``; returns the number.
+
+    Of several that try for a number at once one gets it, and the others go on to the next: numbers are without gaps and
+    in the order in which they were taken, whatever the clocks say. It rests on a file system that creates a link, or
+    renames, only where no file is yet: local ones and HDFS do; an object store without that may hand out a number twice.
+    """
+    system, inner = open_path(folder)
+    inner = inner.rstrip("/")
+    system.create_dir(inner, recursive=True)
+    hidden = f"{inner}/.claim-{uuid.uuid4().hex}"
+    with system.open_output_stream(hidden) as stream:
+        stream.write(content)
+    number = max((int(path.rpartition("/")[2]) for path in claimed(folder)), default=0) + 1
+    prefix = folder.rstrip("/")[: len(folder.rstrip("/")) - len(inner)]
+    while not _placed(spark, system, prefix, hidden, f"{inner}/{number:012d}"):
+        number += 1
+    return number
+
+
+def _placed(spark, system: fs.FileSystem, prefix: str, hidden: str, final: str) -> bool:
+    """Move ``hidden`` to ``final`` unless there is such a file already."""
+    if isinstance(system, fs.LocalFileSystem):
+        try:
+            os.link(hidden, final)
+        except FileExistsError:
+            return False
+        os.unlink(hidden)
+        return True
+    hadoop = spark._jvm.org.apache.hadoop
+    source, target = (hadoop.fs.Path(prefix + x) for x in (hidden, final))
+    files = hadoop.fs.FileContext.getFileContext(source.toUri(), spark._jsc.hadoopConfiguration())
+    if files.util().exists(target):
+        return False
+    try:
+        files.rename(source, target, spark._sc._gateway.new_array(hadoop.fs.Options.Rename, 0))
+    except Exception:
+        if files.util().exists(target):  # another one was faster
+            return False
+        raise
+    return True

@@ -13,11 +13,16 @@ A folder counts as written when its manifest is there: a Parquet file of shard n
 checksums, which the job leaves as its last act. Readers take the shards from it and list nothing, so a folder whose
 job was lost half-way is refused, and so is a shard that is missing, too short or another one's. Folders that come
 from elsewhere, without a manifest, are read with ``option("manifest", "ignore")``, as their files are listed.
+
+A growing set of records is a folder of such folders with a log (``append_records``): a folder enters it, under the next
+number, when its manifest is there. A stream over it (``readStream``) has the log's numbers as offsets, so that every
+finished folder is read once, whenever it arrives and however often the query is started anew.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -29,7 +34,8 @@ import pyarrow.parquet as pq
 from pyarrow.fs import FileType
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import (
-    DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, In, InputPartition, WriterCommitMessage)
+    DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader, EqualTo, In, InputPartition,
+    WriterCommitMessage)
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -38,7 +44,7 @@ from maskwright.operators.ordering import check_split, shard_layout
 from maskwright.operators.tensors import IMAGE, IMAGE_SHAPE, LABEL, LABEL_SHAPE
 from maskwright.sources import record_format as fmt
 from maskwright.sources.schema_text import Feature, struct_type
-from maskwright.sources.storage import list_files, open_path, pack, replacing
+from maskwright.sources.storage import claim, claimed, list_files, open_path, pack, replacing
 
 DEFAULT_SCHEMA = ("split string, shard int, image array<float>, image_shape array<bigint>, "
                   "label array<float>, label_shape array<bigint>")
@@ -46,6 +52,7 @@ PLACE = ("split", "shard", "record")
 LAYOUT = ("split", "shard", "shard_size", "position")
 BATCH_BYTES = 32 << 20
 MANIFEST = "_manifest/shards.parquet"
+LOG = "_log"
 _NUMBERS = {"array<float>": "<f4", "array<double>": "<f8", "array<int>": "<i4", "array<bigint>": "<i8"}
 
 
@@ -97,6 +104,19 @@ def read_manifest(folder: str) -> list[Shard]:
         return [Shard(**row) for row in pq.read_table(file).to_pylist()]
 
 
+def logged(root: str, after: int = 0, upto: int | None = None) -> list[str]:
+    """The folders with numbers above ``after`` and up to ``upto`` in the log of ``root``."""
+    folders = []
+    for path in claimed(f"{root.rstrip('/')}/{LOG}"):
+        number = int(path.rpartition("/")[2])
+        if number <= after or upto is not None and number > upto:
+            continue
+        system, inner = open_path(path)
+        with system.open_input_stream(inner) as file:
+            folders.append(f"{root.rstrip('/')}/{file.read().decode()}")
+    return folders
+
+
 def has_manifest(folder: str) -> bool:
     system, inner = open_path(folder)
     return system.get_file_info(f"{inner.rstrip('/')}/{MANIFEST}").type == FileType.File
@@ -140,6 +160,8 @@ class RecordReader(DataSourceReader):
         folder, _, pattern = self.path.rstrip("/").rpartition("/")
         if not any(c in pattern for c in "*?[") and not pattern.endswith(".tfrec"):
             folder, pattern = self.path.rstrip("/"), "*"
+            if not has_manifest(folder) and (parts := logged(folder)):
+                return [(f"{part}/{s.name}", s, s.bytes) for part in parts for s in read_manifest(part)]
         return [(f"{folder}/{s.name}", s, s.bytes) for s in read_manifest(folder) if fnmatchcase(s.name, pattern)]
 
     def partitions(self) -> Sequence[InputPartition]:
@@ -214,6 +236,27 @@ class RecordReader(DataSourceReader):
             yield batch()
 
 
+class RecordStream(DataSourceStreamReader):
+    """The finished folders of a log, in its order; an offset is the number of the last one read."""
+
+    def __init__(self, schema: StructType, options) -> None:
+        self.reader = RecordReader(schema, options)
+
+    def initialOffset(self) -> dict:
+        return {"number": 0}
+
+    def latestOffset(self) -> dict:
+        return {"number": max((int(p.rpartition("/")[2]) for p in claimed(f"{self.reader.path.rstrip('/')}/{LOG}")), default=0)}
+
+    def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
+        folders = logged(self.reader.path, start["number"], end["number"])
+        shards = [((f"{folder}/{s.name}", s), s.bytes) for folder in folders for s in read_manifest(folder)]
+        return [ShardGroup(files) for files in pack(shards, self.reader.pack)]
+
+    def read(self, partition: ShardGroup) -> Iterator[pa.RecordBatch]:
+        return self.reader.read(partition)
+
+
 class RecordWriter(DataSourceArrowWriter):
     def __init__(self, schema: StructType, options) -> None:
         self.path = options["path"]
@@ -311,6 +354,9 @@ class RecordSource(DataSource):
     def reader(self, schema: StructType) -> DataSourceReader:
         return RecordReader(schema, self.options)
 
+    def streamReader(self, schema: StructType) -> DataSourceStreamReader:
+        return RecordStream(schema, self.options)
+
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
         if overwrite:
             raise ValueError("record shards are written with mode('append') to a new folder")
@@ -344,6 +390,22 @@ def write_records(df: DataFrame, path: str, keys: Sequence[str], size: int = 32,
     placed.write.format("tfrecord").mode("append").option("encoding", encoding).save(path)
 
 
+def append_records(df: DataFrame, root: str, keys: Sequence[str], **kwargs) -> str:
+    """Write the rows as a new folder below ``root`` and enter it in the log; returns the folder."""
+    name = f"part-{uuid.uuid4().hex}"
+    write_records(df, f"{root.rstrip('/')}/{name}", keys, **kwargs)
+    claim(df.sparkSession, f"{root.rstrip('/')}/{LOG}", name.encode())
+    return f"{root.rstrip('/')}/{name}"
+
+
+def read_record_stream(spark: SparkSession, root: str, schema: str | StructType | None = None,
+                       encoding: str = "numeric", verify: bool = True) -> DataFrame:
+    """The folders that ``append_records`` has entered in the log of ``root``, and will, as a stream."""
+    register(spark)
+    reader = spark.readStream.format("tfrecord").option("encoding", encoding).option("verify", str(verify))
+    return (reader.schema(schema) if schema is not None else reader).load(root)
+
+
 def read_records(spark: SparkSession, path: str, schema: str | StructType | None = None,
                  encoding: str = "numeric", verify: bool = True, manifest: str = "require") -> DataFrame:
     """Shards of a folder or name pattern. In ``tensor`` encoding a missing feature is an error.

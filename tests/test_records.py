@@ -1,5 +1,6 @@
 import io
 import struct
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
@@ -7,9 +8,10 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from maskwright.sources import record_format as fmt
-from maskwright.sources import tfrecord
+from maskwright.sources import storage, tfrecord
 from maskwright.sources.schema_text import Feature
 from maskwright.sources.storage import list_files
+from maskwright.streaming.score import score_stream
 
 
 def bitwise_crc(data):
@@ -282,3 +284,42 @@ def test_a_pattern_without_files_is_an_error(spark, tmp_path):
         tfrecord.read_split(spark, path, "val", schema="id bigint").count()
     with pytest.raises(Exception, match="no file matches"):
         tfrecord.import_splits(spark, path, {"train": "trian-*"}, schema="id bigint").count()
+
+
+def test_folders_of_a_log_are_streamed_once(spark, tmp_path):
+    root, out, checkpoint = (str(tmp_path / n) for n in ("log", "out", "checkpoint"))
+    append = lambda low, high: tfrecord.append_records(
+        _plain(spark, high).where(F.col("id") >= low), root, ["id"], size=4, keep_keys=True)
+
+    def run():
+        rows = tfrecord.read_record_stream(spark, root, "id bigint, split string, shard int")
+        score_stream(rows, lambda df: df.withColumn("twice", F.col("id") * 2), out, checkpoint).awaitTermination()
+        return sorted(r["id"] for r in spark.read.parquet(out).where("twice = id * 2").collect())
+
+    append(0, 10)
+    assert run() == list(range(10))
+    assert run() == list(range(10))  # started anew, nothing arrived
+    unfinished = tmp_path / "log" / "part-x"  # another job's, not finished and not in the log
+    unfinished.mkdir()
+    (unfinished / "train-00-4.tfrec").write_bytes(b"half")
+    append(10, 17)
+    append(17, 18)
+    assert run() == list(range(18))
+    assert tfrecord.read_records(spark, root, "id bigint").count() == 18
+    assert tfrecord.logged(root, 1, 2) == tfrecord.logged(root)[1:2] and len(tfrecord.logged(root)) == 3
+
+
+def test_claims_are_without_ties_and_gaps(spark, tmp_path):
+    folder = str(tmp_path / "claims")
+    with ThreadPoolExecutor(16) as pool:
+        found = list(pool.map(lambda i: (storage.claim(spark, folder, str(i).encode()), i), range(200)))
+    assert sorted(n for n, _ in found) == list(range(1, 201))
+    assert all((tmp_path / "claims" / f"{n:012d}").read_text() == str(i) for n, i in found)
+    assert len(storage.claimed(folder)) == 200 and storage.claimed(str(tmp_path / "none")) == []
+    again = "file://" + folder
+    assert storage.claim(spark, again) == 201 and len(list((tmp_path / "claims").iterdir())) == 201
+    # the way of file systems that are not local
+    (tmp_path / "one").write_text("1")
+    (tmp_path / "two").write_text("2")
+    place = lambda name: storage._placed(spark, None, "file://", str(tmp_path / name), str(tmp_path / "taken"))
+    assert place("one") and not place("two") and (tmp_path / "taken").read_text() == "1" and (tmp_path / "two").exists()
