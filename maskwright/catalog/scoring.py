@@ -93,8 +93,20 @@ def stream_score(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(output).select("vec_id", F.posexplode("mask").alias("px", "cls"))
 
 
+def softmax_fit_score(spark: SparkSession, folder: str) -> DataFrame:
+    """A pixel classifier learned by gradients on the train split: its loss falls, and unseen masks come out right."""
+    rows = bucket_split(pictures(spark, folder), ["vec_id"], 0.2, SEED, ("train", "eval")).select(
+        "split", "pred", arrays.normalise(F.col("image")).alias("image"), arrays.shape_of(4, 4, 4).alias("shape"))
+    model = scoring.fit_pixel_softmax(rows.where("split = 'train'"), "image", "shape", "pred", range(4), 1, 12)
+    falls = all(b <= a for a, b in zip(model.losses, model.losses[1:])) and model.losses[-1] < model.losses[0] / 3
+    scored = rows.where("split = 'eval'").withColumn("found", model.segment(F.col("image"), F.col("shape")))
+    pixels = scored.select(F.explode(F.arrays_zip("pred", "found")).alias("p"))
+    return pixels.agg(F.count(F.lit(1)).alias("pixels"), F.lit(falls).alias("falls"),
+                      (F.avg((F.col("p.pred") == F.col("p.found")).cast("double")) > 0.9).alias("learned"))
+
+
 QUERIES = {f.__name__: f for f in (
-    centroid_fit_score, transform_view, mllib_fit_score, scorer_parity, request_score, score_overlay, stream_score)}
+    softmax_fit_score, centroid_fit_score, transform_view, mllib_fit_score, scorer_parity, request_score, score_overlay, stream_score)}
 
 _XF = ("SELECT vec_id, label, i, CAST(CAST(px AS FLOAT) / CAST(127.5 AS FLOAT) - CAST(1 AS FLOAT) AS DOUBLE) AS x, "
        f"{sql_split('vec_id')} AS split FROM ({PIXELS})")
@@ -122,6 +134,8 @@ _SCALED = "CAST(CAST({0} AS FLOAT) / CAST(255 AS FLOAT) AS DOUBLE)"
 _PALETTE = ", ".join(f"({i}, {r}, {g}, {b})" for i, (r, g, b) in enumerate(PETS))
 
 ORACLES = {
+    "softmax_fit_score": f"SELECT count(*) * 16 AS pixels, true AS falls, true AS learned FROM embeddings "
+                         f"WHERE {sql_split('vec_id')} = 'eval'",
     "centroid_fit_score": _CENTROID,
     "mllib_fit_score": f"""
 SELECT count(*) AS n, CAST(sum(CAST(a > b AS INTEGER)) AS BIGINT) AS positive, true AS learned FROM (

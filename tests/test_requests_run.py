@@ -252,6 +252,45 @@ def test_publishing_an_application(spark, tmp_path):
     assert pushed[0]["uri"] == "https://models.example/me/seg"
 
 
+def test_pixel_softmax(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(40):  # a pixel's class hangs on its left neighbour: only a window sees that
+        h, w = (4, 6) if i % 2 else (5, 3)
+        image = rng.normal(size=(h, w, 2))
+        mask = (np.concatenate([image[:, :1, 0], image[:, :-1, 0]], axis=1) > 0).astype(float) + 0.4
+        mask[0, 0] = 9.0  # no class
+        rows.append((image.ravel().tolist(), [h, w, 2], mask.ravel().tolist()))
+    rows += [(None, [1, 1, 2], [0.0]), ([0.0, 0.0], [1, 1, 2], None)]
+    df = spark.createDataFrame(rows, "image array<double>, shape array<bigint>, mask array<double>").repartition(3)
+
+    def right(model):
+        found = df.where("image is not null and mask is not null").select(
+            "mask", model.segment(F.col("image"), F.col("shape")).alias("found")).collect()
+        pairs = [(int(a), b) for r in found for a, b in zip(r["mask"], r["found"]) if a < 9]
+        return sum(a == b for a, b in pairs) / len(pairs)
+
+    wide, narrow = (scoring.fit_pixel_softmax(df, "image", "shape", "mask", [0, 1], w, 25) for w in (3, 1))
+    assert right(wide) > 0.93 > 0.75 > right(narrow)
+    assert list(wide.losses) == sorted(wide.losses, reverse=True) and abs(wide.losses[0] - np.log(2)) < 1e-9
+    assert df.select(wide.segment(F.col("image"), F.col("shape")).alias("s")).where("s is null").count() == 1
+    with pytest.raises(ValueError, match="no labelled pixels"):
+        scoring.fit_pixel_softmax(df.where("mask is null"), "image", "shape", "mask", [0, 1])
+    # the gradient is that of the loss
+    weights = rng.normal(size=(2, 3))
+    cells = scoring._gradient(df, [0, 1], 1, weights)
+    moved = weights.copy()
+    moved[1, 2] += 1e-5
+    assert abs((scoring._gradient(df, [0, 1], 1, moved)[0] - cells[0]) / 1e-5 - cells[2:].reshape(2, 3)[1, 2]) < 1e-2
+
+
+def test_two_runs_with_one_clock_value(spark, tmp_path):
+    path = str(tmp_path / "registry")
+    assert [registry.append_run(spark, path, [("Model", "m", f"uri{i}", {"run": "7"}), ("Schema", "s", "x", {})])
+            for i in range(2)] == [1, 2]
+    assert registry.latest_uri(registry.read_registry(spark, path), "Model") == "uri1"
+
+
 def test_settings():
     assert publish_run.parse_settings(None) is None
     with pytest.raises(RuntimeError, match="app_path"):
