@@ -187,6 +187,14 @@ def shard_filter(spark: SparkSession, folder: str) -> DataFrame:
     return rows.filter((F.col("split") == "train") & F.col("shard").isin(1, 3)).select("vec_id", "shard", "record")
 
 
+def buffered_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """Three epochs of training batches from record shards: each record once an epoch, batches full but for the last."""
+    rows = tfrecord.feed(spark, _records(spark, folder), 16, 3, SEED, schema="vec_id bigint, split string")
+    sizes = rows.groupBy("epoch", "stream", "batch_id").agg(F.count(F.lit(1)).alias("n"))
+    full = sizes.groupBy("epoch").agg((F.sum(F.when(F.col("n") < 16, 1).otherwise(0)) <= F.count_distinct("stream")).alias("full"))
+    return rows.groupBy("epoch", "vec_id", "split").agg(F.count(F.lit(1)).alias("times")).join(F.broadcast(full), "epoch")
+
+
 def record_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Records that arrive in two folders, streamed by two runs of one query: each image is weighed once."""
     root, out, checkpoint = (scratch_path(spark, n) for n in ("record-log", "weights", "checkpoint"))
@@ -305,7 +313,7 @@ def path_functions(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     image_scan, image_records, payload_scan, payload_shapes, tfrecord_roundtrip, tensor_roundtrip, split_read, fixed_read,
     absent_features, split_import, first_shard, shard_filter,
-    shard_manifest, record_stream, sample_check, placeholder_replace, app_tree, base64_urlsafe, request_build, response_parse, config_parse,
+    shard_manifest, buffered_feed, record_stream, sample_check, placeholder_replace, app_tree, base64_urlsafe, request_build, response_parse, config_parse,
     palette_scan, path_functions)}
 
 _RANKED = (f"SELECT vec_id, row_number() OVER (ORDER BY {sql_hash('vec_id')}, vec_id) - 1 AS r, "
@@ -356,6 +364,9 @@ SELECT side, split, 'label' AS feature, 'missing' AS rule, n_bad, n_rows FROM (
     "split_import": _PLACED,
     "first_shard": f"SELECT * FROM ({_PLACED}) WHERE shard = 0",
     "shard_filter": f"SELECT vec_id, shard, record FROM ({_PLACED}) WHERE split = 'train' AND shard IN (1, 3)",
+    "buffered_feed": f"""
+SELECT CAST(epoch AS INTEGER) AS epoch, vec_id, CASE split WHEN 'eval' THEN 'val' ELSE split END AS split,
+  CAST(1 AS BIGINT) AS times, true AS full FROM ({_SHARDED}), (SELECT unnest(range(3)) AS epoch)""",
     "record_stream": f"""
 SELECT vec_id, CASE split WHEN 'eval' THEN 'val' ELSE split END AS split, weight FROM ({_SHARDED})
 JOIN (SELECT vec_id, CAST(sum(px) AS BIGINT) AS weight FROM ({PIXELS}) GROUP BY vec_id) USING (vec_id)""",

@@ -11,11 +11,14 @@ of rows that share a key would be arbitrary, so such input fails instead of bein
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F, types as T
 
 from maskwright.session import materialise
 
@@ -316,6 +319,46 @@ def epochs(df: DataFrame, keys: Sequence[str], count: int, batch: int, seed: int
     return df.join(places, reduce(and_, same)).select(*df.columns, "epoch", "batch_id")
 
 
+def buffered_shuffle(df: DataFrame, buffer: int, seed: int, part: str = "stream", position: str = "position") -> DataFrame:
+    """Each partition's rows in the order in which they leave a buffer of ``buffer`` rows at random; no exchange.
+
+    The buffer is filled, then every row that comes takes the place of one drawn at random, and what is left at the end
+    leaves in random order. Adds the partition's number and the row's place in it. The same partitions give the same order.
+    A partition holds the buffer and one Arrow batch.
+    """
+    if buffer < 1:
+        raise ValueError("the buffer holds one row at least")
+    kinds = T.StructType([*df.schema.fields, T.StructField(part, T.IntegerType()), T.StructField(position, T.LongType())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, at = TaskContext.get().partitionId(), 0
+        rng = np.random.default_rng([seed % (1 << 32), number])
+        held: pa.Table | None = None
+
+        def placed(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+            nonlocal at
+            out = rows.append_column(part, pa.array([number] * len(rows), pa.int32())).append_column(
+                position, pa.array(np.arange(at, at + len(rows))))
+            at += len(rows)
+            yield from out.to_batches()
+
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            slots = np.arange(min(buffer, len(rows)))
+            coming = np.arange(len(slots), len(rows))
+            leaving = np.empty(len(coming), np.int64)
+            for i, slot in enumerate(rng.integers(0, buffer, len(coming)).tolist()):
+                leaving[i], slots[slot] = slots[slot], coming[i]
+            if len(leaving):
+                yield from placed(rows.take(leaving))
+            held = rows.take(slots).combine_chunks()
+        if held is not None:
+            yield from placed(held.take(rng.permutation(len(held))))
+
+    return df.mapInArrow(run, kinds)
+
+
 def step_feed(df: DataFrame, keys: Sequence[str], steps: int, batch: int, seed: int) -> DataFrame:
     """Exactly ``steps`` full batches: the first rows in seeded order, repeated when data run short.
 

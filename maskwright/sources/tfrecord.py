@@ -21,6 +21,7 @@ finished folder is read once, whenever it arrives and however often the query is
 
 from __future__ import annotations
 
+import hashlib
 import re
 import uuid
 import zlib
@@ -40,7 +41,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from maskwright.functions.names import SHARD_PATTERN
-from maskwright.operators.ordering import check_split, shard_layout
+from maskwright.operators.ordering import buffered_shuffle, check_split, shard_layout
 from maskwright.operators.tensors import IMAGE, IMAGE_SHAPE, LABEL, LABEL_SHAPE
 from maskwright.sources import record_format as fmt
 from maskwright.sources.schema_text import Feature, struct_type
@@ -137,6 +138,8 @@ class RecordReader(DataSourceReader):
         self.strict = options.get("encoding", "numeric") == "tensor"
         self.verify = options.get("verify", "true").lower() != "false"
         self.pack = int(options.get("maxPartitionBytes", 32 << 20))
+        self.seed = options.get("shuffleShards")
+        self.cycle = int(options.get("interleave", 1))
         self.manifest = options.get("manifest", "require").lower() != "ignore"
         self.keep: dict[str, set] = {}
 
@@ -170,9 +173,22 @@ class RecordReader(DataSourceReader):
             raise ValueError(f"no file matches {self.path}")
         kept = [((path, shard), size) for path, shard, size in found
                 if all(self._place(path)[c] in values for c, values in self.keep.items())]
+        if self.seed is not None:
+            kept.sort(key=lambda item: hashlib.md5(f"{self.seed}:{item[0][1].name}".encode()).digest())
         return [ShardGroup(files) for files in pack(kept, self.pack)] or [ShardGroup([])]
 
     def _rows(self, files: list[tuple[str, Shard]]) -> Iterator[dict[str, object]]:
+        """Record by record from ``cycle`` files in turn; where one ends the next takes its place."""
+        waiting = [self._records([file]) for file in files]
+        while waiting:
+            for source in waiting[:self.cycle]:
+                row = next(source, None)
+                if row is None:
+                    waiting.remove(source)
+                else:
+                    yield row
+
+    def _records(self, files: list[tuple[str, Shard]]) -> Iterator[dict[str, object]]:
         names = [f.name for f in self.schema if f.name not in PLACE]
         tensors = {n.removesuffix("_shape") for n in names}
         for path, shard in files:
@@ -407,17 +423,40 @@ def read_record_stream(spark: SparkSession, root: str, schema: str | StructType
 
 
 def read_records(spark: SparkSession, path: str, schema: str | StructType | None = None,
-                 encoding: str = "numeric", verify: bool = True, manifest: str = "require") -> DataFrame:
+                 encoding: str = "numeric", verify: bool = True, manifest: str = "require",
+                 options: dict[str, str] | None = None) -> DataFrame:
     """Shards of a folder or name pattern. In ``tensor`` encoding a missing feature is an error.
 
-    ``manifest="ignore"`` reads the files of a folder that has none.
+    ``manifest="ignore"`` reads the files of a folder that has none. Other ``options``: ``maxPartitionBytes``;
+    ``shuffleShards``, a seed for the order of shards; ``interleave``, the number of a task's shards read in turn.
     """
     register(spark)
     reader = spark.read.format("tfrecord").option("encoding", encoding).option("verify", str(verify)).option(
-        "manifest", manifest)
+        "manifest", manifest).options(**(options or {}))
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
+def feed(spark: SparkSession, path: str, batch: int, epochs: int, seed: int, cycle: int = 4, buffer: int | None = None,
+         **kwargs) -> DataFrame:
+    """Training batches: all records once per epoch, shuffled by a buffer as they are read; no exchange.
+
+    In every epoch the shards come in another seeded order, ``cycle`` of a task's shards are read in turn, and their
+    records leave a buffer of two batches (or ``buffer`` rows) at random. Adds ``epoch``, ``stream`` (the task's number) and
+    ``batch_id`` in it. The same seed and shards give the same batches. ``kwargs`` are those of ``read_records``.
+    """
+    if epochs < 1 or batch < 1 or cycle < 1:
+        raise ValueError("there must be one epoch, one row per batch and one open shard at least")
+    parts = []
+    for epoch in range(epochs):
+        rows = read_records(spark, path, options={"shuffleShards": f"{seed}:{epoch}", "interleave": str(cycle)}, **kwargs)
+        parts.append(buffered_shuffle(rows, buffer or 2 * batch, seed + epoch).select(
+            *rows.columns, F.lit(epoch).alias("epoch"), "stream", F.floor(F.col("position") / batch).cast("int").alias("batch_id")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def read_split(spark: SparkSession, path: str, split: str, **kwargs) -> DataFrame:
     """The shards of one split, ``train`` or ``val``."""
     return read_records(spark, f"{path.rstrip('/')}/{check_split(split)}-*", **kwargs)

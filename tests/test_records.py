@@ -1,5 +1,6 @@
 import io
 import struct
+from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
@@ -7,6 +8,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from maskwright.operators import ordering
 from maskwright.sources import record_format as fmt
 from maskwright.sources import storage, tfrecord
 from maskwright.sources.schema_text import Feature
@@ -323,3 +325,36 @@ def test_claims_are_without_ties_and_gaps(spark, tmp_path):
     (tmp_path / "two").write_text("2")
     place = lambda name: storage._placed(spark, None, "file://", str(tmp_path / name), str(tmp_path / "taken"))
     assert place("one") and not place("two") and (tmp_path / "taken").read_text() == "1" and (tmp_path / "two").exists()
+
+
+def test_buffered_feed(spark, tmp_path):
+    path = str(tmp_path / "records")
+    tfrecord.write_records(_plain(spark, 203), path, ["id"], 8, keep_keys=True)
+    small = {"schema": "id bigint, shard int"}
+    found = tfrecord.feed(spark, path, 10, 2, 7, **small)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    rows = [tuple(r) for r in found.collect()]
+    assert rows == [tuple(r) for r in tfrecord.feed(spark, path, 10, 2, 7, **small).collect()]
+    assert rows != [tuple(r) for r in tfrecord.feed(spark, path, 10, 2, 8, **small).collect()]
+    epochs = [[r for r in rows if r[2] == e] for e in (0, 1)]
+    assert all(sorted(r[0] for r in e) == list(range(203)) for e in epochs)
+    assert [r[0] for r in epochs[0]] != [r[0] for r in epochs[1]]
+    sizes = Counter((r[2], r[3], r[4]) for r in rows)
+    assert sorted(sizes.values()) == [3, 3] + [10] * 40
+    first = [r[1] for r in epochs[0][:20]]  # several shards are mixed, but not all
+    assert 3 < len(set(first)) < 20
+    options = {"maxPartitionBytes": "300", "interleave": "3"}
+    many = tfrecord.read_records(spark, path, "id bigint", options=options)
+    assert many.rdd.getNumPartitions() > 3 and sorted(r[0] for r in many.collect()) == list(range(203))
+
+
+@pytest.mark.parametrize("buffer", [1, 7, 5000])
+def test_the_buffer_bounds_how_far_a_row_comes_forward(spark, buffer):
+    df = spark.range(3000, numPartitions=2).withColumn("before", F.col("id") % 1500)
+    rows = ordering.buffered_shuffle(df, buffer, 3).collect()
+    assert sorted(r["id"] for r in rows) == list(range(3000)) and {r["stream"] for r in rows} == {0, 1}
+    assert all(r["before"] - r["position"] <= buffer for r in rows)
+    assert (buffer == 1) == all(r["before"] == r["position"] for r in rows)
+    assert ordering.buffered_shuffle(df.limit(0), buffer, 3).count() == 0
+    with pytest.raises(ValueError):
+        ordering.buffered_shuffle(df, 0, 3)
