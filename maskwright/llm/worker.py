@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable
 from types import ModuleType
 
+import pyarrow as pa
+
 
 def kept(name: object, make: Callable[[], object]) -> object:
     """``make()``, made once per worker process.
@@ -16,3 +19,12 @@ def kept(name: object, make: Callable[[], object]) -> object:
     if name not in store:
         store[name] = make()
     return store[name]
+
+
+def give_back() -> None:
+    """Return to the system what earlier tasks of this process have freed: workers serve many stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than glibc
+        pass
