@@ -2,11 +2,13 @@
 
 Every node is cut at a weighted quantile of its widest dimension, found by counting weights in bins over all rows and
 looking closer only into the bin where the cut falls. Rows of one group never part: they agree in all dimensions
-and in the number that breaks ties.
+and in the number that breaks ties. A cut misses its share by part of the group that lies across it, and long texts
+meet in the same leaves, so at the end some groups change places between leaves until these are near equal in weight.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -16,6 +18,9 @@ from maskwright.session import materialise
 BINS = 1024
 NEAR = 1e-3  # of a leaf's weight: a bin as light as this is not looked into further
 MOST_PASSES = 12  # two numbers of 53 bits, ten bits a pass
+MOVABLE = 256  # groups of a leaf that may change places: its lightest ones, and the heaviest that could help
+EVEN = 1e-3  # of a leaf's weight: nearer than this to their mean, leaves stay as they are
+MOST_MOVES = 20_000
 _TIES = float(1 << 53)
 
 
@@ -46,8 +51,8 @@ def tie_of(group: str) -> Column:
 def kd_shards(rows: DataFrame, dims: list[str], shards: int, weight: str = "size", group: str = "group") -> DataFrame:
     """``rows`` with the column shard, 0 to ``shards - 1``.
 
-    Weights are near equal: each cut misses its share by less than the rows that agree in the dimension and in the hash
-    of ``group``. A group heavier than a shard's share has a shard to itself, and the others share the rest. ``dims``
+    Weights are near equal: the tree's leaves differ by parts of groups, and what groups can even out by changing places
+    they do. A group heavier than a shard's share has a shard to itself, and the others share the rest. ``dims``
     must be numbers without nulls, the same throughout a group. Rows are written once per level of the tree, so they
     should be narrow. No rows give no rows.
     """
@@ -72,7 +77,63 @@ def kd_shards(rows: DataFrame, dims: list[str], shards: int, weight: str = "size
         goes_left = (at < _of(value)) | ((at == _of(value)) & (F.get("point_", F.lit(len(dims))) <= _of(tie)))
         held = materialise(held.withColumn("node_", F.when(goes_left, _of(left)).otherwise(_of(right))), "sharding-level")
         nodes = below
-    return held.withColumn("shard", _of([n.first for n in nodes])).drop("point_", "node_")
+    placed = held.withColumn("shard", _of([n.first for n in nodes])).drop("point_", "node_")
+    moves = _moves(placed, len(own), shards, weight, group)
+    if not moves:
+        return placed
+    moved = F.create_map(*[F.lit(x) for pair in sorted(moves.items()) for x in pair])
+    return placed.withColumn("shard", F.coalesce(F.try_element_at(moved, F.col(group)), F.col("shard")).cast("int"))
+
+
+def _moves(placed: DataFrame, own: int, shards: int, weight: str, group: str) -> dict[int, int]:
+    """Groups that are to change places, with their new shards. Some hundred groups of each leaf are looked at."""
+    groups = materialise(placed.where(F.col("shard") >= own).groupBy("shard", F.col(group).alias("group_")).agg(
+        F.sum(weight).alias("weight_")), "sharding-groups")
+    weights = {i: 0 for i in range(own, shards)} | {
+        r.shard: r.weight_ for r in groups.groupBy("shard").agg(F.sum("weight_").alias("weight_")).collect()}
+    mean = sum(weights.values()) / max(1, len(weights))
+    widest = max((abs(w - mean) for w in weights.values()), default=0.0)
+    if widest <= EVEN * mean:
+        return {}
+
+    def some(rows: DataFrame, *order: Column) -> DataFrame:
+        at = F.row_number().over(Window.partitionBy("shard").orderBy(*order))  # cut in each partition before the shuffle
+        return rows.withColumn("at", at).where(F.col("at") <= MOVABLE).drop("at")
+
+    light = some(groups, F.col("weight_"), F.col("group_"))
+    heavy = some(groups.where(F.col("weight_") <= 2 * widest), F.desc("weight_"), F.col("group_"))
+    movable: dict[int, list[tuple[int, int]]] = {i: [] for i in weights}
+    for r in light.union(heavy).distinct().collect():
+        movable[r.shard].append((r.weight_, r.group_))
+    home = {g: i for i, held in movable.items() for _, g in held}
+    for held in movable.values():
+        held.sort()
+    place = dict(home)
+    for _ in range(MOST_MOVES):
+        over, under = max(weights, key=lambda i: (weights[i], i)), min(weights, key=lambda i: (weights[i], i))
+        if weights[over] - weights[under] <= EVEN * mean or not (step := _step(movable[over], movable[under], weights[over] - weights[under])):
+            break
+        for item, source, target in zip(step, (over, under), (under, over)):
+            if item is not None:
+                movable[source].remove(item)
+                insort(movable[target], item)
+                weights[source] -= item[0]
+                weights[target] += item[0]
+                place[item[1]] = target
+    return {g: i for g, i in place.items() if home[g] != i}
+
+
+def _step(over: list[tuple[int, int]], under: list[tuple[int, int]], gap: float):
+    """What moves over to the lighter leaf, and what comes back for it (or None), so that the gap narrows most."""
+    best, left = None, gap
+    lighter = [(0, None), *under]
+    for item in over:
+        at = bisect_left(lighter, (item[0] - gap / 2,))
+        for back in lighter[max(0, at - 1):at + 1]:
+            rest = abs(gap - 2 * (item[0] - back[0]))
+            if rest < left * (1 - 1e-9):
+                best, left = (item, back if back[1] is not None else None), rest
+    return best
 
 
 def _of(values) -> Column:

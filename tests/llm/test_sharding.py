@@ -1,4 +1,5 @@
 from collections import Counter, defaultdict
+import random
 import zlib
 
 from maskwright.llm import sharding
@@ -23,7 +24,25 @@ def test_documents(spark):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     sizes = check(rows, sharding.shard_documents(docs, 40).collect(), 40, 0)
     mean = sum(sizes.values()) / 40
-    assert len(sizes) == 40 and max(abs(s - mean) for s in sizes.values()) < 0.5 * mean  # texts reach half a shard
+    largest = max(Counter(r.text for r in docs.collect()).items(), key=lambda x: x[1] * (len((x[0] or "").encode()) + 16))
+    group = largest[1] * (len(largest[0].encode()) + 16)
+    assert len(sizes) == 40 and max(abs(s - mean) for s in sizes.values()) < min(group, 0.05 * mean)
+
+
+def test_long_texts_do_not_make_shards_uneven(spark):
+    rng = random.Random(4)
+    rows = [(i, str(i) + "x" * int(rng.paretovariate(0.9) * 40)) for i in range(1500)]
+    rows = [(i, t[:9000]) for i, t in rows]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sizes = check(rows, sharding.shard_documents(df, 12).collect(), 12, 0)
+    mean = sum(sizes.values()) / 12
+    assert len(sizes) == 12 and max(abs(s - mean) for s in sizes.values()) < 0.01 * mean
+
+
+def test_steps_narrow_the_gap():
+    assert sharding._step([(3, 1), (5, 2), (9, 3)], [], 10) == ((5, 2), None)
+    assert sharding._step([(9, 3)], [(4, 7), (6, 8)], 10) == ((9, 3), (4, 7))
+    assert sharding._step([(11, 3)], [], 10) is None
 
 
 def test_equal_sizes_and_a_group_of_a_third(spark):
