@@ -110,8 +110,14 @@ def _moves(placed: DataFrame, own: int, shards: int, weight: str, group: str) ->
         held.sort()
     place = dict(home)
     for _ in range(MOST_MOVES):
-        over, under = max(weights, key=lambda i: (weights[i], i)), min(weights, key=lambda i: (weights[i], i))
-        if weights[over] - weights[under] <= EVEN * mean or not (step := _step(movable[over], movable[under], weights[over] - weights[under])):
+        order = sorted(weights, key=lambda i: (weights[i], i))
+        if weights[order[-1]] - weights[order[0]] <= EVEN * mean:
+            break
+        # the heaviest leaf with each other one, the lightest first, then the lightest with each other one
+        pairs = [(order[-1], i) for i in order[:-1]] + [(i, order[0]) for i in reversed(order[1:-1])]
+        found = ((over, under, _step(movable[over], movable[under], weights[over] - weights[under])) for over, under in pairs)
+        over, under, step = next((x for x in found if x[2]), (0, 0, None))
+        if step is None:
             break
         for item, source, target in zip(step, (over, under), (under, over)):
             if item is not None:
