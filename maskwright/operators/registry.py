@@ -22,12 +22,14 @@ def append_records(spark: SparkSession, registry: str, records: list[tuple[int,
     spark.createDataFrame(records, REGISTRY).coalesce(1).write.mode("append").partitionBy("type_name").parquet(registry)
 
 
-def append_run(spark: SparkSession, registry: str, records: list[tuple[str, str, str, dict]]) -> int:
-    """Append what a run produced, (type_name, name, uri, properties) each, at the next place; returns the place.
+def next_place(spark: SparkSession, registry: str) -> int:
+    """Take the next place in the order of runs. A run that is lost after that leaves its place empty."""
+    return claim(spark, f"{registry.rstrip('/')}/_places")
 
-    A run that is lost after it took its place leaves no records, and its place stays empty.
-    """
-    place = claim(spark, f"{registry.rstrip('/')}/_places")
+
+def append_run(spark: SparkSession, registry: str, records: list[tuple[str, str, str, dict]], place: int | None = None) -> int:
+    """Append what a run produced, (type_name, name, uri, properties) each, at its place or the next; returns the place."""
+    place = next_place(spark, registry) if place is None else place
     append_records(spark, registry, [(place, *record) for record in records])
     return place
 

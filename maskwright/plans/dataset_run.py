@@ -122,8 +122,12 @@ def run(spark: SparkSession, config: RunConfig) -> RunResult:
     blessed = gate.is_blessed(blessing)
 
     pushed = registry.publish(model_table(spark, model), blessing, config.serving, config.clock)
-    application = publish_run.publish_version(spark, model_table(spark, model), blessing, config.application,
-                                              config.clock) if config.application else None
+    place = registry.next_place(spark, config.registry)
+    application = None
+    if config.application:
+        shared = place if config.application.registry == config.registry else None
+        application = publish_run.publish_version(spark, model_table(spark, model), blessing, config.application,
+                                                  config.clock, shared)
     flag = str(int(blessed))
     made = {"run": str(config.clock)}
     registry.append_run(spark, config.registry, [
@@ -136,6 +140,6 @@ def run(spark: SparkSession, config: RunConfig) -> RunResult:
         (MODEL, "model", model_path, made),
         (BLESSING, "blessing", model_path, made | {"blessed": flag}),
         (PUSHED, "pushed_model", pushed or "", made | {"pushed": flag}),
-    ])
+    ], place)
     return RunResult(tables.read_run(spark, anomalies, config.clock), values, checks, blessed, pushed,
                      tables.read_run(spark, comparison, config.clock), application)

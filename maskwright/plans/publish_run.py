@@ -40,8 +40,11 @@ def parse_settings(text: str | None) -> dict | None:
 
 
 def publish_version(spark: SparkSession, snapshot: DataFrame, blessing: DataFrame | None, config: PublishConfig,
-                    clock: int) -> dict[str, str]:
-    """Publish if allowed and record the attempt either way. Returns what was recorded."""
+                    clock: int, place: int | None = None) -> dict[str, str]:
+    """Publish if allowed and record the attempt either way, at the run's place in the registry or the next.
+
+    Returns what was recorded.
+    """
     base = config.destination.rstrip("/")
     allowed = gate.is_blessed(blessing)
     record = {"pushed": str(int(allowed))}
@@ -58,7 +61,7 @@ def publish_version(spark: SparkSession, snapshot: DataFrame, blessing: DataFram
                 tree = filetree.sync(files.read_tree(spark, config.previous_app), tree)
             record["space_url"] = f"{base}/app/version={version}"
             files.write_tree(tree, record["space_url"])
-        registry.append_run(spark, config.registry, [("PushedModel", config.name, repo_url, record)])
+        registry.append_run(spark, config.registry, [("PushedModel", config.name, repo_url, record)], place)
     else:
-        registry.append_run(spark, config.registry, [("PushedModel", config.name, "", record)])
+        registry.append_run(spark, config.registry, [("PushedModel", config.name, "", record)], place)
     return record
