@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import uuid
 
+from pyarrow.fs import FileType
 from pyspark.sql import SparkSession
 
+from maskwright.sources.storage import open_path
+
 
 def build_session(app: str = "maskwright", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library is tuned for.
@@ -32,15 +35,44 @@ def build_session(app: str = "maskwright", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+_GIVEN: dict[str, list[str]] = {}  # scratch paths by application
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder path below the session's checkpoint folder, which every executor must reach.
 
-    It is the setting ``spark.checkpoint.dir``, or else what ``SparkContext.setCheckpointDir`` was given.
+    It is the setting ``spark.checkpoint.dir``, or else what ``SparkContext.setCheckpointDir`` was given. What is written
+    there stays until ``clear_scratch``: results may be read from it as often as wanted.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _GIVEN.setdefault(getattr(spark.sparkContext, "applicationId", ""), []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession, since: int = 0) -> int:
+    """Delete the scratch folders that this application was given, after the first ``since`` of them; returns their number.
+
+    To be called when the results of the queries that made them have been read or written elsewhere:
+
+        before = scratch_count(spark); query(spark).write.parquet(target); clear_scratch(spark, before)
+    """
+    given = _GIVEN.get(spark.sparkContext.applicationId, [])
+    gone = 0
+    for path in given[since:]:
+        system, inner = open_path(path)
+        if system.get_file_info(inner).type == FileType.Directory:
+            system.delete_dir(inner)
+            gone += 1
+    del given[since:]
+    return gone
+
+
+def scratch_count(spark: SparkSession) -> int:
+    """How many scratch folders this application has been given and not cleared."""
+    return len(_GIVEN.get(spark.sparkContext.applicationId, []))
 
 
 def materialise(df, name: str):

@@ -109,6 +109,21 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
         scratch_path(Cluster, "x")
 
 
+def test_scratch_folders_can_be_cleared(spark):
+    from pathlib import Path
+
+    from maskwright.session import clear_scratch, materialise, scratch_count
+
+    kept = materialise(spark.range(3), "kept")
+    before = scratch_count(spark)
+    gone = materialise(spark.range(5), "gone")
+    scratch_path(spark, "never-written")
+    files = [Path(f.removeprefix("file://")) for f in gone.inputFiles()]
+    assert files and all(f.exists() for f in files)
+    assert clear_scratch(spark, before) == 1 and scratch_count(spark) == before
+    assert not any(f.exists() for f in files) and kept.count() == 3
+
+
 def test_registry(spark, tmp_path):
     path = str(tmp_path / "registry")
     for seq, (kind, blessed) in enumerate([("Model", "1"), ("Model", "0"), ("Schema", "1")]):
