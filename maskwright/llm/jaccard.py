@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from maskwright.llm.graph import components
 from maskwright.llm.words import chunks, distinct_runs, run_hashes, word_hashes
+from maskwright.llm.worker import give_back
 from maskwright.session import materialise
 
 SIZE = 5  # words of an n-gram
@@ -75,6 +76,7 @@ def _hashed(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray, n
 
 def _sets(size: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in chunks(batches, "text_"):
             _, offsets, keys = _hashed(batch, size)
             yield pa.RecordBatch.from_arrays(

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from maskwright.llm.words import chunks
-from maskwright.llm.worker import kept
+from maskwright.llm.worker import give_back, kept
 from maskwright.session import materialise
 
 UNKNOWN = "und"
@@ -163,6 +163,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", buc
     chosen = rows.where(drawn < F.try_element_at(share, F.col("lang_"))).dropDuplicates(["lang_", "text_"])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back("letters")
         for batch in chunks(batches, "text_", 1 << 20):
             texts, langs, whole = batch["text_"].to_pylist(), batch["lang_"].to_pylist(), [True] * len(batch)
             for lang, words in [(lang, t.split()) for lang, t in zip(langs, texts)]:
@@ -223,6 +224,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
     def judge(texts: pd.Series) -> pd.DataFrame:
         lang, score, refused = [], [], []
+        give_back("letters")
         values = [None if t is None or t != t else t for t in texts]
         at = 0
         while at < len(values):  # about a million characters at a time: each takes some hundred bytes of arrays

@@ -19,8 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from maskwright.llm.tokens import encoder, with_end
-from maskwright.llm.worker import give_back
 from maskwright.llm.words import chunks
+from maskwright.llm.worker import give_back
 from maskwright.session import scratch_path
 
 LENGTH = 1024
@@ -122,7 +122,7 @@ def pack(docs: DataFrame, tokenizer: Callable[[], str], gaps: bool = True, end_i
     rows = docs.select(F.col(id_col).cast("bigint").alias("id_"), F.col(text_col).cast("string").alias("text_"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back()
+        give_back("encoder")
         packer = Packer(TaskContext.get().partitionId(), length, windows)
         ids_of = encoder(tokenizer(), gaps)
         for batch in chunks(batches, "text_"):

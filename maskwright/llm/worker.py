@@ -21,8 +21,16 @@ def kept(name: object, make: Callable[[], object]) -> object:
     return store[name]
 
 
-def give_back() -> None:
-    """Return to the system what earlier tasks of this process have freed: workers serve many stages."""
+def give_back(*keeping: str) -> None:
+    """Return to the system what earlier tasks of this process have freed: workers serve many stages.
+
+    What they have kept is freed too, but for what is named (by its name, or the first part of it).
+    """
+    store = sys.modules.get("_maskwright_kept")
+    values = store.__dict__.get("values", {}) if store is not None else {}
+    for name in list(values):
+        if (name[0] if isinstance(name, tuple) else name) not in keeping:
+            del values[name]
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
