@@ -40,8 +40,32 @@ def test_tiles_like_the_plain_version():
         for k in (0, 1):
             taken = [x for t in tiles for x in range(t[k], t[k] + t[2])]
             assert len(taken) == len(set(taken))
-        # ties may be broken otherwise, so the covered words can differ a little
-        assert abs(sum(t[2] for t in tiles) - plain_tiles(item, text, min(3, len(item)))) <= 4
+        assert sum(t[2] for t in tiles) == plain_tiles(item, text, min(3, len(item)))
+
+
+def test_repeated_words_in_bounded_time_and_memory(monkeypatch):
+    word = np.uint64(7)
+    assert tiling.greedy_tiles(np.full(1000, word), np.full(1_000_000, word)) == [(0, 0, 1000)]
+    verse = np.arange(12, dtype=np.uint64)
+    tiles = tiling.greedy_tiles(np.tile(verse, 40), np.tile(np.append(verse, np.uint64(99)), 3000))
+    assert sum(n for _, _, n in tiles) == 480 and {n for _, _, n in tiles} == {12}
+    rng = random.Random(5)
+    monkeypatch.setattr(tiling, "PAIRS", 7)  # a few places at a time
+    for _ in range(60):
+        item, text = ([rng.randrange(2) for _ in range(rng.randint(1, n))] for n in (25, 50))
+        tiles = tiling.greedy_tiles(np.array(item, np.uint64), np.array(text, np.uint64), 3)
+        assert sum(t[2] for t in tiles) == plain_tiles(item, text, min(3, len(item)))
+
+
+def test_a_benchmark_in_several_blocks(spark, monkeypatch):
+    words = [f"w{i} x{i} y{i} z{i} v{i}" for i in range(30)]
+    docs = spark.createDataFrame([(i, f"before {w} after", 1) for i, w in enumerate(words[:20])] + [(99, "clean words", 2)],
+                                 "doc_id bigint, text string, n int")
+    bench = spark.createDataFrame(list(enumerate(words)), "item_id bigint, text string")
+    want = sorted(map(tuple, tiling.leaks(docs, bench).collect()))
+    monkeypatch.setattr(tiling, "BLOCK_BYTES", 150)
+    assert sorted(map(tuple, tiling.leaks(docs, bench).collect())) == want and len(want) == 20
+    assert [tuple(r) for r in tiling.without_leaks(docs, bench).collect()] == [(99, "clean words", 2)]
 
 
 def test_leaks(spark):
