@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from maskwright.llm.graph import components
 from maskwright.llm.words import chunks, distinct_runs, run_hashes, word_hashes
-from maskwright.llm.worker import give_back
+from maskwright.llm.worker import giving_back
 from maskwright.session import materialise
 
 SIZE = 5  # words of an n-gram
@@ -50,7 +50,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     columns are not read. An empty table gives an empty table. ``id_col`` must be an integer column.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("id_"), F.col(text_col).cast("string").alias("text_"))
-    sets = materialise(rows.mapInArrow(_sets(size), _SETS), "jaccard-sets")
+    sets = materialise(rows.mapInArrow(giving_back(_sets(size)), _SETS), "jaccard-sets")
     filled = sets.where("n_shingles > 0")
     classes = materialise(filled.groupBy("k1", "k2").agg(
         F.min("id_").alias("rep"), F.first("n_shingles").alias("n")), "jaccard-classes")
@@ -76,7 +76,6 @@ def _hashed(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray, n
 
 def _sets(size: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back()
         for batch in chunks(batches, "text_"):
             _, offsets, keys = _hashed(batch, size)
             yield pa.RecordBatch.from_arrays(
@@ -89,9 +88,9 @@ def _possible(rows: DataFrame, originals: DataFrame, classes: DataFrame, size: i
     """Classes (k1, rep) of which enough n-grams occur in other classes too."""
     total = rows.agg(F.sum(F.octet_length("text_"))).first()[0] or 0
     fragments = int(max(8, total // FRAGMENT_BYTES))
-    counts = (originals.mapInArrow(_scatter(size, fragments), "fragment int, held binary")
+    counts = (originals.mapInArrow(giving_back(_scatter(size, fragments)), "fragment int, held binary")
               .repartitionById(fragments, "fragment")
-              .mapInArrow(_count_shared, "node bigint, shared bigint")
+              .mapInArrow(giving_back(_count_shared), "node bigint, shared bigint")
               .groupBy("node").agg(F.sum("shared").alias("shared")))
     near = classes.join(counts, F.col("k1") == F.col("node")).where(
         F.col("shared") * 100 >= F.col("n") * percent).select("k1", "rep")
@@ -237,7 +236,7 @@ def _segments(rows: DataFrame, possible: DataFrame, size: int) -> DataFrame:
 
     reps = possible.select(F.col("rep").alias("rep_")).distinct()
     texts = rows.join(reps, rows.id_.eqNullSafe(reps.rep_), "left_semi")
-    cut = texts.mapInArrow(run, "node bigint, n bigint, held array<array<bigint>>, bits array<bigint>")
+    cut = texts.mapInArrow(giving_back(run), "node bigint, n bigint, held array<array<bigint>>, bits array<bigint>")
     cut = cut.join(possible.select(F.col("k1").alias("node")), "node", "left_semi")
     return materialise(cut.dropDuplicates(["node"]), "jaccard-segments")
 

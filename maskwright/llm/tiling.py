@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from maskwright.llm.words import PUNCTUATION, chunks, run_hashes, word_hashes
+from maskwright.llm.worker import give_back
 from maskwright.session import materialise
 
 LEAST = 4  # words of a match
@@ -217,6 +218,7 @@ def leaked(text: Column, items: list[tuple], least: int = LEAST, coverage: float
 
     @F.arrow_udf("array<struct<item_id:bigint,coverage:double,words:bigint,tiles:bigint,first_word:bigint,last_word:bigint>>")
     def match(texts: pa.Array) -> pa.Array:
+        give_back()
         out = []
         for part in chunks([pa.RecordBatch.from_arrays([texts], ["text"])], "text"):
             out += held.matches(part["text"], coverage)

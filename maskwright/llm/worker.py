@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from types import ModuleType
 
 import pyarrow as pa
@@ -36,3 +36,13 @@ def give_back(*keeping: str) -> None:
         ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):  # another C library than glibc
         pass
+
+
+def giving_back(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
+    """The same task function, which frees its memory for other stages when it ends."""
+    def whole(batches: Iterable) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return whole
