@@ -149,11 +149,15 @@ def _licence_sql() -> str:
     critical = "|".join(licences.CRITICAL)
     known = "MAP {" + ", ".join(f"{_quoted(s)}: {_quoted(i)}" for s, i in licences.SENTENCES.items()) + "}"
     rules = "[" + ", ".join(
-        f"{{'l': {_quoted(n)}, 'r': {_quoted('<' + '><'.join(i) + '>')}}}" for n, i in licences.RULES) + "]"
+        f"{{'l': {_quoted(n)}, 'r': {_quoted('<' + '><'.join(i) + '>')}, 'g': {str(g).lower()}}}"
+        for (n, i), g in zip(licences.RULES, licences.guarded(licences.RULES))) + "]"
     norm = "trim(regexp_replace({}, '[^a-z0-9]+', ' ', 'g'))"
+    for before, owner, behind in licences.OWNERS:
+        norm = f"regexp_replace({norm}, '{before}.{{{{1,{licences.OWNER_CHARS}}}}}?{behind}', '{before}{owner}{behind}', 'g')"
+    spdx = licences.EXPRESSION
     return rf"""
-WITH cut AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-        'abcdefghijklmnopqrstuvwxyz'), '[.!?;]+[ 	
+WITH cut AS (SELECT doc_id, list_filter(regexp_split_to_array(regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '{licences.ABBREVIATED}', ' \1', 'g'), '[.!?;]+[ 	
 ]+|
 [ 	
 ]*
@@ -162,11 +166,15 @@ WITH cut AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'A
 units AS (SELECT doc_id, known, list_filter(flatten(list_transform(s, lambda s: CASE
         WHEN NOT contains(s, chr(10)) OR map_contains(known, {norm.format('s')}) THEN [s]
         ELSE string_split(s, chr(10)) END)), lambda s: regexp_matches(s, '{critical}')) AS u FROM cut),
-found AS (SELECT doc_id, coalesce(list_transform(u, lambda s: coalesce(known[{norm.format('s')}], '?')), []) AS f FROM units),
+spoken AS (SELECT doc_id, known, flatten(list_transform(list_transform(u, lambda s: {norm.format('s')}), lambda s:
+        CASE WHEN starts_with(s, '{spdx}') AND NOT map_contains(known, s) AND regexp_matches(s, ' (or|and) ')
+        THEN list_transform(string_split_regex(replace(substr(s, {len(spdx) + 1}), ' or later', ' orlater'), ' (?:or|and) '),
+            lambda p: '{spdx}' || replace(p, 'orlater', 'or later')) ELSE [s] END)) AS u FROM units),
+found AS (SELECT doc_id, coalesce(list_transform(u, lambda s: coalesce(known[s], '?')), []) AS f FROM spoken),
 state AS (SELECT doc_id, f, list_reduce(list_concat([{{'l': '', 'r': coalesce(list_aggregate(list_transform(f,
-        lambda s: '<' || s || '>'), 'string_agg', ''), '')}}], {rules}), lambda a, b: CASE WHEN contains(a.r, b.r)
-        THEN {{'l': CASE WHEN contains(',' || a.l || ',', ',' || b.l || ',') THEN a.l WHEN a.l = '' THEN b.l
-            ELSE a.l || ',' || b.l END, 'r': replace(a.r, b.r, '|')}} ELSE a END) AS z FROM found)
+        lambda s: '<' || s || '>'), 'string_agg', ''), ''), 'g': false}}], {rules}), lambda a, b: CASE WHEN contains(a.r, b.r)
+        AND NOT (b.g AND contains(a.r, b.r || '<?>')) THEN {{'l': CASE WHEN contains(',' || a.l || ',', ',' || b.l || ',') THEN a.l WHEN a.l = '' THEN b.l
+            ELSE a.l || ',' || b.l END, 'r': replace(a.r, b.r, '|'), 'g': false}} ELSE a END) AS z FROM found)
 SELECT doc_id, array_to_string(list_filter(f, lambda s: s != '?'), ',') AS sentence_ids, z.l AS licences,
     CAST(length(regexp_replace(replace(z.r, '<?>', ''), '[^<]', '', 'g')) AS INTEGER) AS unmatched,
     CAST(len(list_filter(f, lambda s: s = '?')) AS INTEGER) AS unknown FROM state"""

@@ -24,6 +24,11 @@ SENTENCES: dict[str, str] = {
     "persons to whom the software is furnished to do so subject to the following conditions": "MITgrant",
     "the above copyright notice and this permission notice shall be included in all copies or substantial portions of "
     "the software": "MITnotice",
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the "
+    "warranties of merchantability fitness for a particular purpose and noninfringement": "MITwarranty",
+    "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an "
+    "action of contract tort or otherwise arising from out of or in connection with the software or the use or other "
+    "dealings in the software": "MITliability",
     "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
     "granted provided that the above copyright notice and this permission notice appear in all copies": "ISCgrant",
     "spdx license identifier isc": "ISCref",
@@ -54,6 +59,15 @@ SENTENCES: dict[str, str] = {
     "see the gnu general public license for more details": "GPLsee",
     "licensed under the gnu lesser general public license version 3": "LGPL3ref",
     "spdx license identifier lgpl 3 0 only": "LGPL3ref",
+    "spdx license identifier lgpl 3 0 or later": "LGPL3plusref",
+    "licensed under the gnu lesser general public license version 2 1": "LGPL21ref",
+    "spdx license identifier lgpl 2 1 only": "LGPL21ref",
+    "spdx license identifier lgpl 2 1 or later": "LGPL21plusref",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general "
+    "public license as published by the free software foundation either version 2 1 of the license or at your option any "
+    "later version": "LGPL21plusgrant",
+    "licensed under the eupl": "EUPLref",
+    "spdx license identifier eupl 1 2": "EUPLref",
     "licensed under the gnu affero general public license version 3": "AGPL3ref",
     "spdx license identifier agpl 3 0 only": "AGPL3ref",
     "licensed under the mozilla public license version 2 0": "MPL2ref",
@@ -67,6 +81,11 @@ SENTENCES: dict[str, str] = {
     "following disclaimer in the documentation and or other materials provided with the distribution": "BSDbinary",
     "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
     "products derived from this software without specific prior written permission": "BSDname",
+    "this software is provided by the copyright holders and contributors as is and any express or implied warranties "
+    "including but not limited to the implied warranties of merchantability and fitness for a particular purpose are "
+    "disclaimed": "BSDwarranty",
+    "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary "
+    "or consequential damages including but not limited to procurement of substitute goods or services": "BSDliability",
     "licensed under the bsd 3 clause license": "BSD3ref",
     "spdx license identifier bsd 3 clause": "BSD3ref",
     "licensed under the bsd 2 clause license": "BSD2ref",
@@ -84,11 +103,18 @@ SENTENCES: dict[str, str] = {
 
 # A licence and the sentences that state it, in the order in which rules are tried.
 RULES: list[tuple[str, list[str]]] = [
+    ("BSD-3-Clause", ["BSDgrant", "BSDsource", "BSDbinary", "BSDname", "BSDwarranty", "BSDliability"]),
+    ("BSD-3-Clause", ["BSDgrant", "BSDsource", "BSDbinary", "BSDname", "BSDwarranty"]),
     ("BSD-3-Clause", ["BSDgrant", "BSDsource", "BSDbinary", "BSDname"]),
+    ("BSD-2-Clause", ["BSDgrant", "BSDsource", "BSDbinary", "BSDwarranty", "BSDliability"]),
+    ("BSD-2-Clause", ["BSDgrant", "BSDsource", "BSDbinary", "BSDwarranty"]),
     ("BSD-2-Clause", ["BSDgrant", "BSDsource", "BSDbinary"]),
     ("GPL-3.0-or-later", ["GPL3plusgrant", "GPLwarranty", "GPLsee"]),
     ("GPL-2.0-or-later", ["GPL2plusgrant", "GPLwarranty", "GPLsee"]),
     ("Apache-2.0", ["Apache2ref", "Apache2comply", "Apache2where"]),
+    ("MIT", ["MITtitle", "MITgrant", "MITnotice", "MITwarranty", "MITliability"]),
+    ("MIT", ["MITgrant", "MITnotice", "MITwarranty", "MITliability"]),
+    ("MIT", ["MITgrant", "MITnotice", "MITwarranty"]),
     ("MIT", ["MITtitle", "MITgrant", "MITnotice"]),
     ("MIT", ["MITgrant", "MITnotice"]),
     ("Apache-2.0", ["Apache2ref", "Apache2comply"]),
@@ -96,6 +122,7 @@ RULES: list[tuple[str, list[str]]] = [
     ("ISC", ["ISCgrant"]),
     ("GPL-3.0-or-later", ["GPL3plusgrant"]),
     ("GPL-2.0-or-later", ["GPL2plusgrant"]),
+    ("LGPL-2.1-or-later", ["LGPL21plusgrant"]),
     ("MPL-2.0", ["MPL2grant"]),
     ("MIT", ["MITref"]),
     ("ISC", ["ISCref"]),
@@ -104,7 +131,11 @@ RULES: list[tuple[str, list[str]]] = [
     ("GPL-3.0-only", ["GPL3ref"]),
     ("GPL-2.0-or-later", ["GPL2plusref"]),
     ("GPL-2.0-only", ["GPL2ref"]),
+    ("LGPL-3.0-or-later", ["LGPL3plusref"]),
     ("LGPL-3.0-only", ["LGPL3ref"]),
+    ("LGPL-2.1-or-later", ["LGPL21plusref"]),
+    ("LGPL-2.1-only", ["LGPL21ref"]),
+    ("EUPL-1.2", ["EUPLref"]),
     ("AGPL-3.0-only", ["AGPL3ref"]),
     ("MPL-2.0", ["MPL2ref"]),
     ("BSD-3-Clause", ["BSD3ref"]),
@@ -117,10 +148,20 @@ RULES: list[tuple[str, list[str]]] = [
     ("Apache-2.0", ["Apache2title"]),
 ]
 
+# What stands before and behind an owner's name in a template, and the owner that known sentences name.
+OWNERS: list[tuple[str, str, str]] = [
+    ("neither the name of ", "the copyright holder", " nor the names of its contributors may be used"),
+    ("this software is provided by ", "the copyright holders and contributors", " as is and any express or implied"),
+]
+OWNER_CHARS = 160
+EXPRESSION = "spdx license identifier "
+
 # Every known sentence, and every sentence that seems to speak of licences, holds one of these.
 CRITICAL = ["licen", "permi", "warrant", "copyright", "distribut"]
 
 SENTENCE_END = r"[.!?;]+[ \t\r\n]+|\n[ \t\r]*\n"
+# an owner's abbreviation ends no sentence where the template goes on
+ABBREVIATED = r"\.([^a-z0-9]{1,8}(?:nor the names of its|as is[^a-z0-9]{1,8}and any express))"
 _COMMENT = r"(?m)^[ \t]*[;!]+[ \t]+"  # comment marks that would end a sentence
 # what stands before a line's words: a word that marks comments, a list number or letter in brackets
 _LINE_MARK = r"(?m)^[^a-z0-9\n]*(?:(?:rem|dnl)[ \t]+)?(?:[(]?(?:[0-9]{1,2}|[a-z])[)][ \t]+)?"
@@ -133,8 +174,26 @@ def lowered(text: Column) -> Column:
 
 
 def normalised(sentence: Column) -> Column:
-    """Letters a-z and digits, with one space between runs of them."""
-    return F.trim(F.regexp_replace(sentence, "[^a-z0-9]+", " "))
+    """Letters a-z and digits, with one space between runs of them; any owner of a template is the one of known sentences."""
+    out = F.trim(F.regexp_replace(sentence, "[^a-z0-9]+", " "))
+    for before, owner, behind in OWNERS:
+        out = F.regexp_replace(out, f"{before}.{{1,{OWNER_CHARS}}}?{behind}", before + owner + behind)
+    return out
+
+
+def guarded(rules: list[tuple[str, list[str]]]) -> list[bool]:
+    """Which rules are the beginning of an earlier one for another licence: the next sentence then decides."""
+    return [any(name != other and longer[:len(ids)] == ids for other, longer in rules[:k]) for k, (name, ids) in enumerate(rules)]
+
+
+def _parts(sentence: Column, known: Column) -> Column:
+    """An SPDX expression as one identifier sentence for each licence that it names; any other sentence as it is."""
+    several = F.contains(sentence, F.lit(" or ")) | F.contains(sentence, F.lit(" and "))
+    named = F.replace(F.substring(sentence, len(EXPRESSION) + 1, 1 << 20), F.lit(" or later"), F.lit(" orlater"))
+    parts = F.transform(F.split(named, " (?:or|and) "), lambda p: F.concat(
+        F.lit(EXPRESSION), F.replace(p, F.lit("orlater"), F.lit("or later"))))
+    expression = ~F.map_contains_key(known, sentence) & F.startswith(sentence, F.lit(EXPRESSION)) & several
+    return F.when(expression, parts).otherwise(F.array(sentence))
 
 
 def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -144,7 +203,9 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``sentence_ids`` are the identifiers of known sentences in the order of the text, ``licences`` the rules that they
     meet in the order of the rules, each licence once, ``unmatched`` the number of identifiers that no rule took and
     ``unknown`` that of sentences that speak of licences but are not known. A rule needs its identifiers next to each
-    other, with no other identifier and no unknown licence sentence between; other sentences between do not count.
+    other, with no other identifier and no unknown licence sentence between; other sentences between do not count. A
+    rule that is the beginning of another licence's rule names nothing where an unknown licence sentence follows. The
+    owner's name in a template may be any. An SPDX expression names each of its licences; one with an exception is unknown.
     A sentence may run over several lines, each with a comment mark before it. If it is not known as a whole, it is taken
     line by line: from each line the longest known run of neighbouring lines, or else the line. Lines without letters and
     digits part runs; numbers of lists belong to none. Null and
@@ -159,7 +220,14 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     text = lowered(F.col(text_col).cast("string"))
 
     # a known sentence from the beginning of a line to the end of one, the longest first, or else a line
-    runs = "|".join(s.replace(" ", "[ \\n]") for s in sorted(sentences, key=lambda s: (-len(s), s)))
+    def run_of(sentence: str) -> str:
+        for before, owner, behind in OWNERS:
+            if before + owner + behind in sentence:
+                head, tail = sentence.split(before + owner + behind)
+                return run_of(head + before) + f"[a-z0-9 \\n]{{1,{OWNER_CHARS}}}?" + run_of(behind + tail)
+        return sentence.replace(" ", "[ \\n]")
+
+    runs = "|".join(run_of(s) for s in sorted(sentences, key=lambda s: (-len(s), s)))
     run = f"(?m)^(?:{runs})$|^.+$"
 
     def units(sentence: Column) -> Column:
@@ -170,16 +238,17 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     # whatever holds none of the words is neither known nor unknown, so most texts are never cut
     cut = F.flatten(F.transform(
-        F.filter(F.split(F.regexp_replace(text, _COMMENT, ""), SENTENCE_END), lambda s: s.rlike(critical)), units))
-    found = F.transform(F.transform(F.filter(cut, lambda s: s.rlike(critical)), normalised),
-                        lambda s: F.coalesce(F.try_element_at(known, s), F.lit("?")))
+        F.filter(F.split(F.regexp_replace(F.regexp_replace(text, _COMMENT, ""), ABBREVIATED, " $1"), SENTENCE_END), lambda s: s.rlike(critical)), units))
+    spoken = F.flatten(F.transform(F.transform(F.filter(cut, lambda s: s.rlike(critical)), normalised), lambda s: _parts(s, known)))
+    found = F.transform(spoken, lambda s: F.coalesce(F.try_element_at(known, s), F.lit("?")))
     none = F.array().cast("array<string>")
-    steps = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(f"<{'><'.join(ids)}>").alias("ids"))
-                      for name, ids in rules])
+    steps = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(f"<{'><'.join(ids)}>").alias("ids"), F.lit(open_).alias("open"))
+                      for (name, ids), open_ in zip(rules, guarded(rules))])
     # the sequence as text, "<a><b>", so that a rule is a substring
     matched = F.aggregate(
         steps, F.struct(F.col("sequence").alias("left"), none.alias("names")),
-        lambda state, rule: F.when(F.contains(state["left"], rule["ids"]), F.struct(
+        lambda state, rule: F.when(F.contains(state["left"], rule["ids"]) & ~(
+            rule["open"] & F.contains(state["left"], F.concat(rule["ids"], F.lit("<?>")))), F.struct(
             F.replace(state["left"], rule["ids"], F.lit("|")).alias("left"),
             F.array_union(state["names"], F.array(rule["name"])).alias("names"))).otherwise(state))
     rows = docs.select(F.col(id_col).alias("id_"), F.coalesce(

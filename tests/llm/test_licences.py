@@ -1,7 +1,9 @@
 import textwrap
 
+import duckdb
 import pytest
 
+from maskwright.llm.catalog import ORACLES
 from maskwright.llm.licences import CRITICAL, RULES, SENTENCES, scan_licences
 
 MIT = next(s for s, i in SENTENCES.items() if i == "MITgrant")
@@ -75,6 +77,35 @@ def test_headers_in_comments(spark, mark, width):
         assert found[k].unknown == (0 if k == 9 else 2 if k == 2 else 1), (k, found[k])
 
 
+NAME = ("Neither the name of {} nor the names of its contributors may be used to endorse or promote products derived from this "
+        "software without specific prior written permission.")
+LOOSE = ("THIS SOFTWARE IS PROVIDED BY {} ``AS IS'' AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE "
+         "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.")
+
+
+def test_owners_and_clauses_that_decide(spark):
+    """Any owner; and no name where a clause that is not known might make it another licence."""
+    bsd, other = "\n\n".join(BSD), "Redistribution in a spacecraft is permitted to no one."
+    rows = [f"{bsd} {NAME.format('Foo Inc.')}", f"{bsd} {NAME.format('the copyright holder')}", f"{bsd} {other}", bsd,
+            f"{bsd} {LOOSE.format('THE REGENTS OF FOO')}", f"{bsd} {NAME.format('Bar')} {LOOSE.format('Bar')} More words.",
+            "\n".join(f"# {line}" for part in (*BSD, NAME.format("the Foo Project")) for line in textwrap.wrap(part, 60)),
+            "SPDX-License-Identifier: MIT OR Apache-2.0", "SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0",
+            "// SPDX-License-Identifier: GPL-2.0-or-later", "SPDX-License-Identifier: (LGPL-2.1-or-later AND MIT)",
+            "SPDX-License-Identifier: EUPL-1.2"]
+    want = [["BSD-3-Clause"], ["BSD-3-Clause"], [], ["BSD-2-Clause"], ["BSD-2-Clause"], ["BSD-3-Clause"], ["BSD-3-Clause"],
+            ["MIT", "Apache-2.0"], [], ["GPL-2.0-or-later"], ["MIT", "LGPL-2.1-or-later"], ["EUPL-1.2"]]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id int, text string")
+    found = {r.doc_id: r for r in scan_licences(df).collect()}
+    for k, names in enumerate(want):
+        assert sorted(found[k].licences) == sorted(names), (k, found[k])
+    assert [found[k].unmatched for k in (0, 1, 3, 4, 5, 6)] == [0] * 6
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id INTEGER, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [list(x) for k, x in enumerate(enumerate(rows)) if k != 6])
+    theirs = {r[0]: r[2] for r in con.sql(ORACLES["op1_licence_scan"]).fetchall()}
+    assert theirs == {k: ",".join(found[k].licences) for k in theirs}
+
+
 def test_lines_that_are_no_run(spark):
     """A blank comment line parts runs, and a number that a licence ends with is none of a list."""
     rows = [(1, "# licensed under the\n#\n# mit license\n# permit"), (2, "Licensed under the GNU General Public License version\n2. More"),
