@@ -1,7 +1,7 @@
 """What one task knows of its share of the values: moments, sketches and bucket counts, on numpy.
 
-Values of plain and list features are reduced where they are read. What leaves a task is a row per split and feature,
-or per bucket, and such rows merge: counts add up, means and squared deviations merge by the deviation of each
+Values of plain and list features are reduced where they are read, or where all rows of their split have been brought
+together. What leaves a task is a row per split and feature, or per bucket, and such rows merge: counts add up, means and squared deviations merge by the deviation of each
 part's mean from that of all (never as a difference of squares, which a large mean would cancel), sketches compact.
 """
 
@@ -266,6 +266,15 @@ def merge_sorted(keys: Sequence[str], ranks: Sequence[float] | None, sketched: b
     return run
 
 
+def _buckets(x: np.ndarray, lo: np.ndarray, hi: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each value in its range; infinities are in -1 and ``buckets``."""
+    with np.errstate(all="ignore"):
+        # halved where the width of a very wide range would not be finite
+        share = np.where(np.isfinite(hi - lo), (x - lo) / (hi - lo), (x / 2 - lo / 2) / (hi / 2 - lo / 2))
+        bucket = np.where(hi == lo, 0, np.minimum(np.floor(share * float(buckets)), buckets - 1))
+        return np.where(x == -np.inf, -1, np.where(x == np.inf, buckets, bucket)).astype(np.int64)
+
+
 def count_buckets(features: Sequence[str], ranges: dict, buckets: int) -> Callable:
     """A function for ``mapInArrow`` over (split, one column per feature): (id, bucket, n, least, most).
 
@@ -293,11 +302,7 @@ def count_buckets(features: Sequence[str], ranges: dict, buckets: int) -> Callab
                     x, lo, hi, key = v[inside], low[inside], high[inside], number_of[inside].astype(np.int64)
                     if not len(x):
                         continue
-                    with np.errstate(all="ignore"):
-                        # halved where the width of a very wide range would not be finite
-                        share = np.where(np.isfinite(hi - lo), (x - lo) / (hi - lo), (x / 2 - lo / 2) / (hi / 2 - lo / 2))
-                        bucket = np.where(hi == lo, 0, np.minimum(np.floor(share * float(buckets)), buckets - 1))
-                    bucket = np.where(x == -np.inf, -1, np.where(x == np.inf, buckets, bucket)).astype(np.int64)
+                    bucket = _buckets(x, lo, hi, buckets)
                     order = np.lexsort((x, bucket, key))
                     x, bucket, key = x[order], bucket[order], key[order]
                     starts = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (key[1:] != key[:-1])))
@@ -307,3 +312,85 @@ def count_buckets(features: Sequence[str], ranges: dict, buckets: int) -> Callab
                          pa.array(x[starts]), pa.array(x[ends - 1])], ["id", "bucket", "n", "least", "most"])
 
     return run
+
+
+def _whole_splits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by split (the first column), of about ``PIECE`` values or of one split: no split is cut."""
+    held, size, most = [], 0, PIECE
+    for batch in batches:
+        if not len(batch):
+            continue
+        held.append(batch)
+        size += len(batch) + sum(c.nbytes // 8 for c in batch.columns[1:])
+        if size < most:
+            continue
+        rows = pa.Table.from_batches(held).combine_chunks()
+        number = rows.column(0).combine_chunks().dictionary_encode(null_encoding="encode")
+        number = (number.chunk(0) if isinstance(number, pa.ChunkedArray) else number).indices.to_numpy()
+        cut = np.flatnonzero(number[1:] != number[:-1])
+        if not len(cut):
+            held, most = rows.to_batches(), 2 * size
+            continue
+        last = int(cut[-1]) + 1
+        yield from rows.slice(0, last).to_batches()
+        held = rows.slice(last).to_batches()
+        size, most = size * (len(rows) - last) // len(rows), PIECE
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _gathered(batch: pa.RecordBatch, number: np.ndarray, i: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers and values of feature ``i`` without NaN, sorted by number and then by value."""
+    values = _Values(batch.column(i + 1))
+    real = ~np.isnan(values.v)
+    of, v = number[values.row[real]], values.v[real]
+    order = np.lexsort((v, of))
+    return of[order], v[order]
+
+
+def gather_quantiles(features: Sequence[str], ranks: Sequence[float]) -> Callable:
+    """A function for ``mapInArrow`` over (split, one column per feature) sorted by split: (split, feature, rank, value)."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _whole_splits(batches):
+            number, splits = _grouped(batch)
+            for i, f in enumerate(features):
+                of, v = _gathered(batch, number, i)
+                count = np.bincount(of, minlength=len(splits))
+                some, first = np.flatnonzero(count), np.cumsum(count) - count
+                names = pa.array(splits, pa.string()).take(pa.array(some))
+                for rank in ranks:
+                    place = np.maximum(np.ceil(rank * count[some]), 1).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [names, pa.array([f] * len(some), pa.string()), pa.array(np.full(len(some), rank)),
+                         pa.array(v[first[some] + place - 1])], ["split", "feature", "rank", "value"])
+
+    return run
+
+
+def gather_buckets(features: Sequence[str], buckets: int, shared: dict | None) -> Callable:
+    """A function for ``mapInArrow`` over (split, one column per feature) sorted by split: (split, feature, bucket, lo, hi, n).
+
+    The range is that of the split's finite values, or what ``shared`` gives for the feature; null if there are none.
+    """
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _whole_splits(batches):
+            number, splits = _grouped(batch)
+            for i, f in enumerate(features):
+                of, v = _gathered(batch, number, i)
+                low, high = np.full(len(splits), np.inf), np.full(len(splits), -np.inf)
+                if shared is not None:
+                    low[:], high[:] = shared[f]
+                else:
+                    finite = np.isfinite(v)
+                    np.minimum.at(low, of[finite], v[finite])
+                    np.maximum.at(high, of[finite], v[finite])
+                bucket = _buckets(v, low[of], high[of], buckets)
+                starts = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (of[1:] != of[:-1]))) if len(v) else np.empty(0, int)
+                own = of[starts]
+                none = low[own] > high[own]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(splits, pa.string()).take(pa.array(own)), pa.array([f] * len(own), pa.string()),
+                     pa.array(bucket[starts].astype(np.int32)), pa.array(low[own], mask=none), pa.array(high[own], mask=none),
+                     pa.array(np.diff(np.append(starts, len(v))))], ["split", "feature", "bucket", "lo", "hi", "n"])
+
+    return run

@@ -2,9 +2,10 @@
 
 A dataset is read once for its statistics, medians among them, and once more for each count of buckets. Where there are
 list features each task reduces its rows on numpy to one row per split and feature (``partials``), and these merge by
-key; plain features alone are reduced by Spark's own aggregates. No value is unrolled into a row of its own, joined
-or shuffled. Ranges and intervals go to the tasks as a table of bounds for up to ``MAX_RANGES`` pairs of split and
-feature; more of them are counted in blocks of splits, so there may be any number.
+key; plain features alone are reduced by Spark's own aggregates. No value is unrolled into a row of its own or joined.
+Ranges and intervals go to the tasks as a table of bounds for up to ``MAX_RANGES`` pairs of split and feature. With more
+of them, the rows of all splits but the largest are brought together by split once, and a task has all values of a
+split at hand: the work does not grow with the number of splits.
 
 Infinities are values: they show in the smallest, the median and the largest, and have buckets of their own in
 histograms. Mean and deviation are those of the finite values.
@@ -12,18 +13,20 @@ histograms. Mean and deviation are those of the finite values.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from maskwright.operators.partials import MOMENT_COLUMNS, count_buckets, merge_sorted, summarise
+from maskwright.operators.partials import (
+    MOMENT_COLUMNS, count_buckets, gather_buckets, gather_quantiles, merge_sorted, summarise)
 from maskwright.session import materialise
 
 SEARCH_BUCKETS = 1 << 16
 SKETCH_ACCURACY = 10_000  # of plain features: ranks of a sketch are off by one in so many
 MAX_RANGES = 50_000  # pairs of split and feature whose bounds a task is given at once
+MOST_GATHERED = 1 << 20  # rows, and values of a feature, of a split that are brought together in one task
 SKETCH_PARTS = 64  # tasks that first merge a feature's sketches
 TRACKED = 10_000  # values that a sketch of the frequent ones counts
 DISTINCT_BITS = 14  # a sketch of distinct values has two to that power of registers
@@ -92,17 +95,26 @@ def _plain_summary(rows: DataFrame, features: Sequence[str], ranks: Sequence[flo
     return rows.groupBy("split").agg(F.array(*found).alias("found")).select("split", F.inline("found"))
 
 
-def _blocks(summary: DataFrame) -> Iterator[tuple[list, Callable[[DataFrame], DataFrame], DataFrame | None]]:
-    """Rows of the summary, how to choose the data that they are about, and the whole summary if this is a part of it."""
-    rows = summary.limit(MAX_RANGES + 1).collect()
-    if len(rows) <= MAX_RANGES:
-        yield rows, lambda df: df, None
-        return
-    table = materialise(summary, "summary")
-    n = ceil(table.count() / (MAX_RANGES / 2))
-    for block in range(n):
-        mine = F.pmod(F.xxhash64("split"), F.lit(n)) == block
-        yield table.where(mine).collect(), lambda df, mine=mine: df.where(mine), table
+def _parted(rows: DataFrame, summary: DataFrame) -> tuple[Iterator[list], DataFrame | None, DataFrame | None]:
+    """Blocks of summary rows whose values are counted where they are; the rows of all other splits, each split's
+    together and sorted by split; the whole summary, if it was written. The last two are None where there are few pairs.
+
+    Splits are counted in blocks if they have more than ``MOST_GATHERED`` rows or values, so blocks grow with the
+    data and not with the number of splits: one is full at a hundred thousand million values or more.
+    """
+    found = summary.limit(MAX_RANGES + 1).collect()
+    if len(found) <= MAX_RANGES:
+        return iter([found]), None, None
+    whole = materialise(summary, "summary")
+    size = F.max(F.greatest("num_rows", "sizes"))
+    large = materialise(whole.groupBy("split").agg(size.alias("size"), F.count(F.lit(1)).alias("pairs")).where(
+        F.col("size") > MOST_GATHERED), "large-splits")
+    pairs = large.agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0]
+    n = ceil(pairs / (MAX_RANGES / 2))
+    of_large = whole.alias("l").join(large.alias("r"), _same("split"), "left_semi")
+    blocks = (of_large.where(F.pmod(F.xxhash64("split"), F.lit(n)) == block).collect() for block in range(n))
+    small = rows.alias("l").join(large.alias("r"), _same("split"), "left_anti") if pairs else rows
+    return blocks, small.repartition("split").sortWithinPartitions("split"), whole
 
 
 def _joined(parts: list[DataFrame], name: str) -> DataFrame:
@@ -124,13 +136,20 @@ def search_quantiles(df: DataFrame, features: Sequence[str], split: str | None,
     bucket, so every pass narrows it. Copies of a value and far outliers cost no memory, where ``percentile`` would
     hold every distinct value of a feature in one task. Whole-numbered pixels need one pass, measurements two or three.
     """
+    return _search(df, features, split, ranks, _summary(df, features, split))[0]
+
+
+def _search(df: DataFrame, features: Sequence[str], split: str | None, ranks: Sequence[float],
+            summary: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The order statistics, and the summary to go on with: what was written, if it was."""
     spark, rows = df.sparkSession, _columns(df, features, split)
-    parts = []
-    for summary, chosen, _ in _blocks(_summary(df, features, split)):
+    ranks, parts = [float(r) for r in ranks], []
+    blocks, others, whole = _parted(rows, summary)
+    for some in blocks:
         wanted = {}  # by split, feature and rank: place, low, high
-        for r in summary:
+        for r in some:
             total = r.below + r.n + r.above
-            for rank in map(float, ranks if total else ()):
+            for rank in ranks if total else ():
                 place = max(ceil(rank * total), 1) - r.below
                 low, high = (-_INF, -_INF) if place < 1 else (_INF, _INF) if place > r.n else (r.least, r.most)
                 wanted[r.split, r.feature, rank] = (place, low, high)
@@ -141,7 +160,7 @@ def search_quantiles(df: DataFrame, features: Sequence[str], split: str | None,
             ranges: dict = {}
             for (name, f, low, high), i in ids.items():
                 ranges.setdefault((name, f), []).append((i, low, high))
-            counts = _counts(chosen(rows), features, ranges, SEARCH_BUCKETS).where(
+            counts = _counts(rows, features, ranges, SEARCH_BUCKETS).where(
                 F.col("bucket").between(0, SEARCH_BUCKETS - 1))
             upto = F.sum("n").over(Window.partitionBy("id").orderBy("bucket"))
             asked = {(ids[name, f, low, high], place) for (name, f, _), (place, low, high) in open_.items()}
@@ -152,7 +171,10 @@ def search_quantiles(df: DataFrame, features: Sequence[str], split: str | None,
                 wanted[name, f, rank] = hit[ids[name, f, low, high], place]
         parts.append(spark.createDataFrame([(*k, low) for k, (_, low, _) in wanted.items()],
                                            "split string, feature string, rank double, value double"))
-    return _joined(parts, "quantiles")
+    if others is not None:
+        parts.append(others.mapInArrow(gather_quantiles(list(features), ranks),
+                                       "split string, feature string, rank double, value double"))
+    return _joined(parts, "quantiles"), summary if whole is None else whole
 
 
 def feature_stats_wide(df: DataFrame, features: Sequence[str], split: str | None = "split",
@@ -165,6 +187,8 @@ def feature_stats_wide(df: DataFrame, features: Sequence[str], split: str | None
     if median not in (None, EXACT, SKETCH):
         raise ValueError(f"unknown kind of median: {median}")
     rows = _summary(df, features, split, [0.5] if median == SKETCH else None)
+    if median == EXACT:
+        medians, rows = _search(df, features, split, [0.5], rows)
     some, least, most = F.col("n") > 0, F.col("least"), F.col("most")
     held = F.col("num_rows") - F.col("num_missing")
     size = lambda c: F.when(held > 0, F.col(c)).cast("int")
@@ -177,7 +201,7 @@ def feature_stats_wide(df: DataFrame, features: Sequence[str], split: str | None
         F.when(F.col("above") > 0, F.lit(_INF)).when(some, most).when(F.col("below") > 0, F.lit(-_INF)).alias("max"))
     if median != EXACT:
         return wide
-    medians = search_quantiles(df, features, split, [0.5]).select("split", "feature", F.col("value").alias("median"))
+    medians = medians.select("split", "feature", F.col("value").alias("median"))
     columns = [F.col("r.median") if c == "median" else F.col(f"l.{c}") for c in STATS]
     return wide.alias("l").join(medians.alias("r"), _same("split", "feature"), "left").select(
         "l.split", "l.feature", *columns)
@@ -203,20 +227,28 @@ def histogram(df: DataFrame, features: Sequence[str], split: str | None = "split
     are counted in bucket -1 and in the one after the last. Ranges are found when called, the counts are not.
     """
     parts, spark, rows = [], df.sparkSession, _columns(df, features, split)
-    for summary, chosen, whole in _blocks(_summary(df, features, split)):
-        extent = lambda some: (min((r.least for r in some if r.n), default=_INF), max((r.most for r in some if r.n), default=-_INF))
+    blocks, others, whole = _parted(rows, _summary(df, features, split))
+    extent = lambda some: (min((r.least for r in some if r.n), default=_INF), max((r.most for r in some if r.n), default=-_INF))
+    over = shared = None
+    if shared_range and whole is not None:
+        over = whole.where("n > 0").groupBy("feature").agg(
+            F.lit(1).alias("n"), F.min("least").alias("least"), F.max("most").alias("most")).collect()
+        shared = {f: extent([x for x in over if x.feature == f]) for f in features}
+    columns = ["split", "feature", "bucket", "lo", "hi", "n"]
+    for summary in blocks:
         if not shared_range:
             bounds = {(r.split, r.feature): extent([r]) for r in summary}
         else:
-            over = whole.where("n > 0").groupBy("feature").agg(F.lit(1).alias("n"), F.min("least").alias("least"), F.max(
-                "most").alias("most")).collect() if whole is not None else summary
-            bounds = {(r.split, r.feature): extent([x for x in over if x.feature == r.feature]) for r in summary}
+            bounds = {(r.split, r.feature): extent([x for x in over or summary if x.feature == r.feature]) for r in summary}
         known = [(i, *key, *bound) for i, (key, bound) in enumerate(bounds.items())]
         ranges = {(name, f): [(i, lo, hi)] for i, name, f, lo, hi in known}
-        counts = _counts(chosen(rows), features, ranges, buckets)
+        counts = _counts(rows, features, ranges, buckets)
         names = spark.createDataFrame([(i, name, f, *((lo, hi) if lo <= hi else (None, None))) for i, name, f, lo, hi in known],
                                       "id bigint, split string, feature string, lo double, hi double")
-        parts.append(counts.join(names, "id").drop("id"))
+        parts.append(counts.join(names, "id").select(columns))
+    if others is not None:
+        parts.append(others.mapInArrow(gather_buckets(list(features), buckets, shared),
+                                       "split string, feature string, bucket int, lo double, hi double, n bigint"))
     counts = _joined(parts, "histogram")
     lo, hi, at, size = F.col("lo"), F.col("hi"), F.col("bucket"), F.lit(float(buckets))
     # halved where the width of a very wide range would not be finite

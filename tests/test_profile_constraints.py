@@ -207,6 +207,28 @@ def test_no_join_below_the_counts_and_blocks_of_ranges(spark, monkeypatch):
     assert sum(r[5] for r in whole) == 12_000 and len(medians) == 1200
 
 
+def test_passes_do_not_grow_with_the_number_of_splits(spark, monkeypatch):
+    inf, nan = float("inf"), float("nan")
+    rows = [(None if i % 301 == 0 else "big" if i % 3 else str(i % 301), [5.0, inf, -inf, nan, None, -0.5][i % 29 % 6] if i % 29 < 6
+             else float(i * 37 % 101), [float(i % 7)] * (i % 3) + [None] * (i % 2) if i % 11 else None) for i in range(6000)]
+    df = spark.createDataFrame(rows, "split string, x double, list array<double>").repartition(5)
+    ranks = [0.0, 0.3, 0.5, 1.0]
+
+    def found() -> list:
+        text = lambda d: sorted(map(str, d.collect()))
+        return [text(profile.histogram(df, ["x", "list"], buckets=3)), text(profile.histogram(df, ["x", "list"], buckets=3, shared_range=True)),
+                text(profile.search_quantiles(df, ["x", "list"], "split", ranks)),
+                text(profile.feature_stats_wide(df, ["x"], median=profile.EXACT).select("split", "feature", "num_rows", "median", "max"))]
+
+    want, counts, calls = found(), profile._counts, []
+    monkeypatch.setattr(profile, "_counts", lambda *a: calls.append(1) or counts(*a))
+    monkeypatch.setattr(profile, "MAX_RANGES", 20)
+    monkeypatch.setattr("maskwright.operators.partials.PIECE", 50)
+    assert found() == want and not calls  # all values of a split meet in a task
+    monkeypatch.setattr(profile, "MOST_GATHERED", 100)
+    assert found() == want and 0 < len(calls) <= 20  # the largest split is searched where its values are
+
+
 def test_groups_beyond_a_task_are_passed_on(spark, monkeypatch):
     df = spark.range(2000).select((F.col("id") % 50).cast("string").alias("split"), F.array(F.col("id") * 1.0).alias("x"))
     rounded = lambda rows: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows.collect())
