@@ -12,7 +12,7 @@ from maskwright.operators.ordering import bucket_split
 from maskwright.session import scratch_path
 from maskwright.sources import tables
 from maskwright.sources.palettes import PETS
-from maskwright.streaming.score import read_stream, score_stream
+from maskwright.streaming.score import read_table_stream, score_stream
 
 PREPROCESS = "maskwright.operators.tensors.preprocess"
 
@@ -82,7 +82,7 @@ def score_overlay(spark: SparkSession, folder: str) -> DataFrame:
 def stream_score(spark: SparkSession, folder: str) -> DataFrame:
     """The argmax job over a file stream, run until everything available is scored."""
     source = embeddings(spark, folder)
-    stream = read_stream(spark, folder, source.schema, "embeddings.parquet")
+    stream = read_table_stream(spark, f"{folder}/embeddings.parquet", source.schema)
 
     def score(df: DataFrame) -> DataFrame:
         shaped = df.withColumn("shape", arrays.shape_of(4, 4, 4))
@@ -90,7 +90,8 @@ def stream_score(spark: SparkSession, folder: str) -> DataFrame:
 
     output = scratch_path(spark, "scored")
     score_stream(stream, score, output, scratch_path(spark, "stream-state")).awaitTermination()
-    return spark.read.parquet(output).select("vec_id", F.posexplode("mask").alias("px", "cls"))
+    # the schema is known: a stream of no files writes none to infer it from
+    return spark.read.schema(score(source).schema).parquet(output).select("vec_id", F.posexplode("mask").alias("px", "cls"))
 
 
 def softmax_fit_score(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__
 from maskwright.functions import base64url, names
 from maskwright.operators import gate, ordering, registry, requests, scoring, tensors
 from maskwright.catalog.png import png_bytes
@@ -96,6 +97,28 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sorted(spark.read.parquet(out).collect()) == sorted(score(batch).collect())
 
 
+@pytest.mark.parametrize("single", [False, True])
+def test_a_table_of_several_files_or_of_one_is_streamed(spark, tmp_path, single):
+    rows = spark.range(60).select(F.col("id").alias("vec_id"), F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: (
+        (F.col("id") * 7 + i * 5) % 11).cast("float")).alias("embedding"), F.lit(1).alias("label"))
+    path = tmp_path / "embeddings.parquet"
+    rows.repartition(1 if single else 3).write.parquet(str(tmp_path / "files" if single else path))
+    if single:
+        next((tmp_path / "files").glob("*.parquet")).rename(path)
+    found = __spark_entry__.queries()["stream_score"](spark, str(tmp_path)).collect()
+    held = rows.collect()
+    assert len(found) == 60 * 16
+    cells = {(r["vec_id"], r["px"]): r["cls"] for r in found}
+    assert all(cells[r["vec_id"], p] == max(range(4), key=lambda c: (r["embedding"][4 * p + c], -c))
+               for r in held for p in range(16))
+
+
+def test_a_stream_without_rows_gives_no_rows(spark, tmp_path):
+    kinds = "vec_id bigint, embedding array<float>, label int"
+    spark.createDataFrame([], kinds).write.parquet(str(tmp_path / "embeddings.parquet"))
+    assert __spark_entry__.queries()["stream_score"](spark, str(tmp_path)).collect() == []
+
+
 def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
