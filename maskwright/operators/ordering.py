@@ -26,6 +26,8 @@ PREFIX = 3  # hex digits looked at per pass of the cut search: 4,096 counts
 HASH_DIGITS = 32
 TASK_BYTES = 256 << 20  # of records that one task ranks and writes, where their size is known
 MAX_BOUNDS = 1 << 19  # rows of bounds between tasks that go to every task, so that wide rows need not be joined
+MAX_TASKS = 1 << 11  # beyond it, a task takes several small groups of shards,
+TASK_RECORDS = 1 << 9  # up to so many records
 PLAN_BLOCK = 1 << 16  # shard numbers made in one row
 SPLITS = ("train", "val")
 
@@ -238,7 +240,8 @@ def shard_layout(df: DataFrame, keys: Sequence[str], size: int, seed: int, by: s
     groups of whole shards begin; rows find their group by comparing hashes, and each group is
     ranked and later written by one task, with one task per group whatever the session's number of
     shuffle partitions. A group holds ``size * shards_per_task`` records; with ``row_bytes``, the size of a record, as
-    many whole shards as make 256 MB instead. There may be any number of splits. An ``index`` with ``by`` and the keys
+    many whole shards as make 256 MB instead. Where that makes more than 2,048 groups, small neighbouring ones share a
+    task, of 512 records at most. There may be any number of splits. An ``index`` with ``by`` and the keys
     of the same rows spares the narrow passes a costly ``df``.
 
     ``df`` may hold its rows in parts, each with some of the columns ``halves`` and null in the others: parts of one key
@@ -256,6 +259,8 @@ def shard_layout(df: DataFrame, keys: Sequence[str], size: int, seed: int, by: s
         F.ceil(F.col("n") / F.lit(step)))
     sizes = source.groupBy(by).agg(F.count(F.lit(1)).alias("n")).withColumn("_tasks", known)
     tasks, splits = sizes.agg(F.coalesce(F.sum("_tasks"), F.lit(0)), F.count(F.lit(1))).first()
+    # every task costs the driver its result and figures, however few rows it has
+    shared = 1 if row_bytes is not None else max(1, min(-(-tasks // MAX_TASKS), TASK_RECORDS // step))
     earlier = Window.orderBy(by).rowsBetween(Window.unboundedPreceding, -1)  # one row per split
     first_task = sizes.select(by, F.coalesce(F.sum("_tasks").over(earlier), F.lit(0)).alias("_first_task"))
     hashed = _hashed(df, keys, seed)
@@ -279,13 +284,13 @@ def shard_layout(df: DataFrame, keys: Sequence[str], size: int, seed: int, by: s
     here = F.struct("_h", *keys)
     group = F.col("_base") - 1 + F.size(F.filter("_cuts", lambda cut: cut <= here))
     placed = hashed.join(bounds, [by, "_bucket"], "left").withColumn("_group", group)
-    placed = placed.withColumn("_task", (F.col("_first_task") + F.col("_group")).cast("int")).repartitionById(
-        max(1, tasks), "_task")
+    number = F.floor((F.col("_first_task") + F.col("_group")) / F.lit(shared)).cast("int")
+    placed = placed.withColumn("_task", number).repartitionById(max(1, -(-tasks // shared)), "_task")
     if halves:
         rest = [c for c in placed.columns if c not in ("_task", "_h", *keys, *halves)]
         whole = placed.groupBy("_task", "_h", *keys, *rest).agg(*[F.first(c, ignorenulls=True).alias(c) for c in halves])
         placed = whole.dropna("any", subset=list(halves))
-    order = Window.partitionBy("_task").orderBy("_h", *keys)
+    order = Window.partitionBy("_task", by, "_group").orderBy("_h", *keys)
     rank = F.col("_group") * F.lit(step) + _next_place(order, *keys)
     shard = F.floor(F.col("_rank") / F.lit(size)).cast("int")
     return (

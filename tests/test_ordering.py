@@ -175,6 +175,18 @@ def test_layout_of_many_splits(spark):
     assert by_size.select("_task").distinct().count() == 120
 
 
+def test_small_groups_of_shards_share_a_task(spark, monkeypatch):
+    df = spark.range(400).withColumn("split", (F.col("id") % 40).cast("string"))
+    layout = lambda: ordering.shard_layout(df, ["id"], 4, 1, shards_per_task=1, keep=["_task"])
+    apart = {tuple(r) for r in layout().drop("_task").collect()}
+    monkeypatch.setattr(ordering, "MAX_TASKS", 10)
+    shared = layout()
+    assert {tuple(r) for r in shared.drop("_task").collect()} == apart
+    assert shared.select("_task").distinct().count() == shared.rdd.getNumPartitions() == 10
+    monkeypatch.setattr(ordering, "TASK_RECORDS", 8)  # but no more records than that
+    assert layout().select("_task").distinct().count() == 60
+
+
 def test_epochs_rank_keys_and_join_the_rest(spark):
     df = spark.range(50).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), F.col("id").alias("payload"))
     for shuffle in (True, False):
