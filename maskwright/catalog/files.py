@@ -30,11 +30,16 @@ def _parts(pairs: DataFrame, *keep: str) -> DataFrame:
         "v", F.col("v").cast("int"))
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """A narrow table may be a file or two, which few tasks would turn into files."""
+    return rows.repartition("vec_id", "image")
+
+
 def _image_files(spark: SparkSession, folder: str) -> str:
     """The embeddings as image and mask files."""
     root = scratch_path(spark, "images")
     name = F.format_string("%06d.png", F.col("vec_id"))
-    rows = images(spark, folder)
+    rows = _spread(images(spark, folder))
     pictures = rows.select(F.concat(F.lit("images/"), name).alias("path"),
                            as_png(_colour(F.col("image")), 8, 8, 3).alias("content"))
     trimaps = rows.select(F.concat(F.lit("masks/"), name).alias("path"),

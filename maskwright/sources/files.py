@@ -13,7 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
     DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage)
 
-from maskwright.sources.storage import open_path, pack, replacing, walk
+from maskwright.sources.storage import folder_size, open_path, pack, replacing, walk
+
+TASK_FILES = 1 << 10  # that one task opens, if they are small
+TASK_LISTED = 1 << 14  # that one task lists
+TASK_BYTES = 64 << 20  # of files that one task reads
 
 
 @dataclass
@@ -93,5 +97,20 @@ def read_tree(spark: SparkSession, root: str) -> DataFrame:
 
 def list_folder(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
     """Paths and sizes of the files with a suffix, not recursive; contents are not read."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(folder)
-            .select("path", "length"))
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(folder)
+    return in_few_tasks(listed, folder, suffix, TASK_LISTED, None).select("path", "length")
+
+
+def in_few_tasks(scan: DataFrame, folder: str, suffix: str, files: int = TASK_FILES,
+                 size: int | None = TASK_BYTES) -> DataFrame:
+    """A scan of the files with a suffix in tasks of about ``files`` files or ``size`` bytes, whichever are fewer.
+
+    Spark takes a file for 4 MB at least, so of small ones a task would read 32 only, and a large folder would cost more
+    in starting tasks than in reading. No rows move: neighbouring parts of the scan are read by one task.
+    """
+    found = folder_size(folder, suffix)
+    if found is None:
+        return scan
+    count, total = found
+    tasks = max(-(-count // files), -(-total // size) if size else 0)
+    return scan.coalesce(max(tasks, 2 * scan.sparkSession.sparkContext.defaultParallelism))

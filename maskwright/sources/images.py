@@ -10,6 +10,7 @@ from maskwright.functions.arrays import _lists, shape_of, unpack_uint8
 from maskwright.functions.names import stem
 from maskwright.operators.pairing import pair_by_key
 from maskwright.operators.tensors import IMAGE, IMAGE_SHAPE, LABEL, LABEL_SHAPE
+from maskwright.sources.files import in_few_tasks
 
 # Integer luma weights (of 65,536) for red, green and blue.
 LUMA = (19595, 38470, 7471)
@@ -51,7 +52,7 @@ def scan_images(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
     files = spark.read.format("image").option("pathGlobFilter", f"*{suffix}").option("dropInvalid", "false")
     checked = F.when(F.col("image.nChannels") > 0, F.col("image")).otherwise(
         F.raise_error(F.concat(F.lit("not an image: "), F.col("image.origin"))))
-    return files.load(folder).select(checked.alias("image")).select(
+    return in_few_tasks(files.load(folder), folder, suffix).select(checked.alias("image")).select(
         stem(F.col("image.origin")).alias("key"), "image")
 
 

@@ -41,6 +41,16 @@ def list_files(path: str) -> list[tuple[str, int]]:
                   and not f.base_name.startswith((".", "_")))
 
 
+def folder_size(folder: str, suffix: str) -> tuple[int, int] | None:
+    """Number and bytes of the files with a suffix, not recursive; None if it is no folder (a pattern of folders)."""
+    system, inner = open_path(folder)
+    if system.get_file_info(inner).type != fs.FileType.Directory:
+        return None
+    sizes = [f.size for f in system.get_file_info(fs.FileSelector(inner))
+             if f.type == fs.FileType.File and f.base_name.endswith(suffix)]
+    return len(sizes), sum(sizes)
+
+
 def walk(root: str) -> list[tuple[str, int]]:
     """Every file below ``root``, hidden and empty ones too: (path relative to it, bytes), sorted."""
     system, inner = open_path(root)

@@ -28,6 +28,24 @@ def test_scan_decodes_colour_and_grey(spark, tmp_path):
     assert rows["a"]["grey"] == [2, 92] and rows["b"]["grey"] == [7, 9]
 
 
+def test_many_small_files_are_few_tasks(spark, tmp_path):
+    for i in range(80):
+        save(tmp_path / "i", f"{i}.png", [[i, 2]])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")  # a task of Spark's for each file
+        scan = images.scan_images(spark, str(tmp_path / "i"), ".png")
+        listed = files.list_folder(spark, str(tmp_path / "i"), ".png")
+        few = min(2 * spark.sparkContext.defaultParallelism, 79)
+        assert scan.rdd.getNumPartitions() <= few and listed.rdd.getNumPartitions() <= few
+        assert sorted(r["key"] for r in scan.select("key").collect()) == sorted(map(str, range(80)))
+        assert listed.count() == 80
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert storage.folder_size(str(tmp_path / "i"), ".png")[0] == 80
+    assert storage.folder_size(str(tmp_path / "*"), ".png") is None
+
+
 def test_pairs_are_joined_by_stem(spark, tmp_path):
     for name in "abc":
         save(tmp_path / "i", f"{name}.png", np.full((2, 2, 3), ord(name)))
