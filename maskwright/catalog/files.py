@@ -31,8 +31,8 @@ def _parts(pairs: DataFrame, *keep: str) -> DataFrame:
 
 
 def _spread(rows: DataFrame) -> DataFrame:
-    """A narrow table may be a file or two, which few tasks would turn into files."""
-    return rows.repartition("vec_id", "image")
+    """A narrow table may be a file or two, which few tasks would turn into files; rows of one name stay together."""
+    return rows.repartition("vec_id")
 
 
 def _image_files(spark: SparkSession, folder: str) -> str:
