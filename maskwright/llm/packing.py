@@ -25,6 +25,7 @@ from maskwright.session import scratch_path
 
 LENGTH = 1024
 WINDOWS = 64
+CHUNK = 1 << 20  # bytes of text that are encoded at a time
 MERGED_TOGETHER = 64  # partitions whose leftovers meet in one task: at most 64 x 64 windows
 
 _PIECES = ("doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, "
@@ -125,7 +126,7 @@ def pack(docs: DataFrame, tokenizer: Callable[[], str], gaps: bool = True, end_i
         give_back("encoder")
         packer = Packer(TaskContext.get().partitionId(), length, windows)
         ids_of = encoder(tokenizer(), gaps)
-        for batch in chunks(batches, "text_"):
+        for batch in chunks(batches, "text_", CHUNK):
             ids, starts = with_end(*ids_of.encode(batch["text_"].to_pylist()), end_id)
             starts = starts.tolist()
             for doc, a, b in zip(batch["id_"].to_pylist(), starts[:-1], starts[1:]):

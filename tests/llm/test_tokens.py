@@ -150,6 +150,18 @@ def test_packing(spark):
     assert padding < packing.LENGTH  # the partitions are merged in one group
 
 
+def test_packing_encodes_a_megabyte_of_text_at_a_time(spark, monkeypatch):
+    class Letters:
+        def encode(self, texts):
+            sizes = [len(t) for t in texts]
+            assert sum(sizes) <= 1 << 20, "a worker holds too much text"
+            return np.ones(sum(sizes), np.uint32), np.cumsum([0, *sizes])
+
+    monkeypatch.setattr(packing, "encoder", lambda path, gaps: Letters())
+    docs = spark.range(0, 30, 1, 1).selectExpr("id AS doc_id", "repeat('x', 100000) AS text")
+    assert packing.pack(docs, lambda: "none").selectExpr("sum(length)").first()[0] == 30 * 100_001
+
+
 def test_packing_odd_rows(spark):
     df = spark.createDataFrame([(i, t, 1) for i, t in ROWS], "doc_id bigint, text string, length int")
     held, _, _ = check_packed(packing.pack(df, tokenizer("byte_bpe_50k.json")).collect(), None, 0)
