@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from maskwright.llm.tokens import encoder, with_end
 from maskwright.llm.words import chunks
 from maskwright.llm.worker import give_back
-from maskwright.session import scratch_path
+from maskwright.session import scratch_path, small_batches
 
 LENGTH = 1024
 WINDOWS = 64
@@ -137,7 +137,8 @@ def pack(docs: DataFrame, tokenizer: Callable[[], str], gaps: bool = True, end_i
 
     # written once: a second run of the tokenizer for the leftovers would cost as much as the first
     path = scratch_path(docs.sparkSession, "packing")
-    rows.mapInArrow(run, _PIECES).write.partitionBy("open").option("compression", "zstd").parquet(path)
+    with small_batches(docs.sparkSession):
+        rows.mapInArrow(run, _PIECES).write.partitionBy("open").option("compression", "zstd").parquet(path)
     pieces = docs.sparkSession.read.schema(_PIECES).parquet(path)
 
     columns = [c for c in pieces.columns if c != "open"]

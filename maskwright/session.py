@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyarrow.fs import FileType
 from pyspark.sql import SparkSession
@@ -75,6 +77,21 @@ def scratch_count(spark: SparkSession) -> int:
     return len(_GIVEN.get(spark.sparkContext.applicationId, []))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> Iterator[None]:
+    """Actions inside send rows to Python about ``size`` bytes at a time, unless the session sets another limit: limited
+    by rows alone, texts make large batches, which the executor and its worker hold at once."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is not None:
+        yield
+        return
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name)
+
+
 def materialise(df, name: str):
     """Write ``df`` to the scratch folder and read it back: lineage is cut on shared storage."""
     spark = df.sparkSession

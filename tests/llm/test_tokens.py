@@ -207,3 +207,23 @@ def test_merged_leftovers():
         for r in found.itertuples():  # a piece lies where its ids lie in the document
             whole = next(b for b in source if r.ids in b)
             assert r.start == 7 + whole.index(r.ids) // 4
+
+
+def test_packing_is_sent_a_few_megabytes_at_a_time(spark, monkeypatch):
+    small = packing.chunks
+
+    def chunks(batches, *given):
+        for batch in batches:
+            assert batch.nbytes < 6 << 20, "an executor and its worker hold too much text"
+            yield from small([batch], *given)
+
+    monkeypatch.setattr(packing, "chunks", chunks)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "10000")
+    try:
+        docs = spark.range(0, 120, 1, 1).selectExpr("id AS doc_id", "repeat('x ', 50000) AS text")
+        assert packing.pack(docs, tokenizer("byte_bpe_50k.json")).selectExpr("count(distinct doc_id)").first()[0] == 120
+    finally:
+        spark.conf.set(name, before)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None
