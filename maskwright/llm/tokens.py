@@ -8,18 +8,23 @@ as that token.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from itertools import chain
 
 import numpy as np
 
 from maskwright.llm.worker import kept
 
-MOST_PIECES = 700_000  # held by a worker; beyond it, those that came up once only are forgotten
+# Held by a worker; beyond it, those that came up once only are forgotten. A dict doubles at 699,050.
+MOST_PIECES = 660_000
 MOST_CHARS = 32 << 20
 
 _GAP_AFTER_GAP = re.compile(r"\s[ \n]")
+_RARE_GAPS = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _SAFE_CUT = re.compile(r"(?<=\S)(?=[ \n])")
+_WORD = re.compile(r"(\n?)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@[-`{-~]*)")  # and signs behind it
 
 
 def keep_gaps(text: str) -> list:
@@ -28,7 +33,8 @@ def keep_gaps(text: str) -> list:
     Cut in front of every space or newline that follows something else. A plain string stands for itself with a space
     in front, unless it begins with a newline; a 1-tuple holds a piece to be taken as it is.
     """
-    if _GAP_AFTER_GAP.search(text):
+    if ("  " in text or " \n" in text or "\n " in text or "\n\n" in text
+            or any(c in text for c in _RARE_GAPS) and _GAP_AFTER_GAP.search(text)):
         return [(piece,) for piece in _SAFE_CUT.split(text)]
     pieces = text.replace("\n", " \n").split(" ")
     pieces[0] = (pieces[0],)
@@ -40,6 +46,13 @@ def drop_gaps(text: str) -> list:
     return text.replace("\n", " ").split(" ")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter by which byte-level tokenizers write each byte: itself, or one above 255 if it doesn't show."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 class _Pieces(dict):
     """Numbers pieces in the order in which they are first seen."""
 
@@ -69,6 +82,14 @@ class Encoder:
         words = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(words.values()) + 1, bool)
         self.opens[[i for word, i in words.items() if word.startswith("\u0120")]] = True
+        # Where a tokenizer is known to part a word from the signs behind it, the model gets each by itself.
+        parts = json.loads(self.tokenizer.to_str())
+        cut = parts["pre_tokenizer"] or {}
+        self.model = None
+        if (gaps and not parts["normalizer"] and parts["model"]["type"] == "BPE" and cut.get("type") == "ByteLevel"
+                and cut.get("use_regex", True) and not cut.get("add_prefix_space", True)
+                and not any(_WORD.fullmatch("a" + t.content.strip()) for t in special)):
+            self.model, self.letters = self.tokenizer.model, _byte_letters()
         self._clear()
 
     def _clear(self) -> None:
@@ -77,11 +98,15 @@ class Encoder:
         self.bounds = np.zeros(1 << 14, np.int64)  # where a piece's ids begin; one more than pieces
         self.uses = np.zeros(1 << 14, np.int32)
 
+    def _most(self) -> int:
+        """How many pieces to hold: half as many where the model gets words by themselves, as that is quick."""
+        return MOST_PIECES // 2 if self.model else MOST_PIECES
+
     def _forget(self) -> None:
         """Keep the pieces that are met again and again, half the table at most."""
         n = len(self.pieces)
         uses, least = self.uses[:n], 2
-        while np.count_nonzero(uses >= least) > MOST_PIECES // 2:
+        while np.count_nonzero(uses >= least) > self._most() // 2:
             least += 1
         often = np.flatnonzero(uses >= least)
         names, bounds, ids = list(self.pieces), self.bounds, self.ids
@@ -104,19 +129,53 @@ class Encoder:
         return piece if not self.gaps or piece.startswith("\n") else " " + piece
 
     def _learn(self) -> None:
-        texts = [self._whole(p) for p in self.pieces.new]
-        found = self._joined(texts) if self.gaps else self._single(texts)
-        self.chars += sum(map(len, texts))
-        first = len(self.pieces) - len(found)
-        ends = self.bounds[first] + np.cumsum([len(x) for x in found])
+        new, self.pieces.new = self.pieces.new, []
+        first = len(self.pieces) - len(new)
+        found = self._words(new, first) if self.model else [None] * len(new)
+        rest = [i for i, x in enumerate(found) if x is None]
+        texts = [self._whole(new[i]) for i in rest]
+        for i, x in zip(rest, self._joined(texts) if self.gaps else self._single(texts)):
+            found[i] = x
+        self.chars += sum(len(p[0]) if isinstance(p, tuple) else len(p) for p in new)
+        ends = self.bounds[first] + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
         if len(self.pieces) + 1 > len(self.bounds):
-            self.bounds = np.concatenate([self.bounds, np.zeros(len(self.pieces) + 1, np.int64)])
-            self.uses = np.concatenate([self.uses, np.zeros(len(self.pieces) + 1, np.int32)])
+            more = len(self.pieces) + 1 + len(self.pieces) // 4 - len(self.bounds)
+            self.bounds = np.concatenate([self.bounds, np.zeros(more, np.int64)])
+            self.uses = np.concatenate([self.uses, np.zeros(more, np.int32)])
         if ends[-1] > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.empty(ends[-1], np.uint32)])
-        self.ids[self.bounds[first]:ends[-1]] = np.fromiter((i for x in found for i in x), np.uint32)
+            self.ids = np.concatenate([self.ids, np.empty(ends[-1] + ends[-1] // 4 - len(self.ids), np.uint32)])
+        self.ids[self.bounds[first]:ends[-1]] = np.fromiter(chain.from_iterable(found), np.uint32)
         self.bounds[first + 1:len(self.pieces) + 1] = ends
-        self.pieces.new = []
+
+    def _words(self, pieces: list, first: int) -> list[list[int] | None]:
+        """Ids of the pieces that are one word of Latin letters and signs; None for others. Words below ``first`` are known."""
+        known, tokenize, space, line = {}, self.model.tokenize, self.letters[32], self.letters[10]
+        out: list[list[int] | None] = [None] * len(pieces)
+        for i, piece in enumerate(pieces):
+            if isinstance(piece, tuple):
+                continue
+            if piece.isascii() and piece.isalpha():
+                out[i] = known.get(piece) or [t.id for t in tokenize(space + piece)]
+                continue
+            match = _WORD.fullmatch(piece)
+            if match is None:
+                continue
+            new_line, word, signs = match.groups()
+            ids = known.get(new_line + word)
+            if ids is None:
+                at = first if new_line else self.pieces.get(word, first)
+                if at < first:
+                    ids = self.ids[self.bounds[at]:self.bounds[at + 1]].tolist()
+                else:
+                    shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+                    ids = [t.id for text in ([line, shown] if new_line else [space + shown]) for t in tokenize(text)]
+                known[new_line + word] = ids
+            if signs:
+                if signs not in known:
+                    known[signs] = [t.id for t in tokenize(signs)]
+                ids = ids + known[signs]
+            out[i] = ids
+        return out
 
     def _single(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -139,7 +198,7 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids behind each other, and where each text's begin (one more than texts); null is empty."""
-        if len(self.pieces) > MOST_PIECES or self.chars > MOST_CHARS:
+        if len(self.pieces) > self._most() or self.chars > MOST_CHARS:
             self._forget()
         number = self.pieces.__getitem__
         numbers, count = [], [0]
@@ -152,7 +211,7 @@ class Encoder:
         if self.pieces.new:
             self._learn()
         number = np.concatenate(numbers) if numbers else np.empty(0, np.int64)
-        np.add.at(self.uses, number, 1)
+        self.uses[:len(self.pieces)] += np.bincount(number, minlength=len(self.pieces)).astype(np.int32)
         n = self.bounds[number + 1] - self.bounds[number]
         ends = np.concatenate([[0], np.cumsum(n)])
         ids = self.ids[np.repeat(self.bounds[number] - ends[:-1], n) + np.arange(ends[-1])]

@@ -209,6 +209,32 @@ def test_merged_leftovers():
             assert r.start == 7 + whole.index(r.ids) // 4
 
 
+def test_words_and_signs_go_to_the_model_alone(monkeypatch):
+    find = tokenizer("byte_bpe_50k.json")
+    alone = Encoder(find(), True)
+
+    def joined(texts):
+        assert not [t for t in texts if t.startswith((" ", "\n"))], "a word went through the whole tokenizer"
+        return Encoder._joined(alone, texts)
+
+    monkeypatch.setattr(alone, "_joined", joined)
+    texts = ["first Unseenword, unseenword unseenword. naïveté,!! Straße\nßtraße... it''' q\nlines) end.", "x Unseenword naïveté,"]
+    for _ in range(2):
+        ids, starts = alone.encode(texts)
+        assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])] == whole(alone, texts)
+
+
+@pytest.mark.parametrize("special", ["word", "word,", ",,", " of", "<w>", "rd,"])
+def test_special_tokens_within_words(tmp_path, special):
+    fresh = Tokenizer.from_file(tokenizer("byte_bpe_50k.json")())
+    fresh.add_special_tokens([AddedToken(special)])
+    fresh.save(str(tmp_path / "more.json"))
+    texts = ["a word, swords,, of often <w> x<w>, words", "word,\nword,,\n<w> of"]
+    ids, starts = Encoder(str(tmp_path / "more.json"), True).encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])] == [
+        fresh.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_packing_is_sent_a_few_megabytes_at_a_time(spark, monkeypatch):
     small = packing.chunks
 
