@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from maskwright.llm import jaccard, language, packing, tiling
 from maskwright.llm.catalog import as_digests, table, tokenizer
-from maskwright.session import materialise, scratch_path
+from maskwright.session import dropping_shuffles, materialise, scratch_path
 
 
 def _free_names(docs: DataFrame, *names: str) -> list[str]:
@@ -36,7 +36,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     documents share it, a second one tells that they are no repeats, and none goes that may have no link.
     """
     key, check = _free_names(docs, "key", "check")
-    keyed = docs.withColumns({key: F.xxhash64("doc_id", "text"), check: F.xxhash64(F.lit(check), "text", "doc_id")})
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
     found = jaccard.near_duplicates(keyed, id_col=key)
     linked = F.min(F.col(key) != F.col("component_id")).alias("linked")
     several = (F.count(F.lit(1)) > 1) & (F.max("n_shingles") > 0)
@@ -44,7 +44,9 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     kept = keyed.join(marked.where("linked"), key, "left_anti")
     repeated = marked.where("not linked").select(key)
     once = kept.join(repeated, key, "left_anti")
-    first = kept.join(repeated, key, "left_semi").dropDuplicates([key, check])
+    # the second hash comes after the joins, so both branches read one shuffle of the texts
+    first = kept.join(repeated, key, "left_semi").withColumn(
+        check, F.xxhash64(F.lit(check), "text", "doc_id")).dropDuplicates([key, check]).drop(check)
     return once.unionByName(first).select(*docs.columns)
 
 
@@ -73,6 +75,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, "pipeline-" + name.replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.parquet(path)
+        left = stage(spark, docs, sf_dir)
+        with dropping_shuffles(spark):
+            left.write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyarrow.fs import FileType
 from pyspark.sql import SparkSession
@@ -78,23 +78,33 @@ def scratch_count(spark: SparkSession) -> int:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, size: int = 4 << 20) -> Iterator[None]:
-    """Actions inside send rows to Python about ``size`` bytes at a time, unless the session sets another limit: limited
-    by rows alone, texts make large batches, which the executor and its worker hold at once."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+def _unless_set(spark: SparkSession, name: str, value: str) -> Iterator[None]:
     if spark.conf.get(name, None) is not None:
         yield
         return
-    spark.conf.set(name, str(size))
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.unset(name)
 
 
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> AbstractContextManager[None]:
+    """Actions inside send rows to Python about ``size`` bytes at a time, unless the session sets another limit: limited
+    by rows alone, texts make large batches, which the executor and its worker hold at once."""
+    return _unless_set(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
+def dropping_shuffles(spark: SparkSession) -> AbstractContextManager[None]:
+    """Writes inside delete their shuffle files when they end, unless the session sets otherwise: else the files of one step
+    stay beside those of the next until the driver happens to collect its garbage."""
+    return _unless_set(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def materialise(df, name: str):
-    """Write ``df`` to the scratch folder and read it back: lineage is cut on shared storage."""
+    """Write ``df`` to the scratch folder and read it back: lineage is cut on shared storage, shuffle files go."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with dropping_shuffles(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
